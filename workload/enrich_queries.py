@@ -134,13 +134,13 @@ def price_anomalies(fx: Inputs) -> DataFrame:
     """
 select sha256(concat_ws('|', ticker, cast(date as varchar))) as anomaly_id, ticker, date, close,
   round(avg_close, 8) as avg_close_30d, round(pct_change, 8) as pct_change, round(std_devs, 8) as std_devs
-from fx_anomalies where direction = 'UP'""",
+from fx_anomalies where std_devs < 2.5""",
     ("fx_anomalies",),
 )
 def new_anomalies(fx: Inputs) -> DataFrame:
-    """Falls were recorded by an earlier run."""
+    """The strongest moves were recorded by an earlier run."""
     found = anomaly.price_anomalies(_stats(fx))
-    recorded = found.filter(F.col("direction") == "DOWN").select("ticker", "date")
+    recorded = found.filter(F.col("std_devs") >= 2.5).select("ticker", "date")
     rows = anomaly.anomaly_rows(
         anomaly.new_anomalies(found, recorded), F.lit(None), F.lit("2024-02-01 00:00:00")
     )

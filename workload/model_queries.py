@@ -304,7 +304,7 @@ def blocked_sources(fx: Inputs) -> DataFrame:
 @query(
     "market_brief",
     f"""
-with heads as (
+, heads as (
   select date, max(market_sentiment) as mood from fx_mart group by date)
 select date as brief_date, 0 as section, 'a' as position, concat('DATA AS OF: ', cast(date as varchar)) as line from heads
 union all select date, 0, 'b', 'Every record below passed the quality gate.' from heads
