@@ -1,15 +1,15 @@
-"""Quality rules as one Column: the first rule a record breaks.
+"""Quality rules: the first one a record breaks.
 
-Every rule is a pair (condition, failure). ``first_failure`` chains them in one
-CASE, so later rules are not evaluated for records that already failed and the
-whole verdict stays inside one generated stage.
+A rule is (condition, code, detail). All conditions become one CASE that yields the
+number of the first broken rule; code and detail are then picked by that number, so
+later conditions and the texts of other rules are not evaluated.
 """
 
 from __future__ import annotations
 
 from datetime import datetime, timedelta
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import DataType, DateType, NumericType, StructType, TimestampNTZType, TimestampType
 
 from sieveline import config as C
@@ -22,10 +22,6 @@ BLANK = r"(?U)^[\s\x1c-\x1f]*$"
 _TEMPORAL = (DateType, TimestampType, TimestampNTZType)
 
 
-def failure(code: str, detail: Column) -> Column:
-    return F.struct(F.lit(code).alias("code"), detail.alias("detail"))
-
-
 def as_time(moment: datetime | Column) -> Column:
     return moment if isinstance(moment, Column) else F.lit(moment)
 
@@ -57,75 +53,86 @@ def event_time(name: str, kind: DataType, date_only: bool = False) -> Column:
     return F.when(column.rlike(ISO_SHAPE), F.try_to_timestamp(column))
 
 
-def missing_fields(rules: C.SourceRules, schema: StructType) -> tuple[Column, Column]:
+Rule = tuple[Column, str, Column]
+
+
+def _shown(name: str) -> Column:
+    return F.coalesce(F.col(name).cast("string"), F.lit("null"))
+
+
+def _typed(name: str) -> Column:
+    """The field as read by ``_read``: a double, or a time."""
+    return F.col(f"_typed_{name}")
+
+
+def _numeric_fields(rules: C.SourceRules, schema: StructType) -> list[str]:
+    names = [*rules.prices, *([rules.volume] if rules.volume else []), *rules.numbers]
+    return [f for f in names if f in schema.fieldNames()]
+
+
+def _read(df: DataFrame, rules: C.SourceRules) -> DataFrame:
+    """Add each checked field once in its type, for all rules that look at it."""
+    schema = df.schema
+    typed = {f"_typed_{f}": number(f, schema[f].dataType) for f in _numeric_fields(rules, schema)}
+    if rules.time_field in schema.fieldNames():
+        kind = schema[rules.time_field].dataType
+        typed[f"_typed_{rules.time_field}"] = event_time(rules.time_field, kind, rules.date_only)
+    return df.withColumns(typed)
+
+
+def missing_fields(rules: C.SourceRules, schema: StructType) -> Rule:
     present = set(schema.fieldNames())
     absent = [f for f in rules.required if f not in present]
-    held = [f for f in rules.required if f in present]
     condition = F.lit(bool(absent))
-    for name in held:
-        condition = condition | F.col(name).isNull()
-    names = F.concat_ws(
-        ", ", *[F.lit(f) if f in absent else F.when(F.col(f).isNull(), F.lit(f)) for f in rules.required]
-    )
-    return condition, F.concat(F.lit("missing fields: "), names)
-
-
-def wrong_types(rules: C.SourceRules, schema: StructType) -> tuple[Column, Column]:
-    """Prices and volume that are present but hold no number."""
-    names = [f for f in (*rules.prices, *([rules.volume] if rules.volume else [])) if f in schema.fieldNames()]
-    names = [f for f in names if not isinstance(schema[f].dataType, NumericType)]
+    for name in rules.required:
+        if name in present:
+            condition = condition | F.col(name).isNull()
+    names = [F.lit(f) if f in absent else F.when(F.col(f).isNull(), F.lit(f)) for f in rules.required]
+    return condition, C.SCHEMA_MISSING_FIELD, F.concat(F.lit("missing fields: "), F.concat_ws(", ", *names))
+
+
+def wrong_types(rules: C.SourceRules, schema: StructType) -> list[Rule]:
+    """Prices and volume that are present but hold no number; fields typed as numbers cannot."""
+    names = [
+        f
+        for f in _numeric_fields(rules, schema)
+        if f not in rules.numbers and not isinstance(schema[f].dataType, NumericType)
+    ]
+    if not names:
+        return []
     condition = F.lit(False)
     for name in names:
-        condition = condition | (F.col(name).isNotNull() & number(name, schema[name].dataType).isNull())
-    broken = F.concat_ws(
-        ", ",
-        *[
-            F.when(number(f, schema[f].dataType).isNull(), F.concat(F.lit(f"{f}="), F.col(f).cast("string")))
-            for f in names
-        ],
-    )
-    return condition, F.concat(F.lit("not a number: "), broken)
-
-
-def range_rules(rules: C.SourceRules, schema: StructType) -> list[tuple[Column, Column]]:
-    """Plausibility rules in the order they are reported."""
-    out: list[tuple[Column, Column]] = []
-    value = {f: number(f, schema[f].dataType) for f in (*rules.prices, rules.volume) if f in schema.fieldNames()}
+        condition = condition | _typed(name).isNull()
+    broken = [F.when(_typed(f).isNull(), F.concat(F.lit(f"{f}="), _shown(f))) for f in names]
+    return [(condition, C.SCHEMA_WRONG_TYPE, F.concat(F.lit("not a number: "), F.concat_ws(", ", *broken)))]
 
-    def shown(name: str) -> Column:
-        return F.coalesce(F.col(name).cast("string"), F.lit("null"))
 
+def range_rules(rules: C.SourceRules, schema: StructType) -> list[Rule]:
+    """Plausibility rules in the order they are reported."""
+    held = set(_numeric_fields(rules, schema))
+    out: list[tuple[Column, Column]] = []
     for name in rules.prices:
-        if name in value:
+        if name in held:
             # NaN compares as the largest double in Spark, so it needs its own test.
-            out.append(
-                (
-                    (value[name] <= 0) | F.isnan(value[name]),
-                    F.concat(F.lit(f"{name}="), shown(name), F.lit(" is not a price above zero")),
-                )
-            )
-    if rules.volume in value:
-        volume = value[rules.volume]
+            broken = (_typed(name) <= 0) | F.isnan(_typed(name))
+            out.append((broken, F.concat(F.lit(f"{name}="), _shown(name), F.lit(" is not a price above zero"))))
+    if rules.volume in held:
+        broken = (_typed(rules.volume) < 0) | F.isnan(_typed(rules.volume))
+        out.append((broken, F.concat(F.lit(f"{rules.volume}="), _shown(rules.volume), F.lit(" is negative"))))
+    if {"high", "low"} <= held:
         out.append(
             (
-                (volume < 0) | F.isnan(volume),
-                F.concat(F.lit(f"{rules.volume}="), shown(rules.volume), F.lit(" is negative")),
-            )
-        )
-    if {"high", "low"} <= value.keys():
-        out.append(
-            (
-                value["high"] < value["low"],
-                F.concat(F.lit("high="), shown("high"), F.lit(" is below low="), shown("low")),
+                _typed("high") < _typed("low"),
+                F.concat(F.lit("high="), _shown("high"), F.lit(" is below low="), _shown("low")),
             )
         )
     if rules.max_move_pct is not None:
-        move = F.abs(F.try_divide(value["close"] - value["open"], value["open"])) * 100
+        move = F.abs(F.try_divide(_typed("close") - _typed("open"), _typed("open"))) * 100
         out.append(
             (
-                (value["open"] > 0) & (move > rules.max_move_pct),
+                (_typed("open") > 0) & (move > rules.max_move_pct),
                 F.concat(
-                    F.lit("open="), shown("open"), F.lit(" to close="), shown("close"),
+                    F.lit("open="), _shown("open"), F.lit(" to close="), _shown("close"),
                     F.lit(f" moves more than {rules.max_move_pct:g}% in one bar"),
                 ),
             )
@@ -134,52 +141,47 @@ def range_rules(rules: C.SourceRules, schema: StructType) -> list[tuple[Column,
         if name in schema.fieldNames():
             out.append((F.col(name).rlike(BLANK), F.lit(f"{name} is blank")))
     for name in rules.numbers:
-        if name in schema.fieldNames():
-            out.append(
-                (
-                    F.col(name).isNotNull() & number(name, schema[name].dataType).isNull(),
-                    F.concat(F.lit(f"{name}="), shown(name), F.lit(" is not numeric")),
-                )
-            )
-    return out
+        if name in held:
+            broken = F.col(name).isNotNull() & _typed(name).isNull()
+            out.append((broken, F.concat(F.lit(f"{name}="), _shown(name), F.lit(" is not numeric"))))
+    return [(condition, C.RANGE_VIOLATION, detail) for condition, detail in out]
 
 
-def freshness_rules(
-    rules: C.SourceRules, schema: StructType, as_of: datetime | Column
-) -> list[tuple[Column, Column]]:
+def freshness_rules(rules: C.SourceRules, schema: StructType, as_of: datetime | Column) -> list[Rule]:
     """Unreadable, too old, too far ahead; both limits themselves still pass."""
     if rules.time_field not in schema.fieldNames():
         return []
-    raw = F.col(rules.time_field).cast("string")
-    at = event_time(rules.time_field, schema[rules.time_field].dataType, rules.date_only)
-    now = as_time(as_of)
-    return [
-        (at.isNull(), F.concat(F.lit(f"{rules.time_field}="), raw, F.lit(" is not a readable time"))),
-        (
-            at < now - span(rules.max_age),
-            F.concat(F.lit(f"{rules.time_field}="), raw, F.lit(f" is older than {describe_span(rules.max_age)}")),
-        ),
-        (
-            at > now + span(rules.max_ahead),
-            F.concat(
-                F.lit(f"{rules.time_field}="), raw,
-                F.lit(f" is more than {describe_span(rules.max_ahead)} in the future"),
-            ),
-        ),
+    at, now = _typed(rules.time_field), as_time(as_of)
+    shown = F.concat(F.lit(f"{rules.time_field}="), F.col(rules.time_field).cast("string"))
+    limits = [
+        (at.isNull(), " is not a readable time"),
+        (at < now - span(rules.max_age), f" is older than {describe_span(rules.max_age)}"),
+        (at > now + span(rules.max_ahead), f" is more than {describe_span(rules.max_ahead)} in the future"),
     ]
+    return [(condition, C.STALE, F.concat(shown, F.lit(text))) for condition, text in limits]
 
 
-def first_failure(rules: C.SourceRules, schema: StructType, as_of: datetime | Column) -> Column:
-    """struct(code, detail) of the first broken rule, null for a clean record.
+def with_failure(df: DataFrame, rules: C.SourceRules, as_of: datetime | Column) -> DataFrame:
+    """Add ``failure_code`` and ``failure_detail`` of the first broken rule (null = clean).
 
-    Order: missing fields, wrong types, ranges, freshness.
+    Order: missing fields, wrong types, ranges, freshness. No shuffle.
     """
-    missing, missing_detail = missing_fields(rules, schema)
-    wrong, wrong_detail = wrong_types(rules, schema)
-    verdict = F.when(missing, failure(C.SCHEMA_MISSING_FIELD, missing_detail))
-    verdict = verdict.when(wrong, failure(C.SCHEMA_WRONG_TYPE, wrong_detail))
-    for condition, detail in range_rules(rules, schema):
-        verdict = verdict.when(condition, failure(C.RANGE_VIOLATION, detail))
-    for condition, detail in freshness_rules(rules, schema, as_of):
-        verdict = verdict.when(condition, failure(C.STALE, detail))
-    return verdict
+    schema = df.schema
+    chain = [
+        missing_fields(rules, schema),
+        *wrong_types(rules, schema),
+        *range_rules(rules, schema),
+        *freshness_rules(rules, schema, as_of),
+    ]
+    broken = F.when(chain[0][0], 1)
+    for position, (condition, _, _) in enumerate(chain[1:], start=2):
+        broken = broken.when(condition, position)
+    # Exploding the one number makes it a column of its own: a later filter on the code
+    # tests that column instead of repeating the whole CASE.
+    numbered = _read(df, rules).select("*", F.explode(F.array(broken)).alias("_rule"))
+    return numbered.withColumns(
+        {
+            "failure_code": F.elt("_rule", *[F.lit(code) for _, code, _ in chain]),
+            "failure_detail": F.elt("_rule", *[detail for _, _, detail in chain]),
+        }
+    ).select(*df.columns, "failure_code", "failure_detail")

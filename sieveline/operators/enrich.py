@@ -75,30 +75,26 @@ def parse_responses(scored: DataFrame, raw: str = "response", key: str = "articl
     Reasons in order: no_response, invalid_json, missing_fields, invalid_sentiment,
     invalid_confidence.
     """
-    body = X.strip_fences(F.col(raw))
-    keys = F.json_object_keys("_body")
-    absent = F.size(F.array_except(F.array(*[F.lit(f) for f in C.RESPONSE_FIELDS]), F.col("_keys")))
+    # One generated row per response: parsed once, whatever later filters ask of its fields.
+    parts = F.struct(
+        F.json_object_keys("_body").alias("_keys"), F.from_json("_body", RESPONSE_SCHEMA).alias("_fields")
+    )
+    parsed = scored.withColumn("_body", X.strip_fences(F.col(raw))).select(
+        key, F.col(raw).isNull().alias("_silent"), F.inline(F.array(parts))
+    )
+    absent = F.array_except(F.array(*[F.lit(f) for f in C.RESPONSE_FIELDS]), F.col("_keys"))
     reason = (
-        F.when(F.col(raw).isNull(), "no_response")
+        F.when(F.col("_silent"), "no_response")
         .when(F.col("_keys").isNull() | F.col("_fields").isNull(), "invalid_json")
-        .when(absent > 0, "missing_fields")
+        .when(F.size(absent) > 0, "missing_fields")
         .when(~F.coalesce(F.col("_fields.sentiment").isin(*C.SENTIMENTS), F.lit(False)), "invalid_sentiment")
         .when(F.col("_fields.confidence").try_cast("double").isNull(), "invalid_confidence")
     )
-    parsed = (
-        scored.withColumn("_body", body)
-        .withColumns({"_keys": keys, "_fields": F.from_json("_body", RESPONSE_SCHEMA)})
-        .withColumn("reject_reason", reason)
-    )
+    fields = {name: F.col(f"_fields.{name}") for name in C.RESPONSE_FIELDS}
+    fields["confidence"] = clamp(fields["confidence"])
+    judged = parsed.select(key, "_fields", F.explode(F.array(reason)).alias("reject_reason"))
     valid = F.col("reject_reason").isNull()
-    fields = {
-        "sentiment": F.col("_fields.sentiment"),
-        "confidence": clamp(F.col("_fields.confidence")),
-        "tickers_mentioned": F.col("_fields.tickers_mentioned"),
-        "topic_tags": F.col("_fields.topic_tags"),
-        "market_implication": F.col("_fields.market_implication"),
-    }
-    return parsed.select(
+    return judged.select(
         key, *[F.when(valid, column).alias(name) for name, column in fields.items()], "reject_reason"
     )
 

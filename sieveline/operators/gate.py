@@ -18,12 +18,7 @@ from sieveline.functions import rules as R
 
 def check(df: DataFrame, rules: C.SourceRules, as_of: datetime | Column) -> DataFrame:
     """Add ``failure_code`` and ``failure_detail`` from the row rules (null = clean)."""
-    verdict = R.first_failure(rules, df.schema, as_of)
-    return (
-        df.withColumn("_verdict", verdict)
-        .withColumns({"failure_code": F.col("_verdict.code"), "failure_detail": F.col("_verdict.detail")})
-        .drop("_verdict")
-    )
+    return R.with_failure(df, rules, as_of)
 
 
 def _key_columns(rules: C.SourceRules, raw: StructType, stored: StructType | None) -> dict[str, Column]:
@@ -71,50 +66,84 @@ def gate(
     rules: C.SourceRules,
     as_of: datetime | Column,
     verified: DataFrame | None = None,
+    verified_unique: bool = False,
     intra_batch: str | None = None,
 ) -> DataFrame:
     """Every input record once, with ``passed``, ``failure_code``, ``failure_detail``.
 
-    ``verified`` holds records accepted before; none means nothing is a duplicate.
+    ``verified`` holds records accepted before; none means nothing is a duplicate. Say
+    ``verified_unique`` where it has one row per key, as a compacted store does: the
+    lookup is then one left join in one pass over the records. Without that promise it
+    is a semi and an anti join, which cannot multiply records. Adaptive execution can
+    split a hot key on the record side in either case, since nothing is aggregated
+    between shuffle and join.
+
     Copies inside the batch all pass unless ``intra_batch`` names a column that is
     unique per record: then only the copy with the lowest value passes.
-
-    The key lookup is a semi and an anti join over the same two shuffles (the second
-    pair is reused). Unlike a flag join it cannot multiply records when the store
-    repeats a key, and adaptive execution can split a hot key in both.
     """
     checked = check(df, rules, as_of)
-    columns = checked.columns
-    if verified is None and intra_batch is None:
-        return checked.withColumn("passed", F.col("failure_code").isNull())
-
-    failed = checked.filter(F.col("failure_code").isNotNull())
-    stored = verified.schema if verified is not None else None
     keys = [f"_key{i}" for i in range(len(rules.key))]
-    clean = checked.filter(F.col("failure_code").isNull()).withColumns(_key_columns(rules, df.schema, stored))
-    parts = [failed]
-
-    def duplicate(rows: DataFrame, detail: str) -> DataFrame:
-        shown = F.concat_ws(", ", *[F.concat(F.lit(f"{n}="), F.col(n).cast("string")) for n in rules.key])
-        return rows.withColumns(
-            {"failure_code": F.lit(C.DUPLICATE), "failure_detail": F.concat(shown, F.lit(f" {detail}"))}
-        ).select(*columns)
-
     if verified is not None:
         known = _reachable(verified, rules, as_of).select(
             *[F.col(name).alias(key) for name, key in zip(rules.key, keys)]
         )
-        parts.append(duplicate(clean.join(known, keys, "left_semi"), "is already verified"))
-        clean = clean.join(known, keys, "left_anti")
+        keyed = checked.withColumns(_key_columns(rules, df.schema, verified.schema))
+        lookup = _lookup_once if verified_unique else _lookup_any
+        checked = lookup(keyed, known, keys, rules).drop(*keys)
     if intra_batch is not None:
-        clean, later = _repeats(clean, keys, intra_batch)
-        parts.append(duplicate(later, "repeats in this batch"))
-    parts.append(clean.select(*columns))
-
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out.withColumn("passed", F.col("failure_code").isNull())
+        keyed = checked.withColumns(_key_columns(rules, df.schema, verified.schema if verified is not None else None))
+        failed, clean = _split(keyed)
+        first, later = _repeats(clean, keys, intra_batch)
+        later = later.withColumns(_duplicate(rules, "repeats in this batch"))
+        checked = failed.unionByName(first).unionByName(later).drop(*keys)
+    return checked.withColumn("passed", F.col("failure_code").isNull()).select(
+        *df.columns, "failure_code", "failure_detail", "passed"
+    )
+
+
+def _split(checked: DataFrame) -> tuple[DataFrame, DataFrame]:
+    return checked.filter(F.col("failure_code").isNotNull()), checked.filter(F.col("failure_code").isNull())
+
+
+def _duplicate(rules: C.SourceRules, detail: str) -> dict[str, Column]:
+    shown = F.concat_ws(", ", *[F.concat(F.lit(f"{n}="), F.col(n).cast("string")) for n in rules.key])
+    return {"failure_code": F.lit(C.DUPLICATE), "failure_detail": F.concat(shown, F.lit(f" {detail}"))}
+
+
+def _lookup_once(keyed: DataFrame, known: DataFrame, keys: list[str], rules: C.SourceRules) -> DataFrame:
+    """Mark clean records whose key is known; each key occurs once in ``known``.
+
+    Failed records take part only through the join condition, so they match nothing.
+    """
+    left, right = keyed.alias("record"), known.withColumn("_known", F.lit(True)).alias("known")
+    on = F.col("record.failure_code").isNull()
+    for key in keys:
+        on = on & (F.col(f"record.{key}") == F.col(f"known.{key}"))
+    joined = left.join(right, on, "left")
+    marks = _duplicate(rules, "is already verified")
+    kept = [F.col(f"record.{c}").alias(c) for c in keyed.columns if c not in marks]
+    decided = [
+        F.when(F.col("known._known"), mark).otherwise(F.col(f"record.{name}")).alias(name)
+        for name, mark in marks.items()
+    ]
+    return joined.select(*kept, *decided)
+
+
+def _lookup_any(keyed: DataFrame, known: DataFrame, keys: list[str], rules: C.SourceRules) -> DataFrame:
+    """The same where ``known`` may repeat keys.
+
+    Both joins read the same two shuffles. For that their inputs must be equal: records
+    without a full key, which match nothing, are set aside beforehand, and the verdict
+    columns, empty for clean records, are added after the joins.
+    """
+    verdict = ["failure_code", "failure_detail"]
+    searchable = F.col("failure_code").isNull()
+    for key in keys:
+        searchable = searchable & F.col(key).isNotNull()
+    clean = keyed.filter(searchable).drop(*verdict)
+    repeated = clean.join(known, keys, "left_semi").withColumns(_duplicate(rules, "is already verified"))
+    new = clean.join(known, keys, "left_anti").withColumns({c: F.lit(None).cast("string") for c in verdict})
+    return keyed.filter(~searchable).unionByName(repeated).unionByName(new)
 
 
 def raw_json(columns: list[str]) -> Column:

@@ -22,6 +22,7 @@ class GateJob:
     records: Callable[[], DataFrame]
     as_of: datetime | Column
     verified: Callable[[], DataFrame] | None = None
+    verified_unique: bool = False
     intra_batch: str | None = None
     record_fields: tuple[str, ...] = field(default=())
 
@@ -34,7 +35,7 @@ def gate_to_store(job: GateJob, path: str) -> DataFrame:
     """
     records = job.records()
     verified = job.verified() if job.verified else None
-    gated = G.gate(records, job.rules, job.as_of, verified, job.intra_batch)
+    gated = G.gate(records, job.rules, job.as_of, verified, job.verified_unique, job.intra_batch)
     fields = list(job.record_fields) or records.columns
     G.identify(gated, job.rules, fields, job.intra_batch).write.mode("overwrite").partitionBy("passed").parquet(path)
     decided = extended(

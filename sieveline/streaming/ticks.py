@@ -53,26 +53,21 @@ def read_files(spark: SparkSession, path: str, files_per_trigger: int | None = N
 
 def decode(messages: DataFrame) -> DataFrame:
     """Message fields plus the event's fields; text that is no JSON object stays in
-    ``_corrupt_record`` with every field null."""
+    ``_corrupt_record`` with every field null.
+
+    The text is parsed by a generator, once per message: fields of a parsed struct would
+    each bring their own copy of the parse into later filters.
+    """
     parsed = F.from_json(
         "value", schemas.RAW["ticks"], {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}
     )
-    return messages.withColumn("_event", parsed).select(
-        *messages.columns, *[F.col(f"_event.{f}").alias(f) for f in EVENT_FIELDS],
-        F.col("_event._corrupt_record").alias("_corrupt_record"),
-    )
+    return messages.select(*messages.columns, F.inline(F.array(parsed)))
 
 
 def gate_ticks(events: DataFrame, as_of: datetime | Column) -> DataFrame:
     """Add the verdict. The rules have no duplicate check: repeats are settled by the
-    keyed tables. The same builder serves batch and stream."""
-    verdict = R.first_failure(RULES, events.schema, as_of)
-    return (
-        events.withColumn("_verdict", verdict)
-        .withColumns({"failure_code": F.col("_verdict.code"), "failure_detail": F.col("_verdict.detail")})
-        .withColumn("gate_passed", F.col("failure_code").isNull())
-        .drop("_verdict")
-    )
+    keyed tables. The same rules serve batch and stream."""
+    return R.with_failure(events, RULES, as_of).withColumn("gate_passed", F.col("failure_code").isNull())
 
 
 def tag(gated: DataFrame, received_at: Column) -> DataFrame:

@@ -85,7 +85,9 @@ class Inputs:
 
     @cached_property
     def gated_bars(self) -> DataFrame:
-        return gate.gate(self.raw_bars, C.RULES["stocks"], F.col("checked_at"), self.verified_bars)
+        return gate.gate(
+            self.raw_bars, C.RULES["stocks"], F.col("checked_at"), self.verified_bars, verified_unique=True
+        )
 
     @cached_property
     def identified_bars(self) -> DataFrame:
@@ -211,7 +213,7 @@ class Inputs:
     def tick_messages(self) -> DataFrame:
         """Ticks as JSON messages; the check time travels as ``polled_at``."""
         event = self.tick_records.withColumn("polled_at", F.col("as_of").cast("string")).drop("as_of")
-        return event.select(F.to_json(F.struct(*event.columns)).alias("value"))
+        return event.select(F.explode(F.array(F.to_json(F.struct(*event.columns)))).alias("value"))
 
 
 

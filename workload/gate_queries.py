@@ -72,7 +72,10 @@ def gate_bad_timestamp(fx: Inputs) -> DataFrame:
 
 @query("gate_duplicate", _BARS.format("failure_code = 'DUPLICATE'"), ("fx_gated_bars",))
 def gate_duplicate(fx: Inputs) -> DataFrame:
-    return _failures(fx.gated_bars, F.col("failure_code") == C.DUPLICATE)
+    """Against a store whose keys repeat, as an append log before compaction."""
+    log = fx.verified_bars.unionByName(fx.verified_bars)
+    gated = gate.gate(fx.raw_bars, STOCKS, F.col("checked_at"), log)
+    return _failures(gated, F.col("failure_code") == C.DUPLICATE)
 
 
 @query(
