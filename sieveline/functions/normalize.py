@@ -10,15 +10,23 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from sieveline import config as C
 from sieveline.functions.text import strip, symbol_clean
+from sieveline.operators.dedupe import dedupe_first, latest_per_key
 
 log = logging.getLogger(__name__)
 
 PRICES = ("open", "high", "low", "close")
 
 
-def normalize_bars(bars: DataFrame, source: str = "yfinance", exchange: str = "NSE") -> DataFrame:
+def received(df: DataFrame, at: Column | None) -> DataFrame:
+    """Add the time of receipt where one is given."""
+    return df if at is None else df.withColumn("ingested_at", at)
+
+
+def normalize_bars(
+    bars: DataFrame, source: str = "yfinance", exchange: str = "NSE", ingested_at: Column | None = None
+) -> DataFrame:
     """Prices to two decimals, whole volume, date as text, constant origin."""
-    return bars.select(
+    normal = bars.select(
         "ticker",
         symbol_clean(F.col("ticker")).alias("ticker_clean"),
         F.date_format("date", "yyyy-MM-dd").alias("date"),
@@ -27,6 +35,7 @@ def normalize_bars(bars: DataFrame, source: str = "yfinance", exchange: str = "N
         F.lit(source).alias("source"),
         F.lit(exchange).alias("exchange"),
     )
+    return received(normal, ingested_at)
 
 
 def lookback(df: DataFrame, day: Column, days: int = 5, field: str = "date") -> DataFrame:
@@ -39,9 +48,9 @@ def url_hash_id(url: Column) -> Column:
     return F.md5(url)
 
 
-def normalize_articles(articles: DataFrame) -> DataFrame:
+def normalize_articles(articles: DataFrame, ingested_at: Column | None = None) -> DataFrame:
     """Nested camel-case articles to flat rows keyed by the hash of their address."""
-    return articles.select(
+    flat = articles.select(
         url_hash_id(F.col("url")).alias("article_id"),
         "title",
         "description",
@@ -49,6 +58,7 @@ def normalize_articles(articles: DataFrame) -> DataFrame:
         F.col("publishedAt").alias("published_at"),
         F.col("source.name").alias("source_name"),
     )
+    return received(flat, ingested_at)
 
 
 def any_word(text: Column, terms: Iterable[str]) -> Column:
@@ -126,11 +136,19 @@ def long_enough(title: Column, minimum: int = 10) -> Column:
     return F.coalesce(F.length(title) >= minimum, F.lit(False))
 
 
-def normalize_posts(listings: DataFrame, channel: Column) -> DataFrame:
+def press_releases(pages: DataFrame, scraped_at: Column, order: Iterable[str] = ("page_id", "pos")) -> DataFrame:
+    """Relevant releases linked from pages, the first link to each in document order."""
+    links = extract_links(pages).filter(long_enough(F.col("title")) & mentions_keyword(F.col("title")))
+    return dedupe_first(links, ["release_id"], list(order)).select(
+        "release_id", "title", "url", scraped_at.alias("scraped_at"), F.lit("rbi_press_releases").alias("source")
+    )
+
+
+def normalize_posts(listings: DataFrame, channel: Column, ingested_at: Column | None = None) -> DataFrame:
     """Listing pages (``data.children[].data``) to one row per post, pinned posts left out."""
     posts = listings.select(channel.alias("subreddit"), F.explode("data.children").alias("child"))
     post = lambda name: F.col(f"child.data.{name}")
-    return posts.filter(~F.coalesce(post("stickied"), F.lit(False))).select(
+    flat = posts.filter(~F.coalesce(post("stickied"), F.lit(False))).select(
         post("id").alias("post_id"),
         "subreddit",
         post("title").alias("title"),
@@ -140,6 +158,7 @@ def normalize_posts(listings: DataFrame, channel: Column) -> DataFrame:
         epoch_to_utc(post("created_utc")).alias("created_utc"),
         F.substring(F.coalesce(post("selftext"), F.lit("")), 1, C.SNIPPET_CUT).alias("body_snippet"),
     )
+    return received(flat, ingested_at)
 
 
 def epoch_to_utc(seconds: Column) -> Column:
@@ -162,13 +181,13 @@ def union_channels(channels: Mapping[str, Callable[[], DataFrame]], column: str
     return out
 
 
-def tick_events(bars: DataFrame, poll_id: str | Column, polled_at: Column, source: str = "intraday_delayed") -> DataFrame:
+def tick_events(
+    bars: DataFrame, poll_id: str | Column, polled_at: Column, source: str = "intraday_delayed"
+) -> DataFrame:
     """One event per symbol from its latest bar; all events of a poll share ``poll_id``.
 
     ``bars`` has ticker, timestamp and prices; the event identifier is a content hash.
     """
-    from sieveline.operators.dedupe import latest_per_key
-
     poll = poll_id if isinstance(poll_id, Column) else F.lit(poll_id)
     latest = latest_per_key(bars, ["ticker"], ["timestamp"])
     return latest.select(

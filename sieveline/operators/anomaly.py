@@ -44,12 +44,14 @@ def latest_vs_history(
     # From here one row per (key, bucket).
     by_key = Window.partitionBy(key)
     final = F.row_number().over(by_key.orderBy(F.col("_bucket").desc())) == 1
-    parts = parts.withColumn("_final", final)
-    for name in ("n", "mean", "m2", "lo", "hi"):
-        parts = parts.withColumn(name, F.when(F.col("_final"), F.col(f"{name}_old")).otherwise(F.col(f"{name}_all")))
-    parts = parts.withColumn(
-        "_mean", F.try_divide(F.sum(F.col("n") * F.col("mean")).over(by_key), F.sum("n").over(by_key))
+    parts = parts.withColumn("_final", final).withColumns(
+        {
+            name: F.when(F.col("_final"), F.col(f"{name}_old")).otherwise(F.col(f"{name}_all"))
+            for name in ("n", "mean", "m2", "lo", "hi")
+        }
     )
+    total = F.sum(F.col("n") * F.col("mean")).over(by_key)
+    parts = parts.withColumn("_mean", F.try_divide(total, F.sum("n").over(by_key)))
     merged = parts.groupBy(key).agg(
         F.max(F.when(F.col("_final"), F.col("_last"))).alias(order),
         F.max(F.when(F.col("_final"), F.col("_value"))).alias(value),

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from sieveline import config as C
 from sieveline.operators import gate as G
+from sieveline.plans import intermediate, mart, staging
 from sieveline.schemas import extended
 
 
@@ -67,23 +68,72 @@ def gate_all_sources(spark: SparkSession, jobs: Mapping[str, GateJob], root: str
     return reduce(DataFrame.unionByName, rows)
 
 
-def materialize(
-    spark: SparkSession, models: Mapping[str, tuple[str, str, DataFrame]], root: str
-) -> DataFrame:
-    """Register models given as name -> (schema, kind, rows); kind is "view" or "table".
+@dataclass(frozen=True)
+class Model:
+    """A model of a layer: its schema, "view" or "table", and how it is built.
+
+    ``build`` gets a function from the name of an earlier model to its rows.
+    """
+
+    schema: str
+    kind: str
+    build: Callable[[Callable[[str], DataFrame]], DataFrame]
+
+
+def materialize(spark: SparkSession, models: Mapping[str, Model], root: str) -> DataFrame:
+    """Build models in the given order and register them; returns the inventory.
 
-    Views stay queries; tables are written under ``root`` and registered as external
-    tables of their schema. Returns the inventory.
+    Views stay queries. Tables are written under ``root`` and registered as external
+    tables of their schema; later models read what was written instead of computing it
+    again, and a lost executor costs no more than its part of one model.
     """
-    for name, (schema, kind, df) in models.items():
-        if kind == "view":
-            df.createOrReplaceTempView(f"{schema}_{name}")
+    built: dict[str, DataFrame] = {}
+    for name, model in models.items():
+        df = model.build(built.__getitem__)
+        if model.kind == "view":
+            df.createOrReplaceTempView(f"{model.schema}_{name}")
+            built[name] = df
             continue
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS {schema} LOCATION '{root}/{schema}'")
-        spark.sql(f"DROP TABLE IF EXISTS {schema}.{name}")
-        df.write.mode("overwrite").option("path", f"{root}/{schema}/{name}").saveAsTable(f"{schema}.{name}")
-    schemas = sorted({schema for schema, kind, _ in models.values() if kind == "table"})
-    return table_inventory(spark, schemas)
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {model.schema} LOCATION '{root}/{model.schema}'")
+        spark.sql(f"DROP TABLE IF EXISTS {model.schema}.{name}")
+        path = f"{root}/{model.schema}/{name}"
+        df.write.mode("overwrite").option("path", path).saveAsTable(f"{model.schema}.{name}")
+        built[name] = spark.table(f"{model.schema}.{name}")
+    return table_inventory(spark, sorted({model.schema for model in models.values() if model.kind == "table"}))
+
+
+def layers(
+    bars: DataFrame,
+    news: DataFrame,
+    enriched: DataFrame,
+    macro: DataFrame,
+    gate_results: DataFrame,
+    anomalies: DataFrame,
+    scale: int = 4,
+    price_scale: int = 2,
+) -> dict[str, Model]:
+    """All models over the verified tables: staging views, intermediate and mart tables."""
+    return {
+        "stg_stocks": Model("silver", "view", lambda ref: staging.staged_bars(bars, price_scale, scale)),
+        "stg_news": Model("silver", "view", lambda ref: staging.staged_news(news, enriched)),
+        "stg_macro": Model("silver", "view", lambda ref: staging.staged_macro(macro)),
+        "int_stock_daily": Model(
+            "silver", "table", lambda ref: intermediate.daily_bars(ref("stg_stocks"), anomalies)
+        ),
+        "int_news_sentiment_daily": Model(
+            "silver", "table", lambda ref: intermediate.daily_sentiment(ref("stg_news"), scale)
+        ),
+        "int_trust_score_daily": Model(
+            "silver", "table", lambda ref: intermediate.trust_scores(gate_results, scale)
+        ),
+        "mart_symbols": Model(
+            "gold",
+            "table",
+            lambda ref: mart.symbol_mart(
+                ref("int_stock_daily"), ref("int_news_sentiment_daily"), ref("int_trust_score_daily"), scale
+            ),
+        ),
+    }
 
 
 def table_inventory(spark: SparkSession, schemas: list[str]) -> DataFrame:

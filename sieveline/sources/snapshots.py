@@ -10,16 +10,29 @@ from pyspark.sql.types import StructType
 from sieveline.schemas import extended
 
 
-def write_snapshot(df: DataFrame, zone: str, source: str, day: date | str | None = None, day_column: str | None = None) -> None:
+def even_files(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Gather rows of a partition directory before writing.
+
+    The rebalance hint lets adaptive execution split a day that holds most of the rows
+    and merge small ones, so there is neither a hot task nor a file per task and day.
+    """
+    return df.hint("rebalance", *columns)
+
+
+def write_snapshot(
+    df: DataFrame, zone: str, source: str, day: date | str | None = None, day_column: str | None = None
+) -> None:
     """Replace the snapshot of each day present, other days stay.
 
     Layout ``zone/source=.../day=YYYY-MM-DD``. The day is one given value or taken per
     row from ``day_column``.
     """
     when = F.col(day_column).cast("date") if day_column else F.lit(str(day)).cast("date")
+    stamped = df.withColumns({"source": F.lit(source), "day": when})
+    if day_column:
+        stamped = even_files(stamped, ["day"])
     (
-        df.withColumns({"source": F.lit(source), "day": when})
-        .write.mode("overwrite")
+        stamped.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("ignoreNullFields", "false")
         .partitionBy("source", "day")

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from sieveline import schemas
 from sieveline.operators.dedupe import upsert_latest
+from sieveline.sources.snapshots import even_files
 
 
 class Sources:
@@ -58,29 +59,38 @@ def compact(
         raise ValueError("compact to a new path: the log is read while it is written")
     rows = current(spark, path, key, order)
     if partition_by:
-        rows = rows.repartition(*partition_by)
+        rows = even_files(rows, list(partition_by))
     rows.write.mode("errorifexists").partitionBy(*partition_by).parquet(target)
 
 
-def run_row(df: DataFrame, run_id: str, source: str, empty_note: str | None = None) -> DataFrame:
-    """Run-log row of a finished run, counted from what it wrote."""
-    return df.agg(F.count("*").alias("records")).select(
+def _run_row(spark: SparkSession, run_id: str, source: str, records: int, status: str, error: str | None) -> DataFrame:
+    return spark.range(1).select(
         F.lit(run_id).alias("run_id"),
         F.lit(source).alias("source"),
         F.current_timestamp().alias("run_at"),
-        "records",
-        F.lit("success").alias("status"),
-        F.when(F.col("records") == 0, F.lit(empty_note)).alias("error"),
+        F.lit(records).cast("bigint").alias("records"),
+        F.lit(status).alias("status"),
+        F.lit(error).cast("string").alias("error"),
     )
 
 
-def failed_run(spark: SparkSession, run_id: str, source: str, error: BaseException | str) -> DataFrame:
-    """Run-log row of a run that raised."""
-    return spark.range(1).select(
-        F.lit(run_id).alias("run_id"),
-        F.lit(source).alias("source"),
-        F.current_timestamp().alias("run_at"),
-        F.lit(0).cast("bigint").alias("records"),
-        F.lit("failed").alias("status"),
-        F.lit(str(error)).alias("error"),
-    )
+def logged_run(
+    spark: SparkSession,
+    run_id: str,
+    source: str,
+    load: Callable[[], DataFrame],
+    write: Callable[[DataFrame], None],
+    empty_note: str | None = None,
+) -> DataFrame:
+    """Load and write one source; returns its row of the run log.
+
+    Records are counted by the write itself. A run that raises is logged as failed with
+    its error, one that wrote nothing as a success with ``empty_note``.
+    """
+    try:
+        df, counted = load(), Observation()
+        write(df.observe(counted, F.count(F.lit(1)).alias("records")))
+    except Exception as error:  # logged, so that the other sources still run
+        return _run_row(spark, run_id, source, 0, "failed", f"{type(error).__name__}: {error}")
+    records = counted.get["records"]
+    return _run_row(spark, run_id, source, records, "success", empty_note if records == 0 else None)

@@ -218,6 +218,9 @@ def test_links_from_html(rows):
     first = D.dedupe_first(kept, ["release_id"], ["page_id", "pos"]).collect()
     assert [(r.release_id, r.pos) for r in first] == [("12", 0)]
     assert first[0].url.endswith("prid=12")
+    pages = rows([(1, html), (0, html)], "page_id int, html string")
+    release = N.press_releases(pages, F.lit("2024-01-01T00:00:00Z")).collect()
+    assert [(r.release_id, r.title, r.scraped_at) for r in release] == [("12", "Repo rate& CPI\n held", "2024-01-01T00:00:00Z")]
 
 
 def test_posts(spark):

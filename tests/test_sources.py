@@ -76,14 +76,22 @@ def test_named_sources(spark, rows):
 
 
 def test_run_log(spark, rows):
-    done = T.run_row(rows([(1,), (2,)], "x int"), "r", "s", "none found").first()
-    assert (done.records, done.status, done.error) == (2, "success", None)
-    none = T.run_row(rows([], "x int"), "r", "s", "none found").first()
-    assert (none.records, none.status, none.error) == (0, "success", "none found")
-    failed = T.failed_run(spark, "r", "s", ValueError("boom"))
-    row = failed.first()
-    assert (row.records, row.status, row.error) == (0, "failed", "boom")
-    assert failed.columns == schemas.TABLES["pipeline_runs"].fieldNames()
+    root = scratch_dir(spark, "runs")
+
+    def log(name, load):
+        return T.logged_run(spark, "r", name, load, lambda df: df.write.parquet(f"{root}/{name}"), "none found")
+
+    done = log("done", lambda: rows([(1,), (2,)], "x int"))
+    assert done.columns == schemas.TABLES["pipeline_runs"].fieldNames()
+    row = done.first()
+    assert (row.records, row.status, row.error) == (2, "success", None)
+    assert spark.read.parquet(f"{root}/done").count() == 2
+    row = log("none", lambda: rows([], "x int")).first()
+    assert (row.records, row.status, row.error) == (0, "success", "none found")
+    row = log("gone", lambda: spark.read.parquet("/nowhere/at/all")).first()
+    assert (row.records, row.status) == (0, "failed") and row.error.startswith("AnalysisException")
+    row = log("late", lambda: rows([(0,)], "x int").select(F.lit(1) / F.col("x"))).first()
+    assert row.status == "failed"
 
 
 def test_every_table_has_schema_and_key(spark):
@@ -94,8 +102,17 @@ def test_every_table_has_schema_and_key(spark):
 
 def test_layers(spark, rows):
     df = rows([(1,), (2,)], "x int")
-    models = {"stg_t": ("silver", "view", df), "int_t": ("silver", "table", df), "mart_t": ("gold", "table", df.limit(1))}
-    inventory = runs.materialize(spark, models, scratch_dir(spark, "layers"))
+    models = {
+        "stg_t": runs.Model("silver", "view", lambda ref: df),
+        "int_t": runs.Model("silver", "table", lambda ref: ref("stg_t").withColumn("y", F.col("x") + 1)),
+        "mart_t": runs.Model("gold", "table", lambda ref: ref("int_t").filter("y = 3")),
+    }
+    root = scratch_dir(spark, "layers")
+    inventory = runs.materialize(spark, models, root)
     got = {(r.table_schema, r.table_name): (r.table_type, r.n_rows) for r in inventory.collect()}
     assert got[("silver", "int_t")] == ("BASE TABLE", 2) and got[("gold", "mart_t")] == ("BASE TABLE", 1)
     assert got[("", "silver_stg_t")] == ("VIEW", 2)
+    assert spark.table("gold.mart_t").first().x == 2
+    # A second build replaces the tables in their new place.
+    runs.materialize(spark, models, scratch_dir(spark, "layers"))
+    assert spark.table("silver.int_t").count() == 2

@@ -16,6 +16,17 @@ from sieveline.operators import enrich, gate
 from sieveline.session import prepare
 
 
+# Columns of the given tables in their stored types: a declared schema spares reading
+# file footers before the first plan.
+COLUMNS = {
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+    "labels": "doc_id bigint, quality int, toxic int",
+    "pages": "page_id bigint, url string, html string",
+    "conversations": "conv_id bigint, turn bigint, role string, text string",
+}
+
+
 class Inputs:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = prepare(spark)
@@ -25,7 +36,10 @@ class Inputs:
         return f"{self.sf_dir}/{name}.parquet"
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(self.path(name))
+        reader = self.spark.read
+        if name in COLUMNS:
+            reader = reader.schema(COLUMNS[name])
+        return reader.parquet(self.path(name))
 
     @cached_property
     def bars(self) -> DataFrame:

@@ -385,16 +385,6 @@ def check_accepted_values(fx: Inputs) -> DataFrame:
     )
 
 
-def _models(fx: Inputs) -> dict:
-    return {
-        "stg_news": ("silver", "view", staged_news_of(fx)),
-        "int_trust_score_daily": ("silver", "table", trust_of(fx)),
-        "int_news_sentiment_daily": ("silver", "table", sentiment_of(fx)),
-        "int_stock_daily": ("silver", "table", daily_of(fx)),
-        "mart_symbols": ("gold", "table", mart_of(fx)),
-    }
-
-
 _LAYERS = """
 select 'gold' as table_schema, 'mart_symbols' as table_name, count(*) as n_rows from fx_mart
 union all select 'silver', 'int_trust_score_daily', count(*) from fx_trust
@@ -405,20 +395,30 @@ union all select 'silver', 'int_stock_daily', count(*) from fx_daily_bars"""
 @query("materialize_layers", _LAYERS, ("fx_mart", "fx_trust", "fx_daily_sentiment", "fx_daily_bars"))
 def materialize_layers(fx: Inputs) -> DataFrame:
     """Views over staging, stored tables for the rest; the stored tables with their rows."""
-    inventory = runs.materialize(fx.spark, _models(fx), scratch_dir(fx.spark, "layers"))
-    return inventory.filter(F.col("table_type") == "BASE TABLE").select("table_schema", "table_name", "n_rows")
+    models = runs.layers(
+        fx.bars.withColumn("ingested_at", F.col("date")), fx.bronze_news, fx.enriched_news, fx.macro,
+        fx.gate_results, anomalies_of(fx),
+    )
+    inventory = runs.materialize(fx.spark, models, scratch_dir(fx.spark, "layers"))
+    stored = inventory.filter((F.col("table_type") == "BASE TABLE") & F.col("table_name").isin(*models))
+    return stored.select("table_schema", "table_name", "n_rows")
 
 
 @query(
     "table_inventory",
     """
-select 'gold' as table_schema, 'mart_trust' as table_name, 'BASE TABLE' as table_type, count(*) as n_rows from fx_trust""",
-    ("fx_trust",),
+select 'audit' as table_schema, 'trust' as table_name, 'BASE TABLE' as table_type, count(*) as n_rows from fx_trust
+union all
+select '', 'audit_results', 'VIEW', count(*) from fx_gate_results""",
+    ("fx_trust", "fx_gate_results"),
 )
 def table_inventory(fx: Inputs) -> DataFrame:
-    root = scratch_dir(fx.spark, "inventory")
-    runs.materialize(fx.spark, {"mart_trust": ("gold", "table", trust_of(fx))}, root)
-    return runs.table_inventory(fx.spark, ["gold"]).filter(F.col("table_name") == "mart_trust")
+    models = {
+        "results": runs.Model("audit", "view", lambda ref: fx.gate_results),
+        "trust": runs.Model("audit", "table", lambda ref: intermediate.trust_scores(ref("results"))),
+    }
+    inventory = runs.materialize(fx.spark, models, scratch_dir(fx.spark, "inventory"))
+    return inventory.filter(F.col("table_name").isin("trust", "audit_results"))
 
 
 @query(

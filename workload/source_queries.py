@@ -141,25 +141,30 @@ def recent_matching_docs(fx: Inputs) -> DataFrame:
     """
 select 'bars' as source, count(*) as records, 'success' as status, cast(null as varchar) as error from fx_bars
 union all
-select 'links', 0, 'success', case when count(*) filter (title like '%repo rate%') = 0 then 'nothing matched' end
-from fx_links
+select 'links', count(*), 'success', case when count(*) = 0 then 'nothing matched' end
+from fx_links where title like '%repo rate%'
 union all
 select 'absent', 0, 'failed', 'AnalysisException'""",
     ("fx_bars", "fx_links"),
 )
 def run_log(fx: Inputs) -> DataFrame:
-    rows = [
-        tables.run_row(fx.bars, "run-1", "bars"),
-        tables.run_row(links(fx).filter(F.col("title").contains("repo rate")), "run-2", "links", "nothing matched"),
+    """A run that writes, one that finds nothing, one that fails."""
+    root = scratch_dir(fx.spark, "runs")
+    loads = {
+        "bars": lambda: fx.bars,
+        "links": lambda: links(fx).filter(F.col("title").contains("repo rate")),
+        "absent": lambda: fx.table("no_such_table"),
+    }
+    log = [
+        tables.logged_run(
+            fx.spark, f"run-{name}", name, load, lambda df, to=f"{root}/{name}": df.write.parquet(to), "nothing matched"
+        )
+        for name, load in loads.items()
     ]
-    try:
-        rows.append(tables.run_row(fx.table("no_such_table"), "run-3", "absent"))
-    except Exception as error:
-        rows.append(tables.failed_run(fx.spark, "run-3", "absent", type(error).__name__))
-    out = rows[0]
-    for row in rows[1:]:
+    out = log[0]
+    for row in log[1:]:
         out = out.unionByName(row)
-    return out.select("source", "records", "status", "error")
+    return out.select("source", "records", "status", F.split_part("error", F.lit(":"), F.lit(1)).alias("error"))
 
 
 @query("symbol_clean", "select distinct ticker, replace(ticker || '.NS', '.NS', '') as clean from fx_bars", ("fx_bars",))
