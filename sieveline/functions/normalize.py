@@ -25,13 +25,16 @@ def received(df: DataFrame, at: Column | None) -> DataFrame:
 def normalize_bars(
     bars: DataFrame, source: str = "yfinance", exchange: str = "NSE", ingested_at: Column | None = None
 ) -> DataFrame:
-    """Prices to two decimals, whole volume, date as text, constant origin."""
+    """Prices to two decimals, whole volume, date as text, constant origin.
+
+    A price or volume that is no number becomes null and is left to the gate.
+    """
     normal = bars.select(
         "ticker",
         symbol_clean(F.col("ticker")).alias("ticker_clean"),
         F.date_format("date", "yyyy-MM-dd").alias("date"),
-        *[F.round(F.col(p).cast("double"), 2).alias(p) for p in PRICES],
-        F.col("volume").cast("bigint").alias("volume"),
+        *[F.round(F.col(p).try_cast("double"), 2).alias(p) for p in PRICES],
+        F.col("volume").try_cast("bigint").alias("volume"),
         F.lit(source).alias("source"),
         F.lit(exchange).alias("exchange"),
     )
@@ -152,8 +155,8 @@ def normalize_posts(listings: DataFrame, channel: Column, ingested_at: Column |
         post("id").alias("post_id"),
         "subreddit",
         post("title").alias("title"),
-        F.coalesce(post("score"), F.lit(0)).cast("int").alias("score"),
-        F.coalesce(post("num_comments"), F.lit(0)).cast("int").alias("num_comments"),
+        F.coalesce(post("score"), F.lit(0)).try_cast("int").alias("score"),
+        F.coalesce(post("num_comments"), F.lit(0)).try_cast("int").alias("num_comments"),
         post("upvote_ratio").cast("double").alias("upvote_ratio"),
         epoch_to_utc(post("created_utc")).alias("created_utc"),
         F.substring(F.coalesce(post("selftext"), F.lit("")), 1, C.SNIPPET_CUT).alias("body_snippet"),
@@ -196,7 +199,7 @@ def tick_events(
         "ticker",
         F.date_format(F.col("timestamp").cast("timestamp"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").alias("timestamp"),
         F.date_format(polled_at, "yyyy-MM-dd'T'HH:mm:ssXXX").alias("polled_at"),
-        *[F.round(F.col(p).cast("double"), 2).alias(p) for p in PRICES],
-        F.col("volume").cast("bigint").alias("volume"),
+        *[F.round(F.col(p).try_cast("double"), 2).alias(p) for p in PRICES],
+        F.col("volume").try_cast("bigint").alias("volume"),
         F.lit(source).alias("source"),
     )

@@ -48,8 +48,9 @@ Mention the values involved. Answer with the sentence only."""
 
 
 def decimals(x: Column) -> Column:
-    """Exact decimal of a double at eight digits, so later rounding has no binary ties."""
-    return F.round(x, 8).cast("decimal(28,8)")
+    """Exact decimal of a double at eight digits, so later rounding has no binary ties;
+    null for NaN and infinity."""
+    return F.round(x, 8).try_cast("decimal(28,8)")
 
 
 def fixed(x: Column, digits: int) -> Column:

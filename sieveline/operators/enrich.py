@@ -36,12 +36,17 @@ def article_prompts(
     return news.select("article_id", prompt.alias("prompt"))
 
 
-def score(requests: DataFrame, model: Callable[[str], str], key: str = "article_id") -> DataFrame:
+def score(
+    requests: DataFrame, model: Callable[[str], str], key: str = "article_id", partitions: int | None = None
+) -> DataFrame:
     """Call ``model`` on every prompt: key, response, error.
 
     The model is the caller's Python callable, so this is the one operator that leaves
-    the JVM, in Arrow batches. A failing call fills ``error`` and the rest go on.
+    the JVM, in Arrow batches. A failing call fills ``error`` and the rest go on. Calls
+    run one after another within a partition; ``partitions`` sets how many run at once.
     """
+    if partitions is not None:
+        requests = requests.repartition(partitions)
 
     def answer(prompt: str) -> tuple[str | None, str | None]:
         try:

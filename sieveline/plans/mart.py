@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from sieveline.functions.text import fixed
+from sieveline.operators.dedupe import latest_per_key
 from sieveline.plans.staging import loaded
 
 
@@ -15,6 +17,19 @@ def latest_trust(trust: DataFrame, source: str) -> DataFrame:
     return newest.select(F.lit(source).alias("source"), "_newest.date", "_newest.trust_score", "_newest.is_blocked")
 
 
+def source_status(trust: DataFrame) -> DataFrame:
+    """The newest state of every source, in the shape of ``source_status``."""
+    newest = latest_per_key(trust, ["source"], ["date"])
+    reason = F.concat(F.lit("pass rate "), fixed(F.col("pass_rate") * 100, 2), F.lit("% below the limit"))
+    return newest.select(
+        "source",
+        F.col("date").cast("timestamp").alias("updated_at"),
+        "trust_score",
+        "is_blocked",
+        F.when(F.col("is_blocked"), reason).alias("block_reason"),
+    )
+
+
 def pct_from_average(close: Column, average: Column, scale: int = 4) -> Column:
     """Distance of a close from its average in percent, null without an average."""
     return F.round(F.try_divide(close - average, average) * 100, scale)

@@ -41,7 +41,11 @@ def read_kafka(spark: SparkSession, servers: str, topic: str, options: Mapping[s
 
 
 def read_files(spark: SparkSession, path: str, files_per_trigger: int | None = None) -> DataFrame:
-    """The same messages from JSON-line files; the file and row stand for the offset."""
+    """The same messages from JSON-line files; the file stands for topic and offset.
+
+    Equal lines of one file that carry no event_id get one identifier and count as a
+    repeat of the same event.
+    """
     reader = spark.readStream.schema("value string")
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)

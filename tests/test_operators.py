@@ -139,6 +139,16 @@ def test_trust_and_breaker(rows):
     assert not I.trust_scores(mild, breaker_metric="trust_score").first().is_blocked
 
 
+def test_source_status_is_the_newest_day(rows):
+    schema = "date date, source string, pass_rate double, trust_score double, is_blocked boolean"
+    data = [
+        (date(2024, 1, 1), "news", 0.9, 0.95, False), (date(2024, 1, 2), "news", 0.8, 0.9, True),
+        (date(2024, 1, 1), "macro", 1.0, 1.0, False),
+    ]
+    got = {r.source: (r.trust_score, r.is_blocked, r.block_reason) for r in M.source_status(rows(data, schema)).collect()}
+    assert got == {"news": (0.9, True, "pass rate 80.00% below the limit"), "macro": (1.0, False, None)}
+
+
 def test_sentiment_tie_is_neutral(rows):
     schema = "published_at timestamp, sentiment string, confidence double"
     at = datetime(2024, 1, 1, 12)
@@ -244,6 +254,17 @@ def test_number_texts(spark):
     assert tuple(row) == ("+1.01%", "-0.50%", "88%", "95.0", "It fell.")
 
 
+def test_values_that_are_no_numbers_reach_the_gate_as_nulls(rows):
+    schema = "ticker string, date date, open string, high string, low string, close string, volume string"
+    row = N.normalize_bars(rows([("A.NS", date(2024, 1, 1), "1.005", "2", "x", "1", "many")], schema)).first()
+    assert (row.ticker_clean, row.date, row.low, row.volume) == ("A", "2024-01-01", None, None)
+
+
+def test_odd_numbers_do_not_stop_rendering(spark):
+    row = spark.range(1).select(X.signed_pct(F.lit(float("nan"))).alias("a"), X.fixed(F.lit(float("inf")), 2).alias("b")).first()
+    assert tuple(row) == (None, None)
+
+
 def test_lookback_is_half_open(rows):
     df = rows([(date(2024, 1, d),) for d in (9, 10, 14, 15)], "date date")
     got = [r.date.day for r in N.lookback(df, F.lit(date(2024, 1, 15))).collect()]
