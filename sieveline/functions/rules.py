@@ -49,7 +49,7 @@ def event_time(name: str, kind: DataType, date_only: bool = False) -> Column:
     if isinstance(kind, _TEMPORAL):
         return column.cast("timestamp")
     if date_only:
-        return F.when(column.rlike(DATE_SHAPE), F.try_to_date(column, "yyyy-M-d")).cast("timestamp")
+        return F.when(column.rlike(DATE_SHAPE), column.try_cast("date")).cast("timestamp")
     return F.when(column.rlike(ISO_SHAPE), F.try_to_timestamp(column))
 
 

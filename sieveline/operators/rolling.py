@@ -1,35 +1,34 @@
 """Trailing averages over the last n rows of each key.
 
 A window partitioned by key alone puts a whole key into one task. Here each key is
-cut into time buckets. A bucket is averaged by its own window, and the few rows a
-frame needs from before the bucket (at most n - 1) arrive as a short array, so the
-result equals the single window over the key while the largest group is one bucket.
+cut into time buckets, and every bucket also gets copies of the few rows (at most
+n - 1) that precede it. The window over (key, bucket) then sees every frame in full, so
+the result equals the single window over the key while the largest group is one bucket.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 
-def _carried(df: DataFrame, key: str, order: Sequence[str], value: str, reach: int) -> DataFrame:
-    """Per (key, bucket): up to ``reach`` values that precede the bucket, newest first."""
-    newest = [F.col(c).desc() for c in order]
-    bucket = Window.partitionBy(key, "_bucket").orderBy(*newest)
-    # Limited on the map side, so at most ``reach`` rows per bucket and task are shuffled,
-    # and the array below never holds more than ``reach`` values.
+def _preceding(df: DataFrame, key: str, order: Sequence[str], value: str, reach: int) -> DataFrame:
+    """Per (key, bucket): up to ``reach`` rows that precede the bucket, order and value only."""
+    bucket = Window.partitionBy(key, "_bucket").orderBy(*[F.col(c).desc() for c in order])
+    # Limited on the map side: at most ``reach`` rows per bucket and task are shuffled, and
+    # no array below holds more.
     ends = df.select(key, "_bucket", *order, value).withColumn("_back", F.row_number().over(bucket))
     tails = (
         ends.filter(F.col("_back") <= reach)
         .groupBy(key, "_bucket")
-        .agg(F.sort_array(F.collect_list(F.struct("_back", value))).alias("_tail"))
-        .withColumn("_tail", F.transform("_tail", lambda item: item[value]))
+        .agg(F.sort_array(F.collect_list(F.struct("_back", *order, value))).alias("_tail"))
     )
     # Every bucket present holds a row, so ``reach`` earlier buckets always suffice.
-    earlier = Window.partitionBy(key).orderBy(F.col("_bucket")).rowsBetween(-reach, -1)
-    gathered = F.flatten(F.reverse(F.collect_list("_tail").over(earlier)))
-    return tails.select(key, "_bucket", F.slice(gathered, 1, reach).alias("_before"))
+    earlier = Window.partitionBy(key).orderBy("_bucket").rowsBetween(-reach, -1)
+    newest_first = F.flatten(F.reverse(F.collect_list("_tail").over(earlier)))
+    gathered = tails.select(key, "_bucket", F.slice(newest_first, 1, reach).alias("_before"))
+    return gathered.select(key, "_bucket", F.inline("_before")).drop("_back")
 
 
 def trailing_averages(
@@ -38,32 +37,24 @@ def trailing_averages(
     key: str = "ticker",
     order: Sequence[str] = ("date",),
     value: str = "close",
-    bucket: str = "month",
+    bucket: str = "year",
 ) -> DataFrame:
     """Add one column per entry of ``frames`` (name -> number of rows, current row included).
 
     ``order`` must be unique within a key; its first column is a date or timestamp,
-    cut by ``bucket`` (any unit of ``date_trunc``). Nulls in ``value`` count as rows
-    of the frame but not in the average.
+    cut by ``bucket`` (any unit of ``date_trunc``). For one bar a day a year is right; for
+    ticks take a unit that holds some thousand rows. Nulls in ``value`` count as rows of
+    the frame but not in the average.
     """
-    cut = df.withColumn("_bucket", F.date_trunc(bucket, F.col(order[0]).cast("timestamp")))
-    ordered = Window.partitionBy(key, "_bucket").orderBy(*[F.col(c) for c in order])
-    widest = max(frames.values())
-    columns: dict[str, Column] = {"_row": F.row_number().over(ordered)}
-    for name, size in frames.items():
-        frame = ordered.rowsBetween(-(size - 1), 0)
-        columns[f"_sum_{name}"] = F.sum(value).over(frame)
-        columns[f"_n_{name}"] = F.count(value).over(frame)
-    inside = cut.withColumns(columns)
-    if widest < 2:
-        joined = inside.withColumn("_before", F.array().cast("array<double>"))
-    else:
-        joined = inside.join(_carried(cut, key, order, value, widest - 1), [key, "_bucket"], "left")
-
-    def average(name: str, size: int) -> Column:
-        wanted = F.greatest(F.lit(0), F.lit(size) - F.col("_row"))
-        taken = F.filter(F.slice(F.coalesce("_before", F.array()), F.lit(1), wanted), lambda x: x.isNotNull())
-        total = F.aggregate(taken, F.coalesce(F.col(f"_sum_{name}"), F.lit(0.0)), lambda acc, x: acc + x)
-        return F.try_divide(total, F.col(f"_n_{name}") + F.size(taken))
-
-    return joined.select(*df.columns, *[average(n, s).alias(n) for n, s in frames.items()])
+    rows = df.withColumns(
+        {"_bucket": F.date_trunc(bucket, F.col(order[0]).cast("timestamp")), "_own": F.lit(True)}
+    )
+    reach = max(frames.values()) - 1
+    if reach > 0:
+        before = _preceding(rows, key, order, value, reach).withColumn("_own", F.lit(False))
+        rows = rows.unionByName(before, allowMissingColumns=True)
+    window = Window.partitionBy(key, "_bucket").orderBy(*[F.col(c) for c in order])
+    averaged = rows.withColumns(
+        {name: F.avg(value).over(window.rowsBetween(-(size - 1), 0)) for name, size in frames.items()}
+    )
+    return averaged.filter("_own").select(*df.columns, *frames)

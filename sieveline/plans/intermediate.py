@@ -11,12 +11,12 @@ from sieveline.operators.rolling import trailing_averages
 from sieveline.plans.staging import loaded
 
 
-def moving_averages(staged: DataFrame, bucket: str = "month") -> DataFrame:
+def moving_averages(staged: DataFrame, bucket: str = "year") -> DataFrame:
     """Average close over the last 7 and 30 rows of each symbol."""
     return trailing_averages(staged, {"avg_close_7d": 7, "avg_close_30d": 30}, bucket=bucket)
 
 
-def daily_bars(staged: DataFrame, anomalies: DataFrame, bucket: str = "month") -> DataFrame:
+def daily_bars(staged: DataFrame, anomalies: DataFrame, bucket: str = "year") -> DataFrame:
     """One row per symbol and day: bar, trailing averages, anomaly flag and explanation."""
     flags = anomalies.select(
         "ticker", F.col("date").cast("date").alias("date"), F.lit(True).alias("_flag"),

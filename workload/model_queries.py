@@ -23,8 +23,7 @@ def anomalies_of(fx: Inputs) -> DataFrame:
 
 
 def daily_of(fx: Inputs) -> DataFrame:
-    """A week per bucket, so that frames of 30 rows reach over bucket ends."""
-    daily = intermediate.daily_bars(stage_bars(fx), anomalies_of(fx), bucket="week")
+    daily = intermediate.daily_bars(stage_bars(fx), anomalies_of(fx))
     return daily.withColumns({c: F.round(c, 8) for c in ("avg_close_7d", "avg_close_30d")})
 
 
@@ -61,7 +60,7 @@ def staged_news(fx: Inputs) -> DataFrame:
     ("fx_daily_bars",),
 )
 def moving_averages(fx: Inputs) -> DataFrame:
-    rows = intermediate.moving_averages(stage_bars(fx), bucket="week")
+    rows = intermediate.moving_averages(stage_bars(fx))
     return rows.select("ticker", "date", "close", r8("avg_close_7d"), r8("avg_close_30d"))
 
 
