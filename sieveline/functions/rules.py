@@ -53,16 +53,21 @@ def event_time(name: str, kind: DataType, date_only: bool = False) -> Column:
     return F.when(column.rlike(ISO_SHAPE), F.try_to_timestamp(column))
 
 
-Rule = tuple[Column, str, Column]
+# Condition, failure code, detail; condition and detail are SQL expressions.
+Rule = tuple[str, str, str]
 
 
-def _shown(name: str) -> Column:
-    return F.coalesce(F.col(name).cast("string"), F.lit("null"))
+def _shown(name: str) -> str:
+    return f"coalesce(cast(`{name}` as string), 'null')"
 
 
-def _typed(name: str) -> Column:
+def _typed(name: str) -> str:
     """The field as read by ``_read``: a double, or a time."""
-    return F.col(f"_typed_{name}")
+    return f"`_typed_{name}`"
+
+
+def _text(*parts: str) -> str:
+    return f"concat({', '.join(parts)})"
 
 
 def _numeric_fields(rules: C.SourceRules, schema: StructType) -> list[str]:
@@ -70,95 +75,98 @@ def _numeric_fields(rules: C.SourceRules, schema: StructType) -> list[str]:
     return [f for f in names if f in schema.fieldNames()]
 
 
-def _read(df: DataFrame, rules: C.SourceRules) -> DataFrame:
-    """Add each checked field once in its type, for all rules that look at it."""
+def _read(df: DataFrame, rules: C.SourceRules, as_of: datetime | Column) -> DataFrame:
+    """Add each checked field once in its type, and the check time, for all rules."""
     schema = df.schema
     typed = {f"_typed_{f}": number(f, schema[f].dataType) for f in _numeric_fields(rules, schema)}
     if rules.time_field in schema.fieldNames():
         kind = schema[rules.time_field].dataType
         typed[f"_typed_{rules.time_field}"] = event_time(rules.time_field, kind, rules.date_only)
+        now = as_time(as_of)
+        typed["_oldest"] = now - span(rules.max_age)
+        typed["_newest"] = now + span(rules.max_ahead)
     return df.withColumns(typed)
 
 
 def missing_fields(rules: C.SourceRules, schema: StructType) -> Rule:
-    present = set(schema.fieldNames())
-    absent = [f for f in rules.required if f not in present]
-    condition = F.lit(bool(absent))
-    for name in rules.required:
-        if name in present:
-            condition = condition | F.col(name).isNull()
-    names = [F.lit(f) if f in absent else F.when(F.col(f).isNull(), F.lit(f)) for f in rules.required]
-    return condition, C.SCHEMA_MISSING_FIELD, F.concat(F.lit("missing fields: "), F.concat_ws(", ", *names))
+    null = {f: f"`{f}` is null" if f in schema.fieldNames() else "true" for f in rules.required}
+    names = ", ".join(f"case when {test} then '{f}' end" for f, test in null.items())
+    return " or ".join(null.values()), C.SCHEMA_MISSING_FIELD, _text("'missing fields: '", f"concat_ws(', ', {names})")
 
 
 def wrong_types(rules: C.SourceRules, schema: StructType) -> list[Rule]:
     """Prices and volume that are present but hold no number; fields typed as numbers cannot."""
-    names = [
-        f
+    tests = {
+        f: f"{_typed(f)} is null"
         for f in _numeric_fields(rules, schema)
         if f not in rules.numbers and not isinstance(schema[f].dataType, NumericType)
-    ]
-    if not names:
+    }
+    if not tests:
         return []
-    condition = F.lit(False)
-    for name in names:
-        condition = condition | _typed(name).isNull()
-    broken = [F.when(_typed(f).isNull(), F.concat(F.lit(f"{f}="), _shown(f))) for f in names]
-    return [(condition, C.SCHEMA_WRONG_TYPE, F.concat(F.lit("not a number: "), F.concat_ws(", ", *broken)))]
+    names = ", ".join(f"case when {test} then {_text(repr(f + '='), _shown(f))} end" for f, test in tests.items())
+    return [
+        (" or ".join(tests.values()), C.SCHEMA_WRONG_TYPE, _text("'not a number: '", f"concat_ws(', ', {names})"))
+    ]
 
 
 def range_rules(rules: C.SourceRules, schema: StructType) -> list[Rule]:
-    """Plausibility rules in the order they are reported."""
+    """Plausibility rules in the order they are reported.
+
+    NaN compares as the largest double in Spark, so it needs its own test.
+    """
     held = set(_numeric_fields(rules, schema))
-    out: list[tuple[Column, Column]] = []
-    for name in rules.prices:
-        if name in held:
-            # NaN compares as the largest double in Spark, so it needs its own test.
-            broken = (_typed(name) <= 0) | F.isnan(_typed(name))
-            out.append((broken, F.concat(F.lit(f"{name}="), _shown(name), F.lit(" is not a price above zero"))))
+    out: list[tuple[str, str]] = []
+    for f in rules.prices:
+        if f in held:
+            out.append(
+                (
+                    f"{_typed(f)} <= 0 or isnan({_typed(f)})",
+                    _text(f"'{f}='", _shown(f), "' is not a price above zero'"),
+                )
+            )
     if rules.volume in held:
-        broken = (_typed(rules.volume) < 0) | F.isnan(_typed(rules.volume))
-        out.append((broken, F.concat(F.lit(f"{rules.volume}="), _shown(rules.volume), F.lit(" is negative"))))
+        f = rules.volume
+        out.append((f"{_typed(f)} < 0 or isnan({_typed(f)})", _text(f"'{f}='", _shown(f), "' is negative'")))
     if {"high", "low"} <= held:
         out.append(
             (
-                _typed("high") < _typed("low"),
-                F.concat(F.lit("high="), _shown("high"), F.lit(" is below low="), _shown("low")),
+                f"{_typed('high')} < {_typed('low')}",
+                _text("'high='", _shown("high"), "' is below low='", _shown("low")),
             )
         )
     if rules.max_move_pct is not None:
-        move = F.abs(F.try_divide(_typed("close") - _typed("open"), _typed("open"))) * 100
+        opened, closed = _typed("open"), _typed("close")
         out.append(
             (
-                (_typed("open") > 0) & (move > rules.max_move_pct),
-                F.concat(
-                    F.lit("open="), _shown("open"), F.lit(" to close="), _shown("close"),
-                    F.lit(f" moves more than {rules.max_move_pct:g}% in one bar"),
+                f"{opened} > 0 and abs(try_divide({closed} - {opened}, {opened})) * 100 > {rules.max_move_pct}D",
+                _text(
+                    "'open='", _shown("open"), "' to close='", _shown("close"),
+                    f"' moves more than {rules.max_move_pct:g}% in one bar'",
                 ),
             )
         )
-    for name in rules.texts:
-        if name in schema.fieldNames():
-            out.append((F.col(name).rlike(BLANK), F.lit(f"{name} is blank")))
-    for name in rules.numbers:
-        if name in held:
-            broken = F.col(name).isNotNull() & _typed(name).isNull()
-            out.append((broken, F.concat(F.lit(f"{name}="), _shown(name), F.lit(" is not numeric"))))
+    for f in rules.texts:
+        if f in schema.fieldNames():
+            out.append((f"`{f}` rlike r'{BLANK}'", f"'{f} is blank'"))
+    for f in rules.numbers:
+        if f in held:
+            out.append(
+                (f"`{f}` is not null and {_typed(f)} is null", _text(f"'{f}='", _shown(f), "' is not numeric'"))
+            )
     return [(condition, C.RANGE_VIOLATION, detail) for condition, detail in out]
 
 
-def freshness_rules(rules: C.SourceRules, schema: StructType, as_of: datetime | Column) -> list[Rule]:
+def freshness_rules(rules: C.SourceRules, schema: StructType) -> list[Rule]:
     """Unreadable, too old, too far ahead; both limits themselves still pass."""
-    if rules.time_field not in schema.fieldNames():
+    f = rules.time_field
+    if f not in schema.fieldNames():
         return []
-    at, now = _typed(rules.time_field), as_time(as_of)
-    shown = F.concat(F.lit(f"{rules.time_field}="), F.col(rules.time_field).cast("string"))
     limits = [
-        (at.isNull(), " is not a readable time"),
-        (at < now - span(rules.max_age), f" is older than {describe_span(rules.max_age)}"),
-        (at > now + span(rules.max_ahead), f" is more than {describe_span(rules.max_ahead)} in the future"),
+        (f"{_typed(f)} is null", " is not a readable time"),
+        (f"{_typed(f)} < _oldest", f" is older than {describe_span(rules.max_age)}"),
+        (f"{_typed(f)} > _newest", f" is more than {describe_span(rules.max_ahead)} in the future"),
     ]
-    return [(condition, C.STALE, F.concat(shown, F.lit(text))) for condition, text in limits]
+    return [(condition, C.STALE, _text(f"'{f}='", _shown(f), f"'{text}'")) for condition, text in limits]
 
 
 def with_failure(df: DataFrame, rules: C.SourceRules, as_of: datetime | Column) -> DataFrame:
@@ -171,17 +179,16 @@ def with_failure(df: DataFrame, rules: C.SourceRules, as_of: datetime | Column)
         missing_fields(rules, schema),
         *wrong_types(rules, schema),
         *range_rules(rules, schema),
-        *freshness_rules(rules, schema, as_of),
+        *freshness_rules(rules, schema),
     ]
-    broken = F.when(chain[0][0], 1)
-    for position, (condition, _, _) in enumerate(chain[1:], start=2):
-        broken = broken.when(condition, position)
+    cases = " ".join(f"when {condition} then {i}" for i, (condition, _, _) in enumerate(chain, start=1))
     # Exploding the one number makes it a column of its own: a later filter on the code
     # tests that column instead of repeating the whole CASE.
-    numbered = _read(df, rules).select("*", F.explode(F.array(broken)).alias("_rule"))
-    return numbered.withColumns(
-        {
-            "failure_code": F.elt("_rule", *[F.lit(code) for _, code, _ in chain]),
-            "failure_detail": F.elt("_rule", *[detail for _, _, detail in chain]),
-        }
-    ).select(*df.columns, "failure_code", "failure_detail")
+    numbered = _read(df, rules, as_of).selectExpr("*", f"explode(array(case {cases} end)) as _rule")
+    codes = ", ".join(f"'{code}'" for _, code, _ in chain)
+    details = ", ".join(detail for _, _, detail in chain)
+    return numbered.selectExpr(
+        *[f"`{c}`" for c in df.columns],
+        f"elt(_rule, {codes}) as failure_code",
+        f"elt(_rule, {details}) as failure_detail",
+    )

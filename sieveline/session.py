@@ -17,6 +17,12 @@ SQL_SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
 }
 
+# Fixed once a session runs; worth setting on a cluster too. Plans here are built from many
+# small expressions, and recording the Python line of each costs several calls to the JVM.
+START_SETTINGS = {
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
+}
+
 
 def prepare(spark: SparkSession) -> SparkSession:
     """Pin UTC day buckets and adaptive execution on a session made elsewhere."""
@@ -36,7 +42,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.driver.memory", os.environ.get("SIEVELINE_DRIVER_MEMORY", "8g"))
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     )
-    for name, value in SQL_SETTINGS.items():
+    for name, value in (SQL_SETTINGS | START_SETTINGS).items():
         builder = builder.config(name, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
