@@ -10,7 +10,7 @@ from collections.abc import Mapping
 from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.types import DateType, StructType
+from pyspark.sql.types import DataType, DateType, IntegralType, StructType
 
 from sieveline import config as C
 from sieveline.functions import rules as R
@@ -30,7 +30,7 @@ def _key_columns(rules: C.SourceRules, raw: StructType, stored: StructType | Non
         if own_time and isinstance(kind, DateType):
             out[f"_key{i}"] = R.event_time(name, raw[name].dataType, rules.date_only).cast("date")
         else:
-            out[f"_key{i}"] = F.col(name).cast(kind)
+            out[f"_key{i}"] = F.col(name).try_cast(kind)
     return out
 
 
@@ -218,6 +218,12 @@ def summary(gated: DataFrame, source: str | Column) -> DataFrame:
     )
 
 
+def _fitted(value: Column, kind: DataType) -> Column:
+    """The value in a table's type; whole-number columns also take text such as '10.0'."""
+    fitted = value.try_cast(kind)
+    return F.coalesce(fitted, value.try_cast("double").try_cast(kind)) if isinstance(kind, IntegralType) else fitted
+
+
 def verified_rows(
     passed: DataFrame, table: StructType, renamed: Mapping[str, Column] | None = None
 ) -> DataFrame:
@@ -226,10 +232,10 @@ def verified_rows(
     columns = []
     for field in table:
         if field.name in renamed:
-            value = renamed[field.name]
+            value = _fitted(renamed[field.name], field.dataType)
         elif field.name in passed.columns:
-            value = F.col(field.name)
+            value = _fitted(F.col(field.name), field.dataType)
         else:
-            value = F.lit(None)
-        columns.append(value.cast(field.dataType).alias(field.name))
+            value = F.lit(None).cast(field.dataType)
+        columns.append(value.alias(field.name))
     return passed.select(*columns)

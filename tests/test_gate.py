@@ -195,6 +195,9 @@ def test_verified_rows_take_the_table_schema(rows):
     assert out.schema == schemas.TABLES["bronze_stocks"]
     row = out.first()
     assert row.date == date(2026, 6, 30) and row.source_file is None
+    texts = rows([("A", "2026-06-30", "1", "2", "1", "1.5", "10.0")], TEXT_BAR)
+    row = G.verified_rows(G.gate(texts, STOCKS, NOW).filter("passed"), schemas.TABLES["bronze_stocks"]).first()
+    assert (row.close, row.volume) == (1.5, 10)
 
 
 def test_one_broken_source_does_not_stop_the_rest(spark, rows):
