@@ -82,7 +82,8 @@ def parse_responses(fx: Inputs) -> DataFrame:
 @query(
     "clamp_confidence",
     """
-select doc_id, greatest(0.0::double, least(1.0::double, (doc_id % 130) / 100.0::double - 0.1::double)) as confidence
+select doc_id, round(greatest(0.0::double, least(1.0::double, (doc_id % 130) / 100.0::double - 0.1::double)), 8)
+  as confidence
 from labels""",
 )
 def clamp_confidence(fx: Inputs) -> DataFrame:
@@ -148,7 +149,7 @@ def new_anomalies(fx: Inputs) -> DataFrame:
 
 
 _OWN = """
-select ticker, article_id, title, sentiment, confidence, r as rank
+select ticker, article_id, title, sentiment, confidence, cast(r as int) as rank
 from (select *, row_number() over (partition by ticker order by confidence desc, article_id) as r
       from fx_staged_news where confidence >= 0.5) n where r <= 3"""
 
