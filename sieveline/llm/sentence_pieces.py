@@ -149,7 +149,8 @@ class PieceTable:
         if pending:
             out.append(_text_of(bytes(pending)))
         text = "".join(out)
-        return text[1:] if self.dummy_prefix and text.startswith(" ") else text
+        first = next((i for i in ids if i in raw or shown[i]), None)
+        return text[1:] if self.dummy_prefix and first is not None and self.types[first] == NORMAL and text[:1] == " " else text
 
 
 class _Known(dict):
@@ -201,7 +202,7 @@ def encode(df: DataFrame, model_file: str, text: str = "text", ids: str = "piece
             found = [table.encode(t) for t in batch.column(batch.schema.get_field_index(text)).to_pylist()]
             yield _with(batch, ids, pa.array(found, pa.list_(pa.int32())))
 
-    return df.mapInArrow(run, _schema(df, ids, "array<int>"))
+    return df.mapInArrow(run, _schema(df, ids, "ids"))
 
 
 def decode(df: DataFrame, model_file: str, ids: str = "piece_ids", text: str = "decoded") -> DataFrame:
@@ -213,7 +214,7 @@ def decode(df: DataFrame, model_file: str, ids: str = "piece_ids", text: str = "
             found = [table.decode(i or []) for i in batch.column(batch.schema.get_field_index(ids)).to_pylist()]
             yield _with(batch, text, pa.array(found, pa.string()))
 
-    return df.mapInArrow(run, _schema(df, text, "string"))
+    return df.mapInArrow(run, _schema(df, text, "text"))
 
 
 def encode_digest(df: DataFrame, model_file: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -256,7 +257,9 @@ def _make_decoder(model_file: str):
             data.decode()
         except UnicodeDecodeError:
             return table.decode([int(i) for i in ids]).encode()
-        return data[1:] if cut and data[:1] == b" " else data
+        if cut and data[:1] == b" ":
+            return data[1:] if table.types[int(ids[0])] == NORMAL else table.decode([int(i) for i in ids]).encode()
+        return data
 
     return decoded
 
@@ -265,11 +268,11 @@ _decoder = per_worker(_make_decoder)
 
 
 def _schema(df: DataFrame, name: str, kind: str):
-    from pyspark.sql.types import StructType
+    from pyspark.sql.types import ArrayType, IntegerType, StringType, StructType
 
     if name in df.columns:
         raise ValueError(f"column {name} exists already; pass another name")
-    return StructType(list(df.schema.fields)).add(name, kind)
+    return StructType(list(df.schema.fields)).add(name, StringType() if kind == "text" else ArrayType(IntegerType()))
 
 
 def _with(batch: pa.RecordBatch, name: str, column: pa.Array) -> pa.RecordBatch:
