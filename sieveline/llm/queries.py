@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
-from sieveline.llm import sentence_pieces
+from sieveline.llm import sentence_pieces, token_files
 from sieveline.llm.common import table
+from sieveline.session import scratch_dir
 
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
 WORD_MODEL = public_tokenizers.path("word_bpe_49k.json")
@@ -22,6 +23,13 @@ def query(build: Callable[[SparkSession, str], DataFrame]):
     return build
 
 
+@query
+def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_dir(spark, "token-files")
+    token_files.write(table(spark, sf_dir, "documents"), path, WORD_MODEL, end_id=1)
+    return token_files.read_digest(spark, path)
+
+
 @query
 def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentence_pieces.encode_digest(table(spark, sf_dir, "documents"), PIECE_MODEL)
