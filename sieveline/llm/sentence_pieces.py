@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from itertools import islice
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -34,7 +35,7 @@ NORMAL, UNKNOWN, CONTROL, USER_DEFINED, BYTE, UNUSED = 1, 2, 3, 4, 6, 5  # piece
 class PieceTable:
     """Encoder and decoder of one model file."""
 
-    def __init__(self, model_file: str, keep: int = 400_000, keep_length: int = 48):
+    def __init__(self, model_file: str, keep: int = 1_000_000, keep_length: int = 48):
         import ahocorasick
         from sentencepiece import sentencepiece_model_pb2 as pb
 
@@ -48,11 +49,13 @@ class PieceTable:
         pieces = model.pieces
         if any(p.type in (USER_DEFINED, UNUSED) for p in pieces):
             raise ValueError("user-defined or unused pieces are not supported")
-        self.pieces = [p.piece for p in pieces]
+        # Inside, the space mark is a plain space: texts need no replacement and stay one byte a character.
+        self.pieces = [p.piece.replace(SPACE, " ") for p in pieces]
         self.types = [p.type for p in pieces]
-        self.scores = {p.piece: p.score for p in pieces if p.type == NORMAL}
-        self.ids = {p.piece: i for i, p in enumerate(pieces) if p.type == NORMAL}
-        if any(SPACE in p.lstrip(SPACE) for p in self.scores):
+        normal = [i for i, kind in enumerate(self.types) if kind == NORMAL]
+        self.scores = {self.pieces[i]: pieces[i].score for i in normal}
+        self.ids = {self.pieces[i]: i for i in normal}
+        if any(" " in p.lstrip(" ") for p in self.scores):
             raise ValueError("a piece holds a space mark after another character")
         byte_ids = {int(p.piece[3:5], 16): i for i, p in enumerate(pieces) if p.type == BYTE}
         self.unknown = next(i for i, p in enumerate(pieces) if p.type == UNKNOWN)
@@ -60,7 +63,8 @@ class PieceTable:
         # What a piece stands for when decoded: text, or one raw byte.
         self.raw = {i: b for b, i in byte_ids.items()}
         self.shown = [
-            "" if p.type == CONTROL else " ⁇ " if p.type == UNKNOWN else p.piece.replace(SPACE, " ") for p in pieces
+            "" if kind == CONTROL else " ⁇ " if kind == UNKNOWN else piece
+            for piece, kind in zip(self.pieces, self.types, strict=True)
         ]
         self.automaton = ahocorasick.Automaton()
         self.compatible: dict[tuple[int, int], bool] = {}
@@ -70,7 +74,10 @@ class PieceTable:
         self.automaton.make_automaton()
         # Line feeds lie in no piece, so a run ends there as well.
         brk = "\n" if not any("\n" in p for p in self.scores) else ""
-        self.runs = re.compile(f"{SPACE}*[^{SPACE}{brk}]+|{SPACE}+" + (f"|{brk}+" if brk else ""))
+        self.runs = re.compile(f" *[^ {brk}]+| +" + (f"|{brk}+" if brk else ""))
+        beside = {(a, b) for p in self.scores for a, b in zip(p, p[1:], strict=False)}
+        # Marks that follow a letter in no piece: a word's ids don't depend on one at its end.
+        self.closing = {c for c in ".,;:!?)" if c in self.ids and not any(b == c and a.isalpha() for a, b in beside)}
         self.known = _Known(self, keep, keep_length)
 
     def _merge(self, text: str) -> list[str]:
@@ -98,14 +105,18 @@ class PieceTable:
         """Ids of one run by the prefix table."""
         n = len(run)
         last, size = [-1] * (n + 1), [1] * (n + 1)  # -1: no vocabulary entry ends here, the character stands alone
-        fits, fits_not_known = self.compatible, self._fits
+        known, fits = self.compatible.get, self._fits
         for end, (length, token) in self.automaton.iter(run):
-            before = end + 1 - length
-            prior = last[before] if before else -1
-            if before and prior < 0 and last[end + 1] >= 0:
-                continue
-            if prior < 0 or (fits[prior, token] if (prior, token) in fits else fits_not_known(prior, token)):
-                last[end + 1], size[end + 1] = token, length
+            end += 1
+            if last[end] < 0:  # a prefix has one last token
+                prior = last[end - length]
+                if prior >= 0:
+                    fit = known((prior, token))
+                    if fit is None:
+                        fit = fits(prior, token)
+                    if not fit:
+                        continue
+                last[end], size[end] = token, length
         ids: list[int] = []
         at = n
         while at:
@@ -120,8 +131,9 @@ class PieceTable:
         return ids
 
     def _split(self, text: str) -> list[str]:
-        text = text.replace(" ", SPACE)
-        return self.runs.findall(SPACE + text if self.dummy_prefix else text)
+        if SPACE in text:
+            text = text.replace(SPACE, " ")
+        return self.runs.findall(" " + text if self.dummy_prefix else text)
 
     def encode(self, text: str | None) -> list[int]:
         return [int(i) for i in self.encode_decimal(text).split(",") if i]
@@ -154,17 +166,22 @@ class PieceTable:
 
 
 class _Known(dict):
-    """Decimal ids by run, computed when missing; emptied when full, so memory is bounded."""
+    """Decimal ids by run, computed when missing. When full, what the last half brought stays: memory is bounded."""
 
     def __init__(self, table: PieceTable, keep: int, keep_length: int):
         super().__init__()
         self.table, self.keep, self.keep_length = table, keep, keep_length
 
     def __missing__(self, run: str) -> str:
-        ids = ",".join(map(str, self.table.encode_run(run)))
+        if len(run) > 2 and run[-1] in self.table.closing and run[-2].isalpha():
+            ids = f"{self[run[:-1]]},{self.table.ids[run[-1]]}"
+        else:
+            ids = ",".join(map(str, self.table.encode_run(run)))
         if len(run) <= self.keep_length:
             if len(self) >= self.keep:
+                late = dict(islice(self.items(), self.keep // 2, None))
                 self.clear()
+                self.update(late)
             self[run] = ids
         return ids
 
