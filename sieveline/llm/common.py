@@ -76,5 +76,16 @@ def per_worker(make: Callable) -> Callable:
     return get
 
 
+_kept: dict = {}
+
+
+def kept_for(token: str, make: Callable):
+    """``make()`` of the latest ``token``, kept by this Python worker between tasks of one job."""
+    if token not in _kept:
+        _kept.clear()
+        _kept[token] = make()
+    return _kept[token]
+
+
 def sha256_hex(data: bytes) -> str:
     return hashlib.sha256(data).hexdigest()

@@ -5,9 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from sieveline.llm import sentence_pieces, token_files
+from sieveline.llm import adaptive_scan, jaccard_join, language_mixture, sentence_pieces, token_files, toxicity
 from sieveline.llm.common import table
 from sieveline.session import scratch_dir
 
@@ -23,6 +23,15 @@ def query(build: Callable[[SparkSession, str], DataFrame]):
     return build
 
 
+def _held_out(divisor: int, rest: int) -> Column:
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % divisor == rest, F.lit(False))
+
+
+@query
+def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.join(table(spark, sf_dir, "documents"), similarity=0.9, width=3)[0]
+
+
 @query
 def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_dir(spark, "token-files")
@@ -30,6 +39,31 @@ def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_digest(spark, path)
 
 
+@query
+def op5_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").withColumn("held_out", _held_out(4, 2))
+    model = language_mixture.fit(docs.where("not held_out"))
+    return language_mixture.predict(docs, model, keep=("doc_id", "held_out"))
+
+
 @query
 def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentence_pieces.encode_digest(table(spark, sf_dir, "documents"), PIECE_MODEL)
+
+
+def toxicity_model(spark: SparkSession, sf_dir: str) -> toxicity.Model:
+    """Learned from the labelled rows that are not held out."""
+    labels = table(spark, sf_dir, "labels").where(~_held_out(3, 1) & F.col("toxic").isin(0, 1)).select("doc_id", "toxic").distinct()
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return toxicity.fit(docs.join(labels, "doc_id"))
+
+
+@query
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").withColumn("held_out", _held_out(3, 1))
+    return toxicity.predict(docs, toxicity_model(spark, sf_dir), keep=("doc_id", "held_out"))
+
+
+@query
+def op8_adaptive_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return adaptive_scan.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
