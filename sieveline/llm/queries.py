@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from sieveline.llm import adaptive_scan, jaccard_join, language_mixture, sentence_pieces, token_files, toxicity
+from sieveline.llm import adaptive_scan, jaccard_join, language_mixture, personal_data, sentence_pieces, token_files, toxicity
 from sieveline.llm.common import table
 from sieveline.session import scratch_dir
 
@@ -32,6 +32,11 @@ def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.join(table(spark, sf_dir, "documents"), similarity=0.9, width=3)[0]
 
 
+@query
+def op2_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data.digest(personal_data.extract(table(spark, sf_dir, "documents")))
+
+
 @query
 def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_dir(spark, "token-files")
