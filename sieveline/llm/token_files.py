@@ -20,7 +20,9 @@ from __future__ import annotations
 
 import struct
 import zlib
+from array import array
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -38,38 +40,67 @@ BLOCKS = "shard int, block int, first_id long, last_id long, n_docs long, n_ids
 
 
 class WordIds(dict):
-    """Ids, as bytes, of text between white space; emptied when full, so memory is bounded.
+    """Ids, as bytes, of text between white space. When full, the older half goes: memory is bounded.
 
-    The tokenizer cuts at white space first, so the pieces between plain spaces and line feeds
-    can be encoded one by one (tested against whole texts).
+    The tokenizer cuts at white space first, and letters from signs, so the pieces between plain spaces and
+    line feeds can be encoded one by one, and a word apart from the mark at its end (tested
+    against whole texts). Since it lower-cases, Latin-1 texts are lower-cased before the look-up.
     """
 
-    def __init__(self, tokenizer_file: str, keep: int = 400_000, keep_length: int = 48):
+    def __init__(self, tokenizer_file: str, keep: int = 1_200_000, keep_length: int = 48):
         from tokenizers import Tokenizer
 
         super().__init__()
         self.tokenizer = Tokenizer.from_file(tokenizer_file)
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
         self.kind = f"<u{self.width}"
         self.keep, self.keep_length = keep, keep_length
+        probe = ("Ab", "ab", "a.", "a", ".")
+        upper, lower, both, word, mark = (f.ids for f in self.tokenizer.encode_batch(list(probe), add_special_tokens=False))
+        self.lowers, self.cuts = upper == lower, both == word + mark
+
+    def _pack(self, ids: list[int]) -> bytes:
+        return array("H" if self.width == 2 else "I", ids).tobytes()  # little-endian on every platform Spark runs on
 
     def learn(self, words: list[str]) -> None:
         if len(self) + len(words) > self.keep:
+            late = dict(islice(self.items(), len(self) // 2, None))
             self.clear()
-        for at in range(0, len(words), 10_000):
-            some = words[at : at + 10_000]
-            for word, found in zip(some, self.tokenizer.encode_batch(some, add_special_tokens=False), strict=True):
-                self[word] = np.array(found.ids, self.kind).tobytes()
+            self.update(late)
+        for at in range(0, len(words), 5_000):
+            some = words[at : at + 5_000]
+            found = self.tokenizer.encode_batch_fast(some, add_special_tokens=False)
+            self.update((word, self._pack(f.ids)) for word, f in zip(some, found, strict=True))
 
     def __missing__(self, word: str) -> bytes:
-        return np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, self.kind).tobytes()
+        return self._pack(self.tokenizer.encode(word, add_special_tokens=False).ids)
+
+    def _split(self, text: str | None) -> list[str]:
+        if not text:
+            return []
+        if self.lowers and not any(map(text.__contains__, ("<|", *self.special))):
+            try:
+                text.encode("latin-1")
+                text = text.lower()
+            except UnicodeEncodeError:
+                pass
+        return text.replace("\n", " ").split(" ")
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        split = [t.replace("\n", " ").split(" ") if t else [] for t in texts]
-        new = {w for words in split for w in words if w not in self and len(w) <= self.keep_length}
+        split = [self._split(t) for t in texts]
+        found = [list(map(self.get, words)) for words in split]  # one look-up a word
+        holes = [k for k, ids in enumerate(found) if None in ids]
+        new = {w for k in holes for w, ids in zip(split[k], found[k], strict=True) if ids is None}
         if new:
-            self.learn(list(new))
-        return [b"".join(map(self.__getitem__, words)) for words in split]
+            marked = {w for w in new if self.cuts and 1 < len(w) <= self.keep_length and w[-1] in ".," and w[:-1].isalpha()}
+            plain = {w for w in new - marked if len(w) <= self.keep_length}
+            plain.update(b for w in marked for b in (w[:-1], w[-1]) if b not in self)
+            self.learn(list(plain))
+            self.update((w, self[w[:-1]] + self[w[-1]]) for w in marked)
+            for k in holes:
+                found[k] = [self[w] if ids is None else ids for w, ids in zip(split[k], found[k], strict=True)]
+        return [b"".join(ids) for ids in found]
 
 
 _words = per_worker(WordIds)
@@ -105,8 +136,8 @@ def write(
         words = _words(tokenizer_file)
         end = np.array([end_id], words.kind).tobytes()
         for batch in batches:
-            for part in range(0, batch.num_rows, 2000):
-                some = batch.slice(part, 2000)
+            for part in range(0, batch.num_rows, 500):
+                some = batch.slice(part, 500)
                 ids = [found + end for found in words.encode(some.column(1).to_pylist())]
                 key = np.asarray(some.column(0).fill_null(np.iinfo(np.int64).min), dtype=np.int64)
                 shard = np.searchsorted(bounds, key, side="left").astype(np.int32)

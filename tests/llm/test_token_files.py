@@ -35,7 +35,7 @@ def test_space_is_near_minimal():
 def test_pieces_between_spaces_equal_whole_texts():
     whole = Tokenizer.from_file(MODEL)
     own = token_files.WordIds(MODEL, keep=200)
-    texts = odd_texts() + ["It's a Dog's LIFE we'll see", "<|endoftext|> a<|startoftext|>b", "é é ̈x  　 y", "a\x1cb\x85c", None]
+    texts = odd_texts() + ["It's a Dog's LIFE we'll see", "<|endoftext|> a<|startoftext|>b", "é é ̈x  　 y", "a\x1cb\x85c", None, "<|StartOfText|> A. b, ß. 'S, it's. ÉT, É.", "J\u030c ΑΣ. x.", "ǅ, ŉ.", "l'. d'll, a've."]
     got = [np.frombuffer(b, own.kind).tolist() for b in own.encode(texts)]
     assert got == [whole.encode(t or "", add_special_tokens=False).ids for t in texts]
 
