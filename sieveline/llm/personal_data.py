@@ -13,7 +13,8 @@ distinct seeds never enter the graph; counts of cues and of values are map-side
 what is broadcast is counted first.
 
 Row rules: null text counts as empty and has no spans; every row gives one row, repeated
-rows and null ids included; other columns are not returned.
+rows and null ids included; columns that
+``keep`` does not name are not returned.
 """
 
 from __future__ import annotations
@@ -97,15 +98,15 @@ def _value(value: Column) -> Column:
     return F.lower(F.regexp_replace(value, r"[.,;:!?]+$", ""))
 
 
-def spans(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def spans(df: DataFrame, keep: tuple[str, ...] = ("doc_id",), text_col: str = "text") -> DataFrame:
     """Base spans of each text, and its tokens with a digit that might be identifiers.
 
-    Columns: row (a number unique to each row), <id_col>, one array per kind, tokens.
+    Columns: row (a number unique to each row), those of ``keep``, one array per kind, tokens.
     """
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     found = base_spans(F.col("_text"))
-    cut = df.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias(id_col), text.alias("_text"))
-    cut = cut.select("row", id_col, *[c.alias(k) for k, c in found.items()], find_all(F.col("_text"), VALUE).alias("tokens"))
+    cut = df.select(F.monotonically_increasing_id().alias("row"), *keep, text.alias("_text"))
+    cut = cut.select("row", *keep, *[c.alias(k) for k, c in found.items()], find_all(F.col("_text"), VALUE).alias("tokens"))
     shaped = [
         F.transform(F.col(k), lambda m: F.struct(m["s"].alias("s"), m["e"].alias("e"), _value(m["v"]).alias("v"), _cue(m["gap"]).alias("cue"))).alias(k)
         for k in KINDS
@@ -123,7 +124,7 @@ def spans(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Data
     )
     free = F.filter(trimmed, lambda t: t["cue"].isNotNull() & ~F.exists(F.col("_base"), lambda b: (b["s"] < t["e"]) & (t["s"] < b["e"])))
     return (
-        cut.withColumn("_base", base).withColumn("_free", free).select("row", id_col, *shaped, F.col("_free").alias("tokens"))
+        cut.withColumn("_base", base).withColumn("_free", free).select("row", *keep, *shaped, F.col("_free").alias("tokens"))
     )
 
 
@@ -175,10 +176,10 @@ def learn_cues(
 
 
 def extract(
-    df: DataFrame, id_col: str = "doc_id", text_col: str = "text", support: int = 5, confidence: float = 0.8, rounds: int = 3
+    df: DataFrame, keep: tuple[str, ...] = ("doc_id",), text_col: str = "text", support: int = 5, confidence: float = 0.8, rounds: int = 3
 ) -> DataFrame:
-    """One row per input row: row, <id_col>, and an array of spans (kind, s, e) in the order of kinds, then start."""
-    found = stored(spans(df, id_col, text_col), "spans")
+    """One row per input row: row, the ``keep`` columns, and an array of spans (kind, s, e) in the order of kinds, then start."""
+    found = stored(spans(df, keep, text_col), "spans")
     cues = stored(learn_cues(df, found, text_col, support, confidence, rounds).select("cue"), "good-cues")
     more = (
         found.where(F.size("tokens") > 0)
@@ -190,7 +191,7 @@ def extract(
     )
     extra = F.coalesce("more", F.array().cast("array<struct<s:int,e:int>>"))
     flat = [_kinded(F.col(k), k) for k in KINDS] + [_kinded(extra, FOUND)]
-    return found.join(more, "row", "left").select("row", id_col, F.concat(*flat).alias("spans"))
+    return found.join(more, "row", "left").select("row", *keep, F.concat(*flat).alias("spans"))
 
 
 def _kinded(found: Column, kind: str) -> Column:

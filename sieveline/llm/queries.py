@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from sieveline.llm import adaptive_scan, jaccard_join, language_mixture, personal_data, sentence_pieces, token_files, toxicity
+from sieveline.llm import adaptive_scan, decontaminate, jaccard_join, language_mixture, personal_data, sentence_pieces, token_files, toxicity
 from sieveline.llm.common import table
 from sieveline.session import scratch_dir
 
@@ -58,9 +58,8 @@ def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def toxicity_model(spark: SparkSession, sf_dir: str) -> toxicity.Model:
     """Learned from the labelled rows that are not held out."""
-    labels = table(spark, sf_dir, "labels").where(~_held_out(3, 1) & F.col("toxic").isin(0, 1)).select("doc_id", "toxic").distinct()
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return toxicity.fit(docs.join(labels, "doc_id"))
+    labels = table(spark, sf_dir, "labels").where(~_held_out(3, 1))
+    return toxicity.fit(table(spark, sf_dir, "documents"), labels)
 
 
 @query
@@ -72,3 +71,18 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op8_adaptive_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return adaptive_scan.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
+@query
+def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+ORACLES["op10_decontaminate"] = decontaminate.oracle()
+
+
+@query
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline  # it takes its models from this module
+
+    return corpus_pipeline.run(spark, sf_dir)

@@ -20,6 +20,7 @@ weight per character triple, and a word's margin is computed once and kept.
 
 from __future__ import annotations
 
+import hashlib
 import re
 import uuid
 from collections.abc import Iterator
@@ -227,7 +228,8 @@ def _curve(model: Model, margin: np.ndarray, y: np.ndarray) -> None:
 
 
 def fit(
-    df: DataFrame,
+    docs: DataFrame,
+    labels: DataFrame,
     text: str = "text",
     label: str = "toxic",
     key: str = "doc_id",
@@ -237,18 +239,19 @@ def fit(
     cost: float = 4.0,
     evidence: float = 15.0,
 ) -> Model:
-    """A model from labelled rows (label 1 or 0; other labels and null texts teach nothing).
+    """A model from texts and their labels (1 or 0; other labels, null keys and null texts teach nothing).
 
-    At most ``per_class`` rows of each label, those with the smallest hash of ``key``, and of
+    At most ``per_class`` labels of each kind, those with the smallest hash of ``key``, and of
     each class's words the ``words_per_class`` found in most sentences, are learned from;
-    these bounds alone limit what the driver sees. Without rows of both labels every score is the rate of label 1.
+    these bounds alone limit what the driver sees. The sample is chosen among the labels, so only
+    its texts are moved. Without rows of both labels every score is the rate of label 1.
     """
-    rows = df.select(F.xxhash64(key).alias("h"), F.col(key).cast("string").alias("key"), F.col(text).alias("text"), F.col(label).cast("int").alias("y"))
-    rows = rows.where("text is not null and y in (0, 1)")
-    sample = stored(
-        rows.where("y = 1").orderBy("h", "key", "text").limit(per_class).union(rows.where("y = 0").orderBy("h", "key", "text").limit(per_class)),
-        "toxicity-sample",
-    ).select("text", "y")
+    known = labels.select(F.col(key).alias("key"), F.col(label).cast("int").alias("y")).where("key is not null and y in (0, 1)").distinct()
+    known = known.withColumn("h", F.xxhash64("key"))
+    chosen = [known.where(f"y = {y}").orderBy("h", "key").limit(per_class).select("key", "y") for y in (1, 0)]
+    chosen = stored(chosen[0].union(chosen[1]), "toxicity-labels")
+    rows = docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text")).where("text is not null")
+    sample = stored(rows.join(F.broadcast(chosen), "key").select("text", "y"), "toxicity-sample")  # 2 * per_class keys at most
     counts = {r.y: r["count"] for r in sample.groupBy("y").count().collect()}
     n1, n0 = counts.get(1, 0), counts.get(0, 0)
     rate = (n1 + 1) / (n1 + n0 + 2)
@@ -258,17 +261,16 @@ def fit(
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ys, sentence, words = [], [], []
             for t, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                prints, words = [], []
                 for s in sentences(t):
                     found = sorted({p for w in strings_of(s) for p in _windows(w) if len(p) >= 3})
-                    ys += [y] * len(found)
-                    sentence += [s] * len(found)
+                    prints += [int.from_bytes(hashlib.blake2b(s.encode(), digest_size=8).digest(), "little", signed=True)] * len(found)
                     words += found
-            yield pa.RecordBatch.from_arrays([pa.array(ys, pa.int32()), pa.array(sentence, pa.string()), pa.array(words, pa.string())], names=["y", "sentence", "word"])
+                yield pa.RecordBatch.from_arrays([pa.array([y] * len(words), pa.int32()), pa.array(prints, pa.int64()), pa.array(words, pa.string())], names=["y", "s", "word"])
 
     # Copies of a sentence count once: a passage that many toxic rows share is not evidence by itself.
-    parts = sample.mapInArrow(split, "y int, sentence string, word string").select("y", F.xxhash64("sentence").alias("s"), "word").distinct()
+    parts = sample.mapInArrow(split, "y int, s long, word string").distinct()
     parts = stored(parts, "toxicity-words")
     seen = parts.groupBy("word").agg(F.sum("y").alias("bad"), F.sum(1 - F.col("y")).alias("good"))
     # Evidence: log likelihood ratio of the word's rate of toxic sentences against the rate of all sentences.

@@ -24,7 +24,8 @@ def made(n=900, seed=1):
 
 @pytest.fixture(scope="module")
 def model(spark):
-    return tx.fit(spark.createDataFrame(made(), "doc_id long, text string, toxic int"))
+    df = spark.createDataFrame(made(), "doc_id long, text string, toxic int")
+    return tx.fit(df.drop("toxic"), df.drop("text"))
 
 
 def brute_kernel(a, b):
@@ -73,7 +74,8 @@ def test_disguises_and_clean_texts(spark, rows, model):
 
 def test_nothing_to_learn_from(spark, rows):
     for data in ([], [(1, "a text", 1)], [(1, "a text", None), (2, None, 0)], [(1, "a text here", 0), (2, "a text here", 1)]):
-        model = tx.fit(rows(data, "doc_id long, text string, toxic int"))
+        df = rows(data, "doc_id long, text string, toxic int")
+        model = tx.fit(df.drop("toxic"), df.drop("text"))
         got = tx.predict(rows([(1, "a text"), (2, "words")], "doc_id long, text string"), model).collect()
         assert len({r.score for r in got}) == 1
     assert tx.predict(rows([], "doc_id long, text string"), model).count() == 0
