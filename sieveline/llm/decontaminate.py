@@ -77,7 +77,9 @@ def find(
     if not bounds:
         return docs.select(F.col("doc").alias(doc_id), F.lit(None).cast(items.schema["item"].dataType).alias(item_id), F.lit(0).alias("n_shared"), F.lit(0).alias("n_shingles")).where("false")
     bound = F.lit(max(b.bound for b in bounds))
-    sketch = docs.select("doc", F.xxhash64("text").alias("k"), hashes(words(F.col("text")), width).alias("all"))
+    # The words are a column of their own: inside the lambda an expression would be evaluated for each shingle.
+    split = docs.select("doc", F.xxhash64("text").alias("k"), words(F.col("text")).alias("words"))
+    sketch = split.select("doc", "k", hashes(F.col("words"), width).alias("all"))
     met = sketch.select("doc", "k", F.explode(F.filter("all", lambda h: h <= bound)).alias("h"))
     candidates = stored(met.join(_few(low.select("h", "item").distinct()), "h").select("doc", "k", "item").distinct(), "candidates")
 
