@@ -29,7 +29,7 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from sieveline.llm.common import in_chunks, stored
 from sieveline.llm.components import components
@@ -37,6 +37,7 @@ from sieveline.llm.shingles import U, distinct_by_text, mix, shingle_hashes
 
 SMALL_SIDE = 1_000_000  # ids that may be broadcast; beyond, a shuffled join
 CHANCE = 0.1  # cost model: chance that a shingle of one set lies in an unrelated set
+WORD_BYTES = 6  # cost model: bytes of a word and its blank
 PAIR_COST = 50.0  # cost model: verifying a pair against writing an index row
 
 
@@ -132,7 +133,7 @@ def _indexed(docs: DataFrame, width: int, bands: Bands, ones: np.ndarray) -> Dat
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in in_chunks(batch, "text"):
+            for part in in_chunks(batch, "text", 1 << 20):
                 hashes, starts = distinct_by_text(*shingle_hashes(part.column(1), width))
                 entries, at = signatures(hashes, starts, bands, ones)
                 prints = np.zeros((2, part.num_rows), U)
@@ -156,7 +157,7 @@ def _indexed(docs: DataFrame, width: int, bands: Bands, ones: np.ndarray) -> Dat
 def _sets(docs: DataFrame, width: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in in_chunks(batch, "text"):
+            for part in in_chunks(batch, "text", 1 << 20):
                 hashes, starts = distinct_by_text(*shingle_hashes(part.column(1), width))
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), pa.ListArray.from_arrays(pa.array(starts.astype(np.int32)), pa.array(hashes.view(np.int64)))],
@@ -166,11 +167,6 @@ def _sets(docs: DataFrame, width: int) -> DataFrame:
     return docs.mapInArrow(run, "id long, shingles array<long>")
 
 
-def _words(text: Column) -> Column:
-    """An upper bound of the number of words: separators plus one."""
-    return F.length(text) - F.length(F.translate(text, " \t\n\x0b\x0c\r", "")) + 1
-
-
 def _few(df: DataFrame) -> DataFrame:
     """Marks a side for broadcast when it is small; a larger one is left to a shuffled join."""
     return F.broadcast(df) if df.limit(SMALL_SIDE + 1).count() <= SMALL_SIDE else df
@@ -202,14 +198,14 @@ def join(
     """
     ratio = _ratio(similarity)
     docs = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    sizes = docs.select(F.greatest(F.coalesce(_words(F.col("text")), F.lit(1)) - width + 1, F.lit(1)).alias("n"))
-    largest = sizes.agg(F.max("n")).first()[0] or 1
-    bands = Bands(ratio, largest)
-    ups = F.array(*[F.lit(int(u)) for u in bands.ups])
-    counted = sizes.groupBy(F.size(F.filter(ups, lambda u: u < F.col("n"))).alias("band")).count().collect()
+    # Sets by size, estimated from the length of all texts; a text of b bytes has (b + 1) / 2 words at most.
+    size = F.octet_length("text")
+    step = F.floor(F.log(F.greatest(size / WORD_BYTES, F.lit(1.0))) * 20).alias("step")
+    counted = docs.where("text is not null").groupBy(step).agg(F.count("*").alias("n"), F.max(size).alias("most")).collect()
+    bands = Bands(ratio, max((r.most for r in counted), default=1) // 2 + 1)
     per_band = np.zeros(len(bands.ups))
-    for band, n in counted:
-        per_band[band] = n
+    for r in counted:
+        per_band[bands.of(np.exp(r.step / 20))] += r.n
     ones = allocate(bands, per_band)
 
     index = stored(_indexed(docs, width, bands, ones), "jaccard-index")

@@ -42,7 +42,7 @@ def near_copies(seed, n):
     for _ in range(n):
         if data and pick.random() < 0.7:
             text = pick.choice(data)[1].split()
-            for _ in range(pick.choice([0, 1, 1, 2, 5])):
+            for _ in range(pick.choice([0, 1, 1, 2, 5]) if len(text) > 9 else 0):
                 at = pick.randrange(len(text))
                 text[at : at + 1] = pick.choice([[], [pick.choice(words)], [text[at].upper(), pick.choice(words)]])
             text = " ".join(text) or "w1"
