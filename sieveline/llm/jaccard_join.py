@@ -14,8 +14,13 @@ over the whole input: such segments are twice as large, so chance meetings are r
 orders of magnitude, and cost one row per shingle. A set enters its own band's scheme and the
 next one, since its partners may be a band larger.
 
-Sets that meet are candidates. Copies are first reduced to one representative. In each
-bucket candidates are paired with the bucket's smallest id only and verified on the whole
+A segment in which a set has nothing would meet every other such set. A scheme therefore has a few segments
+more than the bound asks for: a set whose empty segments are no more than that need not index them, since
+similar sets then still agree in one that is not empty; only sets with more of them index them.
+
+Sets that meet are candidates. Entries carry the set's fingerprint, so copies count as one. They are moved
+packed, partitioned by entry, and a partition keeps those that two sets share. In each
+bucket candidates are paired with the bucket's first set only and verified on the whole
 sets; links give components. Buckets whose members are then still in different components
 get all their cross-component pairs verified, so no link that could join two components
 is missed, while a bucket of mutually similar sets costs one pair per member.
@@ -36,7 +41,7 @@ from sieveline.llm.components import components
 from sieveline.llm.shingles import U, distinct_by_text, mix, shingle_hashes
 
 SMALL_SIDE = 1_000_000  # ids that may be broadcast; beyond, a shuffled join
-CHANCE = 0.1  # cost model: chance that a shingle of one set lies in an unrelated set
+CHANCE = 0.01  # cost model: chance that a shingle of one set lies in an unrelated set
 WORD_BYTES = 6  # cost model: bytes of a word and its blank
 PAIR_COST = 50.0  # cost model: verifying a pair against writing an index row
 
@@ -60,6 +65,19 @@ class Bands:
         self.lows, self.ups = np.array(lows), np.array(ups)
         share = (1 - similarity) / (1 + similarity)
         self.differences = np.array([int(2 * u * share) for u in ups])
+        self.spare = np.array([self._spare(float(similarity) * low, h + 1) for low, h in zip(lows, self.differences, strict=True)])
+
+    @staticmethod
+    def _spare(size: float, least: int) -> int:
+        """Segments beyond the bound: so many are empty in hardly any set of ``size`` shingles or more."""
+        spare = 0
+        for _ in range(20):
+            empty = (least + spare) * np.exp(-size / (least + spare))
+            wanted = min(int(empty + 4 * empty**0.5), least)
+            if wanted <= spare:
+                break
+            spare = wanted
+        return spare
 
     def of(self, sizes: np.ndarray) -> np.ndarray:
         return np.searchsorted(self.ups, sizes, side="left")
@@ -77,7 +95,7 @@ def allocate(bands: Bands, sets: np.ndarray) -> np.ndarray:
         size = float(bands.lows[k] + bands.ups[k]) / 2
         best = None
         for a in sorted({round(x) for x in np.linspace(0, (h + 1) // 2, 9)}):
-            b = h + 1 - 2 * a
+            b = h + 1 + bands.spare[k] - 2 * a
             s = size / (a + b)
             rows = members * (a + b + s * a)
             meet = b * CHANCE**s + a * (1 + s) * CHANCE ** max(s - 1, 0)
@@ -101,7 +119,7 @@ def signatures(hashes: np.ndarray, starts: np.ndarray, bands: Bands, ones: np.nd
     mixed = mix(hashes ^ U(0xA5A5A5A5DEADBEEF))
     for scheme in (own, own + 1):
         a = ones[scheme]
-        m = bands.differences[scheme] + 1 - a
+        m = bands.differences[scheme] + 1 + bands.spare[scheme] - a
         m = np.where(sizes > 0, m, 0)
         base = np.concatenate([[0], np.cumsum(m)])
         sums = np.zeros(base[-1], U)
@@ -109,8 +127,13 @@ def signatures(hashes: np.ndarray, starts: np.ndarray, bands: Bands, ones: np.nd
         np.add.at(sums, base[owner] + segment, mixed)
         number = np.arange(base[-1]) - np.repeat(base[:-1], m)
         salt = mix(np.repeat(scheme, m).astype(U) * U(1 << 32) + number.astype(U))
-        entries.append(mix(sums ^ salt))
-        owners.append(np.repeat(np.arange(len(sizes)), m))
+        of = np.repeat(np.arange(len(sizes)), m)
+        held = np.bincount(base[owner] + segment, minlength=len(sums)) > 0
+        plain_empty = ~held & (number >= a[of])
+        many = np.bincount(of[plain_empty], minlength=len(sizes)) > bands.spare[scheme]
+        keep = ~plain_empty | many[of]
+        entries.append(mix(sums ^ salt)[keep])
+        owners.append(of[keep])
         bears = segment < a[owner]
         if bears.any():
             at = (base[owner] + segment)[bears]
@@ -128,30 +151,104 @@ def _ratio(similarity: float) -> Fraction:
     return Fraction(similarity).limit_denominator(10_000)
 
 
-def _indexed(docs: DataFrame, width: int, bands: Bands, ones: np.ndarray) -> DataFrame:
-    """id, set size, fingerprint (two numbers) and index entries of each text."""
+def _packed(docs: DataFrame, width: int, bands: Bands, ones: np.ndarray, parts: int) -> DataFrame:
+    """Index entries with fingerprints, packed by partition; with part -1 (id, n, f1, f2) of each text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+        texts: list[pa.RecordBatch] = []
+
+        def flush() -> pa.RecordBatch:
+            entry, of = (np.concatenate(c) for c in zip(*held, strict=True))
+            order = np.argsort(entry)
+            entry, of = entry[order], of[order]
+            # Sets that this task holds twice (copies) need one entry.
+            fresh = np.ones(len(entry), bool)
+            fresh[1:] = (entry[1:] != entry[:-1]) | (of[1:] != of[:-1])
+            entry, of = entry[fresh], of[fresh]
+            part = (entry >> U(32)) * U(parts) >> U(32)
+            cuts = np.concatenate([[0], np.flatnonzero(part[1:] != part[:-1]) + 1, [len(entry)]]) if len(entry) else np.array([0])
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, texts[0].schema) as writer:
+                for t in texts:
+                    writer.write_batch(t)
+            number = [int(texts_part())] + [int(part[c]) for c in cuts[:-1]]
+            data = [sink.getvalue().to_pybytes()] + [entry[c:d].tobytes() + of[c:d].tobytes() for c, d in zip(cuts[:-1], cuts[1:], strict=True)]
+            kind = [True] + [False] * (len(data) - 1)
+            held.clear()
+            texts.clear()
+            return pa.RecordBatch.from_arrays([pa.array(number, pa.int32()), pa.array(kind), pa.array(data, pa.binary())], names=["part", "texts", "data"])
+
+        turn = iter(range(1 << 62))
+
+        def texts_part() -> int:
+            return next(turn) % parts  # any partition will do
+
+        count = 0
         for batch in batches:
-            for part in in_chunks(batch, "text", 1 << 20):
-                hashes, starts = distinct_by_text(*shingle_hashes(part.column(1), width))
+            for some in in_chunks(batch, "text", 1 << 20):
+                hashes, starts = distinct_by_text(*shingle_hashes(some.column(1), width))
                 entries, at = signatures(hashes, starts, bands, ones)
-                prints = np.zeros((2, part.num_rows), U)
-                owner = np.repeat(np.arange(part.num_rows), np.diff(starts))
+                prints = np.zeros((2, some.num_rows), U)
+                owner = np.repeat(np.arange(some.num_rows), np.diff(starts))
                 for k in range(2):
                     np.add.at(prints[k], owner, mix(hashes + U(0x51ED270B7F4A7C15 * (k + 1) & (2**64 - 1))))
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        part.column(0),
-                        pa.array(np.diff(starts)),
-                        pa.array(prints[0].view(np.int64)),
-                        pa.array(prints[1].view(np.int64)),
-                        pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(entries.view(np.int64))),
-                    ],
-                    names=["id", "n", "f1", "f2", "entries"],
-                )
+                named = ~np.asarray(some.column(0).is_null())
+                of = np.repeat(np.arange(some.num_rows), np.diff(at))
+                held.append((entries[named[of]], prints[0][of][named[of]]))
+                columns = [some.column(0), pa.array(np.diff(starts)), pa.array(prints[0].view(np.int64)), pa.array(prints[1].view(np.int64))]
+                texts.append(pa.RecordBatch.from_arrays(columns, names=["id", "n", "f1", "f2"]))
+                count += len(entries)
+                if count >= 500_000:
+                    yield flush()
+                    count = 0
+        if held:
+            yield flush()
 
-    return docs.mapInArrow(run, "id long, n long, f1 long, f2 long, entries array<long>")
+    return docs.mapInArrow(run, "part int, texts boolean, data binary")
+
+
+def _buckets(packed: DataFrame, parts: int) -> DataFrame:
+    """Per partition: (id, n, f1, f2) of texts, and (entry, centre, f1) of the entries that several sets share."""
+    schema = "id long, n long, f1 long, f2 long, entry long, centre long"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        blobs: list[tuple[np.ndarray, np.ndarray]] = []
+        for batch in batches:
+            for texts, data in zip(batch.column(1).to_pylist(), batch.column(2), strict=True):
+                if texts:
+                    for t in pa.ipc.open_stream(data.as_buffer()):
+                        none = pa.nulls(t.num_rows, pa.int64())
+                        yield pa.RecordBatch.from_arrays([*t.columns, none, none], names=["id", "n", "f1", "f2", "entry", "centre"])
+                    continue
+                both = np.frombuffer(data.as_buffer(), U)
+                blobs.append((both[: len(both) // 2].copy(), both[len(both) // 2 :].copy()))
+        if not blobs:
+            return
+        entry, of = (np.concatenate(c) for c in zip(*blobs, strict=True))
+        blobs.clear()
+        order = np.argsort(entry)
+        entry, of = entry[order], of[order]
+        same = entry[1:] == entry[:-1]
+        several = np.concatenate([[False], same]) | np.concatenate([same, [False]])
+        entry, of = entry[several], of[several].view(np.int64)
+        order = np.lexsort((of, entry))
+        entry, of = entry[order], of[order]
+        fresh = np.ones(len(entry), bool)
+        fresh[1:] = (entry[1:] != entry[:-1]) | (of[1:] != of[:-1])
+        entry, of = entry[fresh], of[fresh]
+        if not len(entry):
+            return
+        starts = np.flatnonzero(np.concatenate([[True], entry[1:] != entry[:-1]]))
+        size = np.diff(np.append(starts, len(entry)))
+        centre, size = np.repeat(of[starts], size), np.repeat(size, size)
+        entry, of, centre = entry[size > 1].view(np.int64), of[size > 1], centre[size > 1]
+        for a in range(0, len(entry), 200_000):
+            some = slice(a, a + 200_000)
+            none = pa.nulls(len(entry[some]), pa.int64())
+            yield pa.RecordBatch.from_arrays([none, none, pa.array(of[some]), none, pa.array(entry[some]), pa.array(centre[some])], names=["id", "n", "f1", "f2", "entry", "centre"])
+
+    return packed.repartitionById(parts, F.col("part")).mapInArrow(run, schema)
 
 
 def _sets(docs: DataFrame, width: int) -> DataFrame:
@@ -208,36 +305,44 @@ def join(
         per_band[bands.of(np.exp(r.step / 20))] += r.n
     ones = allocate(bands, per_band)
 
-    index = stored(_indexed(docs, width, bands, ones), "jaccard-index")
+    # Some 0.2 to 0.6 entries a shingle; a partition holds a few million.
+    total = sum(r.n * np.exp(r.step / 20) for r in counted)
+    parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), round(total / 4_000_000))
+    met = stored(_buckets(_packed(docs, width, bands, ones, parts), parts), "jaccard-buckets")
+    index, buckets = met.where("entry is null").drop("entry", "centre"), met.where("entry is not null")
     named = index.where("id is not null and n > 0")
     key = ["f1", "f2", "n"]
-    set_ids = named.groupBy(*key).agg(F.min("id").alias("set_id"))
-    of_id = stored(named.select("id", *key).distinct().join(set_ids, key).select("id", "set_id", "n"), "jaccard-sets")
-
-    # Buckets: entries that at least two sets share. One shuffle serves the count and the look-up.
-    entries = named.join(_few(of_id.where("id = set_id").select("id")), "id", "left_semi").select(F.explode("entries").alias("entry"), "id", "n").repartition("entry")
-    shared = entries.groupBy("entry").agg(F.min("id").alias("centre"), F.max("id").alias("last")).where("centre < last")
-    buckets = stored(entries.join(shared.drop("last"), "entry"), "jaccard-buckets")
-    sized = buckets.where("id != centre").select(F.col("centre").alias("a"), F.col("id").alias("b")).distinct()
-    pairs = stored(sized, "jaccard-pairs")
+    set_ids = stored(named.groupBy(*key).agg(F.min("id").alias("set_id")), "jaccard-sets")
+
+    # Stars: every member of a bucket with its centre. One fingerprint half may name several sets; all are verified.
+    of_print = set_ids.select("f1", "set_id", "n")
+    stars = buckets.where("f1 != centre").select("centre", "f1").distinct()
+    left = of_print.select(F.col("f1").alias("centre"), F.col("set_id").alias("x"), F.col("n").alias("nx"))
+    stars = stars.join(left, "centre").join(of_print, "f1")
+    twins = of_print.select("f1", F.col("set_id").alias("x"), F.col("n").alias("nx")).join(of_print, "f1")  # equal halves
+    close = f"least(n, nx) * {ratio.denominator} >= greatest(n, nx) * {ratio.numerator} and x != set_id"
+    both = stars.select("x", "set_id", "n", "nx").union(twins.where("x < set_id").select("x", "set_id", "n", "nx")).where(close)
+    pairs = stored(both.select(F.least("x", "set_id").alias("a"), F.greatest("x", "set_id").alias("b")).distinct(), "jaccard-pairs")
     links = stored(_verified(pairs, docs, width, ratio), "jaccard-links")
     labels = stored(components(links), "jaccard-components")
 
     # What the stars leave open: members of a bucket in different components, within the size ratio.
-    label = F.coalesce("component", "id")
-    members = buckets.join(labels, buckets.id == labels.node, "left").select("entry", "id", "n", label.alias("component"))
+    sets = of_print.join(labels, of_print.set_id == labels.node, "left")
+    sets = sets.select("f1", "set_id", "n", F.coalesce("component", "set_id").alias("component"))
+    members = buckets.select("entry", "f1").join(sets, "f1")
     open_ = members.groupBy("entry").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("entry")
     left = stored(members.join(open_, "entry", "left_semi"), "jaccard-open")
     x, y = left.alias("x"), left.alias("y")
     rest = (
-        x.join(y, F.expr("x.entry = y.entry and x.id < y.id and x.component != y.component"))
+        x.join(y, F.expr("x.entry = y.entry and x.set_id < y.set_id and x.component != y.component"))
         .where(F.expr(f"least(x.n, y.n) * {ratio.denominator} >= greatest(x.n, y.n) * {ratio.numerator}"))
-        .select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
+        .select(F.col("x.set_id").alias("a"), F.col("y.set_id").alias("b"))
         .distinct()
     )
     rest = stored(rest.join(pairs, ["a", "b"], "left_anti"), "jaccard-rest")
     links = links.union(_verified(rest, docs, width, ratio))
 
+    of_id = named.select("id", *key).distinct().join(set_ids, key).select("id", "set_id")
     # Rows that share an id tie their sets together.
     twice = of_id.groupBy("id").agg(F.min("set_id").alias("lo"), F.max("set_id").alias("hi")).where("lo < hi").select("id", "lo")
     ties = of_id.join(twice, "id").select(F.col("lo").alias("a"), F.col("set_id").alias("b"))
