@@ -87,12 +87,39 @@ def recent_matching(
     )
 
 
-_ENTITIES = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&nbsp;": " ", "&amp;": "&"}
+# Named character references of running text; the ampersand comes last.
+_ENTITIES = {
+    "&lt;": "<", "&gt;": ">", "&quot;": '"', "&apos;": "'", "&nbsp;": "\u00a0", "&ndash;": "\u2013", "&mdash;": "\u2014",
+    "&lsquo;": "\u2018", "&rsquo;": "\u2019", "&ldquo;": "\u201c", "&rdquo;": "\u201d", "&hellip;": "\u2026",
+    "&euro;": "\u20ac", "&pound;": "\u00a3", "&copy;": "\u00a9", "&reg;": "\u00ae", "&amp;": "&",
+}
+# The attribute itself: after white space or another value, quoted either way or bare.
+HREF = r"""(?is)^<a(?=[\s])[^>]*?(?<=[\s"'])href\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+))"""
+
+
+def _present(value: Column) -> Column:
+    return F.when(value != "", value)
+
+
+def _numbered(text: Column) -> Column:
+    """Numeric character references, decimal and hexadecimal, of the basic plane; others stay as they are."""
+
+    def shown(piece: Column, at: Column) -> Column:
+        decimal = F.regexp_extract(piece, r"^(\d{1,5});", 1)
+        hexed = F.regexp_extract(piece, r"^[xX]([0-9A-Fa-f]{1,4});", 1)
+        code = F.when(decimal != "", decimal.try_cast("int")).when(hexed != "", F.conv(hexed, 16, 10).cast("int"))
+        good = code.between(1, 0xD7FF) | code.between(0xE000, 0xFFFF)
+        character = F.decode(F.unhex(F.lpad(F.hex(code), 4, "0")), "UTF-16BE")
+        rest = F.regexp_replace(piece, r"^[^;]*;", "")
+        return F.when(at == 0, piece).when(good, F.concat(character, rest)).otherwise(F.concat(F.lit("&#"), piece))
+
+    return F.when(text.contains("&#"), F.array_join(F.transform(F.split(text, "&#"), shown), "")).otherwise(text)
 
 
 def _anchor_text(anchor: Column) -> Column:
     """Text of an anchor: tags dropped, white space around each piece removed."""
     text = strip(F.regexp_replace(anchor, r"\s*<[^>]*>\s*", ""))
+    text = _numbered(text)
     for entity, character in _ENTITIES.items():
         text = F.replace(text, F.lit(entity), F.lit(character))
     return text
@@ -112,7 +139,7 @@ def extract_links(
     kept = [c for c in pages.columns if c not in (html, "url")]
     anchors = F.regexp_extract_all(F.col(html), F.lit(r"(?is)<a\s[^>]*>.*?</a>"), F.lit(0))
     links = pages.select(*kept, F.posexplode(anchors).alias("pos", "_anchor"))
-    href = F.regexp_extract("_anchor", r'(?is)^<a\s[^>]*?\bhref\s*=\s*["\']([^"\']*)["\']', 1)
+    href = F.coalesce(*[_present(F.regexp_extract("_anchor", HREF, group)) for group in (1, 2, 3)], F.lit(""))
     return (
         links.withColumn("release_id", F.regexp_extract(href, id_pattern, 1))
         .filter(F.col("release_id") != "")

@@ -16,6 +16,7 @@ from sieveline import config as C
 
 # Accepted timestamp shape (full date first) and a title of white space only.
 ISO_SHAPE = r"^\d{4}-\d{2}-\d{2}([T ]\d{2}(:\d{2}(:\d{2}(\.\d+)?)?)?(Z|[+-]\d{2}(:?\d{2})?)?)?$"
+ISO_ZONE = r"[T ].*(Z|[+-]\d{2}(:?\d{2})?)$"
 DATE_SHAPE = r"^\d{4}-\d{1,2}-\d{1,2}$"
 BLANK = r"(?U)^[\s\x1c-\x1f]*$"
 
@@ -43,14 +44,26 @@ def number(name: str, kind: DataType) -> Column:
     return column.cast("double") if isinstance(kind, NumericType) else column.try_cast("double")
 
 
+def utc_day(moment: Column) -> Column:
+    """The UTC day of a timestamp, whatever the session's zone."""
+    return F.to_date(F.to_utc_timestamp(moment, F.current_timezone()))
+
+
 def event_time(name: str, kind: DataType, date_only: bool = False) -> Column:
-    """The record's own time in UTC; null where it cannot be read."""
+    """The record's own time in UTC; null where it cannot be read.
+
+    Text and times without a zone are UTC, whatever the session's zone.
+    """
     column = F.col(name)
-    if isinstance(kind, _TEMPORAL):
-        return column.cast("timestamp")
-    if date_only:
-        return F.when(column.rlike(DATE_SHAPE), column.try_cast("date")).cast("timestamp")
-    return F.when(column.rlike(ISO_SHAPE), F.try_to_timestamp(column))
+    if isinstance(kind, TimestampType):
+        return column
+    if date_only and not isinstance(kind, _TEMPORAL):
+        column = F.when(column.rlike(DATE_SHAPE), column.try_cast("date"))
+    if date_only or isinstance(kind, _TEMPORAL):
+        return F.from_utc_timestamp(column.cast("timestamp"), F.current_timezone())
+    naive = F.when(F.length(column) == 10, F.concat(column, F.lit("T00:00:00Z"))).otherwise(F.concat(column, F.lit("Z")))
+    zoned = F.when(column.rlike(ISO_ZONE), column).otherwise(naive)
+    return F.when(column.rlike(ISO_SHAPE), F.try_to_timestamp(zoned))
 
 
 # Condition, failure code, detail; condition and detail are SQL expressions.

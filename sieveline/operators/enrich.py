@@ -23,13 +23,16 @@ def pending_articles(news: DataFrame, enriched: DataFrame, limit: int | None = N
 
 
 def article_prompts(
-    news: DataFrame, symbols: Iterable[str] = tuple(C.SYMBOL_NAMES), template: str = X.ARTICLE_TEMPLATE
+    news: DataFrame,
+    symbols: Iterable[str] = tuple(C.SYMBOL_NAMES),
+    template: str = X.ARTICLE_TEMPLATE,
+    cut: int = C.DESCRIPTION_CUT,
 ) -> DataFrame:
-    """One request text per article."""
+    """One request text per article; of its description the first ``cut`` characters."""
     prompt = X.render(
         template,
         title=X.or_default(F.col("title"), "No title"),
-        description=F.substring(X.or_default(F.col("description"), "No description"), 1, C.DESCRIPTION_CUT),
+        description=F.substring(X.or_default(F.col("description"), "No description"), 1, cut),
         source=X.or_default(F.col("source_name"), "Unknown"),
         symbols=F.lit(", ".join(symbols)),
     )
@@ -122,20 +125,22 @@ def response_rejects(parsed: DataFrame) -> DataFrame:
     )
 
 
-def pending_explanations(quarantine: DataFrame, limit: int | None = 5) -> DataFrame:
-    """Quarantined records without an explanation, oldest first."""
+def pending_explanations(quarantine: DataFrame, limit: int | None = None) -> DataFrame:
+    """Quarantined records without an explanation, oldest first; ``limit`` sets how many a run takes."""
     rows = quarantine.filter(F.col("explanation").isNull()).orderBy("quarantined_at", "record_id")
     return rows if limit is None else rows.limit(limit)
 
 
-def explanation_prompts(quarantine: DataFrame, template: str = X.QUARANTINE_TEMPLATE) -> DataFrame:
-    """One request text per quarantined record."""
+def explanation_prompts(
+    quarantine: DataFrame, template: str = X.QUARANTINE_TEMPLATE, cut: int = C.RAW_RECORD_CUT
+) -> DataFrame:
+    """One request text per quarantined record; of the record the first ``cut`` characters."""
     prompt = X.render(
         template,
         source=F.col("source"),
         code=F.col("failure_code"),
         detail=X.or_default(F.col("failure_detail"), "no additional detail provided"),
-        record=X.or_default(F.substring("raw_record", 1, C.RAW_RECORD_CUT), "{}"),
+        record=X.or_default(F.substring("raw_record", 1, cut), "{}"),
     )
     return quarantine.select("record_id", prompt.alias("prompt"))
 
@@ -143,10 +148,11 @@ def explanation_prompts(quarantine: DataFrame, template: str = X.QUARANTINE_TEMP
 def write_back(quarantine: DataFrame, answers: DataFrame) -> DataFrame:
     """The log with new explanations filled in by record_id, outer quotes removed.
 
-    ``answers`` has record_id (unique) and response; rows without an answer keep what
-    they had.
+    ``answers`` has record_id and response; rows without an answer keep what they had. Of several
+    answers to one record the last in text order counts, so the log keeps its rows.
     """
-    new = answers.select("record_id", X.strip_quotes(F.col("response")).alias("_new"))
+    new = answers.groupBy("record_id").agg(F.max("response").alias("response"))
+    new = new.select("record_id", X.strip_quotes(F.col("response")).alias("_new"))
     return (
         quarantine.join(new, "record_id", "left")
         .withColumn("explanation", F.coalesce("_new", "explanation"))

@@ -28,7 +28,7 @@ def _key_columns(rules: C.SourceRules, raw: StructType, stored: StructType | Non
         own_time = name == rules.time_field and rules.date_only
         kind = stored[name].dataType if stored else DateType() if own_time else raw[name].dataType
         if own_time and isinstance(kind, DateType):
-            out[f"_key{i}"] = R.event_time(name, raw[name].dataType, rules.date_only).cast("date")
+            out[f"_key{i}"] = R.utc_day(R.event_time(name, raw[name].dataType, rules.date_only))
         else:
             out[f"_key{i}"] = F.col(name).try_cast(kind)
     return out
@@ -73,8 +73,9 @@ def gate(
 
     ``verified`` holds records accepted before; none means nothing is a duplicate. Say
     ``verified_unique`` where it has one row per key, as a compacted store does: the
-    lookup is then one left join in one pass over the records. Without that promise it
-    is a semi and an anti join, which cannot multiply records. Adaptive execution can
+    lookup is then one left join in one pass over the records. The promise is checked on the
+    keys and a broken one raises, since the join would multiply records. Without it the lookup
+    is a semi and an anti join, which cannot. Adaptive execution can
     split a hot key on the record side in either case, since nothing is aggregated
     between shuffle and join.
 
@@ -88,23 +89,24 @@ def gate(
             *[F.col(name).alias(key) for name, key in zip(rules.key, keys)]
         )
         keyed = checked.withColumns(_key_columns(rules, df.schema, verified.schema))
+        if verified_unique and known.groupBy(*keys).count().filter("count > 1").limit(1).count():
+            raise ValueError(f"the verified records of {rules.source} repeat a key")
         lookup = _lookup_once if verified_unique else _lookup_any
         checked = lookup(keyed, known, keys, rules).drop(*keys)
     if intra_batch is not None:
         keyed = checked.withColumns(_key_columns(rules, df.schema, verified.schema if verified is not None else None))
-        failed, clean = _split(keyed)
-        first, later = _repeats(clean, keys, intra_batch)
+        # A record without a full key equals no other one, so it is nobody's copy.
+        searchable = F.col("failure_code").isNull()
+        for key in keys:
+            searchable = searchable & F.col(key).isNotNull()
+        first, later = _repeats(keyed.filter(searchable), keys, intra_batch)
         later = later.withColumns(_duplicate(rules, "repeats in this batch"))
-        checked = failed.unionByName(first).unionByName(later).drop(*keys)
+        checked = keyed.filter(~searchable).unionByName(first).unionByName(later).drop(*keys)
     return checked.withColumn("passed", F.col("failure_code").isNull()).select(
         *df.columns, "failure_code", "failure_detail", "passed"
     )
 
 
-def _split(checked: DataFrame) -> tuple[DataFrame, DataFrame]:
-    return checked.filter(F.col("failure_code").isNotNull()), checked.filter(F.col("failure_code").isNull())
-
-
 def _duplicate(rules: C.SourceRules, detail: str) -> dict[str, Column]:
     shown = F.concat_ws(", ", *[F.concat(F.lit(f"{n}="), F.col(n).cast("string")) for n in rules.key])
     return {"failure_code": F.lit(C.DUPLICATE), "failure_detail": F.concat(shown, F.lit(f" {detail}"))}
@@ -163,9 +165,13 @@ def record_id(rules: C.SourceRules, raw: Column, seq: str | None = None) -> Colu
 
 
 def identify(gated: DataFrame, rules: C.SourceRules, record: list[str], seq: str | None = None) -> DataFrame:
-    """Add ``raw_record`` and ``record_id`` to gated records; ``record`` lists the received fields."""
-    return gated.withColumn("raw_record", raw_json(record)).withColumn(
-        "record_id", record_id(rules, F.col("raw_record"), seq)
+    """Add ``raw_record`` and ``record_id`` to gated records; ``record`` lists the received fields.
+
+    Only a failed record keeps its text: a passed one is stored in its own columns.
+    """
+    raw = raw_json(record)
+    return gated.withColumns(
+        {"raw_record": F.when(~F.col("passed"), raw), "record_id": record_id(rules, raw, seq)}
     )
 
 

@@ -7,6 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, functions as F
 
 from sieveline import config as C
+from sieveline.functions import rules as R
 from sieveline.operators.rolling import trailing_averages
 from sieveline.plans.staging import loaded
 
@@ -38,7 +39,7 @@ def daily_sentiment(news: DataFrame, scale: int = 4) -> DataFrame:
 
     weights = (
         news.filter(F.col("confidence") > 0)
-        .groupBy(F.to_date("published_at").alias("date"))
+        .groupBy(R.utc_day(F.col("published_at")).alias("date"))
         .agg(
             F.count("*").alias("article_count"),
             F.round(F.avg("confidence"), scale).alias("avg_confidence"),
@@ -85,7 +86,7 @@ def trust_scores(
     One map-side combined aggregate, so a source with most of the rows costs nothing
     extra. ``breaker_metric`` is "pass_rate" or "trust_score".
     """
-    counted = results.groupBy(F.to_date("checked_at").alias("date"), "source").agg(
+    counted = results.groupBy(R.utc_day(F.col("checked_at")).alias("date"), "source").agg(
         F.count("*").alias("records_checked"),
         F.count_if(F.col("passed")).alias("records_passed"),
         F.count_if(~F.col("passed")).alias("records_failed"),

@@ -6,13 +6,19 @@ from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
 from datetime import datetime
 from functools import reduce
+from uuid import uuid4
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from sieveline import config as C
+from sieveline.functions import rules as R
 from sieveline.operators import gate as G
+from sieveline.operators.dedupe import upsert_latest
 from sieveline.plans import intermediate, mart, staging
-from sieveline.schemas import extended
+from sieveline.schemas import TABLES, extended
+from sieveline.sources.tables import logged_run
 
 
 @dataclass(frozen=True)
@@ -26,23 +32,107 @@ class GateJob:
     verified_unique: bool = False
     intra_batch: str | None = None
     record_fields: tuple[str, ...] = field(default=())
+    # For run_batch: the verified table, how its columns are filled, and the records' order of arrival.
+    table: str | None = None
+    renamed: Mapping[str, Column] = field(default_factory=dict)
+    sequence: str | None = None
+
+
+DECISION = "failure_code string, failure_detail string, raw_record string, record_id string, passed boolean"
+
+
+class BatchStore:
+    """What batch runs leave behind: decisions by source and batch, and one row per run.
+
+    Layout ``root/decisions/<source>/batch=N/passed=...`` and ``root/runs/batch=N``. A batch that runs
+    again replaces its own directories only. Everything else is a view over the decisions: the gate's log, the
+    quarantine, and the verified table, in which the last write of a key (batch, then order of arrival) counts.
+    """
+
+    def __init__(self, spark: SparkSession, root: str):
+        self._spark, self.root = spark, root
+
+    def decisions(self, job: GateJob, like: StructType, before: int | None = None) -> DataFrame:
+        """All stored decisions of a source; ``before`` leaves out later batches by directory."""
+        schema = extended(like, f"_arrived bigint, _checked_at timestamp, {DECISION}, batch bigint")
+        path = f"{self.root}/decisions/{job.rules.source}"
+        try:
+            found = self._spark.read.schema(schema).option("basePath", path).parquet(path)
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            found = self._spark.createDataFrame([], schema)
+        return found if before is None else found.filter(F.col("batch") < before)
+
+    def verified(self, job: GateJob, like: StructType, before: int | None = None) -> DataFrame:
+        """The verified table of a source: one row per key, the last written."""
+        passed = self.decisions(job, like, before).filter("passed")
+        table = TABLES[job.table]
+        keys = {name: f"_key{i}" for i, name in enumerate(job.rules.key)}
+        ordered = passed.withColumns({keys[k]: c.alias(keys[k]) for k, c in self._key_values(job, table).items()})
+        last = upsert_latest(ordered, list(keys.values()), ["batch", "_arrived"])
+        return G.verified_rows(last, table, job.renamed)
+
+    @staticmethod
+    def _key_values(job: GateJob, table: StructType) -> dict[str, Column]:
+        return {k: job.renamed[k] if k in job.renamed else F.col(k).try_cast(table[k].dataType) for k in job.rules.key}
+
+    def gate_log(self, job: GateJob, like: StructType) -> DataFrame:
+        """One row per decision of all runs."""
+        return G.gate_log(self.decisions(job, like), job.rules, F.col("_checked_at"))
+
+    def quarantine(self, job: GateJob, like: StructType) -> DataFrame:
+        """Failed records of all runs."""
+        return G.quarantine_log(self.decisions(job, like), job.rules, F.col("_checked_at"))
+
+    def runs(self) -> DataFrame:
+        """The run log."""
+        return self._spark.read.schema(extended(TABLES["pipeline_runs"], "batch bigint")).parquet(f"{self.root}/runs")
+
+
+def run_batch(spark: SparkSession, jobs: Mapping[str, GateJob], root: str, batch: int) -> DataFrame:
+    """Gate each source against what earlier batches verified, store its decisions and log the run.
+
+    One write per source holds both routes. A source that fails is logged with its error, the rest go on. Running a
+    batch again sees the same earlier batches and replaces its own directories, so nothing is doubled. Returns
+    this batch's rows of the run log.
+    """
+    store, rows = BatchStore(spark, root), []
+    for name, job in jobs.items():
+
+        def decide(job: GateJob = job) -> DataFrame:
+            records = job.records()
+            fields = list(job.record_fields) or records.columns
+            arrived = F.col(job.sequence).cast("bigint") if job.sequence else F.monotonically_increasing_id()
+            numbered = records.withColumn("_arrived", arrived)
+            known = store.verified(job, records.schema, before=batch) if job.table else None
+            gated = G.gate(numbered, job.rules, job.as_of, known, False, "_arrived" if job.intra_batch else None)
+            stamped = G.identify(gated, job.rules, fields, "_arrived").withColumn("_checked_at", R.as_time(job.as_of).cast("timestamp"))
+            return stamped.withColumn("_batch", F.lit(batch))
+
+        def write(df: DataFrame, source: str = job.rules.source) -> None:
+            path = f"{root}/decisions/{source}/batch={batch}"
+            df.drop("_batch").write.mode("overwrite").partitionBy("passed").parquet(path)
+
+        rows.append(logged_run(spark, f"{name}-{batch}", name, decide, write, "no records"))
+    log = reduce(DataFrame.unionByName, rows)
+    log.coalesce(1).write.mode("overwrite").parquet(f"{root}/runs/batch={batch}")
+    return spark.read.schema(log.schema).parquet(f"{root}/runs/batch={batch}")
 
 
 def gate_to_store(job: GateJob, path: str) -> DataFrame:
     """Gate one source and store every decision once, partitioned by ``passed``.
 
     One write gives both routes: ``passed=true`` is the verified zone, ``passed=false``
-    the quarantine. Nothing is cached and no record is checked twice.
+    the quarantine. Nothing is cached and no record is checked twice. ``path`` holds this one
+    run; ``run_batch`` keeps all.
     """
     records = job.records()
     verified = job.verified() if job.verified else None
     gated = G.gate(records, job.rules, job.as_of, verified, job.verified_unique, job.intra_batch)
     fields = list(job.record_fields) or records.columns
     G.identify(gated, job.rules, fields, job.intra_batch).write.mode("overwrite").partitionBy("passed").parquet(path)
-    decided = extended(
-        records.schema,
-        "failure_code string, failure_detail string, raw_record string, record_id string, passed boolean",
-    )
+    decided = extended(records.schema, DECISION)
     return records.sparkSession.read.schema(decided).parquet(path)
 
 
@@ -57,7 +147,7 @@ def gate_all_sources(spark: SparkSession, jobs: Mapping[str, GateJob], root: str
             stored = gate_to_store(job, f"{root}/{name}")
             rows.append(G.summary(stored, name).withColumn("error", F.lit(None).cast("string")))
         except Exception as error:  # one broken source must not stop the run
-            reason = type(error).__name__
+            reason = f"{type(error).__name__}: {error}"
             rows.append(
                 spark.range(1).select(
                     F.lit(name).alias("source"),
@@ -83,8 +173,10 @@ class Model:
 def materialize(spark: SparkSession, models: Mapping[str, Model], root: str) -> DataFrame:
     """Build models in the given order and register them; returns the inventory.
 
-    Views stay queries. Tables are written under ``root`` and registered as external
-    tables of their schema; later models read what was written instead of computing it
+    Views stay queries. Tables are written to a new folder under ``root`` and then registered as external
+    tables of their schema: a build that fails leaves the table of the last one in place, and
+    readers switch in one step of the catalog. A table of that name that was not built here (a managed
+    one) is never dropped. Later models read what was written instead of computing it
     again, and a lost executor costs no more than its part of one model.
     """
     built: dict[str, DataFrame] = {}
@@ -95,10 +187,14 @@ def materialize(spark: SparkSession, models: Mapping[str, Model], root: str) ->
             built[name] = df
             continue
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {model.schema} LOCATION '{root}/{model.schema}'")
-        spark.sql(f"DROP TABLE IF EXISTS {model.schema}.{name}")
-        path = f"{root}/{model.schema}/{name}"
-        df.write.mode("overwrite").option("path", path).saveAsTable(f"{model.schema}.{name}")
-        built[name] = spark.table(f"{model.schema}.{name}")
+        full = f"{model.schema}.{name}"
+        if spark.catalog.tableExists(full) and spark.catalog.getTable(full).tableType != "EXTERNAL":
+            raise ValueError(f"{full} exists and was not built here")
+        path = f"{root}/{model.schema}/{name}-{uuid4().hex}"
+        df.write.parquet(path)
+        spark.sql(f"DROP TABLE IF EXISTS {full}")  # external: the files of the last build stay for readers at work
+        spark.sql(f"CREATE TABLE {full} USING parquet LOCATION '{path}'")
+        built[name] = spark.table(full)
     return table_inventory(spark, sorted({model.schema for model in models.values() if model.kind == "table"}))
 
 

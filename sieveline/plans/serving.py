@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, functions as F
 
 from sieveline import config as C
-from sieveline.functions import text as X
+from sieveline.functions import rules as R, text as X
 from sieveline.operators.dedupe import top_per_key
 
 SOURCE_TITLES = {"stocks": "Stock prices", "news": "Financial news with enrichment"}
@@ -195,7 +195,7 @@ def market_brief(
         day, F.lit(1).alias("section"), F.col("ticker").alias("position"), symbol_line().alias("line")
     )
     ranked = top_per_key(
-        _strong(news, 0.7).withColumn("date", F.to_date("published_at")),
+        _strong(news, 0.7).withColumn("date", R.utc_day(F.col("published_at"))),
         ["date"],
         [F.col("confidence").desc(), F.col("article_id")],
         n_headlines,

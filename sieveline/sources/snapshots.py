@@ -24,18 +24,18 @@ def write_snapshot(
 ) -> None:
     """Replace the snapshot of each day present, other days stay.
 
-    Layout ``zone/source=.../day=YYYY-MM-DD``. The day is one given value or taken per
-    row from ``day_column``.
+    Layout ``zone/feed=.../day=YYYY-MM-DD``; the record's own fields stay as they are, a
+    field ``source`` among them. The day is one given value or taken per row from ``day_column``.
     """
     when = F.col(day_column).cast("date") if day_column else F.lit(str(day)).cast("date")
-    stamped = df.withColumns({"source": F.lit(source), "day": when})
+    stamped = df.withColumns({"feed": F.lit(source), "day": when})
     if day_column:
         stamped = even_files(stamped, ["day"])
     (
         stamped.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("ignoreNullFields", "false")
-        .partitionBy("source", "day")
+        .partitionBy("feed", "day")
         .json(zone)
     )
 
@@ -48,18 +48,18 @@ def read_snapshot(
     day: date | str | None = None,
     whole_file: bool = False,
 ) -> DataFrame:
-    """Records of a zone with partition columns ``source`` and ``day``.
+    """Records of a zone with partition columns ``feed`` (the snapshot's source) and ``day``.
 
     Filters on both prune directories. One JSON value per line is the splittable
     default; ``whole_file`` reads files that hold a single JSON array. Lines that do not
     parse keep their text in ``_corrupt_record`` where the schema has that field.
     """
-    added = {"source": "source string", "day": "day date"}
+    added = {"feed": "feed string", "day": "day date"}
     absent = [ddl for name, ddl in added.items() if name not in schema.fieldNames()]
     full = extended(schema, ", ".join(absent)) if absent else schema
     df = spark.read.schema(full).option("multiLine", whole_file).option("mode", "PERMISSIVE").json(zone)
     if source is not None:
-        df = df.filter(F.col("source") == source)
+        df = df.filter(F.col("feed") == source)
     if day is not None:
         df = df.filter(F.col("day") == F.lit(str(day)).cast("date"))
     return df

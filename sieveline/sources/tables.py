@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from datetime import datetime, timezone
+from threading import Thread
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
@@ -64,16 +66,28 @@ def compact(
 
 
 def _run_row(spark: SparkSession, run_id: str, source: str, records: int, status: str, error: str | None) -> DataFrame:
+    """One row of the run log; its time is fixed here and does not change with each read."""
     return spark.range(1).select(
         F.lit(run_id).alias("run_id"),
         F.lit(source).alias("source"),
-        F.current_timestamp().alias("run_at"),
+        F.lit(datetime.now(timezone.utc)).alias("run_at"),
         F.lit(records).cast("bigint").alias("records"),
         F.lit(status).alias("status"),
         F.lit(error).cast("string").alias("error"),
     )
 
 
+def _observed(counted: Observation, wait: float) -> int:
+    """The observed count; raises where no action has delivered one in time."""
+    found: list[int] = []
+    reader = Thread(target=lambda: found.append(counted.get["records"]), daemon=True)
+    reader.start()
+    reader.join(wait)
+    if not found:
+        raise RuntimeError("the write ran no action")
+    return found[0]
+
+
 def logged_run(
     spark: SparkSession,
     run_id: str,
@@ -81,16 +95,18 @@ def logged_run(
     load: Callable[[], DataFrame],
     write: Callable[[DataFrame], None],
     empty_note: str | None = None,
+    wait: float = 30.0,
 ) -> DataFrame:
     """Load and write one source; returns its row of the run log.
 
     Records are counted by the write itself. A run that raises is logged as failed with
-    its error, one that wrote nothing as a success with ``empty_note``.
+    its error, one that wrote nothing as a success with ``empty_note``. A ``write`` that runs no
+    action gives no count: after ``wait`` seconds that is a failure too.
     """
     try:
         df, counted = load(), Observation()
         write(df.observe(counted, F.count(F.lit(1)).alias("records")))
+        records = _observed(counted, wait)
     except Exception as error:  # logged, so that the other sources still run
         return _run_row(spark, run_id, source, 0, "failed", f"{type(error).__name__}: {error}")
-    records = counted.get["records"]
     return _run_row(spark, run_id, source, records, "success", empty_note if records == 0 else None)

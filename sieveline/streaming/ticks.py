@@ -2,7 +2,9 @@
 
 Stateless per event: decode, check, tag. Each micro-batch is written as one directory
 named after its batch id and split by verdict, so a batch that is run again after a
-failure replaces itself and readers never see an event twice.
+failure replaces itself and readers never see an event twice. While a batch is being
+replaced its directory is incomplete for readers. ``compact`` folds closed batches into a
+keyed table partitioned by date, so that directories do not grow without end.
 """
 
 from __future__ import annotations
@@ -16,6 +18,7 @@ from pyspark.sql.streaming import StreamingQuery
 from sieveline import config as C, schemas
 from sieveline.functions import rules as R
 from sieveline.operators.dedupe import upsert_latest
+from sieveline.sources.snapshots import even_files
 
 RULES = C.RULES["ticks"]
 EVENT_FIELDS = [f.name for f in schemas.RAW["ticks"] if f.name != "_corrupt_record"]
@@ -41,17 +44,17 @@ def read_kafka(spark: SparkSession, servers: str, topic: str, options: Mapping[s
 
 
 def read_files(spark: SparkSession, path: str, files_per_trigger: int | None = None) -> DataFrame:
-    """The same messages from JSON-line files; the file stands for topic and offset.
+    """The same messages from JSON-line files; the file stands for the topic.
 
-    Equal lines of one file that carry no event_id get one identifier and count as a
-    repeat of the same event.
+    Lines have no offset: a line that carries no event_id gets a random identifier when its
+    batch is stored, so equal lines stay events of their own.
     """
     reader = spark.readStream.schema("value string")
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
     return reader.text(path).select(
         F.lit(None).cast("string").alias("key"), "value", F.col("_metadata.file_path").alias("topic"),
-        F.lit(0).alias("partition"), F.col("_metadata.file_block_start").alias("offset"),
+        F.lit(0).alias("partition"), F.lit(None).cast("bigint").alias("offset"),
     )
 
 
@@ -76,12 +79,12 @@ def gate_ticks(events: DataFrame, as_of: datetime | Column) -> DataFrame:
 
 def tag(gated: DataFrame, received_at: Column) -> DataFrame:
     """Symbol from key, else event, else "unknown"; an event without an identifier gets
-    the hash of its position; time of receipt."""
+    the hash of its position, or a random one where there is no offset; time of receipt."""
     position = F.sha2(F.concat_ws("|", "topic", "partition", "offset", "value"), 256)
     return gated.withColumns(
         {
             "ticker": F.coalesce("key", "ticker", F.lit("unknown")),
-            "event_id": F.coalesce("event_id", position),
+            "event_id": F.coalesce("event_id", F.when(F.col("offset").isNotNull(), position), F.uuid()),
             "received_at": received_at.cast("timestamp"),
         }
     )
@@ -135,15 +138,27 @@ def quarantine_rows(processed: DataFrame) -> DataFrame:
 
 
 def messages(processed: DataFrame) -> DataFrame:
-    """Keyed messages for the routed topics: the event with verdict and time of receipt."""
-    common = [*EVENT_FIELDS, "gate_passed"]
+    """Keyed messages for the routed topics: the message as received plus its verdict.
+
+    The received JSON text is kept, so field types and unknown fields survive; the verdict's
+    fields are appended and, being last, count where the event has fields of these names. Text
+    that is no JSON object goes into ``raw_event``.
+    """
     stamped = F.date_format("received_at", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").alias("received_at")
-    passed = F.to_json(F.struct(*common, stamped), {"ignoreNullFields": "false"})
-    failed = F.to_json(F.struct(*common, "failure_code", "failure_detail", stamped), {"ignoreNullFields": "false"})
+    own = F.when(F.get_json_object("value", "$.event_id").isNull(), F.col("event_id")).alias("event_id")
+    passed = F.to_json(F.struct(own, "gate_passed", stamped))
+    failed = F.to_json(F.struct(own, "gate_passed", "failure_code", "failure_detail", stamped))
+    verdict = F.when(F.col("gate_passed"), passed).otherwise(failed)
+    body = F.regexp_replace("value", r"(?s)\s*\}\s*$", "")
+    comma = F.when(F.trim(body) == "{", F.lit("")).otherwise(F.lit(","))
+    whole = F.col("_corrupt_record").isNull() & F.json_object_keys("value").isNotNull()
+    raw = F.regexp_replace(F.to_json(F.struct(F.col("value").alias("raw_event"))), r"\}$", "")
     return processed.select(
         "gate_passed",
         F.col("ticker").alias("key"),
-        F.when(F.col("gate_passed"), passed).otherwise(failed).alias("value"),
+        F.when(whole, F.concat(body, comma, F.substring(verdict, 2, F.length(verdict))))
+        .otherwise(F.concat(raw, F.lit(","), F.substring(verdict, 2, F.length(verdict))))
+        .alias("value"),
     )
 
 
@@ -197,14 +212,45 @@ def stored(spark: SparkSession, root: str, like: DataFrame) -> DataFrame:
     return spark.read.schema(schemas.extended(like.schema, "batch_id bigint")).option("basePath", root).parquet(root)
 
 
+# Last write wins: batches in order; within a batch the later time of receipt, then of the poll, then the later
+# position; at last the text, so that the choice does not depend on how rows were read.
+_SEQUENCE = ("batch_id", "received_at", "polled_at", "offset", "value")
+
+
+def _sequenced(processed: DataFrame) -> DataFrame:
+    return processed if "batch_id" in processed.columns else processed.withColumn("batch_id", F.lit(0).cast("bigint"))
+
+
 def live_ticks(processed: DataFrame) -> DataFrame:
-    """Verified events, the last received per event_id."""
-    return upsert_latest(live_rows(processed), ["event_id"], ["received_at", "polled_at"])
+    """Verified events, the last written per event_id."""
+    last = upsert_latest(_sequenced(processed).filter("gate_passed"), ["event_id"], _SEQUENCE)
+    return live_rows(last)
 
 
 def stream_quarantine(processed: DataFrame) -> DataFrame:
-    """Failed events, the last received per event_id."""
-    return upsert_latest(quarantine_rows(processed), ["event_id"], ["quarantined_at", "raw_event"])
+    """Failed events, the last written per event_id."""
+    last = upsert_latest(_sequenced(processed).filter(~F.col("gate_passed")), ["event_id"], _SEQUENCE)
+    return quarantine_rows(last)
+
+
+def compact(spark: SparkSession, root: str, like: DataFrame, target: str, upto: int, earlier: str | None = None) -> None:
+    """The last write of each event in batches up to ``upto``, with the earlier compaction, as a table at ``target``.
+
+    Partitioned by day of receipt. The path must be new: readers switch to it when it is complete,
+    and read later batches with ``stored_since``.
+    """
+    rows = stored(spark, root, like).filter(F.col("batch_id") <= upto)
+    if earlier:
+        rows = rows.unionByName(spark.read.schema(rows.schema).parquet(earlier).drop("day"))
+    last = upsert_latest(rows, ["event_id", "gate_passed"], _SEQUENCE).withColumn("day", R.utc_day(F.col("received_at")))
+    even_files(last, ["day"]).write.mode("errorifexists").partitionBy("day").parquet(target)
+
+
+def stored_since(spark: SparkSession, root: str, like: DataFrame, compacted: str, upto: int) -> DataFrame:
+    """All current events: the compacted table and the batches after it; older directories are pruned."""
+    schema = schemas.extended(like.schema, "batch_id bigint")
+    late = stored(spark, root, like).filter(F.col("batch_id") > upto)
+    return spark.read.schema(schema).parquet(compacted).drop("day").unionByName(late)
 
 
 def first_per_event(processed: DataFrame, delay: str = "30 minutes") -> DataFrame:

@@ -24,13 +24,13 @@ def test_snapshot_replaces_only_its_day(spark, rows):
     data = rows([("A", 1.0, date(2024, 1, 1)), ("B", None, date(2024, 1, 2))], "ticker string, close double, d date")
     N.write_snapshot(data.select("ticker", "close", "d"), zone, "bars", day_column="d")
     N.write_snapshot(data.limit(1).select("ticker", F.lit(9.0).alias("close")), zone, "bars", day="2024-01-01")
-    got = {(str(r.day), r.ticker, r.close, r.source) for r in N.read_snapshot(spark, zone, small()).collect()}
+    got = {(str(r.day), r.ticker, r.close, r.feed) for r in N.read_snapshot(spark, zone, small()).collect()}
     assert got == {("2024-01-01", "A", 9.0, "bars"), ("2024-01-02", "B", None, "bars")}
     one = N.read_snapshot(spark, zone, small(), "bars", "2024-01-02")
     assert [r.ticker for r in one.collect()] == ["B"]
     assert "PartitionFilters: [" in one._jdf.queryExecution().executedPlan().toString()
     lineage = N.file_lineage(spark, zone, small(), "*.json").groupBy("directory").agg(F.sum("n_records").alias("n"))
-    assert {r.directory: r.n for r in lineage.collect()} == {"source=bars/day=2024-01-01": 1, "source=bars/day=2024-01-02": 1}
+    assert {r.directory: r.n for r in lineage.collect()} == {"feed=bars/day=2024-01-01": 1, "feed=bars/day=2024-01-02": 1}
 
 
 def test_json_array_file(spark, tmp_path):

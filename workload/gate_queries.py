@@ -184,22 +184,23 @@ def route_failed(fx: Inputs) -> DataFrame:
 @query(
     "verified_bars",
     """
-select distinct ticker, cast(date as date) as date, open, high, low, cast(close as double) as close, volume,
+select ticker, cast(date as date) as date, open, high, low, max(cast(close as double) + copy) as close, volume,
   checked_at as ingested_at, concat('stocks/', strftime(checked_at, '%Y-%m-%d')) as source_file
-from fx_gated_bars where passed""",
+from fx_gated_bars where passed group by all""",
     ("fx_gated_bars",),
 )
 def verified_bars(fx: Inputs) -> DataFrame:
-    passed = fx.gated_bars.filter("passed")
-    rows = gate.verified_rows(
-        passed.withColumn("seq", F.col("copy")),
+    """Copies of a key differ in their close; the last to arrive stays."""
+    passed = fx.gated_bars.filter("passed").withColumn("close", F.col("close").cast("double") + F.col("copy"))
+    last = dedupe.upsert_latest(passed, ["ticker", "date"], ["checked_at", "copy"])
+    return gate.verified_rows(
+        last,
         schemas.TABLES["bronze_stocks"],
         {
             "ingested_at": F.col("checked_at"),
             "source_file": F.concat(F.lit("stocks/"), F.date_format("checked_at", "yyyy-MM-dd")),
         },
     )
-    return dedupe.upsert_latest(rows, schemas.KEYS["bronze_stocks"], ["ingested_at"])
 
 
 @query(
@@ -235,7 +236,63 @@ def gate_all_sources(fx: Inputs) -> DataFrame:
         "reddit": runs.GateJob(C.RULES["reddit"], lambda: _posts(fx), POSTS_AS_OF),
         "absent": runs.GateJob(STOCKS, lambda: fx.table("no_such_table"), NEWS_AS_OF),
     }
-    return runs.gate_all_sources(fx.spark, jobs, scratch_dir(fx.spark, "gate"))
+    found = runs.gate_all_sources(fx.spark, jobs, scratch_dir(fx.spark, "gate"))
+    return found.withColumn("error", F.split_part("error", F.lit(":"), F.lit(1)))
+
+
+_BATCHES = """
+select 'verified' as kind, ticker, date, case when k % 3 = 0 then volume + 1 else volume end as n, cast(null as varchar) as code
+from fx_bars
+union all select 'verified', 'N' || ticker, date, volume, null from fx_bars where k % 5 = 0
+union all select 'quarantine', ticker, date, volume + 10, 'DUPLICATE' from fx_bars where k % 2 = 0
+union all select 'quarantine', 'X' || ticker, date, -1, 'RANGE_VIOLATION' from fx_bars where k % 7 = 0
+union all select 'log', null, null, count(*) + count(*) filter (k % 3 = 0) + count(*) filter (k % 5 = 0), 'passed' from fx_bars
+union all select 'log', null, null, count(*), 'DUPLICATE' from fx_bars where k % 2 = 0 having count(*) > 0
+union all select 'log', null, null, count(*), 'RANGE_VIOLATION' from fx_bars where k % 7 = 0 having count(*) > 0
+union all select 'run', 'stocks-1', null, count(*) + count(*) filter (k % 3 = 0), 'success' from fx_bars
+union all select 'run', 'stocks-2', null, count(*) filter (k % 2 = 0) + count(*) filter (k % 5 = 0) + count(*) filter (k % 7 = 0),
+  'success' from fx_bars"""
+
+
+@query("gate_two_batches", _BATCHES, ("fx_bars",))
+def gate_two_batches(fx: Inputs) -> DataFrame:
+    """A batch with differing copies of keys, a later one that repeats keys, then the first again."""
+    fields = ["ticker", "date", "open", "high", "low", "close", "volume"]
+    bars = fx.bars.select(*fields, "k")
+    copies = F.when(F.col("k") % 3 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    one = bars.select("*", F.explode(copies).alias("c")).withColumns(
+        {"volume": F.col("volume") + F.col("c"), "seq": F.col("k") * 2 + F.col("c")}
+    )
+    again = bars.filter("k % 2 = 0").withColumn("volume", F.col("volume") + 10)
+    new = bars.filter("k % 5 = 0").withColumn("ticker", F.concat(F.lit("N"), "ticker"))
+    bad = bars.filter("k % 7 = 0").withColumns({"ticker": F.concat(F.lit("X"), "ticker"), "volume": F.lit(-1).cast("bigint")})
+    two = again.unionByName(new).unionByName(bad).withColumn("seq", F.col("k"))
+
+    def job(records: DataFrame) -> runs.GateJob:
+        timed = records.select(*fields, "seq").withColumn("checked_at", F.col("date").cast("timestamp"))
+        return runs.GateJob(
+            STOCKS, lambda: timed, F.col("checked_at"), record_fields=tuple(fields), table="bronze_stocks", sequence="seq"
+        )
+
+    root = scratch_dir(fx.spark, "batches")
+    for batch, records in ((1, one), (2, two), (1, one)):
+        runs.run_batch(fx.spark, {"stocks": job(records)}, root, batch)
+    store, like = runs.BatchStore(fx.spark, root), job(one).records().schema
+    stocks, no_day = job(one), F.lit(None).cast("date").alias("date")
+    held = store.quarantine(stocks, like)
+    text = lambda name: F.get_json_object("raw_record", f"$.{name}")
+    log = store.gate_log(stocks, like).groupBy(F.coalesce("failure_code", F.lit("passed")).alias("code")).count()
+    code = F.lit(None).cast("string").alias("code")
+    parts = [
+        store.verified(stocks, like).select(F.lit("verified").alias("kind"), "ticker", "date", F.col("volume").alias("n"), code),
+        held.select(F.lit("quarantine"), text("ticker"), text("date").cast("date"), text("volume").cast("bigint"), "failure_code"),
+        log.select(F.lit("log"), F.lit(None).cast("string"), no_day, "count", "code"),
+        store.runs().select(F.lit("run"), F.concat_ws("-", "source", "batch"), no_day, "records", "status"),
+    ]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.union(part)
+    return out
 
 
 def links(fx: Inputs) -> DataFrame:
@@ -249,7 +306,7 @@ from ({_QUARANTINE}) q order by quarantined_at, record_id limit 5"""
 
 @query("pending_explanations", _PENDING, ("fx_identified_bars",))
 def pending_explanations(fx: Inputs) -> DataFrame:
-    return enrich.pending_explanations(_quarantine(fx))
+    return enrich.pending_explanations(_quarantine(fx), limit=5)
 
 
 @query(

@@ -420,6 +420,34 @@ def table_inventory(fx: Inputs) -> DataFrame:
     return inventory.filter(F.col("table_name").isin("trust", "audit_results"))
 
 
+@query(
+    "declared_checks",
+    """
+select 'stg_stocks' as model, c as column_name, 'not_null' as test, 0 as failures from (values ('ticker'), ('date'), ('close')) v(c)
+union all select 'stg_news', 'article_id', 'not_null', count(*) filter (article_id is null) from fx_staged_news
+union all select 'stg_news', 'sentiment', 'not_null', count(*) filter (sentiment is null) from fx_staged_news
+union all select 'stg_news', 'article_id', 'unique', 0
+union all select 'stg_news', 'sentiment', 'accepted_values',
+  count(*) filter (sentiment not in ('bullish', 'bearish', 'neutral')) from fx_staged_news
+union all select 'stg_macro', 'series_id', 'not_null', count(*) filter (series_id is null) from fx_macro where value is not null
+union all select 'mart', 'ticker', 'not_null', count(*) filter (ticker is null) from fx_mart
+union all select 'mart', 'date', 'not_null', count(*) filter (date is null) from fx_mart
+union all select 'mart', 'close', 'not_null', count(*) filter (close is null) from fx_mart
+union all select 'mart', 'stocks_trust_score', 'not_null', count(*) filter (stocks_trust_score is null) from fx_mart
+union all select 'mart', 'advisor_can_serve', 'not_null', count(*) filter (advisor_can_serve is null) from fx_mart""",
+    ("fx_staged_news", "fx_macro", "fx_mart"),
+)
+def declared_checks(fx: Inputs) -> DataFrame:
+    """All thirteen declared tests over the staged models and the mart."""
+    models = {
+        "stg_stocks": staging.staged_bars(fx.bars.withColumn("ingested_at", F.col("date"))),
+        "stg_news": staging.staged_news(fx.bronze_news, fx.enriched_news),
+        "stg_macro": staging.staged_macro(fx.macro),
+        "mart": mart_of(fx),
+    }
+    return checks.suite(models)
+
+
 @query(
     "mart_profile",
     """

@@ -37,12 +37,12 @@ def _snapshot(fx: Inputs) -> str:
 
 def _snapshot_rows(df: DataFrame) -> DataFrame:
     prices = [F.col(p).cast("double").alias(p) for p in N.PRICES]
-    return df.select("ticker", "date", *prices, F.col("volume").cast("bigint").alias("volume"), "source", "day")
+    return df.select("ticker", "date", *prices, F.col("volume").cast("bigint").alias("volume"), "source", "feed", "day")
 
 
 _SNAPSHOT = """
 select ticker, cast(date as varchar) as date, round(open, 2) as open, round(high, 2) as high, round(low, 2) as low,
-  round(close, 2) as close, volume, 'bars' as source, date as day
+  round(close, 2) as close, volume, 'yfinance' as source, 'bars' as feed, date as day
 from fx_bars"""
 
 
@@ -55,8 +55,8 @@ def read_json_snapshot(fx: Inputs) -> DataFrame:
     "write_snapshot",
     """
 select ticker, cast(date as varchar) as date, round(open, 2) as open, round(high, 2) as high, round(low, 2) as low,
-  round(case when date = date '2024-01-02' then close + 1 else close end, 2) as close, volume, 'bars' as source,
-  date as day
+  round(case when date = date '2024-01-02' then close + 1 else close end, 2) as close, volume, 'yfinance' as source,
+  'bars' as feed, date as day
 from fx_bars""",
     ("fx_bars",),
 )
@@ -68,6 +68,18 @@ def write_snapshot(fx: Inputs) -> DataFrame:
     return _snapshot_rows(snapshots.read_snapshot(fx.spark, zone, schemas.RAW["stocks"]))
 
 
+@query("read_json_array", _SNAPSHOT.replace("'bars' as feed, date as day", "'NSE' as exchange"), ("fx_bars",))
+def read_json_array(fx: Inputs) -> DataFrame:
+    """Each day's records as one JSON array in a file of its own."""
+    zone = scratch_dir(fx.spark, "arrays")
+    bars = N.normalize_bars(fx.bars)
+    days = bars.groupBy("date").agg(F.collect_list(F.struct(*bars.columns)).alias("records"))
+    days.select(F.to_json("records").alias("value"), F.col("date").cast("string").alias("d")).write.partitionBy("d").text(zone)
+    rows = snapshots.read_json_array(fx.spark, f"{zone}/*", schemas.RAW["stocks"])
+    prices = [F.col(p).cast("double").alias(p) for p in N.PRICES]
+    return rows.select("ticker", "date", *prices, F.col("volume").cast("bigint").alias("volume"), "source", "exchange")
+
+
 @query("partition_scan", _SNAPSHOT + " where date = date '2024-01-03'", ("fx_bars",))
 def partition_scan(fx: Inputs) -> DataFrame:
     return _snapshot_rows(
@@ -78,7 +90,7 @@ def partition_scan(fx: Inputs) -> DataFrame:
 @query(
     "file_lineage",
     """
-select concat('source=bars/day=', cast(date as varchar)) as directory, count(*) as n_records
+select concat('feed=bars/day=', cast(date as varchar)) as directory, count(*) as n_records
 from fx_bars group by date""",
     ("fx_bars",),
 )

@@ -220,19 +220,23 @@ def live_ticks(fx: Inputs) -> DataFrame:
 @query(
     "stream_sink",
     """
-select ticker as key, event_id, failure_code is null as gate_passed, failure_code from fx_gated_ticks""",
+select ticker as key, event_id, failure_code is null as gate_passed, failure_code, 'kept' as extra,
+  'number' as volume_type from fx_gated_ticks""",
     ("fx_gated_ticks",),
 )
 def stream_sink(fx: Inputs) -> DataFrame:
-    """Keyed messages of both routes, written and read back."""
+    """Keyed messages of both routes, written and read back; a field the gate does not know and types survive."""
     where = scratch_dir(fx.spark, "topic")
-    T.messages(T.process(_plain_messages(fx), F.try_to_timestamp("polled_at"))).write.partitionBy(
+    extended = F.regexp_replace("value", r"\}$", ',"extra":"kept","count":7}')
+    T.messages(T.process(_plain_messages(fx).withColumn("value", extended), F.try_to_timestamp("polled_at"))).write.partitionBy(
         "gate_passed"
     ).parquet(where)
     sent = fx.spark.read.schema("key string, value string, gate_passed boolean").parquet(where)
     return sent.select(
         "key", F.get_json_object("value", "$.event_id").alias("event_id"), "gate_passed",
         F.get_json_object("value", "$.failure_code").alias("failure_code"),
+        F.get_json_object("value", "$.extra").alias("extra"),
+        F.when(F.col("value").rlike(r'"count":7[,}]'), "number").otherwise("text").alias("volume_type"),
     )
 
 
