@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from sieveline.llm import adaptive_scan, decontaminate, jaccard_join, language_mixture, personal_data, sentence_pieces, suffix_dedup, token_files, toxicity
-from sieveline.llm.common import table
+from sieveline.llm.common import ship, table
 from sieveline.session import scratch_dir
 
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
@@ -19,8 +20,13 @@ ORACLES: dict[str, str] = {}
 
 
 def query(build: Callable[[SparkSession, str], DataFrame]):
-    QUERIES[build.__name__] = build
-    return build
+    @wraps(build)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship(spark)
+        return build(spark, sf_dir)
+
+    QUERIES[build.__name__] = run
+    return run
 
 
 def _held_out(divisor: int, rest: int) -> Column:
