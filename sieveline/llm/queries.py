@@ -8,7 +8,7 @@ from functools import wraps
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from sieveline.llm import adaptive_scan, decontaminate, jaccard_join, language_mixture, personal_data, sentence_pieces, suffix_dedup, token_files, toxicity
+from sieveline.llm import adaptive_scan, decontaminate, jaccard_join, language_mixture, personal_data, sentence_pieces, site_quality, suffix_dedup, token_files, toxicity
 from sieveline.llm.common import ship, table
 from sieveline.session import scratch_dir
 
@@ -50,6 +50,14 @@ def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_digest(spark, path)
 
 
+@query
+def op4_site_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Learned from the labels of rows that are not held out; ``source`` is the site, ``lang`` its section."""
+    docs = table(spark, sf_dir, "documents").withColumn("held_out", _held_out(5, 2))
+    model = site_quality.fit(docs, table(spark, sf_dir, "labels").where(~_held_out(5, 2)))
+    return site_quality.predict(docs, model, keep=("doc_id", "held_out"))
+
+
 @query
 def op5_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").withColumn("held_out", _held_out(4, 2))
