@@ -16,7 +16,11 @@ next one, since its partners may be a band larger.
 
 A segment in which a set has nothing would meet every other such set. A scheme therefore has a few segments
 more than the bound asks for: a set whose empty segments are no more than that need not index them, since
-similar sets then still agree in one that is not empty; only sets with more of them index them.
+similar sets then still agree in others; only sets with more of them index them.
+
+Some segments more than that let similar sets agree in SHUNNED + 1 entries at least. So each set may leave out the
+entries with the largest buckets (passages that many documents share), as many as the scheme has to spare: in
+the order of bucket sizes, two sets that share r + 1 entries share one that neither has among its last r.
 
 Sets that meet are candidates. Entries carry the set's fingerprint, so copies count as one. They are moved
 packed, partitioned by entry, and a partition keeps those that two sets share. In each
@@ -34,12 +38,14 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from sieveline.llm.common import in_chunks, stored
 from sieveline.llm.components import components
 from sieveline.llm.shingles import U, distinct_by_text, mix, shingle_hashes
 
+SHUNNED = 0.3  # share of further segments, so of entries with large buckets that a set may leave out
+LARGE_BUCKET = 6  # buckets up to this size are never left out
 SMALL_SIDE = 1_000_000  # ids that may be broadcast; beyond, a shuffled join
 CHANCE = 0.01  # cost model: chance that a shingle of one set lies in an unrelated set
 WORD_BYTES = 6  # cost model: bytes of a word and its blank
@@ -65,7 +71,10 @@ class Bands:
         self.lows, self.ups = np.array(lows), np.array(ups)
         share = (1 - similarity) / (1 + similarity)
         self.differences = np.array([int(2 * u * share) for u in ups])
-        self.spare = np.array([self._spare(float(similarity) * low, h + 1) for low, h in zip(lows, self.differences, strict=True)])
+        self.shunned = np.ceil(SHUNNED * self.differences).astype(np.int64)
+        least = self.differences + 1 + self.shunned
+        self.spare = np.array([self._spare(float(similarity) * low, int(m)) for low, m in zip(lows, least, strict=True)])
+        self.segments = least + self.spare  # if all bear nothing
 
     @staticmethod
     def _spare(size: float, least: int) -> int:
@@ -95,7 +104,7 @@ def allocate(bands: Bands, sets: np.ndarray) -> np.ndarray:
         size = float(bands.lows[k] + bands.ups[k]) / 2
         best = None
         for a in sorted({round(x) for x in np.linspace(0, (h + 1) // 2, 9)}):
-            b = h + 1 + bands.spare[k] - 2 * a
+            b = bands.segments[k] - 2 * a
             s = size / (a + b)
             rows = members * (a + b + s * a)
             meet = b * CHANCE**s + a * (1 + s) * CHANCE ** max(s - 1, 0)
@@ -106,20 +115,20 @@ def allocate(bands: Bands, sets: np.ndarray) -> np.ndarray:
     return chosen
 
 
-def signatures(hashes: np.ndarray, starts: np.ndarray, bands: Bands, ones: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Index entries of each set, and where each set's entries start.
+def signatures(hashes: np.ndarray, starts: np.ndarray, bands: Bands, ones: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Index entries of each set, how many of a scheme's entries may be left out, and where each set's entries start.
 
     ``hashes``: distinct shingles, set after set. The schemes are those of the set's band and
     of the next.
     """
     sizes = np.diff(starts)
     own = bands.of(np.maximum(sizes, 1))
-    entries, owners = [], []
+    entries, owners, shunned = [], [], []
     owner = np.repeat(np.arange(len(sizes)), sizes)
     mixed = mix(hashes ^ U(0xA5A5A5A5DEADBEEF))
     for scheme in (own, own + 1):
         a = ones[scheme]
-        m = bands.differences[scheme] + 1 + bands.spare[scheme] - a
+        m = bands.segments[scheme] - a
         m = np.where(sizes > 0, m, 0)
         base = np.concatenate([[0], np.cumsum(m)])
         sums = np.zeros(base[-1], U)
@@ -134,14 +143,18 @@ def signatures(hashes: np.ndarray, starts: np.ndarray, bands: Bands, ones: np.nd
         keep = ~plain_empty | many[of]
         entries.append(mix(sums ^ salt)[keep])
         owners.append(of[keep])
+        # With segments that bear a difference agreement is counted otherwise: nothing is left out there.
+        may = np.where(a > 0, 0, np.minimum(bands.shunned[scheme], 32_000)) * 2 + (scheme is not own)
+        shunned.append(may[of[keep]])
         bears = segment < a[owner]
         if bears.any():
             at = (base[owner] + segment)[bears]
             entries.append(mix((sums[at] - mixed[bears]) ^ salt[at]))
             owners.append(owner[bears])
-    entry, of = np.concatenate(entries), np.concatenate(owners)
+            shunned.append(may[owner[bears]])
+    entry, of, may = np.concatenate(entries), np.concatenate(owners), np.concatenate(shunned).astype(np.uint16)
     order = np.argsort(of, kind="stable")
-    return entry[order], np.searchsorted(of[order], np.arange(len(sizes) + 1))
+    return entry[order], may[order], np.searchsorted(of[order], np.arange(len(sizes) + 1))
 
 
 # ---- operator -------------------------------------------------------------------------------
@@ -155,17 +168,17 @@ def _packed(docs: DataFrame, width: int, bands: Bands, ones: np.ndarray, parts:
     """Index entries with fingerprints, packed by partition; with part -1 (id, n, f1, f2) of each text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[np.ndarray, np.ndarray]] = []
+        held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         texts: list[pa.RecordBatch] = []
 
         def flush() -> pa.RecordBatch:
-            entry, of = (np.concatenate(c) for c in zip(*held, strict=True))
-            order = np.argsort(entry)
-            entry, of = entry[order], of[order]
+            entry, of, may = (np.concatenate(c) for c in zip(*held, strict=True))
+            order = np.lexsort((of, entry))
+            entry, of, may = entry[order], of[order], may[order]
             # Sets that this task holds twice (copies) need one entry.
             fresh = np.ones(len(entry), bool)
             fresh[1:] = (entry[1:] != entry[:-1]) | (of[1:] != of[:-1])
-            entry, of = entry[fresh], of[fresh]
+            entry, of, may = entry[fresh], of[fresh], may[fresh]
             part = (entry >> U(32)) * U(parts) >> U(32)
             cuts = np.concatenate([[0], np.flatnonzero(part[1:] != part[:-1]) + 1, [len(entry)]]) if len(entry) else np.array([0])
             sink = pa.BufferOutputStream()
@@ -173,7 +186,7 @@ def _packed(docs: DataFrame, width: int, bands: Bands, ones: np.ndarray, parts:
                 for t in texts:
                     writer.write_batch(t)
             number = [int(texts_part())] + [int(part[c]) for c in cuts[:-1]]
-            data = [sink.getvalue().to_pybytes()] + [entry[c:d].tobytes() + of[c:d].tobytes() for c, d in zip(cuts[:-1], cuts[1:], strict=True)]
+            data = [sink.getvalue().to_pybytes()] + [entry[c:d].tobytes() + of[c:d].tobytes() + may[c:d].tobytes() for c, d in zip(cuts[:-1], cuts[1:], strict=True)]
             kind = [True] + [False] * (len(data) - 1)
             held.clear()
             texts.clear()
@@ -188,14 +201,14 @@ def _packed(docs: DataFrame, width: int, bands: Bands, ones: np.ndarray, parts:
         for batch in batches:
             for some in in_chunks(batch, "text", 1 << 20):
                 hashes, starts = distinct_by_text(*shingle_hashes(some.column(1), width))
-                entries, at = signatures(hashes, starts, bands, ones)
+                entries, may, at = signatures(hashes, starts, bands, ones)
                 prints = np.zeros((2, some.num_rows), U)
                 owner = np.repeat(np.arange(some.num_rows), np.diff(starts))
                 for k in range(2):
                     np.add.at(prints[k], owner, mix(hashes + U(0x51ED270B7F4A7C15 * (k + 1) & (2**64 - 1))))
                 named = ~np.asarray(some.column(0).is_null())
                 of = np.repeat(np.arange(some.num_rows), np.diff(at))
-                held.append((entries[named[of]], prints[0][of][named[of]]))
+                held.append((entries[named[of]], prints[0][of][named[of]], may[named[of]]))
                 columns = [some.column(0), pa.array(np.diff(starts)), pa.array(prints[0].view(np.int64)), pa.array(prints[1].view(np.int64))]
                 texts.append(pa.RecordBatch.from_arrays(columns, names=["id", "n", "f1", "f2"]))
                 count += len(entries)
@@ -209,44 +222,45 @@ def _packed(docs: DataFrame, width: int, bands: Bands, ones: np.ndarray, parts:
 
 
 def _buckets(packed: DataFrame, parts: int) -> DataFrame:
-    """Per partition: (id, n, f1, f2) of texts, and (entry, centre, f1) of the entries that several sets share."""
-    schema = "id long, n long, f1 long, f2 long, entry long, centre long"
+    """Per partition: (id, n, f1, f2) of texts, and (entry, size, f1, may) of the entries that several sets share."""
+    schema = "id long, n long, f1 long, f2 long, entry long, size long, may int"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        blobs: list[tuple[np.ndarray, np.ndarray]] = []
+        blobs: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         for batch in batches:
             for texts, data in zip(batch.column(1).to_pylist(), batch.column(2), strict=True):
                 if texts:
                     for t in pa.ipc.open_stream(data.as_buffer()):
                         none = pa.nulls(t.num_rows, pa.int64())
-                        yield pa.RecordBatch.from_arrays([*t.columns, none, none], names=["id", "n", "f1", "f2", "entry", "centre"])
+                        yield pa.RecordBatch.from_arrays([*t.columns, none, none, none.cast(pa.int32())], names=["id", "n", "f1", "f2", "entry", "size", "may"])
                     continue
-                both = np.frombuffer(data.as_buffer(), U)
-                blobs.append((both[: len(both) // 2].copy(), both[len(both) // 2 :].copy()))
+                raw = data.as_py()
+                k = len(raw) // 18
+                blobs.append((np.frombuffer(raw, U, k), np.frombuffer(raw, U, k, 8 * k), np.frombuffer(raw, np.uint16, k, 16 * k)))
         if not blobs:
             return
-        entry, of = (np.concatenate(c) for c in zip(*blobs, strict=True))
+        entry, of, may = (np.concatenate(c) for c in zip(*blobs, strict=True))
         blobs.clear()
         order = np.argsort(entry)
-        entry, of = entry[order], of[order]
+        entry, of, may = entry[order], of[order], may[order]
         same = entry[1:] == entry[:-1]
         several = np.concatenate([[False], same]) | np.concatenate([same, [False]])
-        entry, of = entry[several], of[several].view(np.int64)
+        entry, of, may = entry[several], of[several].view(np.int64), may[several]
         order = np.lexsort((of, entry))
-        entry, of = entry[order], of[order]
+        entry, of, may = entry[order], of[order], may[order]
         fresh = np.ones(len(entry), bool)
         fresh[1:] = (entry[1:] != entry[:-1]) | (of[1:] != of[:-1])
-        entry, of = entry[fresh], of[fresh]
+        entry, of, may = entry[fresh], of[fresh], may[fresh]
         if not len(entry):
             return
         starts = np.flatnonzero(np.concatenate([[True], entry[1:] != entry[:-1]]))
         size = np.diff(np.append(starts, len(entry)))
-        centre, size = np.repeat(of[starts], size), np.repeat(size, size)
-        entry, of, centre = entry[size > 1].view(np.int64), of[size > 1], centre[size > 1]
+        size = np.repeat(size, size)
+        entry, of, may, size = entry[size > 1].view(np.int64), of[size > 1], may[size > 1].astype(np.int32), size[size > 1]
         for a in range(0, len(entry), 200_000):
             some = slice(a, a + 200_000)
             none = pa.nulls(len(entry[some]), pa.int64())
-            yield pa.RecordBatch.from_arrays([none, none, pa.array(of[some]), none, pa.array(entry[some]), pa.array(centre[some])], names=["id", "n", "f1", "f2", "entry", "centre"])
+            yield pa.RecordBatch.from_arrays([none, none, pa.array(of[some]), none, pa.array(entry[some]), pa.array(size[some]), pa.array(may[some])], names=["id", "n", "f1", "f2", "entry", "size", "may"])
 
     return packed.repartitionById(parts, F.col("part")).mapInArrow(run, schema)
 
@@ -309,14 +323,19 @@ def join(
     total = sum(r.n * np.exp(r.step / 20) for r in counted)
     parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), round(total / 4_000_000))
     met = stored(_buckets(_packed(docs, width, bands, ones, parts), parts), "jaccard-buckets")
-    index, buckets = met.where("entry is null").drop("entry", "centre"), met.where("entry is not null")
+    index, shared = met.where("entry is null").drop("entry", "size", "may"), met.where("entry is not null").select("entry", "size", "f1", "may")
+    # Each set leaves out its entries with the largest buckets, as many as its scheme has to spare.
+    rank = F.row_number().over(Window.partitionBy("f1", "may").orderBy(F.desc("size"), F.desc("entry")))
+    large = shared.where(F.col("size") > LARGE_BUCKET).withColumn("rank", rank).where(F.col("rank") > F.expr("may div 2")).drop("rank")
+    buckets = stored(shared.where(F.col("size") <= LARGE_BUCKET).union(large).select("entry", "f1"), "jaccard-entries")
     named = index.where("id is not null and n > 0")
     key = ["f1", "f2", "n"]
     set_ids = stored(named.groupBy(*key).agg(F.min("id").alias("set_id")), "jaccard-sets")
 
     # Stars: every member of a bucket with its centre. One fingerprint half may name several sets; all are verified.
     of_print = set_ids.select("f1", "set_id", "n")
-    stars = buckets.where("f1 != centre").select("centre", "f1").distinct()
+    centres = buckets.groupBy("entry").agg(F.min("f1").alias("centre"), F.max("f1").alias("last")).where("centre < last").drop("last")
+    stars = buckets.join(centres, "entry").where("f1 != centre").select("centre", "f1").distinct()
     left = of_print.select(F.col("f1").alias("centre"), F.col("set_id").alias("x"), F.col("n").alias("nx"))
     stars = stars.join(left, "centre").join(of_print, "f1")
     twins = of_print.select("f1", F.col("set_id").alias("x"), F.col("n").alias("nx")).join(of_print, "f1")  # equal halves
