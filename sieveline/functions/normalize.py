@@ -174,8 +174,13 @@ def press_releases(pages: DataFrame, scraped_at: Column, order: Iterable[str] =
     )
 
 
-def normalize_posts(listings: DataFrame, channel: Column, ingested_at: Column | None = None) -> DataFrame:
-    """Listing pages (``data.children[].data``) to one row per post, pinned posts left out."""
+def normalize_posts(
+    listings: DataFrame, channel: Column, ingested_at: Column | None = None, cut: int = C.SNIPPET_CUT
+) -> DataFrame:
+    """Listing pages (``data.children[].data``) to one row per post, pinned posts left out.
+
+    ``body_snippet`` holds the first ``cut`` characters of a post, as the model asks for.
+    """
     posts = listings.select(channel.alias("subreddit"), F.explode("data.children").alias("child"))
     post = lambda name: F.col(f"child.data.{name}")
     flat = posts.filter(~F.coalesce(post("stickied"), F.lit(False))).select(
@@ -186,7 +191,7 @@ def normalize_posts(listings: DataFrame, channel: Column, ingested_at: Column |
         F.coalesce(post("num_comments"), F.lit(0)).try_cast("int").alias("num_comments"),
         post("upvote_ratio").cast("double").alias("upvote_ratio"),
         epoch_to_utc(post("created_utc")).alias("created_utc"),
-        F.substring(F.coalesce(post("selftext"), F.lit("")), 1, C.SNIPPET_CUT).alias("body_snippet"),
+        F.substring(F.coalesce(post("selftext"), F.lit("")), 1, cut).alias("body_snippet"),
     )
     return received(flat, ingested_at)
 

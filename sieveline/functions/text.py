@@ -53,20 +53,27 @@ def decimals(x: Column) -> Column:
     return F.round(x, 8).try_cast("decimal(28,8)")
 
 
+def _own(x: Column) -> Column:
+    """A finite number in its own form."""
+    return F.when(F.abs(x) < float("inf"), x.cast("string"))
+
+
 def fixed(x: Column, digits: int) -> Column:
-    """Text with a fixed number of decimals."""
-    return F.round(decimals(x), digits).cast(f"decimal(28,{digits})").cast("string")
+    """Text with a fixed number of decimals; a number too large for that in its own form."""
+    return F.coalesce(F.round(decimals(x), digits).cast(f"decimal(28,{digits})").cast("string"), _own(x))
 
 
 def signed_pct(x: Column) -> Column:
     """'+1.25%' or '-0.50%'."""
     shown = F.round(decimals(x), 2).cast("decimal(28,2)")
-    return F.concat(F.when(shown >= 0, "+").otherwise(""), shown.cast("string"), F.lit("%"))
+    small = F.concat(F.when(shown >= 0, "+").otherwise(""), shown.cast("string"), F.lit("%"))
+    return F.coalesce(small, F.concat(F.when(x >= 0, "+").otherwise(""), _own(x), F.lit("%")))
 
 
 def whole_pct(x: Column) -> Column:
     """'87%' for 0.87."""
-    return F.concat(F.round(decimals(x) * 100, 0).cast("bigint").cast("string"), F.lit("%"))
+    small = F.concat(F.round(decimals(x) * 100, 0).cast("bigint").cast("string"), F.lit("%"))
+    return F.coalesce(small, F.concat(_own(x * 100), F.lit("%")))
 
 
 def symbol_clean(x: Column, suffix: str = C.EXCHANGE_SUFFIX) -> Column:

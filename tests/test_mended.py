@@ -162,3 +162,12 @@ def test_a_failed_build_leaves_the_last_table(spark, rows):
     with pytest.raises(Exception, match="x"):
         runs.materialize(spark, bad, root)
     assert spark.table("scratch_models.t").count() == 1
+
+
+def test_large_numbers_show_in_their_own_form(rows):
+    from sieveline.functions import text as X
+
+    df = rows([(1e25,), (12.345,), (None,)], "x double")
+    got = [tuple(r) for r in df.select(X.fixed(F.col("x"), 2), X.signed_pct(F.col("x")), X.whole_pct(F.col("x"))).collect()]
+    assert got[0][:2] == ("1.0E25", "+1.0E25%") and got[0][2].endswith("E27%")
+    assert got[1:] == [("12.35", "+12.35%", "1235%"), (None, None, None)]
