@@ -22,13 +22,16 @@ import re
 from collections.abc import Iterator
 from itertools import islice
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql.types import ArrayType, IntegerType, StringType, StructType
 
 from sieveline.llm.common import per_worker, sha256_hex
 
 SPACE = "▁"
 REPLACEMENT = "�"
+SLICE = 500  # rows whose ids are in memory at once
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, BYTE, UNUSED = 1, 2, 3, 4, 6, 5  # piece types of the model format
 
 
@@ -210,16 +213,23 @@ def _text_of(data: bytes) -> str:
 _table = per_worker(PieceTable)
 
 
-def encode(df: DataFrame, model_file: str, text: str = "text", ids: str = "piece_ids") -> DataFrame:
-    """Adds the array column ``ids``; all other columns stay."""
+def encode(df: DataFrame, model_file: str, text: str = "text", ids: str = "piece_ids", decoded: str | None = None) -> DataFrame:
+    """Adds the array column ``ids``, and with ``decoded`` the text that the ids decode to; all other columns stay."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = _table(model_file)
+        table, back = _table(model_file), _decoder(model_file)
         for batch in batches:
-            found = [table.encode(t) for t in batch.column(batch.schema.get_field_index(text)).to_pylist()]
-            yield _with(batch, ids, pa.array(found, pa.list_(pa.int32())))
+            for at in range(0, batch.num_rows, SLICE):
+                part = batch.slice(at, SLICE)
+                joined = [table.encode_decimal(t) for t in part.column(part.schema.get_field_index(text)).to_pylist()]
+                found = [np.array(j.split(","), dtype=np.int32) if j else np.zeros(0, np.int32) for j in joined]
+                columns = [_lists(found)]
+                if decoded:
+                    columns.append(pa.array([back(j.split(",") if j else []).decode() for j in joined], pa.string()))
+                yield pa.RecordBatch.from_arrays([*part.columns, *columns], names=[*part.schema.names, ids, *([decoded] if decoded else [])])
 
-    return df.mapInArrow(run, _schema(df, ids, "ids"))
+    schema = _schema(df, ids, "ids")
+    return df.mapInArrow(run, _schema(df, decoded, "text", schema) if decoded else schema)
 
 
 def decode(df: DataFrame, model_file: str, ids: str = "piece_ids", text: str = "decoded") -> DataFrame:
@@ -228,8 +238,10 @@ def decode(df: DataFrame, model_file: str, ids: str = "piece_ids", text: str = "
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = _table(model_file)
         for batch in batches:
-            found = [table.decode(i or []) for i in batch.column(batch.schema.get_field_index(ids)).to_pylist()]
-            yield _with(batch, text, pa.array(found, pa.string()))
+            for at in range(0, batch.num_rows, SLICE):
+                part = batch.slice(at, SLICE)
+                found = [table.decode(i or []) for i in part.column(part.schema.get_field_index(ids)).to_pylist()]
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(found, pa.string())], names=[*part.schema.names, text])
 
     return df.mapInArrow(run, _schema(df, text, "text"))
 
@@ -244,7 +256,7 @@ def encode_digest(df: DataFrame, model_file: str, doc_id: str = "doc_id", text:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = _table(model_file)
         decoded = _decoder(model_file)
-        for batch in batches:
+        for batch in (b.slice(at, SLICE) for b in batches for at in range(0, b.num_rows, SLICE)):
             counts, of_ids, of_text = [], [], []
             for t in batch.column(1).to_pylist():
                 joined = table.encode_decimal(t)
@@ -284,13 +296,12 @@ def _make_decoder(model_file: str):
 _decoder = per_worker(_make_decoder)
 
 
-def _schema(df: DataFrame, name: str, kind: str):
-    from pyspark.sql.types import ArrayType, IntegerType, StringType, StructType
-
+def _schema(df: DataFrame, name: str, kind: str, before: StructType | None = None) -> StructType:
     if name in df.columns:
         raise ValueError(f"column {name} exists already; pass another name")
-    return StructType(list(df.schema.fields)).add(name, StringType() if kind == "text" else ArrayType(IntegerType()))
+    return StructType(list((before or df.schema).fields)).add(name, StringType() if kind == "text" else ArrayType(IntegerType()))
 
 
-def _with(batch: pa.RecordBatch, name: str, column: pa.Array) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([*batch.columns, column], names=[*batch.schema.names, name])
+def _lists(found: list[np.ndarray]) -> pa.Array:
+    ends = np.cumsum([0, *map(len, found)]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(found) if found else np.zeros(0, np.int32)))

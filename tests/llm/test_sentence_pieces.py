@@ -52,6 +52,8 @@ def test_operator_rows(spark, rows, library):
     assert got == sorted(want, key=str)
     full = sentence_pieces.decode(sentence_pieces.encode(df, MODEL), MODEL)
     assert {(r.text or "", r.decoded) for r in full.collect()} == {(t or "", t or "") for _, t, _ in data}
+    at_once = sentence_pieces.encode(df, MODEL, decoded="decoded")
+    assert sorted(map(str, at_once.collect())) == sorted(map(str, full.collect()))
     with pytest.raises(ValueError):
         sentence_pieces.encode(df, MODEL, ids="text")
 
