@@ -44,7 +44,7 @@ from sieveline.llm.common import in_chunks, stored
 from sieveline.llm.components import components
 from sieveline.llm.shingles import U, distinct_by_text, mix, shingle_hashes
 
-SHUNNED = 0.3  # share of further segments, so of entries with large buckets that a set may leave out
+SHUNNED = 0.2  # share of further segments, so of entries with large buckets that a set may leave out
 LARGE_BUCKET = 6  # buckets up to this size are never left out
 SMALL_SIDE = 1_000_000  # ids that may be broadcast; beyond, a shuffled join
 CHANCE = 0.01  # cost model: chance that a shingle of one set lies in an unrelated set
@@ -164,6 +164,25 @@ def _ratio(similarity: float) -> Fraction:
     return Fraction(similarity).limit_denominator(10_000)
 
 
+def _blob(entry: np.ndarray, of: np.ndarray, may: np.ndarray) -> bytes:
+    """Entries, and for each the place of its set in a list of (fingerprint, may)."""
+    order = np.lexsort((may, of))
+    fresh = np.ones(len(order), bool)
+    fresh[1:] = (of[order][1:] != of[order][:-1]) | (may[order][1:] != may[order][:-1])
+    place = np.empty(len(order), np.uint32)
+    place[order] = np.cumsum(fresh) - 1
+    listed = order[fresh]
+    return np.uint32(len(listed)).tobytes() + of[listed].tobytes() + may[listed].tobytes() + entry.tobytes() + place.tobytes()
+
+
+def _unblob(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    n = int(np.frombuffer(raw, np.uint32, 1)[0])
+    of, may = np.frombuffer(raw, U, n, 4), np.frombuffer(raw, np.uint16, n, 4 + 8 * n)
+    k = (len(raw) - 4 - 10 * n) // 12
+    entry, place = np.frombuffer(raw, U, k, 4 + 10 * n), np.frombuffer(raw, np.uint32, k, 4 + 10 * n + 8 * k)
+    return entry, of[place], may[place]
+
+
 def _packed(docs: DataFrame, width: int, bands: Bands, ones: np.ndarray, parts: int) -> DataFrame:
     """Index entries with fingerprints, packed by partition; with part -1 (id, n, f1, f2) of each text."""
 
@@ -186,7 +205,7 @@ def _packed(docs: DataFrame, width: int, bands: Bands, ones: np.ndarray, parts:
                 for t in texts:
                     writer.write_batch(t)
             number = [int(texts_part())] + [int(part[c]) for c in cuts[:-1]]
-            data = [sink.getvalue().to_pybytes()] + [entry[c:d].tobytes() + of[c:d].tobytes() + may[c:d].tobytes() for c, d in zip(cuts[:-1], cuts[1:], strict=True)]
+            data = [sink.getvalue().to_pybytes()] + [_blob(entry[c:d], of[c:d], may[c:d]) for c, d in zip(cuts[:-1], cuts[1:], strict=True)]
             kind = [True] + [False] * (len(data) - 1)
             held.clear()
             texts.clear()
@@ -199,7 +218,7 @@ def _packed(docs: DataFrame, width: int, bands: Bands, ones: np.ndarray, parts:
 
         count = 0
         for batch in batches:
-            for some in in_chunks(batch, "text", 1 << 20):
+            for some in in_chunks(batch, "text", 1 << 18):
                 hashes, starts = distinct_by_text(*shingle_hashes(some.column(1), width))
                 entries, may, at = signatures(hashes, starts, bands, ones)
                 prints = np.zeros((2, some.num_rows), U)
@@ -234,9 +253,7 @@ def _buckets(packed: DataFrame, parts: int) -> DataFrame:
                         none = pa.nulls(t.num_rows, pa.int64())
                         yield pa.RecordBatch.from_arrays([*t.columns, none, none, none.cast(pa.int32())], names=["id", "n", "f1", "f2", "entry", "size", "may"])
                     continue
-                raw = data.as_py()
-                k = len(raw) // 18
-                blobs.append((np.frombuffer(raw, U, k), np.frombuffer(raw, U, k, 8 * k), np.frombuffer(raw, np.uint16, k, 16 * k)))
+                blobs.append(_unblob(data.as_py()))
         if not blobs:
             return
         entry, of, may = (np.concatenate(c) for c in zip(*blobs, strict=True))
@@ -268,7 +285,7 @@ def _buckets(packed: DataFrame, parts: int) -> DataFrame:
 def _sets(docs: DataFrame, width: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in in_chunks(batch, "text", 1 << 20):
+            for part in in_chunks(batch, "text", 1 << 18):
                 hashes, starts = distinct_by_text(*shingle_hashes(part.column(1), width))
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), pa.ListArray.from_arrays(pa.array(starts.astype(np.int32)), pa.array(hashes.view(np.int64)))],
