@@ -18,6 +18,7 @@ columns of the input are not written. An empty table gives an empty set.
 
 from __future__ import annotations
 
+import os
 import struct
 import zlib
 from array import array
@@ -50,6 +51,7 @@ class WordIds(dict):
     def __init__(self, tokenizer_file: str, keep: int = 1_200_000, keep_length: int = 48):
         from tokenizers import Tokenizer
 
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core; a pool of threads would only spin
         super().__init__()
         self.tokenizer = Tokenizer.from_file(tokenizer_file)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
