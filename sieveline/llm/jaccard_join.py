@@ -396,3 +396,22 @@ def join(
         )
     )
     return members, links
+
+
+def oracle(similarity: float = 0.9, width: int = 3) -> str:
+    """doc_id, n_shingles and component_id over ``documents`` in DuckDB's SQL (links by a join on shingles)."""
+    ratio = _ratio(similarity)
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    return f"""
+    with recursive w as (
+        select doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), '{upper}', '{upper.lower()}'), '[\\x20\\x09-\\x0D]+'),
+          lambda x: x <> '') as ws from documents),
+      s as (select distinct doc_id, unnest(case when len(ws) = 0 then [] when len(ws) < {width} then [array_to_string(ws, ' ')]
+          else list_transform(generate_series(1, len(ws) - {width - 1}), lambda i: array_to_string(ws[i:i + {width - 1}], ' ')) end) as sh from w),
+      n as (select doc_id, count(*) as n from s group by doc_id),
+      p as (select a.doc_id as x, b.doc_id as y, count(*) as c from s a join s b using (sh) where a.doc_id <> b.doc_id group by all),
+      e as (select x, y from p join n nx on x = nx.doc_id join n ny on y = ny.doc_id
+        where {ratio.denominator} * c >= {ratio.numerator} * (nx.n + ny.n - c)),
+      r(doc_id, other) as (select doc_id, doc_id from documents union select r.doc_id, e.y from r join e on r.other = e.x)
+    select doc_id, coalesce(any_value(n), 0) as n_shingles, min(other) as component_id
+    from r left join n using (doc_id) group by doc_id"""
