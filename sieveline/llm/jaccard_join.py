@@ -46,6 +46,7 @@ from sieveline.llm.shingles import U, distinct_by_text, mix, shingle_hashes
 
 SHUNNED = 0.2  # share of further segments, so of entries with large buckets that a set may leave out
 LARGE_BUCKET = 6  # buckets up to this size are never left out
+ROUNDS = 3  # of further centres, before open pairs are verified one by one
 SMALL_SIDE = 1_000_000  # ids that may be broadcast; beyond, a shuffled join
 CHANCE = 0.01  # cost model: chance that a shingle of one set lies in an unrelated set
 WORD_BYTES = 6  # cost model: bytes of a word and its blank
@@ -363,20 +364,36 @@ def join(
     labels = stored(components(links), "jaccard-components")
 
     # What the stars leave open: members of a bucket in different components, within the size ratio.
-    sets = of_print.join(labels, of_print.set_id == labels.node, "left")
-    sets = sets.select("f1", "set_id", "n", F.coalesce("component", "set_id").alias("component"))
-    members = buckets.select("entry", "f1").join(sets, "f1")
-    open_ = members.groupBy("entry").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("entry")
-    left = stored(members.join(open_, "entry", "left_semi"), "jaccard-open")
+    # Further rounds pair them with other centres; sets of one class, linked to different ones, so
+    # come together. Then every pair that is still open is verified, so that no link is missed.
+    def left_open(labels: DataFrame) -> DataFrame:
+        sets = of_print.join(labels, of_print.set_id == labels.node, "left")
+        sets = sets.select("f1", "set_id", "n", F.coalesce("component", "set_id").alias("component"))
+        members = buckets.join(sets, "f1").drop("f1")
+        several = members.groupBy("entry").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("entry")
+        return stored(members.join(several, "entry", "left_semi"), "jaccard-open")
+
+    near = f"least(x.n, y.n) * {ratio.denominator} >= greatest(x.n, y.n) * {ratio.numerator}"
+    ordered = [F.least("x.set_id", "y.set_id").alias("a"), F.greatest("x.set_id", "y.set_id").alias("b")]
+    left = left_open(labels)
+    for turn in range(ROUNDS):
+        centre = left.groupBy("entry").agg(F.min_by(F.struct("set_id", "n", "component"), F.xxhash64("set_id", F.lit(turn))).alias("c")).select("entry", "c.*")
+        x, y = left.alias("x"), centre.alias("y")
+        new = x.join(y, "entry").where(f"x.component != y.component and {near}").select(*ordered).distinct()
+        new = stored(new.join(pairs, ["a", "b"], "left_anti"), "jaccard-pairs")
+        if new.limit(1).count() == 0:
+            break
+        more = stored(_verified(new, docs, width, ratio), "jaccard-links")
+        pairs = pairs.union(new)
+        if more.limit(1).count() == 0:
+            break
+        links = links.union(more)
+        left = left_open(stored(components(links), "jaccard-components"))
     x, y = left.alias("x"), left.alias("y")
-    rest = (
-        x.join(y, F.expr("x.entry = y.entry and x.set_id < y.set_id and x.component != y.component"))
-        .where(F.expr(f"least(x.n, y.n) * {ratio.denominator} >= greatest(x.n, y.n) * {ratio.numerator}"))
-        .select(F.col("x.set_id").alias("a"), F.col("y.set_id").alias("b"))
-        .distinct()
-    )
+    rest = x.join(y, F.expr(f"x.entry = y.entry and x.set_id < y.set_id and x.component != y.component and {near}")).select(*ordered).distinct()
     rest = stored(rest.join(pairs, ["a", "b"], "left_anti"), "jaccard-rest")
-    links = links.union(_verified(rest, docs, width, ratio))
+    if rest.limit(1).count():
+        links = links.union(_verified(rest, docs, width, ratio))
 
     of_id = named.select("id", *key).distinct().join(set_ids, key).select("id", "set_id")
     # Rows that share an id tie their sets together.
