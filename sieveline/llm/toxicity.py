@@ -314,22 +314,27 @@ class _Margins(dict):
         super().__init__()
         self.model, self.keep = model, keep
 
-    def learn(self, words: list[str]) -> None:
+    def learn(self, words: list[str]) -> dict[str, float]:
         if len(self) + len(words) > self.keep:
             for word in list(self)[: self.keep // 2]:
                 del self[word]
+        learned: dict[str, float] = {}
         for at in range(0, len(words), 4000):
             some = words[at : at + 4000]
-            self.update(zip(some, self.model.margins(some).tolist(), strict=True))
+            learned.update(zip(some, self.model.margins(some).tolist(), strict=True))
+        self.update(learned)
+        return learned
 
     def largest(self, texts: list[str | None]) -> list[float]:
         split = [strings_of(t) for t in texts]
-        new = {w for words in split for w in words if w not in self}
-        once = {w for w in new if len(w) > 2 * WINDOW}
+        # The batch's own table: learning may drop words that are known now.
+        here = {w: self.get(w) for words in split for w in words}
+        new = [w for w, margin in here.items() if margin is None]
+        once = [w for w in new if len(w) > 2 * WINDOW]
         if new:
-            self.learn(list(new))
+            here.update(self.learn(new))
         low = self.model.bias
-        found = [max(map(self.__getitem__, words), default=low) for words in split]
+        found = [max(map(here.__getitem__, words), default=low) for words in split]
         for w in once:
             self.pop(w, None)
         return found

@@ -72,6 +72,15 @@ def test_disguises_and_clean_texts(spark, rows, model):
     assert all(0 <= r.score <= 1 for r in got.values())
 
 
+def test_a_full_table_keeps_the_words_of_the_batch(model):
+    texts = ["the river runs", "the mill and the field", "", "the grumblork walks past wheat", "the river sings"]
+    want = [max(model.margins(tx.strings_of(t)).tolist(), default=model.bias) for t in texts]
+    for keep in (2, 4, 6):
+        table = tx._Margins(model, keep=keep)
+        assert [table.largest([t])[0] for t in texts] == want
+        assert table.largest(texts) == want
+
+
 def test_nothing_to_learn_from(spark, rows):
     for data in ([], [(1, "a text", 1)], [(1, "a text", None), (2, None, 0)], [(1, "a text here", 0), (2, "a text here", 1)]):
         df = rows(data, "doc_id long, text string, toxic int")
