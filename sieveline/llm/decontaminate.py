@@ -15,7 +15,8 @@ All of it is DataFrame operations. Minima are broadcast when few and joined by s
 otherwise; rows per document are reduced to distinct (document, item) before they are moved.
 
 Row rules: null texts are empty, and empty items are in no document. Rows with the same doc_id are one document
-(an item is in it when one of its rows holds it; the best row counts); so are rows without one.
+(an item is in it when one of its rows holds it; the best row counts); so are rows without one, but
+``clean`` judges those one by one.
 Repeated items with one id count once, by their best text. Other columns are not read.
 """
 
@@ -94,11 +95,18 @@ def find(
     return best.select(F.col("doc").alias(doc_id), F.col("item").alias(item_id), F.col("best.shared").alias("n_shared"), F.col("best.n").alias("n_shingles"))
 
 
-def clean(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", **options) -> DataFrame:
-    """Rows of ``docs`` whose document holds no item; all columns. Rows without an id stay unless one of them holds one."""
-    held = find(docs, items, doc_id=doc_id, **options).select(F.col(doc_id).alias("_held")).distinct()
+def clean(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", by_row: bool = False, text: str = "text", **options) -> DataFrame:
+    """Rows of ``docs`` whose document holds no item; all columns.
+
+    A row without an id is a document of its own; with ``by_row`` every row is. Such rows are judged by
+    their text, under its fingerprint.
+    """
+    own = F.concat(F.lit("text "), F.md5(F.col(text).cast("string")))
+    key = own if by_row else F.coalesce(F.concat(F.lit("id "), F.col(doc_id).cast("string")), own)
+    keyed = docs.withColumn("_key", key)
+    held = find(keyed, items, doc_id="_key", text=text, **options).select(F.col("_key").alias("_held")).distinct()
     held = _few(stored(held, "held"))
-    return docs.join(held, F.expr(f"`{doc_id}` <=> _held"), "left_anti")
+    return keyed.join(held, F.col("_key") == F.col("_held"), "left_anti").drop("_key")
 
 
 def oracle(containment: float = 0.8, width: int = 5) -> str:

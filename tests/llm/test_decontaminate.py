@@ -68,6 +68,15 @@ def test_odd_rows(spark, rows):
     assert dc.clean(d, none[1]).count() == len(docs)
 
 
+def test_clean_judges_rows_without_an_id_one_by_one(spark, rows):
+    text = "one two three four five six seven"
+    docs = [(None, "zero " + text), (None, "a clean text"), (None, None), (None, ""), (1, text), (1, "another clean text"), (2, "clean")]
+    d, i = rows(docs, "doc_id long, text string"), rows([(10, text)], "item_id long, text string")
+    key = lambda r: str(tuple(r))
+    assert sorted(map(tuple, dc.clean(d, i).collect()), key=key) == sorted([*docs[1:4], docs[6]], key=key)
+    assert sorted(map(tuple, dc.clean(d, i, by_row=True).collect()), key=key) == sorted([*docs[1:4], *docs[5:]], key=key)
+
+
 @pytest.mark.parametrize("sf", ["sf0.001", "sf0.01"])
 def test_given_tables_equal_sql(spark, sf):
     path = f"/root/testdata/{sf}"
