@@ -33,10 +33,19 @@ KINDS = ("email", "ip", "card", "phone")
 FOUND = "found"
 _PART = "0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
 IP_RANGE = rf"^{_PART}(?:\.{_PART}){{3}}$"
-# A cue is a word and the signs and blanks after it; a value starts behind them and holds a digit.
+# A cue is a word and the signs and blanks after it; a value starts behind them and holds a digit. A value that
+# starts with a digit, a bracketed prefix or the four characters of an IBAN runs over further groups of
+# digits, joined by single blanks, brackets or dashes. Such a prefix's bracket is the value's, not the cue's.
 _SIGNS = r"\s=:\"',;()<>|"
-CUE = rf"[^{_SIGNS}]++[{_SIGNS}]++"
-VALUE = rf"(?:\G|(?<![^{_SIGNS}]))[^{_SIGNS}0-9]*+[0-9][^{_SIGNS}]*+"
+_PREFIX = r"\([0-9]++\)(?=[\x20-]?+[0-9])"
+_GROUP = rf"[0-9]++(?:[./-][0-9]++)*+(?=[.!?]*+(?![^{_SIGNS}]))"
+_MORE = rf"(?:(?<![.!?])(?:(?:[\x20-]|(?<=\))){_GROUP}|\x20?+{_PREFIX}))*+"
+_IBAN = r"[A-Za-z]{2}[0-9]{2}(?:\x20[A-Z0-9]{4}(?=\x20[A-Z0-9]{0,3}[0-9](?![\p{L}\p{N}]))|\x20[A-Z0-9]{0,3}[0-9](?![\p{L}\p{N}]))++"
+_OPENED = rf"(?<=[^{_SIGNS}]\()[0-9]++\)(?=[\x20-]?+[0-9])"
+_HEADS = rf"{_IBAN}|(?:{_PREFIX}|{_OPENED}|\+?+[0-9][^{_SIGNS}]*+){_MORE}|[^{_SIGNS}0-9]*+[0-9][^{_SIGNS}]*+"
+VALUE = rf"(?:\G|(?<![^{_SIGNS}]))(?:{_HEADS})"
+HEAD = rf"^\(?[^{_SIGNS}]+"  # of a value: its first group
+CUE = rf"[^{_SIGNS}]++[{_SIGNS}](?:(?!{_PREFIX})[{_SIGNS}])*+"
 LAST_CUE = rf"([^{_SIGNS}]+[{_SIGNS}]+)$"
 
 SMALL_SIDE = 500_000  # cues that may be broadcast; beyond, a shuffled join
@@ -112,19 +121,29 @@ def spans(df: DataFrame, keep: tuple[str, ...] = ("doc_id",), text_col: str = "t
         for k in KINDS
     ]
     base = F.concat(*[F.transform(k, lambda m: F.struct(m["s"].alias("s"), m["e"].alias("e"))) for k in KINDS])
-    # A token's end has no closing marks; tokens that touch a base span are not looked at again.
-    trimmed = F.transform(
+
+    # A word with a digit is a value itself; where only signs follow it, it is the next value's cue too.
+    def cue(m: Column, i: Column) -> Column:
+        before = F.get("tokens", i - 1)["v"]
+        follows = (i > 0) & before.rlike(r"^\p{L}") & m["gap"].rlike(rf"^[{_SIGNS}]+$")
+        return F.coalesce(_cue(m["gap"]), F.when(follows, _cue(F.concat(before, m["gap"]))))
+
+    # A token's end has no closing marks; tokens whose first group touches a base span are not looked at
+    # again, those that run into one end before it.
+    heads = F.transform(
         F.col("tokens"),
-        lambda m: F.struct(
-            m["s"].alias("s"),
-            (m["s"] + F.length(_value(m["v"]))).alias("e"),
-            _value(m["v"]).alias("v"),
-            _cue(m["gap"]).alias("cue"),
-        ),
+        lambda m, i: F.struct(m["s"].alias("s"), m["e"].alias("e"), m["v"].alias("v"), (m["s"] + F.length(_value(F.regexp_extract(m["v"], HEAD, 0)))).alias("head"), cue(m, i).alias("cue")),
     )
-    free = F.filter(trimmed, lambda t: t["cue"].isNotNull() & ~F.exists(F.col("_base"), lambda b: (b["s"] < t["e"]) & (t["s"] < b["e"])))
+    apart = F.filter(F.col("_heads"), lambda t: t["cue"].isNotNull() & ~F.exists(F.col("_base"), lambda b: (b["s"] < t["head"]) & (t["s"] < b["e"])))
+
+    def trimmed(m: Column) -> Column:
+        first = F.array_min(F.transform(F.filter(F.col("_base"), lambda b: (b["s"] >= m["head"]) & (b["s"] < m["e"])), lambda b: b["s"]))
+        return F.when(first.isNull(), _value(m["v"])).otherwise(F.regexp_replace(F.lower(F.substring(m["v"], F.lit(1), first - m["s"])), r"[^\p{L}\p{N}]+$", ""))
+
+    free = F.transform(F.col("_apart"), lambda m: F.struct(m["s"].alias("s"), (m["s"] + F.length(trimmed(m))).alias("e"), trimmed(m).alias("v"), m["cue"].alias("cue")))
     return (
-        cut.withColumn("_base", base).withColumn("_free", free).select("row", *keep, *shaped, F.col("_free").alias("tokens"))
+        cut.withColumn("_base", base).withColumn("_heads", heads).withColumn("_apart", apart).withColumn("_free", free)
+        .select("row", *keep, *shaped, F.col("_free").alias("tokens"))
     )
 
 

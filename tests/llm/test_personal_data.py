@@ -73,6 +73,18 @@ def test_contexts_lead_to_unseen_identifiers(spark, rows):
     assert all(got[i].startswith("phone:") for i in range(12))
 
 
+def test_found_identifiers_are_whole(spark, rows):
+    texts = [f"call {cue}: +1 (234) 567-{i:04d} today" for cue in ("tel", "tel2") for i in range(400)]
+    whole = ["030 99 88 77", "030-99 88-77", "(030) 998877", "(030)99 88 77", "0049 (30) 998877", "DE89 3704 0044 0532", "GB29 NWBK 6016 1331 9268 19", "FR14 2004 1010 0505 0001 3M02 606", "030/998877", "030-998877"]
+    cases = [(f"my tel: {w}{end}", w) for w in whole for end in ("", " soon", ". 12 of them", ", 12", "! Then", " 5th floor")]
+    cases += [(f"my tel2: {w} soon", w) for w in whole]
+    cases += [("tel: 030 99 88 10.0.0.1 x", "030 99 88"), ("tel: 030 99 +1 (234) 567-8900", "030 99"), ("tel: 030 998 a@b.co", "030 998"), ("tel: 030 77 5@b.co", "030 77")]
+    got = {r.doc_id: r.spans.split(",") for r in pd_.digest(pd_.extract(rows(list(enumerate(texts + [t for t, _ in cases])), "doc_id long, text string"))).collect()}
+    for i, (text, value) in enumerate(cases, len(texts)):
+        s = text.index(value)
+        assert [x for x in got[i] if x.startswith("found")] == [f"found:{s}:{s + len(value)}"], (text, got[i])
+
+
 def test_trust_spreads_over_values(spark, rows):
     """A value found behind a learned cue makes a second cue credible in the next round."""
     texts = [f"write tel: +1 (234) 567-89{i:02d} now" for i in range(30)]
