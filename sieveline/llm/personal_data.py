@@ -8,8 +8,10 @@ corpus that stand before a trusted value, a value's confidence that of its cues
 together; values of confident cues become trusted and support further cues. Tokens with a digit that
 stand behind a confident cue and are no base match are the found identifiers.
 
+Rounds end when one changes nothing more.
+
 All of it is DataFrame operations; no Python runs on rows. Cues with too few
-distinct seeds never enter the graph; counts of cues and of values are map-side combined, and
+distinct values never enter the graph; counts of cues and of values are map-side combined, and
 what is broadcast is counted first.
 
 Row rules: null text counts as empty and has no spans; every row gives one row, repeated
@@ -19,6 +21,8 @@ rows and null ids included; columns that
 
 from __future__ import annotations
 
+import itertools
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from sieveline.llm.common import stored
@@ -49,6 +53,7 @@ CUE = rf"[^{_SIGNS}]++[{_SIGNS}](?:(?!{_PREFIX})[{_SIGNS}])*+"
 LAST_CUE = rf"([^{_SIGNS}]+[{_SIGNS}]+)$"
 
 SMALL_SIDE = 500_000  # cues that may be broadcast; beyond, a shuffled join
+SETTLED = 0.001  # a round that raises no cue's confidence by more is the last
 _SPAN = "array<struct<s:int,e:int,v:string,gap:string>>"
 
 
@@ -160,42 +165,46 @@ def learn_cues(
     text_col: str = "text",
     support: int = 5,
     confidence: float = 0.8,
-    rounds: int = 3,
+    rounds: int | None = None,
 ) -> DataFrame:
     """Confident cues (cue, confidence) from the graph of cues and values in ``found``.
 
     ``support``: distinct trusted values a cue needs. ``confidence``: least share of a cue's
-    occurrences in all texts that stand before trusted values.
+    occurrences in all texts that stand before trusted values. ``rounds``: most rounds; without it they end
+    when one adds no cue and raises no confidence by more than SETTLED.
     """
     seeds = found.select(F.explode(F.concat(*KINDS)).alias("m")).select("m.cue", "m.v", F.lit(1.0).alias("trust"))
     others = found.select(F.explode("tokens").alias("m")).select("m.cue", "m.v", F.lit(0.0).alias("trust"))
     edges = seeds.union(others).where("cue is not null").groupBy("cue", "v").agg(F.count("*").alias("n"), F.max("trust").alias("seed"))
     edges = stored(edges, "cue-graph")
-    enough = edges.groupBy("cue").agg(F.count("*").alias("values"), F.sum("seed").alias("seeds"))
     # Later rounds can trust values that are no seeds, so any cue with enough values may enter.
-    enough = stored(enough.where((F.col("values") >= support) & (F.col("seeds") > 0)).select("cue"), "cues")
+    enough = stored(edges.groupBy("cue").agg(F.count("*").alias("values")).where(F.col("values") >= support).select("cue"), "cues")
     small = enough.limit(SMALL_SIDE + 1).count() <= SMALL_SIDE
     cues = F.broadcast(enough) if small else enough
     said = stored(_occurrences(df.where(F.col(text_col).isNotNull()), text_col, cues), "cue-counts")
-    edges = edges.join(enough, "cue")
-    trusted = edges.where("seed > 0").select("v", F.lit(1.0).alias("trust")).distinct()
-    scored = None
-    for _ in range(rounds):
-        held = edges.join(trusted, "v", "left").withColumn("trust", F.coalesce("trust", F.lit(0.0)))
+    edges = stored(edges.join(cues, "cue"), "cue-edges")
+    seeds_ = edges.where("seed > 0").select("v", F.lit(1.0).alias("trust")).distinct()
+    trusted, before = seeds_, None
+    for turn in itertools.count(1):
+        # Values without trust add nothing to a cue.
+        held = edges.join(trusted, "v")
         scores = held.groupBy("cue").agg(F.sum(F.col("n") * F.col("trust")).alias("good"), F.count_if(F.col("trust") >= confidence).alias("values"))
         scored = scores.join(said, "cue").where(F.col("values") >= support).select("cue", F.least(F.col("good") / F.col("said"), F.lit(1.0)).alias("confidence"))
-        scored = stored(scored, "cue-scores")
+        scored = stored(scored.where(F.col("confidence") >= confidence), "cue-scores")
+        # Trust only grows from round to round; where no cue's confidence does, no further cue can follow.
+        grown = scored if before is None else scored.join(before.withColumnRenamed("confidence", "old"), "cue", "left").where(F.col("confidence") - F.coalesce("old", F.lit(0.0)) > SETTLED)
+        if turn == rounds or grown.limit(1).count() == 0:
+            return scored
+        before, now = scored, scored.limit(SMALL_SIDE + 1).count()
         # A value's trust: that at least one of its cues is right, were they independent.
-        doubt = edges.join(scored.where(F.col("confidence") >= confidence), "cue").groupBy("v").agg(
+        doubt = edges.join(F.broadcast(scored) if now <= SMALL_SIDE else scored, "cue").groupBy("v").agg(
             (1 - F.exp(F.sum(F.log(F.greatest(1 - F.col("confidence"), F.lit(1e-6)))))).alias("trust")
         )
-        seeds_ = edges.where("seed > 0").select("v", F.lit(1.0).alias("trust"))
-        trusted = seeds_.union(doubt).groupBy("v").agg(F.max("trust").alias("trust"))
-    return scored.where(F.col("confidence") >= confidence)
+        trusted = stored(seeds_.union(doubt).groupBy("v").agg(F.max("trust").alias("trust")), "trusted")
 
 
 def extract(
-    df: DataFrame, keep: tuple[str, ...] = ("doc_id",), text_col: str = "text", support: int = 5, confidence: float = 0.8, rounds: int = 3
+    df: DataFrame, keep: tuple[str, ...] = ("doc_id",), text_col: str = "text", support: int = 5, confidence: float = 0.8, rounds: int | None = None
 ) -> DataFrame:
     """One row per input row: row, the ``keep`` columns, and an array of spans (kind, s, e) in the order of kinds, then start."""
     found = stored(spans(df, keep, text_col), "spans")

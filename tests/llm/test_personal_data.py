@@ -96,6 +96,18 @@ def test_trust_spreads_over_values(spark, rows):
     assert first[43] == "" and third[43] == "found:5:15"
 
 
+def test_cues_without_seeds_are_learned_until_none_is_added(spark, rows):
+    """Each cue stands mostly before values of the cue before it; only the first has base matches."""
+    texts = [f"tel: +1 (234) 567-{i:04d}" for i in range(400)] + [f"tel: 030-9000{i:02d}" for i in range(6)]
+    for k, cue in enumerate(("fona", "fonb", "fonc", "fond")):
+        texts += ["; ".join([f"{cue}= 030-9{k}00{i:02d}"] * 30 + [f"{cue}= 030-9{k + 1}00{i:02d}"]) for i in range(6)]
+    texts += [f"{cue}= 040-112233" for cue in ("fona", "fonb", "fonc", "fond", "other")]
+    df = rows(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.spans for r in pd_.digest(pd_.extract(df)).collect()}
+    last = len(texts) - 5
+    assert [got[last + k] for k in range(5)] == ["found:6:16"] * 4 + [""]
+
+
 def test_masked_texts(spark, rows):
     df = rows([(1, "mail a@b.co or 1.2.3.4!", "x"), (1, "plain", "x"), (None, None, "y")], "doc_id long, text string, spans_ string")
     from pyspark.sql import functions as F
