@@ -222,10 +222,7 @@ def _packed(docs: DataFrame, width: int, bands: Bands, ones: np.ndarray, parts:
             for some in in_chunks(batch, "text", 1 << 18):
                 hashes, starts = distinct_by_text(*shingle_hashes(some.column(1), width))
                 entries, may, at = signatures(hashes, starts, bands, ones)
-                prints = np.zeros((2, some.num_rows), U)
-                owner = np.repeat(np.arange(some.num_rows), np.diff(starts))
-                for k in range(2):
-                    np.add.at(prints[k], owner, mix(hashes + U(0x51ED270B7F4A7C15 * (k + 1) & (2**64 - 1))))
+                prints = [_print(hashes, starts, half) for half in range(2)]
                 named = ~np.asarray(some.column(0).is_null())
                 of = np.repeat(np.arange(some.num_rows), np.diff(at))
                 held.append((entries[named[of]], prints[0][of][named[of]], may[named[of]]))
@@ -283,17 +280,29 @@ def _buckets(packed: DataFrame, parts: int) -> DataFrame:
     return packed.repartitionById(parts, F.col("part")).mapInArrow(run, schema)
 
 
+def _print(hashes: np.ndarray, starts: np.ndarray, half: int) -> np.ndarray:
+    """One half (0 or 1) of the fingerprint of each set."""
+    out = np.zeros(len(starts) - 1, U)
+    owner = np.repeat(np.arange(len(out)), np.diff(starts))
+    np.add.at(out, owner, mix(hashes + U(0x51ED270B7F4A7C15 * (half + 1) & (2**64 - 1))))
+    return out
+
+
 def _sets(docs: DataFrame, width: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in in_chunks(batch, "text", 1 << 18):
                 hashes, starts = distinct_by_text(*shingle_hashes(part.column(1), width))
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.ListArray.from_arrays(pa.array(starts.astype(np.int32)), pa.array(hashes.view(np.int64)))],
-                    names=["id", "shingles"],
+                    [
+                        part.column(0),
+                        pa.array(_print(hashes, starts, 0).view(np.int64)),
+                        pa.ListArray.from_arrays(pa.array(starts.astype(np.int32)), pa.array(hashes.view(np.int64))),
+                    ],
+                    names=["id", "f1", "shingles"],
                 )
 
-    return docs.mapInArrow(run, "id long, shingles array<long>")
+    return docs.mapInArrow(run, "id long, f1 long, shingles array<long>")
 
 
 def _few(df: DataFrame) -> DataFrame:
@@ -302,12 +311,15 @@ def _few(df: DataFrame) -> DataFrame:
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, width: int, similarity: Fraction) -> DataFrame:
-    """Those pairs (a, b) whose whole sets are similar enough, with intersection and union sizes."""
-    wanted = stored(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "candidates")
-    sets = stored(_sets(docs.join(_few(wanted), "id", "left_semi"), width).dropDuplicates(["id"]), "sets")
-    left = sets.select(F.col("id").alias("a"), F.col("shingles").alias("of_a"))
-    right = sets.select(F.col("id").alias("b"), F.col("shingles").alias("of_b"))
-    both = pairs.join(left, "a").join(right, "b")
+    """Those pairs (a, b), sets by id and fingerprint, whose whole sets are similar enough, with intersection and union sizes."""
+    wanted = pairs.select(F.explode(F.array(F.struct(F.col("a").alias("id"), F.col("fa").alias("f1")), F.struct(F.col("b").alias("id"), F.col("fb").alias("f1")))).alias("w"))
+    wanted = stored(wanted.select("w.*").distinct(), "candidates")
+    of_ids = _sets(docs.join(_few(wanted.select("id").distinct()), "id", "left_semi"), width)
+    # An id may have other texts than the one that is meant.
+    sets = stored(of_ids.join(_few(wanted), ["id", "f1"], "left_semi").dropDuplicates(["id", "f1"]), "sets")
+    left = sets.select(F.col("id").alias("a"), F.col("f1").alias("fa"), F.col("shingles").alias("of_a"))
+    right = sets.select(F.col("id").alias("b"), F.col("f1").alias("fb"), F.col("shingles").alias("of_b"))
+    both = pairs.join(left, ["a", "fa"]).join(right, ["b", "fb"])
     common = F.size(F.array_intersect("of_a", "of_b"))
     sized = both.select("a", "b", common.alias("common"), (F.size("of_a") + F.size("of_b") - common).alias("all"))
     return sized.where(F.col("common") * similarity.denominator >= F.col("all") * similarity.numerator)
@@ -322,7 +334,7 @@ def join(
     set_id (smallest id with the same set), component_id (smallest id reachable by
     links, itself included) - null where the id is null, the id itself where the set is empty.
     links: verified pairs of set_ids (a < b) with ``common`` and ``all``, enough to connect
-    every class. Texts without words and null texts have empty sets and link with nothing. Rows with
+    every class; a pair of repeated ids may have a row for each pair of texts. Texts without words and null texts have empty sets and link with nothing. Rows with
     the same id count as one document that has all their links. Other columns are not returned.
     """
     ratio = _ratio(similarity)
@@ -355,11 +367,19 @@ def join(
     centres = buckets.groupBy("entry").agg(F.min("f1").alias("centre"), F.max("f1").alias("last")).where("centre < last").drop("last")
     stars = buckets.join(centres, "entry").where("f1 != centre").select("centre", "f1").distinct()
     left = of_print.select(F.col("f1").alias("centre"), F.col("set_id").alias("x"), F.col("n").alias("nx"))
-    stars = stars.join(left, "centre").join(of_print, "f1")
-    twins = of_print.select("f1", F.col("set_id").alias("x"), F.col("n").alias("nx")).join(of_print, "f1")  # equal halves
+    stars = stars.join(left, "centre").join(of_print, "f1").withColumn("fx", F.col("centre"))
+    twins = of_print.select("f1", F.col("set_id").alias("x"), F.col("n").alias("nx")).join(of_print, "f1").withColumn("fx", F.col("f1"))  # equal halves
     close = f"least(n, nx) * {ratio.denominator} >= greatest(n, nx) * {ratio.numerator} and x != set_id"
-    both = stars.select("x", "set_id", "n", "nx").union(twins.where("x < set_id").select("x", "set_id", "n", "nx")).where(close)
-    pairs = stored(both.select(F.least("x", "set_id").alias("a"), F.greatest("x", "set_id").alias("b")).distinct(), "jaccard-pairs")
+    columns = ["x", "fx", "set_id", "f1", "n", "nx"]
+    both = stars.select(*columns).union(twins.where("x < set_id").select(*columns)).where(close)
+    # Ids may have several texts: a pair names the fingerprints too.
+    ends = ["a", "fa", "b", "fb"]
+
+    def ordered(x: str, fx: str, y: str, fy: str) -> list:
+        lower = F.col(x) < F.col(y)
+        return [F.least(x, y).alias("a"), F.when(lower, F.col(fx)).otherwise(F.col(fy)).alias("fa"), F.greatest(x, y).alias("b"), F.when(lower, F.col(fy)).otherwise(F.col(fx)).alias("fb")]
+
+    pairs = stored(both.select(*ordered("x", "fx", "set_id", "f1")).distinct(), "jaccard-pairs")
     links = stored(_verified(pairs, docs, width, ratio), "jaccard-links")
     labels = stored(components(links), "jaccard-components")
 
@@ -369,18 +389,18 @@ def join(
     def left_open(labels: DataFrame) -> DataFrame:
         sets = of_print.join(labels, of_print.set_id == labels.node, "left")
         sets = sets.select("f1", "set_id", "n", F.coalesce("component", "set_id").alias("component"))
-        members = buckets.join(sets, "f1").drop("f1")
+        members = buckets.join(sets, "f1")
         several = members.groupBy("entry").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("entry")
         return stored(members.join(several, "entry", "left_semi"), "jaccard-open")
 
     near = f"least(x.n, y.n) * {ratio.denominator} >= greatest(x.n, y.n) * {ratio.numerator}"
-    ordered = [F.least("x.set_id", "y.set_id").alias("a"), F.greatest("x.set_id", "y.set_id").alias("b")]
+    two = ordered("x.set_id", "x.f1", "y.set_id", "y.f1")
     left = left_open(labels)
     for turn in range(ROUNDS):
-        centre = left.groupBy("entry").agg(F.min_by(F.struct("set_id", "n", "component"), F.xxhash64("set_id", F.lit(turn))).alias("c")).select("entry", "c.*")
+        centre = left.groupBy("entry").agg(F.min_by(F.struct("set_id", "f1", "n", "component"), F.xxhash64("set_id", F.lit(turn))).alias("c")).select("entry", "c.*")
         x, y = left.alias("x"), centre.alias("y")
-        new = x.join(y, "entry").where(f"x.component != y.component and {near}").select(*ordered).distinct()
-        new = stored(new.join(pairs, ["a", "b"], "left_anti"), "jaccard-pairs")
+        new = x.join(y, "entry").where(f"x.component != y.component and {near}").select(*two).distinct()
+        new = stored(new.join(pairs, ends, "left_anti"), "jaccard-pairs")
         if new.limit(1).count() == 0:
             break
         more = stored(_verified(new, docs, width, ratio), "jaccard-links")
@@ -390,8 +410,8 @@ def join(
         links = links.union(more)
         left = left_open(stored(components(links), "jaccard-components"))
     x, y = left.alias("x"), left.alias("y")
-    rest = x.join(y, F.expr(f"x.entry = y.entry and x.set_id < y.set_id and x.component != y.component and {near}")).select(*ordered).distinct()
-    rest = stored(rest.join(pairs, ["a", "b"], "left_anti"), "jaccard-rest")
+    rest = x.join(y, F.expr(f"x.entry = y.entry and x.set_id < y.set_id and x.component != y.component and {near}")).select(*two).distinct()
+    rest = stored(rest.join(pairs, ends, "left_anti"), "jaccard-rest")
     if rest.limit(1).count():
         links = links.union(_verified(rest, docs, width, ratio))
 

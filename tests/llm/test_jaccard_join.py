@@ -108,6 +108,20 @@ def test_odd_rows(spark, rows):
     assert members.count() == 0 and links.count() == 0
 
 
+def test_near_copies_of_each_text_of_a_repeated_id(spark, rows):
+    pick = random.Random(3)
+    body = lambda: " ".join(f"w{pick.randrange(5000)}" for _ in range(60))
+    data = []
+    for i in range(12):
+        first, second = body(), body()
+        data += [(i, first), (i, second), (100 + i, first + " more"), (200 + i, second + " more"), (300 + i, second)]
+    pick.shuffle(data)
+    members, links = jj.join(rows(data, "doc_id long, text string"), 0.8, 5)
+    got = {(r.doc_id, r.component_id) for r in members.collect()}
+    assert got == {(i, i % 100) for i, _ in data}
+    assert {(r.a, r.b) for r in links.collect()} == {(i, h + i) for i in range(12) for h in (100, 200)}
+
+
 def test_components_of_paths_and_stars(spark, rows):
     pick = random.Random(8)
     order = list(range(200))
