@@ -8,12 +8,13 @@ from functools import wraps
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from sieveline.llm import adaptive_scan, decontaminate, jaccard_join, language_mixture, personal_data, sentence_pieces, site_quality, suffix_dedup, token_files, toxicity
+from sieveline.llm import adaptive_scan, decontaminate, jaccard_join, language_mixture, personal_data, sentence_pieces, site_quality, suffix_dedup, token_counts, token_files, toxicity
 from sieveline.llm.common import ship, table
 from sieveline.session import scratch_dir
 
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
 WORD_MODEL = public_tokenizers.path("word_bpe_49k.json")
+BYTE_MODEL = public_tokenizers.path("byte_bpe_50k.json")
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -104,6 +105,13 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 ORACLES["op10_decontaminate"] = decontaminate.oracle()
 
 
+@query
+def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``spark.sieveline.tokenCounts`` names a lasting cache; without it the query starts one of its own."""
+    cache = spark.conf.get("spark.sieveline.tokenCounts", None) or scratch_dir(spark, "token-counts")
+    return token_counts.count(table(spark, sf_dir, "documents").select("doc_id", "text"), BYTE_MODEL, cache)
+
+
 @query
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline  # it takes its models from this module
