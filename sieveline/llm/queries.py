@@ -8,7 +8,7 @@ from functools import wraps
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from sieveline.llm import adaptive_scan, decontaminate, jaccard_join, language_mixture, personal_data, sentence_pieces, site_quality, suffix_dedup, token_counts, token_files, toxicity
+from sieveline.llm import adaptive_scan, decontaminate, jaccard_join, language_mixture, personal_data, sentence_pieces, site_quality, suffix_dedup, token_counts, token_files, toxicity, whitening
 from sieveline.llm.common import ship, table
 from sieveline.session import scratch_dir
 
@@ -105,6 +105,11 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 ORACLES["op10_decontaminate"] = decontaminate.oracle()
 
 
+@query
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"), components=16)
+
+
 @query
 def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``spark.sieveline.tokenCounts`` names a lasting cache; without it the query starts one of its own."""
