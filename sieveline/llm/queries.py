@@ -8,7 +8,7 @@ from functools import wraps
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from sieveline.llm import adaptive_scan, decontaminate, jaccard_join, language_mixture, personal_data, sentence_pieces, site_quality, suffix_dedup, token_counts, token_files, toxicity, whitening
+from sieveline.llm import adaptive_scan, decontaminate, jaccard_join, language_mixture, personal_data, sentence_pieces, site_quality, source_divergence, suffix_dedup, token_counts, token_files, toxicity, whitening
 from sieveline.llm.common import ship, table
 from sieveline.session import scratch_dir
 
@@ -117,6 +117,14 @@ def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count(table(spark, sf_dir, "documents").select("doc_id", "text"), BYTE_MODEL, cache)
 
 
+@query
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_divergence.audit(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op13_source_divergence"] = source_divergence.oracle()
+
+
 @query
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline  # it takes its models from this module
