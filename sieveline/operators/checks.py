@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 
 def not_null(df: DataFrame, model: str, columns: Sequence[str]) -> DataFrame:
@@ -60,3 +60,11 @@ def mart_profile(mart: DataFrame) -> DataFrame:
     shown = ["ticker", "date", "close", "market_sentiment", "stocks_trust_score", "advisor_can_serve"]
     profile = mart.agg(F.count("*").alias("n_rows"), F.min(F.struct(*shown)).alias("first"))
     return profile.select("n_rows", "first.*")
+
+
+def metrics(not_null: Sequence[str] = (), accepted: Mapping[str, Sequence[str]] | None = None) -> list[Column]:
+    """The same tests as metrics of a write: ``df.observe(name, *metrics(...))`` counts failures while rows pass by."""
+    found = [F.count_if(F.col(c).isNull()).alias(f"not_null {c}") for c in not_null]
+    for c, values in (accepted or {}).items():
+        found.append(F.count_if(F.col(c).isNotNull() & ~F.col(c).isin(*values)).alias(f"accepted_values {c}"))
+    return found

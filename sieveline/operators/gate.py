@@ -6,7 +6,7 @@ check, the lookup of their key among verified records.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -68,13 +68,15 @@ def gate(
     verified: DataFrame | None = None,
     verified_unique: bool = False,
     intra_batch: str | None = None,
+    check_unique: bool = True,
 ) -> DataFrame:
     """Every input record once, with ``passed``, ``failure_code``, ``failure_detail``.
 
     ``verified`` holds records accepted before; none means nothing is a duplicate. Say
     ``verified_unique`` where it has one row per key, as a compacted store does: the
     lookup is then one left join in one pass over the records. The promise is checked on the
-    keys and a broken one raises, since the join would multiply records. Without it the lookup
+    keys and a broken one raises, since the join would multiply records; that is a pass over the
+    store's keys, which ``check_unique=False`` saves where the store itself keeps it. Without it the lookup
     is a semi and an anti join, which cannot. Adaptive execution can
     split a hot key on the record side in either case, since nothing is aggregated
     between shuffle and join.
@@ -89,7 +91,7 @@ def gate(
             *[F.col(name).alias(key) for name, key in zip(rules.key, keys)]
         )
         keyed = checked.withColumns(_key_columns(rules, df.schema, verified.schema))
-        if verified_unique and known.groupBy(*keys).count().filter("count > 1").limit(1).count():
+        if verified_unique and check_unique and known.groupBy(*keys).count().filter("count > 1").limit(1).count():
             raise ValueError(f"the verified records of {rules.source} repeat a key")
         lookup = _lookup_once if verified_unique else _lookup_any
         checked = lookup(keyed, known, keys, rules).drop(*keys)
@@ -231,9 +233,9 @@ def _fitted(value: Column, kind: DataType) -> Column:
 
 
 def verified_rows(
-    passed: DataFrame, table: StructType, renamed: Mapping[str, Column] | None = None
+    passed: DataFrame, table: StructType, renamed: Mapping[str, Column] | None = None, extra: Sequence[str] = ()
 ) -> DataFrame:
-    """Map passed records to a verified table's columns and types; absent fields are null."""
+    """Map passed records to a verified table's columns and types; absent fields are null. ``extra`` columns stay as they are."""
     renamed = renamed or {}
     columns = []
     for field in table:
@@ -244,4 +246,4 @@ def verified_rows(
         else:
             value = F.lit(None).cast(field.dataType)
         columns.append(value.alias(field.name))
-    return passed.select(*columns)
+    return passed.select(*columns, *extra)

@@ -49,13 +49,14 @@ def symbol_mart(
 ) -> DataFrame:
     """Daily bars with the day's sentiment and each source's latest trust.
 
-    Sentiment has one row per calendar day, a few megabytes for centuries of days, so
-    it is broadcast. The two latest trust rows are scalar subqueries: evaluated once and
-    inlined, no join.
+    Both sources' latest trust come from one aggregate, read once as a scalar subquery and inlined.
     """
-    state = F.struct("trust_score", "is_blocked")
-    stocks = latest_trust(trust, "stocks").select(state).scalar()
-    news = latest_trust(trust, "news").select(state).scalar()
+
+    def newest(source: str) -> Column:
+        own = F.col("source") == source
+        return F.max_by(F.when(own, F.struct("trust_score", "is_blocked")), F.when(own, F.col("date"))).alias(source)
+
+    state = trust.agg(newest("stocks"), newest("news")).select(F.struct("stocks", "news")).scalar()
     daily = sentiment.select(
         "date",
         F.col("dominant_sentiment").alias("market_sentiment"),
@@ -64,17 +65,17 @@ def symbol_mart(
         "article_count",
         F.col("avg_confidence").alias("sentiment_confidence"),
     )
-    joined = bars.drop("_loaded_at").join(F.broadcast(daily), "date", "left")
+    joined = bars.drop("_loaded_at").join(daily, "date", "left")
     blocked = [F.col("stocks_blocked"), F.col("news_blocked")]
     return loaded(
-        joined.withColumns({"_stocks": stocks, "_news": news})
+        joined.withColumn("_state", state)
         .withColumns(
             {
                 "pct_from_30d_avg": pct_from_average(F.col("close"), F.col("avg_close_30d"), scale),
-                "stocks_trust_score": F.col("_stocks.trust_score"),
-                "stocks_blocked": F.col("_stocks.is_blocked"),
-                "news_trust_score": F.col("_news.trust_score"),
-                "news_blocked": F.col("_news.is_blocked"),
+                "stocks_trust_score": F.col("_state.stocks.trust_score"),
+                "stocks_blocked": F.col("_state.stocks.is_blocked"),
+                "news_trust_score": F.col("_state.news.trust_score"),
+                "news_blocked": F.col("_state.news.is_blocked"),
             }
         )
         .withColumn("advisor_can_serve", can_serve(blocked, fail_closed))

@@ -3,118 +3,62 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
-from dataclasses import dataclass, field
-from datetime import datetime
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 from functools import reduce
 from uuid import uuid4
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StructType
+from pyspark import inheritable_thread_target
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sieveline import config as C
 from sieveline.functions import rules as R
 from sieveline.operators import gate as G
-from sieveline.operators.dedupe import upsert_latest
 from sieveline.plans import intermediate, mart, staging
-from sieveline.schemas import TABLES, extended
+from sieveline.schemas import extended
+from sieveline.sources.batches import DECISION, BatchStore, GateJob
 from sieveline.sources.tables import logged_run
 
 
-@dataclass(frozen=True)
-class GateJob:
-    """One source to gate: its raw records, rules, check time and verified records."""
-
-    rules: C.SourceRules
-    records: Callable[[], DataFrame]
-    as_of: datetime | Column
-    verified: Callable[[], DataFrame] | None = None
-    verified_unique: bool = False
-    intra_batch: str | None = None
-    record_fields: tuple[str, ...] = field(default=())
-    # For run_batch: the verified table, how its columns are filled, and the records' order of arrival.
-    table: str | None = None
-    renamed: Mapping[str, Column] = field(default_factory=dict)
-    sequence: str | None = None
-
-
-DECISION = "failure_code string, failure_detail string, raw_record string, record_id string, passed boolean"
-
-
-class BatchStore:
-    """What batch runs leave behind: decisions by source and batch, and one row per run.
-
-    Layout ``root/decisions/<source>/batch=N/passed=...`` and ``root/runs/batch=N``. A batch that runs
-    again replaces its own directories only. Everything else is a view over the decisions: the gate's log, the
-    quarantine, and the verified table, in which the last write of a key (batch, then order of arrival) counts.
-    """
-
-    def __init__(self, spark: SparkSession, root: str):
-        self._spark, self.root = spark, root
-
-    def decisions(self, job: GateJob, like: StructType, before: int | None = None) -> DataFrame:
-        """All stored decisions of a source; ``before`` leaves out later batches by directory."""
-        schema = extended(like, f"_arrived bigint, _checked_at timestamp, {DECISION}, batch bigint")
-        path = f"{self.root}/decisions/{job.rules.source}"
-        try:
-            found = self._spark.read.schema(schema).option("basePath", path).parquet(path)
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-            found = self._spark.createDataFrame([], schema)
-        return found if before is None else found.filter(F.col("batch") < before)
-
-    def verified(self, job: GateJob, like: StructType, before: int | None = None) -> DataFrame:
-        """The verified table of a source: one row per key, the last written."""
-        passed = self.decisions(job, like, before).filter("passed")
-        table = TABLES[job.table]
-        keys = {name: f"_key{i}" for i, name in enumerate(job.rules.key)}
-        ordered = passed.withColumns({keys[k]: c.alias(keys[k]) for k, c in self._key_values(job, table).items()})
-        last = upsert_latest(ordered, list(keys.values()), ["batch", "_arrived"])
-        return G.verified_rows(last, table, job.renamed)
-
-    @staticmethod
-    def _key_values(job: GateJob, table: StructType) -> dict[str, Column]:
-        return {k: job.renamed[k] if k in job.renamed else F.col(k).try_cast(table[k].dataType) for k in job.rules.key}
-
-    def gate_log(self, job: GateJob, like: StructType) -> DataFrame:
-        """One row per decision of all runs."""
-        return G.gate_log(self.decisions(job, like), job.rules, F.col("_checked_at"))
-
-    def quarantine(self, job: GateJob, like: StructType) -> DataFrame:
-        """Failed records of all runs."""
-        return G.quarantine_log(self.decisions(job, like), job.rules, F.col("_checked_at"))
-
-    def runs(self) -> DataFrame:
-        """The run log."""
-        return self._spark.read.schema(extended(TABLES["pipeline_runs"], "batch bigint")).parquet(f"{self.root}/runs")
-
-
-def run_batch(spark: SparkSession, jobs: Mapping[str, GateJob], root: str, batch: int) -> DataFrame:
+def run_batch(spark: SparkSession, jobs: Mapping[str, GateJob], root: str, batch: int, at_once: int = 4) -> DataFrame:
     """Gate each source against what earlier batches verified, store its decisions and log the run.
 
-    One write per source holds both routes. A source that fails is logged with its error, the rest go on. Running a
+    One write per source holds both routes, by verdict and day; then the verified table's touched days are built anew. Up
+    to ``at_once`` sources run side by side. A source that fails is logged with its error, the rest go on. Running a
     batch again sees the same earlier batches and replaces its own directories, so nothing is doubled. Returns
     this batch's rows of the run log.
     """
-    store, rows = BatchStore(spark, root), []
-    for name, job in jobs.items():
+    store = BatchStore(spark, root)
+
+    def run(entry: tuple[str, GateJob]) -> DataFrame:
+        name, job = entry
 
-        def decide(job: GateJob = job) -> DataFrame:
+        def decide() -> DataFrame:
+            if job.intra_batch and not job.sequence:
+                raise ValueError("copies inside a batch are told apart by the order of arrival: name a sequence")
+            closed = store.closed_upto(job.rules.source)
+            if closed is not None and batch <= closed:
+                raise ValueError(f"batch {batch} of {job.rules.source} is closed")
             records = job.records()
             fields = list(job.record_fields) or records.columns
             arrived = F.col(job.sequence).cast("bigint") if job.sequence else F.monotonically_increasing_id()
             numbered = records.withColumn("_arrived", arrived)
-            known = store.verified(job, records.schema, before=batch) if job.table else None
+            known = store.known(job, records, before=batch) if job.table else None
             gated = G.gate(numbered, job.rules, job.as_of, known, False, "_arrived" if job.intra_batch else None)
             stamped = G.identify(gated, job.rules, fields, "_arrived").withColumn("_checked_at", R.as_time(job.as_of).cast("timestamp"))
-            return stamped.withColumn("_batch", F.lit(batch))
+            day = F.when(F.col("passed"), store.own_day(job, records.schema)) if job.rules.time_field in records.columns else F.lit(None).cast("date")
+            return stamped.withColumn("day", day)
+
+        def write(df: DataFrame) -> None:
+            like = df.drop("_arrived", "_checked_at", "failure_code", "failure_detail", "raw_record", "record_id", "passed", "day").schema
+            before = store.batch_days(job, like, batch) if job.table and job.dated else []
+            df.write.mode("overwrite").partitionBy("passed", "day").parquet(f"{root}/decisions/{job.rules.source}/batch={batch}")
+            if job.table and job.dated:
+                store.refresh(job, like, sorted({*before, *store.batch_days(job, like, batch)}))
 
-        def write(df: DataFrame, source: str = job.rules.source) -> None:
-            path = f"{root}/decisions/{source}/batch={batch}"
-            df.drop("_batch").write.mode("overwrite").partitionBy("passed").parquet(path)
+        return logged_run(spark, f"{name}-{batch}", name, decide, write, "no records")
 
-        rows.append(logged_run(spark, f"{name}-{batch}", name, decide, write, "no records"))
+    with ThreadPoolExecutor(max(1, min(at_once, len(jobs)))) as pool:
+        rows = list(pool.map(inheritable_thread_target(spark)(run), jobs.items()))
     log = reduce(DataFrame.unionByName, rows)
     log.coalesce(1).write.mode("overwrite").parquet(f"{root}/runs/batch={batch}")
     return spark.read.schema(log.schema).parquet(f"{root}/runs/batch={batch}")

@@ -10,6 +10,7 @@ from sieveline import config as C
 from sieveline.functions import rules as R, text as X
 from sieveline.operators.dedupe import top_per_key
 
+NO_NEWS = "No headline of this day has a direction and enough confidence."
 SOURCE_TITLES = {"stocks": "Stock prices", "news": "Financial news with enrichment"}
 
 
@@ -46,10 +47,9 @@ def source_citations(status: DataFrame, titles: Mapping[str, str] = SOURCE_TITLE
     return rows.filter(F.col("trust_score").isNotNull())
 
 
-def may_serve(status: DataFrame, force: bool = False) -> Column:
+def may_serve(status: DataFrame) -> Column:
     """The breaker as a scalar subquery; an empty mart is not served."""
-    flag = status.select(F.coalesce("can_serve", F.lit(False))).scalar()
-    return flag | F.lit(force)
+    return status.select(F.coalesce("can_serve", F.lit(False))).scalar()
 
 
 def guarded_context(mart: DataFrame, force: bool = False) -> DataFrame:
@@ -58,10 +58,8 @@ def guarded_context(mart: DataFrame, force: bool = False) -> DataFrame:
     ``force`` serves anyway; ``can_serve`` still tells the real state and ``forced``
     that it was overridden.
     """
-    status = serving_status(mart)
-    flag = status.select(F.coalesce("can_serve", F.lit(False))).scalar()
     return (
-        mart.withColumn("can_serve", flag)
+        mart.withColumn("can_serve", may_serve(serving_status(mart)))
         .withColumn("forced", F.lit(force) & ~F.col("can_serve"))
         .filter(F.col("can_serve") | F.lit(force))
     )
@@ -180,33 +178,44 @@ def market_brief(
     """
     context = guarded_context(mart, force)
     day = F.col("date").alias("brief_date")
-    header = context.groupBy("date").agg(F.max("market_sentiment").alias("mood")).select(
+    ranked = top_per_key(
+        _strong(news, 0.7).withColumn("date", R.utc_day(F.col("published_at"))),
+        ["date"],
+        [F.col("confidence").desc(), F.col("article_id")],
+        n_headlines,
+    )
+    # One row per date on either side.
+    moods = context.groupBy("date").agg(F.max("market_sentiment").alias("mood"))
+    moods = moods.join(ranked.groupBy("date").agg(F.count("*").alias("n")), "date", "left")
+    n = F.coalesce("n", F.lit(0))
+    mood = F.concat(
+        F.lit("SENTIMENT: "), F.upper(F.coalesce("mood", F.lit("neutral"))),
+        F.lit(" ("), n.cast("string"), F.when(n == 1, " article)").otherwise(" articles)"),
+    )
+    header = moods.select(
         day,
         F.inline(
-            F.array(
-                _line(0, F.lit("a"), F.concat(F.lit("DATA AS OF: "), F.col("date").cast("string"))),
-                _line(0, F.lit("b"), F.lit("Every record below passed the quality gate.")),
-                _line(1, F.lit(""), F.lit("PRICES")),
-                _line(2, F.lit(""), F.concat(F.lit("SENTIMENT: "), F.upper(F.coalesce("mood", F.lit("neutral"))))),
+            F.filter(
+                F.array(
+                    _line(0, F.lit("a"), F.concat(F.lit("DATA AS OF: "), F.col("date").cast("string"))),
+                    _line(0, F.lit("b"), F.lit("Every record below passed the quality gate.")),
+                    _line(1, F.lit(""), F.lit("PRICES")),
+                    _line(2, F.lit(""), mood),
+                    _line(2, F.lit("0000"), F.when(n == 0, NO_NEWS)),
+                ),
+                lambda entry: entry["line"].isNotNull(),
             )
         ),
     )
     prices = symbol_names(context, names).select(
         day, F.lit(1).alias("section"), F.col("ticker").alias("position"), symbol_line().alias("line")
     )
-    ranked = top_per_key(
-        _strong(news, 0.7).withColumn("date", R.utc_day(F.col("published_at"))),
-        ["date"],
-        [F.col("confidence").desc(), F.col("article_id")],
-        n_headlines,
-    )
     headlines = ranked.select(
         "date", F.lit(2).alias("section"), F.lpad(F.col("rank").cast("string"), 4, "0").alias("position"),
         headline_line().alias("line"),
     )
-    # Only dates that have a brief; one row per date on the right.
-    dates = context.select("date").distinct()
-    headlines = headlines.join(dates, "date", "left_semi").withColumnRenamed("date", "brief_date")
+    # Only dates that have a brief.
+    headlines = headlines.join(moods.select("date"), "date", "left_semi").withColumnRenamed("date", "brief_date")
     return header.unionByName(prices).unionByName(headlines)
 
 

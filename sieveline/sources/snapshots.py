@@ -80,3 +80,20 @@ def file_lineage(spark: SparkSession, path: str, schema: StructType, pattern: st
     )
     relative = F.substring_index(F.col("file_path"), f"{path.rstrip('/').rsplit('/', 1)[-1]}/", -1)
     return files.withColumn("directory", F.regexp_replace(relative, r"/?[^/]*$", ""))
+
+
+def _store_of(spark: SparkSession, path: str):
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether the path is there, on whatever store it names."""
+    store, where = _store_of(spark, path)
+    return store.exists(where)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Deletes a directory on whatever store the path names."""
+    store, where = _store_of(spark, path)
+    store.delete(where, True)

@@ -88,7 +88,7 @@ def test_brief_reads_in_order(spark, rows):
         "PRICES",
         "Tata Consultancy Services (TCS): ₹118.5 (+1.25% intraday) | 30d avg ₹110.00 (+7.73%) ⚠️ ANOMALY: results",
         "ZZ.NS (ZZ): ₹10.0",
-        "SENTIMENT: BULLISH",
+        "SENTIMENT: BULLISH (2 articles)",
         "[BULLISH 90%] Up\n  → gain",
         "[BEARISH 70%] Down\n  → loss",
     ]

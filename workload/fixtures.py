@@ -100,7 +100,7 @@ class Inputs:
     @cached_property
     def gated_bars(self) -> DataFrame:
         return gate.gate(
-            self.raw_bars, C.RULES["stocks"], F.col("checked_at"), self.verified_bars, verified_unique=True
+            self.raw_bars, C.RULES["stocks"], F.col("checked_at"), self.verified_bars, verified_unique=True, check_unique=False
         )
 
     @cached_property

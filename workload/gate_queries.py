@@ -295,6 +295,41 @@ def gate_two_batches(fx: Inputs) -> DataFrame:
     return out
 
 
+_WINDOW_BATCHES = """
+, b as (select b, timestamp '2024-01-09 00:00:00' + to_days(cast(b as int)) as as_of from range(1, 5) t(b)),
+judged as (
+  select b, article_id, published_at, case
+      when doc_id % 11 = 3 then 'RANGE_VIOLATION'
+      when published_at < as_of - interval 48 hour or published_at > as_of + interval 5 minute then 'STALE'
+      when b > 1 and published_at <= as_of - interval 1 day + interval 5 minute then 'DUPLICATE' end as code
+  from fx_bronze_news, b)
+select 'decision' as kind, cast(b as bigint) as batch, article_id, code from judged
+union all select 'verified', cast(null as bigint), article_id, null from judged where code is null"""
+
+
+@query("gate_window_batches", _WINDOW_BATCHES, ("fx_bronze_news",))
+def gate_window_batches(fx: Inputs) -> DataFrame:
+    """Articles, whose key holds no date, offered to four daily batches; each lookup reads the days of its window only.
+
+    The first batch runs again at the end and changes nothing; the first two are folded together.
+    """
+    raw = fx.bronze_news.withColumn("title", F.when(F.col("doc_id") % 11 == 3, " \t ").otherwise(F.concat(F.lit("x"), "title")))
+    raw = raw.select("article_id", "title", "url", "published_at", F.col("doc_id").alias("seq"))
+
+    def job(batch: int) -> runs.GateJob:
+        at = datetime(2024, 1, 9 + batch, tzinfo=timezone.utc)
+        return runs.GateJob(C.RULES["news"], lambda: raw, at, table="bronze_news", sequence="seq", stable_time=True)
+
+    root = scratch_dir(fx.spark, "window-batches")
+    for batch in (1, 2, 3, 4, 1):
+        runs.run_batch(fx.spark, {"news": job(batch)}, root, batch)
+    store = runs.BatchStore(fx.spark, root)
+    store.fold(job(1), raw.schema, upto=2)
+    decisions = store.decisions(job(1), raw.schema).select(F.lit("decision").alias("kind"), "batch", "article_id", F.col("failure_code").alias("code"))
+    verified = store.verified(job(1), raw.schema).select(F.lit("verified"), F.lit(None).cast("bigint"), "article_id", F.lit(None).cast("string"))
+    return decisions.union(verified)
+
+
 def links(fx: Inputs) -> DataFrame:
     return N.extract_links(fx.table("pages"), r"^/(.+)$", "https://example.org/")
 

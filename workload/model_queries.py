@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+from datetime import datetime, timezone
+
 from pyspark.sql import DataFrame, functions as F
 
 from sieveline import config as C
 from sieveline.operators import anomaly, checks
 from sieveline.plans import intermediate, mart as M, runs, serving, staging
+from sieveline.plans.served import Served
 from sieveline.session import scratch_dir
 from workload.fixtures import Inputs
 from workload.registry import query, r8, rounded
@@ -300,27 +304,95 @@ def blocked_sources(fx: Inputs) -> DataFrame:
     return serving.blocked_sources(serving.serving_status(mart_of(fx)))
 
 
-@query(
-    "market_brief",
-    f"""
-, heads as (
-  select date, max(market_sentiment) as mood from fx_mart group by date)
+_BRIEF = f"""
+, ranked as (
+  select * from (select *, cast(published_at as date) as date, row_number() over (partition by cast(published_at as date)
+    order by confidence desc, article_id) as r from fx_staged_news where {_STRONG}) h where r <= 8),
+heads as (
+  select m.date, max(market_sentiment) as mood, coalesce(max(h.n), 0) as n
+  from fx_mart m left join (select date, count(*) as n from ranked group by date) h using (date) group by m.date)
 select date as brief_date, 0 as section, 'a' as position, concat('DATA AS OF: ', cast(date as varchar)) as line from heads
 union all select date, 0, 'b', 'Every record below passed the quality gate.' from heads
 union all select date, 1, '', 'PRICES' from heads
-union all select date, 2, '', concat('SENTIMENT: ', upper(coalesce(mood, 'neutral'))) from heads
+union all select date, 2, '', concat('SENTIMENT: ', upper(coalesce(mood, 'neutral')), ' (', cast(n as varchar),
+  case when n = 1 then ' article)' else ' articles)' end) from heads
+union all select date, 2, '0000', '{serving.NO_NEWS}' from heads where n = 0
 union all select date, 1, ticker, {_LINE} from ({_NAMED}) n
-union all
-select date, 2, lpad(cast(r as varchar), 4, '0'), {_HEADLINE}
-from (select *, cast(published_at as date) as date, row_number() over (partition by cast(published_at as date)
-        order by confidence desc, article_id) as r from fx_staged_news where {_STRONG}) h
-where r <= 8 and date in (select date from heads)""",
+union all select date, 2, lpad(cast(r as varchar), 4, '0'), {_HEADLINE} from ranked where date in (select date from heads)"""
+
+
+@query(
+    "market_brief",
+    _BRIEF,
     ("fx_mart", "fx_staged_news"),
 )
 def market_brief(fx: Inputs) -> DataFrame:
     return serving.market_brief(mart_of(fx), staged_news_of(fx), _names(fx), force=True)
 
 
+_CHAIN = f"""
+{_BRIEF.replace("select date as brief_date, 0 as section, 'a' as position", "select 'served' as state, brief_date, section, position, line from (select date as brief_date, 0 as section, 'a' as position", 1)}) b
+union all select 'refused', null, null, null, 'No answer now: these sources failed their quality checks: {serving.SOURCE_TITLES["stocks"]}. Ask again after the next run.'
+union all select 'trust', date, cast(records_checked as int), source, cast(is_blocked as varchar) from chain_trust"""
+
+
+def _chain_sql() -> str:
+    """Trust of the chain's own log: bars on the day after their date, then all again when they are stale; articles on their day."""
+    log = """
+, chain_log as (
+  select cast(date + interval 1 day as date) as date, 'stocks' as source, true as ok from fx_bars
+  union all select date '2024-06-01', 'stocks', false from fx_bars
+  union all select cast(published_at as date), 'news', true from fx_bronze_news),
+chain_trust as (
+  select date, source, count(*) as records_checked, avg(case when ok then 1.0 else 0.0 end) < 0.85 as is_blocked
+  from chain_log group by all)
+"""
+    return log + _CHAIN
+
+
+@query("gate_to_brief", _chain_sql(), ("fx_mart", "fx_staged_news", "fx_bronze_news", "fx_bars"))
+def gate_to_brief(fx: Inputs) -> DataFrame:
+    """From raw records to the served brief: two gate runs, their own log's trust, the mart, two published versions.
+
+    The first run's records are good, so its version is served; in the second all bars are stale, the breaker opens and
+    readers get the refusal. Nothing is forced.
+    """
+    spark, root = fx.spark, scratch_dir(fx.spark, "chain")
+    fields = ("ticker", "date", "open", "high", "low", "close", "volume")
+    bars = fx.bars.select(*fields, F.col("k").alias("seq"))
+    articles = fx.bronze_news.select("article_id", "title", "description", "url", "published_at", "source_name", "ingested_at", F.col("doc_id").alias("seq"))
+    fresh = bars.withColumn("checked_at", F.date_add("date", 1).cast("timestamp"))
+    stocks = runs.GateJob(C.RULES["stocks"], lambda: fresh, F.col("checked_at"), record_fields=fields, table="bronze_stocks", sequence="seq")
+    stale = replace(stocks, records=lambda: fresh, as_of=datetime(2024, 6, 1, tzinfo=timezone.utc))
+    news = runs.GateJob(C.RULES["news"], lambda: articles, F.col("published_at"), table="bronze_news", sequence="seq", stable_time=True)
+    store, served = runs.BatchStore(spark, f"{root}/store"), Served(spark, f"{root}/served")
+
+    def build(version: int) -> DataFrame:
+        log = store.gate_log(stocks, fresh.schema).unionByName(store.gate_log(news, articles.schema))
+        trust = intermediate.trust_scores(log, scale=8)
+        kept = store.verified(stocks, fresh.schema)
+        staged = staging.staged_bars(kept.withColumn("ingested_at", F.col("date").cast("timestamp")), 8, 8)
+        found = anomaly.price_anomalies(anomaly.latest_vs_history(kept))
+        rows = anomaly.anomaly_rows(found, F.concat(F.lit("move of "), "ticker"), F.lit("2024-02-01 00:00:00"))
+        daily = intermediate.daily_bars(staged, rows).withColumns({c: F.round(c, 8) for c in ("avg_close_7d", "avg_close_30d")})
+        staged_news = staging.staged_news(store.verified(news, articles.schema), fx.enriched_news)
+        sentiment = rounded(intermediate.daily_sentiment(staged_news, scale=8))
+        served.publish(version, M.symbol_mart(daily, sentiment, trust, scale=8), staged_news, _names(fx))
+        return trust
+
+    runs.run_batch(spark, {"stocks": stocks, "news": news}, f"{root}/store", 1)
+    build(1)
+    lines = served.brief().select(F.lit("served").alias("state"), "brief_date", "section", "position", "line")
+    runs.run_batch(spark, {"stocks": stale}, f"{root}/store", 2)
+    trust = build(2)
+    refused = served.refusal().where("refusal is not null").select(
+        F.lit("refused"), F.lit(None).cast("date"), F.lit(None).cast("int"), F.lit(None).cast("string"), "refusal"
+    )
+    late = served.brief().select(F.lit("served after all"), "brief_date", "section", "position", "line")
+    told = trust.select(F.lit("trust"), "date", F.col("records_checked").cast("int"), "source", F.col("is_blocked").cast("string"))
+    return lines.union(late).union(refused).union(told)
+
+
 # --- data tests ---------------------------------------------------------------
 
 
