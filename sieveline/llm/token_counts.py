@@ -11,8 +11,10 @@ writes one directory, committed as a whole, so a lost executor or an aborted run
 of one. Runs at the same time may store a digest twice, always with the same count; readers
 take one.
 
-Texts are moved once, those without a stored count only, after copies were reduced on the map side. Digests
-of a frequent text are joined without an aggregation behind the shuffle, so adaptive execution can split them.
+Of each content without a count the first row is encoded where it is read; texts are not moved unless there are too many
+of them for a broadcast of their places, and then once. Should a source give its rows in another order when it is read
+again, what was missed is found by its content. Digests of a frequent text are joined without an aggregation behind
+the shuffle, so adaptive execution can split them.
 
 Row rules: null text counts as empty (no bytes, no tokens); repeated rows and equal or null ids
 are rows of their own; all columns but the text stay, whatever their names, unless one is
@@ -27,20 +29,26 @@ import hashlib
 import os
 import re
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import reduce
+from itertools import islice
 from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from sieveline.llm.common import in_chunks, per_worker, stored
+from sieveline.sources.snapshots import exists
 
 LONG = 1 << 20  # characters
-SMALL_SIDE = 300_000  # digests that may be broadcast: 32 bytes each
+KEEP, KEEP_LENGTH = 500_000, 48  # words, and characters of a word, that a worker keeps the counts of
+SMALL_SIDE = 300_000  # contents that may be broadcast: 40 bytes each
+COUNTS = "digest binary, n_tokens long"
 RESULTS = ("n_bytes", "n_tokens", "over_limit")
 _BORDER = re.compile("[A-Za-z](?= [A-Za-z])")
+_WORDS = re.compile(r"(?<=\S)(?=[ \n]\S)")
+_ODD_BLANKS = re.compile(r"[^\S \n]|[ \n][ \n]")  # white space of other kinds, or more than one in a row
 
 
 class JsonCounter:
@@ -59,6 +67,7 @@ class JsonCounter:
         plain = all(" " not in t.content and not (t.lstrip or t.rstrip or t.single_word) for t in self.tokenizer.get_added_tokens_decoder().values())
         # The byte-level pattern ends a token between a letter and a space and starts the next one with that space.
         self.cuts = plain and self.normalizer is None and type(before).__name__ == "ByteLevel" and before.use_regex and not before.add_prefix_space
+        self.words = WordCounts(self.whole) if self.cuts else None
 
     def content(self, text: str) -> bytes:
         """What decides the count: the normalised text, or the text itself where it spells out an added token."""
@@ -72,9 +81,62 @@ class JsonCounter:
         return list(_pieces(text, 0)) if self.cuts else [text]
 
     def lengths(self, texts: list[str]) -> list[int]:
+        if not self.cuts:
+            return self.whole(texts)
+        return self.words.counts(texts)
+
+    def whole(self, texts: list[str]) -> list[int]:
         return [len(e) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
 
+class WordCounts(dict):
+    """Counts of words with the blank before them, for byte-level tokenizers. When full, the older half goes.
+
+    A single space between two characters that are no white space belongs to the token behind it, a single line feed
+    is one of its own. So a text is cut before them, and a point or comma behind a letter is counted apart:
+    whole texts count as their words do (tested). Words are kept without their space, but with their line feed.
+    """
+
+    def __init__(self, whole: Callable[[list[str]], list[int]]):
+        super().__init__()
+        self.whole = whole
+        word, *marked = whole([" a", " a.", " a,"])
+        self.marks = word == 1 and marked == [2, 2]
+
+    def _split(self, text: str) -> tuple[str, list[str]]:
+        """The start of the text up to the first cut, and the words behind it."""
+        if _ODD_BLANKS.search(text) is None and text[0] not in " \n" and text[-1] not in " \n":
+            first, *words = text.replace("\n", " \n").split(" ")
+            return first, words
+        first, *words = _WORDS.split(text)
+        return first, [w[1:] if w[0] == " " else w for w in words]
+
+    @staticmethod
+    def _shown(words: list[str]) -> list[str]:
+        return [w if w[0] == "\n" else " " + w for w in words]
+
+    def learn(self, words: list[str]) -> None:
+        if len(self) + len(words) > KEEP:
+            late = dict(islice(self.items(), len(self) // 2, None))
+            self.clear()
+            self.update(late)
+        for at in range(0, len(words), 5_000):
+            some = words[at : at + 5_000]
+            self.update(zip(some, self.whole(self._shown(some)), strict=True))
+
+    def __missing__(self, word: str) -> int:
+        return self.whole(self._shown([word]))[0]  # a long one, or one that has just gone
+
+    def counts(self, texts: list[str]) -> list[int]:
+        split = [self._split(t) if t else ("", []) for t in texts]
+        new = {w for w in set().union(*(words for _, words in split)).difference(self) if len(w) <= KEEP_LENGTH}
+        marked = {w for w in new if self.marks and w[-1] in ".," and w.isascii() and w[:-1].isalpha()}
+        self.learn(list((new - marked) | {w[:-1] for w in marked if w[:-1] not in self}))
+        self.update([(w, self[w[:-1]] + 1) for w in marked])
+        firsts = self.whole([first for first, _ in split])
+        return [n + sum(map(self.__getitem__, words)) for n, (_, words) in zip(firsts, split, strict=True)]
+
+
 class PieceCounter:
     """Counts by the sentencepiece library (``.model`` files)."""
 
@@ -169,17 +231,24 @@ def _encoded(contents: DataFrame, tokenizer_file: str) -> DataFrame:
                     np.add.at(found, owners, counter.lengths(held))
                 yield pa.RecordBatch.from_arrays([part.column("digest"), pa.array(found)], names=["digest", "n_tokens"])
 
-    return contents.select("digest", "text").mapInArrow(encode, "digest binary, n_tokens long")
+    return contents.select("digest", "text").mapInArrow(encode, COUNTS)
 
 
 def cached(spark: SparkSession, cache: str, of_version: str) -> DataFrame | None:
     """Stored (digest, n_tokens) of one version, perhaps with repeats; None where there is none yet."""
-    try:
-        return spark.read.schema("digest binary, n_tokens long").parquet(f"{cache}/version={of_version}")
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return None
+    path = f"{cache}/version={of_version}"
+    return spark.read.schema(COUNTS).parquet(path) if exists(spark, path) else None
+
+
+def _append(texts: DataFrame, tokenizer_file: str, cache: str, of_version: str) -> DataFrame:
+    """Encodes (digest, text), stores the counts as one run and reads them back."""
+    run = f"{cache}/version={of_version}/run={uuid.uuid4().hex}"
+    _encoded(texts, tokenizer_file).write.parquet(run)
+    return texts.sparkSession.read.schema(COUNTS).parquet(run)
+
+
+def _few(df: DataFrame) -> DataFrame:
+    return F.broadcast(df) if df.limit(SMALL_SIDE + 1).count() <= SMALL_SIDE else df
 
 
 def count(df: DataFrame, tokenizer_file: str, cache: str, text: str = "text", limit: int = 1024) -> DataFrame:
@@ -193,24 +262,29 @@ def count(df: DataFrame, tokenizer_file: str, cache: str, text: str = "text", li
         raise ValueError(f"columns {sorted(clash)} exist already; rename or drop them")
     packed = F.struct(*[F.col(f"`{c}`") for c in others]).alias("row") if others else F.lit(None).cast("string").alias("row")
     of_version = version(tokenizer_file)
-    keyed = _digested(df, text, tokenizer_file, [packed]).select("row", F.octet_length("text").cast("long").alias("n_bytes"), "digest")
+    place = F.monotonically_increasing_id().alias("place")
+    keyed = _digested(df, text, tokenizer_file, [packed, place]).select("row", "place", F.octet_length("text").cast("long").alias("n_bytes"), "digest")
     keyed = stored(keyed, "digests")
 
+    firsts = keyed.groupBy("digest").agg(F.min("place").alias("place"))
     known = cached(spark, cache, of_version)
-    contents = _digested(df, text, tokenizer_file, [])
-    hits = None
+    counts = []
     if known is not None:
-        wanted = stored(keyed.select("digest").distinct().join(known.groupBy("digest").agg(F.min("n_tokens").alias("n_tokens")), "digest", "left"), "wanted")
-        hits, misses = wanted.where("n_tokens is not null"), wanted.where("n_tokens is null").select("digest")
-        n_misses = misses.limit(SMALL_SIDE + 1).count()
-        # Few misses are found where the texts are read; many meet them behind the one shuffle by digest.
-        contents = contents.join(F.broadcast(misses) if n_misses <= SMALL_SIDE else misses, "digest", "left_semi") if n_misses else None
-    counts = hits
-    if contents is not None:
-        run = f"{cache}/version={of_version}/run={uuid.uuid4().hex}"
-        _encoded(contents.dropDuplicates(["digest"]), tokenizer_file).write.parquet(run)
-        new = spark.read.schema("digest binary, n_tokens long").parquet(run)
-        counts = new if hits is None else hits.unionByName(new)
+        known = known.groupBy("digest").agg(F.min("n_tokens").alias("n_tokens"))
+        firsts = stored(firsts.join(known, "digest", "left"), "wanted")
+        counts.append(firsts.where("n_tokens is not null").select("digest", "n_tokens"))
+        firsts = firsts.where("n_tokens is null").select("digest", "place")
+    misses = stored(firsts, "misses")
+    if misses.limit(1).count():
+        # The first row of each content is taken where it is read. The digest shows whether it is the row it was.
+        wanted = misses.withColumnRenamed("digest", "_digest")
+        texts = _digested(df, text, tokenizer_file, [place]).join(_few(wanted), "place").where("digest = _digest")
+        counts.append(_append(texts, tokenizer_file, cache, of_version))
+        lost = misses.join(counts[-1], "digest", "left_anti")
+        if lost.limit(1).count():  # a source whose rows come in another order each time: by content then
+            texts = _digested(df, text, tokenizer_file, []).join(_few(lost.select("digest")), "digest", "left_semi").dropDuplicates(["digest"])
+            counts.append(_append(texts, tokenizer_file, cache, of_version))
+    counts = reduce(DataFrame.unionByName, counts) if counts else spark.createDataFrame([], COUNTS)
     found = keyed.join(counts, "digest", "left")
     results = [F.col("n_bytes"), F.col("n_tokens"), (F.col("n_tokens") > limit).alias("over_limit")]
     return found.select(*([F.col("row").getField(c).alias(c) for c in others]), *results)

@@ -1,4 +1,5 @@
 import hashlib
+import random
 from functools import cache
 
 import public_tokenizers
@@ -64,6 +65,15 @@ def test_stored_counts_are_used(spark, rows, tmp_path):
     assert sorted((r.doc_id, r.n_tokens, r.over_limit) for r in got) == [(1, 4711, True), (2, 1, False)]
 
 
+def test_rows_that_come_in_another_order(spark, rows, tmp_path):
+    from pyspark.sql import functions as F
+
+    data = [(i, f"text number {i} of some") for i in range(400)]
+    df = rows(data, "doc_id long, text string").repartition(7).orderBy(F.rand())  # another order at each reading
+    got = token_counts.count(df, BYTES, str(tmp_path / "cache")).collect()
+    assert sorted((r.doc_id, r.n_tokens) for r in got) == [(i, library(BYTES, t)) for i, t in data]
+
+
 def test_normalised_contents_share_an_entry(spark, rows, tmp_path):
     store = str(tmp_path / "cache")
     data = [(1, "A  b É"), (2, "a b é"), (3, "a b É"), (4, "<|endoftext|>"), (5, "<|ENDOFTEXT|>")]
@@ -82,6 +92,20 @@ def test_long_texts_are_cut_where_no_token_crosses(monkeypatch, file):
     assert len(counter.pieces("some words " * 50)) > 10
 
 
+def test_texts_count_as_their_words(monkeypatch):
+    monkeypatch.setattr(token_counts, "KEEP", 50)
+    monkeypatch.setattr(token_counts, "KEEP_LENGTH", 6)
+    counter = token_counts._make(BYTES)
+    pick = random.Random(5)
+    parts = ["word", "longerword", "a", ".", ",", "x.", "don't", "we'll,", "12", "3.4", "é", "É.", "İ.", "क़.", "漢字,", " ", "  ", "\n", "\t", "\u00a0", "\u3000", "\x1c", "\x85", "<|endoftext|>", "'s", "ab,c."]
+    for _ in range(3000):
+        text = pick.choice(["", " "]).join(pick.choices(parts, k=pick.randrange(1, 12)))
+        assert counter.lengths([text]) == [library(BYTES, text)], repr(text)
+    words = ("".join(f"a {chr(c)}. {chr(c)}, x{chr(c)} {chr(c)}x" for c in range(a, a + 64)) for a in range(0x20, 0x3000, 64))
+    for text in words:
+        assert counter.lengths([text]) == [library(BYTES, text)], repr(text)
+
+
 def test_very_long_text(spark, rows, tmp_path):
     text = "lorem ipsum dolor sit amet 12 " * 120_000  # 3.6 MB
     got = token_counts.count(rows([(1, text)], "doc_id long, text string"), BYTES, str(tmp_path / "c")).first()
