@@ -44,8 +44,8 @@ class WordIds(dict):
     """Ids, as bytes, of text between white space. When full, the older half goes: memory is bounded.
 
     The tokenizer cuts at white space first, and letters from signs, so the pieces between plain spaces and
-    line feeds can be encoded one by one, and a word apart from the mark at its end (tested
-    against whole texts). Since it lower-cases, Latin-1 texts are lower-cased before the look-up.
+    line feeds can be encoded one by one, and a word of ASCII letters apart from the mark at its end (other letters
+    may come apart when normalised, and their last part then joins the mark; tested against whole texts). Since it lower-cases, Latin-1 texts are lower-cased before the look-up.
     """
 
     def __init__(self, tokenizer_file: str, keep: int = 1_200_000, keep_length: int = 48):
@@ -95,7 +95,7 @@ class WordIds(dict):
         holes = [k for k, ids in enumerate(found) if None in ids]
         new = {w for k in holes for w, ids in zip(split[k], found[k], strict=True) if ids is None}
         if new:
-            marked = {w for w in new if self.cuts and 1 < len(w) <= self.keep_length and w[-1] in ".," and w[:-1].isalpha()}
+            marked = {w for w in new if self.cuts and 1 < len(w) <= self.keep_length and w[-1] in ".," and w.isascii() and w[:-1].isalpha()}
             plain = {w for w in new - marked if len(w) <= self.keep_length}
             plain.update(b for w in marked for b in (w[:-1], w[-1]) if b not in self)
             self.learn(list(plain))

@@ -40,6 +40,15 @@ def test_pieces_between_spaces_equal_whole_texts():
     assert got == [whole.encode(t or "", add_special_tokens=False).ids for t in texts]
 
 
+def test_marks_after_every_code_point():
+    whole, own = Tokenizer.from_file(MODEL), token_files.WordIds(MODEL)
+    points = [chr(c) for c in range(0x21, 0x30000) if not 0xD800 <= c < 0xE000]
+    for at in range(0, len(points), 20_000):
+        texts = [f"{c}. a{c}," for c in points[at : at + 20_000]]
+        got = [np.frombuffer(b, own.kind).tolist() for b in own.encode(texts)]
+        assert got == [e.ids for e in whole.encode_batch_fast(texts, add_special_tokens=False)]
+
+
 @pytest.mark.parametrize("shards, block_ids", [(1, 1 << 20), (3, 40), (50, 1)])
 def test_files_hold_the_corpus(spark, rows, tmp_path, shards, block_ids):
     pick = random.Random(3)
