@@ -56,10 +56,11 @@ class Model:
     log_probability: np.ndarray  # buckets x languages
 
 
-def fit(df: DataFrame, text: str = "text", language: str = "lang", smoothing: float = 0.2) -> Model:
+def fit(df: DataFrame, text: str = "text", language: str = "lang", smoothing: float = 0.2, most_languages: int = 256) -> Model:
     """Trigram statistics of all rows that have a text and a language.
 
-    Each task adds up its own rows; the driver sees one number per language and bucket.
+    Each task adds up its own rows; the driver sees one number per language and bucket. Where the language column holds
+    more than ``most_languages`` values, which no labelling means, those with the most rows are learned: it bounds the model.
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -79,6 +80,9 @@ def fit(df: DataFrame, text: str = "text", language: str = "lang", smoothing: fl
             yield pa.RecordBatch.from_arrays([pa.array([name] * len(at), pa.string()), pa.array(at.astype(np.int32)), pa.array(found[at])], names=["lang", "bucket", "n"])
 
     rows = df.select(F.col(text).alias("text"), F.col(language).cast("string").alias("lang")).where("text is not null and lang is not null")
+    names = [r.lang for r in rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(most_languages + 1).collect()]
+    if len(names) > most_languages:
+        rows = rows.where(F.col("lang").isin(names[:most_languages]))
     counts = rows.mapInArrow(count, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toArrow()
     languages = sorted(set(counts.column("lang").to_pylist()))
     table = np.full((BUCKETS, len(languages)), smoothing)
@@ -101,7 +105,7 @@ def _mixture(likely: np.ndarray, first: np.ndarray, words: np.ndarray, share: np
     return share, np.add.reduceat(np.log(np.maximum(total, 1e-30)), first)
 
 
-def _infer(model: Model, texts: pa.Array, rounds: int, most: int, penalty: float):
+def _infer(model: Model, texts: pa.Array, rounds: int, most: int | None, penalty: float):
     """For texts with words: their places, proportions in the chosen set (texts x languages), score."""
     code, first, of_text, _ = _grams(texts)
     none = np.zeros(0, np.int64), np.zeros((0, len(model.languages))), np.zeros(0)
@@ -115,7 +119,7 @@ def _infer(model: Model, texts: pa.Array, rounds: int, most: int, penalty: float
     share, _ = _mixture(likely, start, words, even, rounds)
     rank = np.argsort(np.argsort(-share, axis=1, kind="stable"), axis=1, kind="stable")
     best, value = np.zeros_like(share), np.full(len(place), -np.inf)
-    for k in range(1, min(most, kinds) + 1):
+    for k in range(1, min(most or kinds, kinds) + 1):
         some = np.where(rank < k, np.maximum(share, 1e-6), 0)
         some /= some.sum(axis=1, keepdims=True)
         some, fit_ = _mixture(likely, start, words, some.astype(np.float32), 0 if k == 1 else rounds // 2)
@@ -132,10 +136,13 @@ def predict(
     text: str = "text",
     keep: tuple[str, ...] = ("doc_id",),
     rounds: int = 8,
-    most: int = 3,
+    most: int | None = None,
     penalty: float = 1.0,
 ) -> DataFrame:
-    """Per row: the ``keep`` columns, lang_pred, score, languages and their shares (largest first)."""
+    """Per row: the ``keep`` columns, lang_pred, score, languages and their shares (largest first).
+
+    Sets of every size up to all learned languages are tried, or up to ``most``; the penalty ends their growth.
+    """
     shared = df.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
