@@ -50,6 +50,14 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` does not have."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def byte_offsets(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """All texts of an Arrow array as one UTF-8 buffer, and where each starts and ends.
 

@@ -4,9 +4,9 @@ An item is in a document when at least ``containment`` of its distinct word shin
 the document's. Jaccard similarity is useless here, as documents are much longer than items; so the search works
 on the items' minima. A document that holds enough of an item with n shingles lacks fewer than
 k = n - ceil(containment * n) + 1 of them, hence holds at least one of the k shingles with the smallest hashes:
-the item's bottom-k MinHash. Items are partitioned by size; a partition's largest
-minimum bounds which hashes of a document can meet any of its items, so of each document only the
-hashes below the largest bound are looked up. No document is missed, whatever its length.
+the item's bottom-k MinHash. Items are partitioned by size. A partition has its own bound, the largest of its
+minima, and its own least size of a document that can hold one of its items; a document looks up in each
+partition it is large enough for the hashes below that partition's bound. No document is missed, whatever its length.
 
 Candidates are then verified on the shingles themselves. Shingles are five words,
 lower-cased, split at space and 0x09-0x0D; a text with fewer words is one shingle, an empty one has none.
@@ -15,16 +15,18 @@ All of it is DataFrame operations. Minima are broadcast when few and joined by s
 otherwise; rows per document are reduced to distinct (document, item) before they are moved.
 
 Row rules: null texts are empty, and empty items are in no document. Rows with the same doc_id are one document
-(an item is in it when one of its rows holds it; the best row counts); so are rows without one, but
-``clean`` judges those one by one.
+(an item is in it when one of its rows holds it; the best row counts); so are rows without one. ``clean``
+judges each row by its own text.
 Repeated items with one id count once, by their best text. Other columns are not read.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, functions as F
 
-from sieveline.llm.common import stored
+from sieveline.llm.common import stored, unused
 
 SMALL_SIDE = 500_000  # rows that may be broadcast
 BLANKS = " \t\n\x0b\x0c\r"
@@ -61,6 +63,26 @@ def minima(items: DataFrame, width: int, containment: float) -> DataFrame:
     return listed.where(n > 0).select("item", F.floor(F.log2(n.cast("double"))).cast("int").alias("size_class"), F.explode(F.slice("all", F.lit(1), k.cast("int"))).alias("h"))
 
 
+def _least(size_class: int, containment: float) -> int:
+    """Shingles of the smallest document that can hold an item of the class."""
+    return max(1, math.ceil(containment * 2**size_class - 1e-9))
+
+
+def lookups(sketch: DataFrame, bounds: dict[int, int], containment: float) -> DataFrame:
+    """(doc, k, size, h): the hashes below the bound of a partition that the document is large enough for."""
+    size = F.size("all")
+    admitted = [F.when(size >= _least(c, containment), F.lit(b)) for c, b in bounds.items()]
+    bound = F.greatest(*admitted) if len(admitted) > 1 else admitted[0]
+    bounded = sketch.select("doc", "k", "all", size.alias("size"), F.explode(F.array(bound)).alias("bound")).where("bound is not null")
+    return bounded.select("doc", "k", "size", F.explode(F.filter("all", lambda h: h <= F.col("bound"))).alias("h"))
+
+
+def _large_enough(classes: list[int], containment: float) -> Column:
+    """Whether a document has the size that the partition of the item it met asks for."""
+    least = F.create_map(*[F.lit(v) for c in classes for v in (c, _least(c, containment))])
+    return F.col("size") >= least[F.col("size_class")]
+
+
 def find(
     docs: DataFrame,
     items: DataFrame,
@@ -74,15 +96,16 @@ def find(
     docs = docs.select(F.col(doc_id).alias("doc"), F.col(text).alias("text")).where(F.col("text").isNotNull())
     items = items.select(F.col(item_id).alias("item"), words(F.col(text)).alias("words")).where(F.size("words") > 0).distinct()
     low = stored(minima(items, width, containment), "minima")
-    bounds = low.groupBy("size_class").agg(F.max("h").alias("bound"), F.count("*").alias("n")).collect()  # one row per size class
+    bounds = low.groupBy("size_class").agg(F.max("h").alias("bound")).collect()  # one row per size class
     if not bounds:
         return docs.select(F.col("doc").alias(doc_id), F.lit(None).cast(items.schema["item"].dataType).alias(item_id), F.lit(0).alias("n_shared"), F.lit(0).alias("n_shingles")).where("false")
-    bound = F.lit(max(b.bound for b in bounds))
     # The words are a column of their own: inside the lambda an expression would be evaluated for each shingle.
     split = docs.select("doc", F.xxhash64("text").alias("k"), words(F.col("text")).alias("words"))
-    sketch = split.select("doc", "k", hashes(F.col("words"), width).alias("all"))
-    met = sketch.select("doc", "k", F.explode(F.filter("all", lambda h: h <= bound)).alias("h"))
-    candidates = stored(met.join(_few(low.select("h", "item").distinct()), "h").select("doc", "k", "item").distinct(), "candidates")
+    # A generator of one element keeps what it holds a column: merged into later lambdas it would be computed for each hash.
+    sketch = split.select("doc", "k", F.explode(F.array(hashes(F.col("words"), width))).alias("all"))
+    met = lookups(sketch, {b.size_class: b.bound for b in bounds}, containment)
+    candidates = met.join(_few(low.distinct()), "h").where(_large_enough([b.size_class for b in bounds], containment))
+    candidates = stored(candidates.select("doc", "k", "item").distinct(), "candidates")
 
     small = _few(candidates)
     x, y = docs.withColumn("k2", F.xxhash64("text")).alias("x"), small.alias("y")
@@ -95,18 +118,13 @@ def find(
     return best.select(F.col("doc").alias(doc_id), F.col("item").alias(item_id), F.col("best.shared").alias("n_shared"), F.col("best.n").alias("n_shingles"))
 
 
-def clean(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", by_row: bool = False, text: str = "text", **options) -> DataFrame:
-    """Rows of ``docs`` whose document holds no item; all columns.
-
-    A row without an id is a document of its own; with ``by_row`` every row is. Such rows are judged by
-    their text, under its fingerprint.
-    """
-    own = F.concat(F.lit("text "), F.md5(F.col(text).cast("string")))
-    key = own if by_row else F.coalesce(F.concat(F.lit("id "), F.col(doc_id).cast("string")), own)
-    keyed = docs.withColumn("_key", key)
-    held = find(keyed, items, doc_id="_key", text=text, **options).select(F.col("_key").alias("_held")).distinct()
+def clean(docs: DataFrame, items: DataFrame, text: str = "text", item_id: str = "item_id", **options) -> DataFrame:
+    """Rows of ``docs`` whose text holds no item; all columns. Rows are judged one by one, under their text's fingerprint."""
+    key, gone = unused(docs, "key"), unused(docs, "held")
+    keyed = docs.withColumn(key, F.md5(F.col(text).cast("string")))
+    held = find(keyed.select(key, text), items, doc_id=key, item_id=item_id, text=text, **options).select(F.col(key).alias(gone)).distinct()
     held = _few(stored(held, "held"))
-    return keyed.join(held, F.col("_key") == F.col("_held"), "left_anti").drop("_key")
+    return keyed.join(held, F.col(key) == F.col(gone), "left_anti").drop(key)
 
 
 def oracle(containment: float = 0.8, width: int = 5) -> str:

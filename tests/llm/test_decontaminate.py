@@ -62,19 +62,31 @@ def test_odd_rows(spark, rows):
     d, i = rows(docs, "doc_id long, text string, n_shared string"), rows(items, "item_id long, text string, h int")
     assert result(dc.find(d, i)) == brute([r[:2] for r in docs], [r[:2] for r in items], 0.8, 5)
     kept = dc.clean(d, i).collect()
-    assert sorted((r.doc_id for r in kept)) == [2, 3, 6] and kept[0].n_shared == "x"
+    assert sorted((r.doc_id for r in kept)) == [1, 2, 3, 6] and kept[0].n_shared == "x"
     none = rows([], "doc_id long, text string"), rows([], "item_id long, text string")
     assert dc.find(none[0], i).count() == 0 and dc.find(d, none[1]).count() == 0
     assert dc.clean(d, none[1]).count() == len(docs)
 
 
-def test_clean_judges_rows_without_an_id_one_by_one(spark, rows):
+def test_clean_judges_rows_one_by_one(spark, rows):
     text = "one two three four five six seven"
-    docs = [(None, "zero " + text), (None, "a clean text"), (None, None), (None, ""), (1, text), (1, "another clean text"), (2, "clean")]
-    d, i = rows(docs, "doc_id long, text string"), rows([(10, text)], "item_id long, text string")
-    key = lambda r: str(tuple(r))
-    assert sorted(map(tuple, dc.clean(d, i).collect()), key=key) == sorted([*docs[1:4], docs[6]], key=key)
-    assert sorted(map(tuple, dc.clean(d, i, by_row=True).collect()), key=key) == sorted([*docs[1:4], *docs[5:]], key=key)
+    docs = [(None, "zero " + text, 1), (None, "a clean text", 2), (None, None, 3), (None, "", 4), (1, text, 5), (1, "another clean text", 6), (2, "clean", 7)]
+    d, i = rows(docs, "doc_id long, text string, Key int"), rows([(10, text)], "item_id long, text string")
+    got = dc.clean(d, i)
+    assert got.columns == ["doc_id", "text", "Key"] and sorted(r.Key for r in got.collect()) == [2, 3, 4, 6, 7]
+    named = rows([(10, text)], "doc string, text string")
+    assert dc.clean(d.withColumnRenamed("Key", "held"), named, item_id="doc").count() == 5
+
+
+def test_partitions_by_size(spark, rows):
+    """A document looks nothing up in partitions whose items it is too small for, and all within the bound in the others."""
+    from pyspark.sql import functions as F
+
+    sketch = rows([(1, 7, list(range(0, 100, 10))), (2, 7, [5, 95]), (3, 7, [5])], "doc long, k long, all array<long>")
+    got = {(r.doc, r.h) for r in dc.lookups(sketch, {1: 30, 3: 70}, 0.8).collect()}
+    assert got == {(1, h) for h in range(0, 71, 10)} | {(2, 5)}  # 8 items' shingles ask for 7, 2 for 2
+    met = rows([(1, 10, 3), (1, 6, 3), (1, 2, 1), (1, 1, 1)], "doc long, size int, size_class int")
+    assert [r.size for r in met.where(dc._large_enough([1, 3], 0.8)).orderBy(F.desc("size")).collect()] == [10, 2]
 
 
 @pytest.mark.parametrize("sf", ["sf0.001", "sf0.01"])
