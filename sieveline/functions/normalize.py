@@ -224,7 +224,7 @@ def tick_events(
     ``bars`` has ticker, timestamp and prices; the event identifier is a content hash.
     """
     poll = poll_id if isinstance(poll_id, Column) else F.lit(poll_id)
-    latest = latest_per_key(bars, ["ticker"], ["timestamp"])
+    latest = latest_per_key(bars, ["ticker"], ["timestamp", "volume", *reversed(PRICES)])
     return latest.select(
         F.sha2(F.concat_ws("|", poll, "ticker"), 256).alias("event_id"),
         poll.alias("poll_id"),

@@ -11,7 +11,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from sieveline import schemas
 from sieveline.operators.dedupe import upsert_latest
-from sieveline.sources.snapshots import even_files
+from sieveline.session import scratch_dir
+from sieveline.sources.snapshots import even_files, exists, remove
 
 
 class Sources:
@@ -65,6 +66,27 @@ def compact(
     rows.write.mode("errorifexists").partitionBy(*partition_by).parquet(target)
 
 
+def merge_by_day(changes: DataFrame, path: str, key: Sequence[str], order: Sequence[str], day: str = "day") -> None:
+    """Merges rows into a table partitioned by ``day``, the last write of each key by ``order``; only their days are rewritten.
+
+    The changes and the merged days are written aside first: a job that reads a day can't replace it, and what a lost
+    executor costs is a part of one step. Merging the same changes again gives the same table.
+    """
+    spark = changes.sparkSession
+    aside = scratch_dir(spark, "merge")
+    changes.write.parquet(f"{aside}/changes")
+    rows = spark.read.schema(changes.schema).parquet(f"{aside}/changes")
+    days = [r[0] for r in rows.select(day).distinct().collect()]  # calendar days
+    if days:
+        if exists(spark, path):
+            rows = rows.unionByName(spark.read.schema(changes.schema).parquet(path).filter(F.col(day).isin(days)))
+        upsert_latest(rows, key, order).write.parquet(f"{aside}/merged")
+        merged = spark.read.schema(changes.schema).parquet(f"{aside}/merged")
+        writer = even_files(merged, [day]).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer.partitionBy(day).parquet(path)
+    remove(spark, aside)
+
+
 def _run_row(spark: SparkSession, run_id: str, source: str, records: int, status: str, error: str | None) -> DataFrame:
     """One row of the run log; its time is fixed here and does not change with each read."""
     return spark.range(1).select(

@@ -4,7 +4,8 @@ Stateless per event: decode, check, tag. Each micro-batch is written as one dire
 named after its batch id and split by verdict, so a batch that is run again after a
 failure replaces itself and readers never see an event twice. While a batch is being
 replaced its directory is incomplete for readers. ``compact`` folds closed batches into a
-keyed table partitioned by date, so that directories do not grow without end.
+keyed table partitioned by date and removes their directories. ``start_live`` keeps the table of live ticks itself,
+with bounded state for copies.
 """
 
 from __future__ import annotations
@@ -12,15 +13,18 @@ from __future__ import annotations
 from collections.abc import Mapping
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from sieveline import config as C, schemas
 from sieveline.functions import rules as R
 from sieveline.operators.dedupe import upsert_latest
-from sieveline.sources.snapshots import even_files
+from sieveline.session import scratch_dir
+from sieveline.sources import tables
+from sieveline.sources.snapshots import even_files, remove
 
 RULES = C.RULES["ticks"]
+PLACE = "_place"
 EVENT_FIELDS = [f.name for f in schemas.RAW["ticks"] if f.name != "_corrupt_record"]
 
 
@@ -46,8 +50,8 @@ def read_kafka(spark: SparkSession, servers: str, topic: str, options: Mapping[s
 def read_files(spark: SparkSession, path: str, files_per_trigger: int | None = None) -> DataFrame:
     """The same messages from JSON-line files; the file stands for the topic.
 
-    Lines have no offset: a line that carries no event_id gets a random identifier when its
-    batch is stored, so equal lines stay events of their own.
+    A line's offset is its number in the file. It follows from where its block starts in the file once a batch is
+    there (``line_numbers``), so equal lines are events of their own and keep their identifiers when a batch is read again.
     """
     reader = spark.readStream.schema("value string")
     if files_per_trigger:
@@ -55,9 +59,37 @@ def read_files(spark: SparkSession, path: str, files_per_trigger: int | None = N
     return reader.text(path).select(
         F.lit(None).cast("string").alias("key"), "value", F.col("_metadata.file_path").alias("topic"),
         F.lit(0).alias("partition"), F.lit(None).cast("bigint").alias("offset"),
+        F.col("_metadata.file_block_start").alias("block"),
     )
 
 
+def line_numbers(messages: DataFrame) -> DataFrame:
+    """Sets ``offset`` of lines that have none to their number in the file (``topic``), counted from 0.
+
+    Spark reads a block of a file in one task and in order, so a line's place in its block is the difference of two
+    running numbers; the lines of the blocks before it are counted and summed per file, one row per block. The result does
+    not depend on how files are cut into blocks. A column ``_place`` with the running numbers is taken as it is, so that they
+    can be stored with the lines. Identifiers that hang on the offset are filled in as well.
+    """
+    columns = [c for c in messages.columns if c != PLACE]
+    placed = messages if PLACE in messages.columns else messages.withColumn(PLACE, F.monotonically_increasing_id())
+    blocks = placed.groupBy("topic", "block").agg(F.min(PLACE).alias("_first"), F.count("*").alias("_n"))
+    earlier = Window.partitionBy("topic").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = blocks.withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0))).drop("_n")
+    numbered = placed.join(blocks, ["topic", "block"]).withColumn(
+        "offset", F.coalesce("offset", F.col("_before") + F.col(PLACE) - F.col("_first"))
+    )
+    if "event_id" in messages.columns:
+        numbered = numbered.withColumn("event_id", F.coalesce("event_id", position_id()))
+    return numbered.select(*columns)
+
+
+def position_id() -> Column:
+    """Identifier of a message that carries none: the hash of its position; null without an offset."""
+    position = F.sha2(F.concat_ws("|", "topic", "partition", "offset", "value"), 256)
+    return F.when(F.col("offset").isNotNull(), position)
+
+
 def decode(messages: DataFrame) -> DataFrame:
     """Message fields plus the event's fields; text that is no JSON object stays in
     ``_corrupt_record`` with every field null.
@@ -78,13 +110,13 @@ def gate_ticks(events: DataFrame, as_of: datetime | Column) -> DataFrame:
 
 
 def tag(gated: DataFrame, received_at: Column) -> DataFrame:
-    """Symbol from key, else event, else "unknown"; an event without an identifier gets
-    the hash of its position, or a random one where there is no offset; time of receipt."""
-    position = F.sha2(F.concat_ws("|", "topic", "partition", "offset", "value"), 256)
+    """Symbol from key, else event, else "unknown"; an event without an identifier gets the hash of its
+    position, lines of files once they are numbered, others without an offset a random one; time of receipt."""
+    later = F.lit(None).cast("string") if "block" in gated.columns else F.uuid()
     return gated.withColumns(
         {
             "ticker": F.coalesce("key", "ticker", F.lit("unknown")),
-            "event_id": F.coalesce("event_id", F.when(F.col("offset").isNotNull(), position), F.uuid()),
+            "event_id": F.coalesce("event_id", position_id(), later),
             "received_at": received_at.cast("timestamp"),
         }
     )
@@ -114,8 +146,8 @@ def observed(processed: DataFrame, name: str = "gate_counts") -> DataFrame:
     )
 
 
-def live_rows(processed: DataFrame) -> DataFrame:
-    """Verified events in the shape of ``live_ticks``."""
+def live_rows(processed: DataFrame, *extra: Column) -> DataFrame:
+    """Verified events in the shape of ``live_ticks``, and what ``extra`` adds."""
     time = lambda name: F.when(F.col(name).rlike(R.ISO_SHAPE), F.try_to_timestamp(name))
     return processed.filter("gate_passed").select(
         "event_id",
@@ -126,6 +158,7 @@ def live_rows(processed: DataFrame) -> DataFrame:
         F.col("volume").try_cast("double").try_cast("bigint").alias("volume"),
         "gate_passed",
         "received_at",
+        *extra,
     )
 
 
@@ -197,7 +230,15 @@ def start_gate(
 
     def store(batch: DataFrame, batch_id: int) -> None:
         where = f"{root}/batch_id={batch_id}"
+        aside = None
+        if "block" in batch.columns:
+            # Written once with its running numbers: numbering reads the lines twice, the batch must not run twice.
+            aside = scratch_dir(batch.sparkSession, "lines")
+            batch.withColumn(PLACE, F.monotonically_increasing_id()).write.parquet(aside)
+            batch = line_numbers(batch.sparkSession.read.parquet(aside))
         batch.write.mode("overwrite").partitionBy("gate_passed").parquet(where)
+        if aside:
+            remove(batch.sparkSession, aside)
         if kafka:
             stored = batch.sparkSession.read.schema(schema).parquet(where)
             send_kafka(messages(stored), **kafka)
@@ -233,17 +274,26 @@ def stream_quarantine(processed: DataFrame) -> DataFrame:
     return quarantine_rows(last)
 
 
-def compact(spark: SparkSession, root: str, like: DataFrame, target: str, upto: int, earlier: str | None = None) -> None:
+def compact(
+    spark: SparkSession, root: str, like: DataFrame, target: str, upto: int, earlier: str | None = None, remove_old: bool = False
+) -> None:
     """The last write of each event in batches up to ``upto``, with the earlier compaction, as a table at ``target``.
 
-    Partitioned by day of receipt. The path must be new: readers switch to it when it is complete,
-    and read later batches with ``stored_since``.
+    Partitioned by day of receipt. The path must be new: readers switch to it when it is complete, and read later
+    batches with ``stored_since``. ``remove_old`` then deletes the folded batches' directories and the earlier compaction;
+    without it they stay for readers at work. For a table that is merged as events come, see ``start_live``.
     """
     rows = stored(spark, root, like).filter(F.col("batch_id") <= upto)
     if earlier:
         rows = rows.unionByName(spark.read.schema(rows.schema).parquet(earlier).drop("day"))
     last = upsert_latest(rows, ["event_id", "gate_passed"], _SEQUENCE).withColumn("day", R.utc_day(F.col("received_at")))
     even_files(last, ["day"]).write.mode("errorifexists").partitionBy("day").parquet(target)
+    if remove_old:
+        listed = spark.read.schema("batch_id bigint").option("basePath", root).parquet(root)
+        for row in listed.filter(F.col("batch_id") <= upto).distinct().collect():
+            remove(spark, f"{root}/batch_id={row.batch_id}")
+        if earlier:
+            remove(spark, earlier)
 
 
 def stored_since(spark: SparkSession, root: str, like: DataFrame, compacted: str, upto: int) -> DataFrame:
@@ -256,3 +306,55 @@ def stored_since(spark: SparkSession, root: str, like: DataFrame, compacted: str
 def first_per_event(processed: DataFrame, delay: str = "30 minutes") -> DataFrame:
     """First copy of each event on a stream, with state bounded by the watermark."""
     return processed.withWatermark("received_at", delay).dropDuplicatesWithinWatermark(["event_id"])
+
+
+def last_writes(processed: DataFrame, delay: str = "30 minutes", span: str = "1 hour") -> DataFrame:
+    """Verified events, the last received of each, with ``_written`` that later copies are compared by.
+
+    On a stream this is keyed state: one row per event, kept until the watermark of the events' own time has passed its
+    ``span`` by ``delay``. No event older than the gate's age limit passes, so a ``delay`` above that limit loses no
+    copy. In update mode an event comes again when a copy arrives; a late or repeated copy brings the row it was.
+    """
+    order = F.struct(*_SEQUENCE[1:]).alias("_written")
+    rows = live_rows(processed, order).withWatermark("bar_timestamp", delay)
+    columns = [c for c in rows.columns if c != "_written"]
+    kept = rows.groupBy("event_id", F.window("bar_timestamp", span).alias("_span")).agg(
+        F.max_by(F.struct(*columns), "_written").alias("_row"), F.max("_written").alias("_written")
+    )
+    return kept.select("_row.*", "_written")
+
+
+def start_live(
+    stream: DataFrame,
+    root: str,
+    checkpoint: str,
+    as_of: datetime | Column | None = None,
+    received_at: Column | None = None,
+    delay: str = "30 minutes",
+    once: bool = False,
+    interval: str = "5 seconds",
+) -> StreamingQuery:
+    """Keeps ``root`` as the table of live ticks: one row per event, by day of its own time.
+
+    Each micro-batch's changes are merged into the days they lie in, which are rewritten; other days are not touched and
+    no directory stays behind per batch. A batch that runs again merges the same rows into the same result. Messages need an
+    offset or an event_id (Kafka gives the first); lines of files without an event_id end the query, as they are numbered
+    behind the stream only (``start_gate``).
+    """
+    processed = process(stream, as_of if as_of is not None else F.current_timestamp(), received_at)
+    named = F.coalesce("event_id", F.raise_error(F.lit("a line of a file without event_id")).cast("string"))
+    processed = processed.withColumn("event_id", named) if "block" in stream.columns else processed
+
+    def store(batch: DataFrame, batch_id: int) -> None:
+        changes = batch.withColumn("day", R.utc_day(F.col("bar_timestamp")))
+        tables.merge_by_day(changes, root, ["event_id"], ["_written"])
+
+    writer = last_writes(processed, delay).writeStream.outputMode("update").foreachBatch(store)
+    writer = writer.option("checkpointLocation", checkpoint)
+    writer = writer.trigger(availableNow=True) if once else writer.trigger(processingTime=interval)
+    return writer.queryName(f"live_{checkpoint.rsplit('/', 1)[-1]}").start()
+
+
+def live_table(spark: SparkSession, root: str) -> DataFrame:
+    """The table that ``start_live`` keeps; a filter on ``day`` prunes directories."""
+    return spark.read.parquet(root).drop("_written")

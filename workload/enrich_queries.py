@@ -202,3 +202,29 @@ from ({_CONTEXT}) c""",
 )
 def anomaly_prompts(fx: Inputs) -> DataFrame:
     return anomaly.anomaly_prompts(_context(fx))
+
+
+@query(
+    "reject_reasons",
+    """
+select cast(doc_id as varchar) as article_id, case doc_id % 8 when 0 then 'no_response' when 1 then 'invalid_json'
+    when 2 then 'invalid_json' when 3 then 'missing_fields' when 4 then 'invalid_sentiment'
+    when 5 then 'invalid_confidence' end as reject_reason,
+  case doc_id % 8 when 6 then cast(1 as double) when 7 then cast(0.5 as double) end as confidence
+from documents where doc_id is not null""",
+)
+def reject_reasons(fx: Inputs) -> DataFrame:
+    """Every reason to turn a response down, one that is clamped and one in a fence."""
+    kind = F.col("doc_id") % 8
+    rest = ',"tickers_mentioned":[],"topic_tags":["a"],"market_implication":"m"}'
+    good = F.lit('{"sentiment":"neutral","confidence":')
+    response = (
+        F.when(kind == 1, "the mood is good").when(kind == 2, '["neutral", 0.5]')
+        .when(kind == 3, F.concat(good, F.lit('0.5,"tickers_mentioned":[],"market_implication":"m"}')))
+        .when(kind == 4, F.concat(F.lit('{"sentiment":"mixed","confidence":0.5'), F.lit(rest)))
+        .when(kind == 5, F.concat(good, F.lit('"high"'), F.lit(rest)))
+        .when(kind == 6, F.concat(good, F.lit("1.7"), F.lit(rest)))
+        .when(kind == 7, F.concat(F.lit("```json\n"), good, F.lit("0.5"), F.lit(rest), F.lit("\n```")))
+    )
+    asked = fx.table("documents").where("doc_id is not null").select(F.col("doc_id").cast("string").alias("article_id"), response.alias("response"))
+    return enrich.parse_responses(asked).select("article_id", "reject_reason", "confidence")

@@ -96,6 +96,32 @@ def dominant_sentiment(fx: Inputs) -> DataFrame:
     )
 
 
+_LABELLED = """
+select doc_id % 40 as d, case (doc_id // 40 + doc_id % 40) % (2 + doc_id % 40 % 3) when 0 then 'bullish' when 1 then 'bearish' else 'neutral' end as label,
+  0.25 + 0.25 * (doc_id % 2) as confidence from documents where doc_id is not null"""
+
+
+@query(
+    "dominant_by_day",
+    f"""
+select date '2024-01-01' + cast(d as int) as date, n as article_count,
+  case when bull > bear then 'bullish' when bear > bull then 'bearish' else 'neutral' end as dominant_sentiment
+from (select d, count(*) as n, sum(case when label = 'bullish' then confidence else 0 end) as bull,
+        sum(case when label = 'bearish' then confidence else 0 end) as bear from ({_LABELLED}) l group by d) s""",
+)
+def dominant_by_day(fx: Inputs) -> DataFrame:
+    """Days led by either direction and days where both weigh the same."""
+    doc = F.col("doc_id")
+    d = doc % 40
+    turn = (F.floor(doc / 40) + d) % (2 + d % 3)
+    news = fx.table("documents").where("doc_id is not null").select(
+        F.timestamp_seconds(F.lit(1704067200) + d * 86400).alias("published_at"),
+        F.when(turn == 0, "bullish").when(turn == 1, "bearish").otherwise("neutral").alias("sentiment"),
+        (F.lit(0.25) + F.lit(0.25) * (doc % 2)).alias("confidence"),
+    )
+    return intermediate.daily_sentiment(news, scale=8).select("date", "article_count", "dominant_sentiment")
+
+
 @query("trust_scores", "select * from fx_trust", ("fx_trust",))
 def trust_scores(fx: Inputs) -> DataFrame:
     return trust_of(fx).drop("_loaded_at")

@@ -148,6 +148,21 @@ def recent_matching_docs(fx: Inputs) -> DataFrame:
     return found.select("article_id", "published_at", "title", "source_name")
 
 
+@query(
+    "recent_matching_cut",
+    """
+select article_id, published_at from fx_bronze_news
+where lang = 'en' and published_at >= timestamp '2024-01-05 00:00:00'
+  and regexp_matches(description, '(?i)\\b(the|with|thing|blest)\\b')
+order by published_at desc, article_id limit 7""",
+    ("fx_bronze_news",),
+)
+def recent_matching_cut(fx: Inputs) -> DataFrame:
+    """Many articles share the newest times: the limit cuts among equals, by identifier."""
+    since = F.to_timestamp(F.lit("2024-01-05 00:00:00"))
+    return N.recent_matching(fx.bronze_news, since, _TERMS, text="description", n=7).select("article_id", "published_at")
+
+
 @query(
     "run_log",
     """

@@ -217,6 +217,82 @@ def live_ticks(fx: Inputs) -> DataFrame:
     return T.live_ticks(_run_once(fx, copies=2))
 
 
+_AGAIN = """
+, again as (
+  select *, as_of + interval 1 minute as later, close + 0.25 as close_2 from fx_ticks where cast(event_id as bigint) % 7 = 0),
+again_passed as (
+  select * from again where ticker is not null and bar_timestamp is not null and open > 0 and high > 0 and low > 0
+    and close_2 > 0 and volume >= 0 and high >= low and abs((close_2 - open) / open) * 100 <= 20
+    and bar_timestamp between later - interval 20 minute and later + interval 2 minute)
+select event_id, ticker, bar_timestamp, later as polled_at, open, high, low, close_2 as close, volume, true as gate_passed,
+  later as received_at from again_passed
+union all
+select event_id, ticker, bar_timestamp, as_of, open, high, low, close, volume, true, as_of from fx_gated_ticks
+where failure_code is null and event_id not in (select event_id from again_passed)"""
+
+
+@query("live_table", _AGAIN, ("fx_ticks", "fx_gated_ticks"))
+def live_table(fx: Inputs) -> DataFrame:
+    """Every event delivered twice, every seventh again a minute later with another close: the stateful stream's table."""
+    later = fx.tick_records.filter(F.col("event_id").cast("bigint") % 7 == 0).withColumns(
+        {"as_of": F.col("as_of") + F.make_dt_interval(mins=F.lit(1)), "close": F.col("close") + 0.25}
+    )
+    events = fx.tick_records.withColumn("_copy", F.explode(F.array(F.lit(1), F.lit(2)))).drop("_copy").unionByName(later)
+    events = events.withColumn("polled_at", F.col("as_of").cast("string")).drop("as_of")
+    where, root, checkpoint = (scratch_dir(fx.spark, n) for n in ("live-in", "live", "live-checkpoint"))
+    events.select(F.to_json(F.struct(*events.columns)).alias("value")).write.text(where)
+    stream, check_time = T.read_files(fx.spark, where), F.try_to_timestamp("polled_at")
+    T.start_live(stream, root, checkpoint, as_of=check_time, received_at=check_time, once=True).awaitTermination()
+    shape = T.live_rows(T.process(_plain_messages(fx), check_time, check_time)).columns
+    return T.live_table(fx.spark, root).select(*shape)
+
+
+@query(
+    "stream_counters",
+    """
+select count(*) filter (failure_code is null) as passed, count(*) filter (failure_code is not null) as failed,
+  count(*) as total from fx_gated_ticks""",
+    ("fx_gated_ticks",),
+)
+def stream_counters(fx: Inputs) -> DataFrame:
+    """The counters as the stream reports them: metrics of every micro-batch, summed over the query's progress."""
+    stream, check_time = T.read_files(fx.spark, _stream_inputs(fx)), F.try_to_timestamp("polled_at")
+    root, checkpoint = scratch_dir(fx.spark, "stream-out"), scratch_dir(fx.spark, "checkpoint")
+    run = T.start_gate(stream, root, checkpoint, as_of=check_time, received_at=check_time, once=True)
+    run.awaitTermination()
+    seen = [p.observedMetrics["gate_counts"].asDict() for p in run.recentProgress if "gate_counts" in p.observedMetrics]
+    reported = fx.spark.createDataFrame(seen, "passed bigint, failed bigint, total bigint")
+    return reported.agg(*[F.sum(c).alias(c) for c in reported.columns])
+
+
+@query(
+    "tick_times",
+    """
+select event_id, kind, case kind when 1 then 'future' when 2 then 'unreadable' when 3 then null when 4 then null
+    when 5 then 'late' end as verdict
+from (select *, cast(event_id as bigint) % 6 as kind from fx_ticks) t
+where kind > 0 and ticker is not null and open > 0 and high > 0 and low > 0 and close > 0 and volume >= 0
+  and high >= low and abs((close - open) / open) * 100 <= 20""",
+    ("fx_ticks",),
+)
+def tick_times(fx: Inputs) -> DataFrame:
+    """Plausible ticks with times beyond the limits, exactly on them, and unreadable ones."""
+    kind = F.col("event_id").cast("bigint") % 6
+    shift = lambda seconds: (F.col("as_of") + F.make_dt_interval(secs=F.lit(seconds))).cast("string")
+    moved = (
+        F.when(kind == 1, shift(121)).when(kind == 2, F.lit("yesterday noon")).when(kind == 3, shift(120))
+        .when(kind == 4, shift(-1200)).otherwise(shift(-1201))
+    )
+    gated = T.gate_ticks(fx.tick_records.filter(kind > 0).withColumn("timestamp", moved), F.col("as_of"))
+    told = F.col("failure_detail")
+    verdict = (
+        F.when(told.endswith("in the future"), "future").when(told.endswith("not a readable time"), "unreadable")
+        .when(told.contains("is older than"), "late")
+    )
+    plausible = gated.filter(F.col("failure_code").isNull() | (F.col("failure_code") == C.STALE))
+    return plausible.select("event_id", kind.alias("kind"), verdict.alias("verdict"))
+
+
 @query(
     "stream_sink",
     """
