@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import hashlib
 import tempfile
 import zipfile
@@ -93,9 +96,13 @@ def in_chunks(batch: pa.RecordBatch, column: str, most_bytes: int = 4 << 20) ->
         start = stop
 
 
+_made: list[dict] = []
+
+
 def per_worker(make: Callable) -> Callable:
     """``make`` called once in each Python worker, for models and tokenizers."""
     made: dict = {}
+    _made.append(made)
 
     def get(*key):
         if key not in made:
@@ -116,5 +123,19 @@ def kept_for(token: str, make: Callable):
     return _kept[token]
 
 
+def release() -> None:
+    """Frees the models and tables that earlier stages left in this Python worker, and gives the memory back.
+
+    Workers are used again by later stages; one that holds much itself calls this first.
+    """
+    if not _kept and not any(_made):
+        return
+    for made in (_kept, *_made):
+        made.clear()
+    gc.collect()
+    with contextlib.suppress(OSError, AttributeError):  # the C library's own call, where there is one
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def sha256_hex(data: bytes) -> str:
     return hashlib.sha256(data).hexdigest()

@@ -40,7 +40,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from sieveline.llm.common import in_chunks, stored
+from sieveline.llm.common import in_chunks, release, stored
 from sieveline.llm.components import components
 from sieveline.llm.shingles import U, distinct_by_text, mix, shingle_hashes
 
@@ -217,6 +217,7 @@ def _packed(docs: DataFrame, width: int, bands: Bands, ones: np.ndarray, parts:
         def texts_part() -> int:
             return next(turn) % parts  # any partition will do
 
+        release()
         count = 0
         for batch in batches:
             for some in in_chunks(batch, "text", 1 << 18):

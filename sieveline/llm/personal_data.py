@@ -50,7 +50,7 @@ _HEADS = rf"{_IBAN}|(?:{_PREFIX}|{_OPENED}|\+?+[0-9][^{_SIGNS}]*+){_MORE}|[^{_SI
 VALUE = rf"(?:\G|(?<![^{_SIGNS}]))(?:{_HEADS})"
 HEAD = rf"^\(?[^{_SIGNS}]+"  # of a value: its first group
 CUE = rf"[^{_SIGNS}]++[{_SIGNS}](?:(?!{_PREFIX})[{_SIGNS}])*+"
-LAST_CUE = rf"([^{_SIGNS}]+[{_SIGNS}]+)$"
+LAST_CUE = rf"(?:^|(?<=[{_SIGNS}]))([^{_SIGNS}]++[{_SIGNS}]++)$"
 
 SMALL_SIDE = 500_000  # cues that may be broadcast; beyond, a shuffled join
 SETTLED = 0.001  # a round that raises no cue's confidence by more is the last
@@ -104,7 +104,7 @@ def base_spans(text: Column) -> dict[str, Column]:
 
 def _cue(before: Column) -> Column:
     """The cue at the end of a text: lower-cased, blanks made one; null without one."""
-    cue = F.regexp_replace(F.lower(F.regexp_extract(F.right(before, F.lit(80)), LAST_CUE, 1)), r"\s+", " ")
+    cue = F.regexp_replace(F.lower(F.regexp_extract(before, LAST_CUE, 1)), r"\s+", " ")
     return F.when(cue != "", cue)
 
 

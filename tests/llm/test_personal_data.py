@@ -130,3 +130,15 @@ def test_check_digit(spark, rows, value, good):
     from pyspark.sql import functions as F
 
     assert rows([(value,)], "v string").select(pd_._luhn(F.col("v"))).first()[0] is good
+
+
+def test_cues_of_any_length(spark, rows):
+    """A cue is the whole word and the blanks before the value, however long."""
+    word, blanks = "x" * 120 + ":", "\t" + " " * 90
+    data = [(i, f"call phone: +49 30 12345{i:03d} now") for i in range(30)]
+    data += [(100 + i, f"{word} +49 30 22345{i:03d} now") for i in range(30)] + [(200 + i, f"fax{blanks}+49 30 32345{i:03d} now") for i in range(30)]
+    data += [(300 + i, f"{word} 030-4455{i:02d} now") for i in range(20)] + [(400 + i, f"fax{blanks}030-5566{i:02d} now") for i in range(20)]
+    got = {r.doc_id: r.spans for r in pd_.digest(pd_.extract(rows(data, "doc_id long, text string"))).collect()}
+    for i, t in data[90:]:
+        at = t.index("030-")
+        assert got[i] == f"found:{at}:{at + 10}", (i, got[i])
