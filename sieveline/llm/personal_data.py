@@ -22,6 +22,7 @@ rows and null ids included; columns that
 from __future__ import annotations
 
 import itertools
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -53,32 +54,68 @@ CUE = rf"[^{_SIGNS}]++[{_SIGNS}](?:(?!{_PREFIX})[{_SIGNS}])*+"
 LAST_CUE = rf"(?:^|(?<=[{_SIGNS}]))([^{_SIGNS}]++[{_SIGNS}]++)$"
 
 SMALL_SIDE = 500_000  # cues that may be broadcast; beyond, a shuffled join
+STEP = 256  # matches that are dealt with in one piece
 SETTLED = 0.001  # a round that raises no cue's confidence by more is the last
 _SPAN = "array<struct<s:int,e:int,v:string,gap:string>>"
 
 
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)``, with the value computed once however often ``use`` names it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def in_steps(items: Column, start: Column, total: Callable, merge: Callable, produce: Callable) -> Column:
+    """A running state over an array, in time that stays near its length.
+
+    Appending to an array copies it, so the array is cut into pieces of STEP: their ``total``s are merged into the state
+    before each piece, and ``produce(piece, state)`` gives a piece's results, appended to short arrays only.
+    """
+
+    def of_pieces(pieces: Column) -> Column:
+        kind = "array<int>"
+        states = F.aggregate(
+            F.transform(pieces, total),
+            F.struct(start.alias("at"), F.array().cast(kind).alias("out")),
+            lambda acc, t: F.struct(merge(acc["at"], t).alias("at"), F.array_append(acc["out"], acc["at"]).alias("out")),
+        )["out"]
+        return bound(states, lambda at: F.flatten(F.transform(pieces, lambda piece, k: produce(piece, F.get(at, k)))))
+
+    def cut(whole: Column) -> Column:
+        places = F.sequence(F.lit(0), F.floor((F.size(whole) - 1) / STEP).cast("int"))
+        return bound(F.transform(places, lambda k: F.slice(whole, k * STEP + 1, F.lit(STEP))), of_pieces)
+
+    return bound(items, cut)
+
+
 def find_all(text: Column, pattern: str) -> Column:
     """All leftmost non-overlapping matches: start, end (code points), value, and the text between it and the match before."""
     values = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     gaps = F.split(text, pattern, -1)
-    pairs = F.arrays_zip(gaps.alias("gap"), values.alias("v"))
-    step = F.aggregate(
-        F.filter(pairs, lambda p: p["v"].isNotNull()),
-        F.struct(F.lit(0).alias("at"), F.array().cast(_SPAN).alias("out")),
-        lambda acc, p: F.struct(
-            (acc["at"] + F.length(p["gap"]) + F.length(p["v"])).alias("at"),
-            F.array_append(
-                acc["out"],
-                F.struct(
-                    (acc["at"] + F.length(p["gap"])).alias("s"),
-                    (acc["at"] + F.length(p["gap"]) + F.length(p["v"])).alias("e"),
-                    p["v"].alias("v"),
-                    p["gap"].alias("gap"),
-                ),
-            ).alias("out"),
-        ),
-    )["out"]
-    return F.when(text.rlike(pattern.replace(r"(?:\G|", "(?:", 1)), step).otherwise(F.array().cast(_SPAN))
+    pairs = F.filter(F.arrays_zip(gaps.alias("gap"), values.alias("v")), lambda p: p["v"].isNotNull())
+
+    def width(p: Column) -> Column:
+        return F.length(p["gap"]) + F.length(p["v"])
+
+    def placed(piece: Column, at: Column) -> Column:
+        return F.aggregate(
+            piece,
+            F.struct(at.alias("at"), F.array().cast(_SPAN).alias("out")),
+            lambda acc, p: F.struct(
+                (acc["at"] + width(p)).alias("at"),
+                F.array_append(
+                    acc["out"],
+                    F.struct(
+                        (acc["at"] + F.length(p["gap"])).alias("s"),
+                        (acc["at"] + width(p)).alias("e"),
+                        p["v"].alias("v"),
+                        p["gap"].alias("gap"),
+                    ),
+                ).alias("out"),
+            ),
+        )["out"]
+
+    found = in_steps(pairs, F.lit(0), lambda piece: F.aggregate(piece, F.lit(0), lambda n, p: n + width(p)), lambda at, n: at + n, placed)
+    return F.when(text.rlike(pattern.replace(r"(?:\G|", "(?:", 1)), found).otherwise(F.array().cast(_SPAN))
 
 
 def _digits(value: Column) -> Column:
@@ -139,17 +176,31 @@ def spans(df: DataFrame, keep: tuple[str, ...] = ("doc_id",), text_col: str = "t
         F.col("tokens"),
         lambda m, i: F.struct(m["s"].alias("s"), m["e"].alias("e"), m["v"].alias("v"), (m["s"] + F.length(_value(F.regexp_extract(m["v"], HEAD, 0)))).alias("head"), cue(m, i).alias("cue")),
     )
-    apart = F.filter(F.col("_heads"), lambda t: t["cue"].isNotNull() & ~F.exists(F.col("_base"), lambda b: (b["s"] < t["head"]) & (t["s"] < b["e"])))
+    kind = "array<struct<s:int,e:int,v:string,cue:string>>"
 
-    def trimmed(m: Column) -> Column:
-        first = F.array_min(F.transform(F.filter(F.col("_base"), lambda b: (b["s"] >= m["head"]) & (b["s"] < m["e"])), lambda b: b["s"]))
-        return F.when(first.isNull(), _value(m["v"])).otherwise(F.regexp_replace(F.lower(F.substring(m["v"], F.lit(1), first - m["s"])), r"[^\p{L}\p{N}]+$", ""))
+    def free(piece: Column, spans: Column) -> Column:
+        """Tokens of a piece that are apart from the base spans around it."""
+        reach = F.struct(F.array_min(F.transform(piece, lambda t: t["s"])).alias("s"), F.array_max(F.transform(piece, lambda t: t["e"])).alias("e"))
+        near = bound(reach, lambda r: F.filter(spans, lambda b: (b["s"] < r["e"]) & (r["s"] < b["e"])))
 
-    free = F.transform(F.col("_apart"), lambda m: F.struct(m["s"].alias("s"), (m["s"] + F.length(trimmed(m))).alias("e"), trimmed(m).alias("v"), m["cue"].alias("cue")))
-    return (
-        cut.withColumn("_base", base).withColumn("_heads", heads).withColumn("_apart", apart).withColumn("_free", free)
-        .select("row", *keep, *shaped, F.col("_free").alias("tokens"))
-    )
+        def own(around: Column) -> Column:
+            def trimmed(m: Column) -> Column:
+                first = F.array_min(F.transform(F.filter(around, lambda b: (b["s"] >= m["head"]) & (b["s"] < m["e"])), lambda b: b["s"]))
+                return F.when(first.isNull(), _value(m["v"])).otherwise(F.regexp_replace(F.lower(F.substring(m["v"], F.lit(1), first - m["s"])), r"[^\p{L}\p{N}]+$", ""))
+
+            apart = F.filter(piece, lambda t: t["cue"].isNotNull() & ~F.exists(around, lambda b: (b["s"] < t["head"]) & (t["s"] < b["e"])))
+            return F.transform(apart, lambda m: F.struct(m["s"].alias("s"), (m["s"] + F.length(trimmed(m))).alias("e"), trimmed(m).alias("v"), m["cue"].alias("cue")))
+
+        return bound(near, own)
+
+    # Piece by piece, so that a token meets the base spans near it only.
+    def all_free(listed: Column) -> Column:
+        places = F.sequence(F.lit(0), F.floor((F.size(listed) - 1) / STEP).cast("int"))
+        pieces = F.transform(places, lambda k: F.slice(listed, k * STEP + 1, F.lit(STEP)))
+        return bound(F.col("_base"), lambda spans: F.flatten(F.transform(pieces, lambda piece: free(piece, spans))))
+
+    tokens = F.when(F.size("_heads") > 0, bound(F.col("_heads"), all_free)).otherwise(F.array().cast(kind))
+    return cut.withColumn("_base", base).withColumn("_heads", heads).select("row", *keep, *shaped, tokens.alias("tokens"))
 
 
 def _occurrences(df: DataFrame, text_col: str, cues: DataFrame) -> DataFrame:
@@ -234,18 +285,32 @@ def mask(df: DataFrame, text_col: str, spans_col: str = "spans") -> Column:
     """``text_col`` with every span replaced by its kind in angle brackets; overlapping spans become one, named after the first."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     ordered = F.array_sort(F.transform(spans_col, lambda m: F.struct(m["s"].alias("s"), (-m["e"]).alias("d"), m["kind"].alias("kind"))))
-    state = F.aggregate(
-        ordered,
-        F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out")),
-        lambda acc, m: F.struct(
-            F.greatest(acc["at"], -m["d"]).alias("at"),
-            F.when(
-                m["s"] >= acc["at"],
-                F.concat(acc["out"], F.array(F.substring(text, acc["at"] + 1, m["s"] - acc["at"]), F.concat(F.lit("<"), m["kind"], F.lit(">")))),
-            ).otherwise(acc["out"]).alias("out"),
-        ),
-    )
-    masked = F.concat(F.array_join(state["out"], ""), F.substring(text, state["at"] + 1, F.length(text)))
+
+    def pieces(piece: Column, at: Column) -> Column:
+        # Places are counted from the start of a string, so each piece has its own part of the text.
+        part = F.substring(text, at + 1, F.greatest(F.array_max(F.transform(piece, lambda m: m["s"])) - at, F.lit(0)))
+
+        def replaced(own: Column) -> Column:
+            return F.aggregate(
+                piece,
+                F.struct(at.alias("at"), F.array().cast("array<string>").alias("out")),
+                lambda acc, m: F.struct(
+                    F.greatest(acc["at"], -m["d"]).alias("at"),
+                    F.when(
+                        m["s"] >= acc["at"],
+                        F.concat(acc["out"], F.array(F.substring(own, acc["at"] - at + 1, m["s"] - acc["at"]), F.concat(F.lit("<"), m["kind"], F.lit(">")))),
+                    ).otherwise(acc["out"]).alias("out"),
+                ),
+            )["out"]
+
+        return bound(part, replaced)
+
+    def last(piece: Column) -> Column:
+        return F.array_max(F.transform(piece, lambda m: -m["d"]))
+
+    parts = in_steps(ordered, F.lit(0), last, F.greatest, pieces)
+    end = F.array_max(F.transform(spans_col, lambda m: m["e"]))
+    masked = F.concat(F.array_join(parts, ""), F.substring(text, end + 1, F.length(text)))
     return F.when(F.col(text_col).isNull() | (F.size(spans_col) <= 0), F.col(text_col)).otherwise(masked)
 
 
