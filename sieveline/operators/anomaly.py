@@ -7,54 +7,23 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from sieveline import config as C
 from sieveline.operators.dedupe import top_per_key
 from sieveline.functions import text as X
+from sieveline.sources.snapshots import even_files
 
 
-def latest_vs_history(
-    bars: DataFrame, key: str = "ticker", order: str = "date", value: str = "close", bucket: str = "month"
-) -> DataFrame:
-    """Per key: latest date and value; count, mean and population deviation of the rest.
+def _moments(value: str) -> list[Column]:
+    """A state that merges with others: count, mean, squared deviations, extremes."""
+    x = F.col(value)
+    return [
+        F.count(x).alias("n"), F.avg(x).alias("mean"), (F.var_pop(x) * F.count(x)).alias("m2"), F.min(x).alias("lo"), F.max(x).alias("hi"),
+    ]
 
-    Statistics are taken per (key, time bucket), with and without the bucket's last
-    row. Merging the buckets uses the second form for the newest bucket only, so the
-    latest row is left out exactly, no task ever holds more than one bucket of a key,
-    and the rows are shuffled once.
-    """
-    rows = bars.filter(F.col(value).isNotNull()).select(
-        key, order, value, F.date_trunc(bucket, F.col(order).cast("timestamp")).alias("_bucket")
-    )
-    newest = Window.partitionBy(key, "_bucket").orderBy(F.col(order).desc())
-    ranked = rows.withColumn("_rank", F.row_number().over(newest))
-    older = F.when(F.col("_rank") > 1, F.col(value))
-
-    def stats(x: Column, suffix: str) -> list[Column]:
-        return [
-            F.count(x).alias(f"n{suffix}"),
-            F.avg(x).alias(f"mean{suffix}"),
-            (F.var_pop(x) * F.count(x)).alias(f"m2{suffix}"),
-            F.min(x).alias(f"lo{suffix}"),
-            F.max(x).alias(f"hi{suffix}"),
-        ]
-
-    parts = ranked.groupBy(key, "_bucket").agg(
-        F.max(F.when(F.col("_rank") == 1, F.col(order))).alias("_last"),
-        F.max(F.when(F.col("_rank") == 1, F.col(value))).alias("_value"),
-        *stats(F.col(value), "_all"),
-        *stats(older, "_old"),
-    )
-    # From here one row per (key, bucket).
-    by_key = Window.partitionBy(key)
-    final = F.row_number().over(by_key.orderBy(F.col("_bucket").desc())) == 1
-    parts = parts.withColumn("_final", final).withColumns(
-        {
-            name: F.when(F.col("_final"), F.col(f"{name}_old")).otherwise(F.col(f"{name}_all"))
-            for name in ("n", "mean", "m2", "lo", "hi")
-        }
-    )
+
+def _merged(states: DataFrame, key: str) -> DataFrame:
+    """One row per key: n_history, avg_close, std_close of all its states; null deviation without one."""
+    by_key = Window.partitionBy(key)  # a state per bucket, not a row per bar
     total = F.sum(F.col("n") * F.col("mean")).over(by_key)
-    parts = parts.withColumn("_mean", F.try_divide(total, F.sum("n").over(by_key)))
-    merged = parts.groupBy(key).agg(
-        F.max(F.when(F.col("_final"), F.col("_last"))).alias(order),
-        F.max(F.when(F.col("_final"), F.col("_value"))).alias(value),
+    centred = states.withColumn("_mean", F.try_divide(total, F.sum("n").over(by_key)))
+    merged = centred.groupBy(key).agg(
         F.sum("n").alias("n_history"),
         F.max("_mean").alias("avg_close"),
         F.sum(F.col("m2") + F.col("n") * (F.col("mean") - F.col("_mean")) ** 2).alias("_m2"),
@@ -68,6 +37,67 @@ def latest_vs_history(
     return merged.withColumn("std_close", deviation).drop("_m2", "_lo", "_hi")
 
 
+def _with_history(latest: DataFrame, history: DataFrame, key: str, order: str, value: str) -> DataFrame:
+    joined = latest.join(history, key, "left")
+    return joined.select(key, order, value, F.coalesce("n_history", F.lit(0)).alias("n_history"), "avg_close", "std_close")
+
+
+def bucket_states(
+    bars: DataFrame, key: str = "ticker", order: str = "date", value: str = "close", bucket: str = "month"
+) -> DataFrame:
+    """Per (key, bucket of time): the bucket's state and its newest row, from one map-side combined aggregate."""
+    cut = F.date_trunc(bucket, F.col(order).cast("timestamp")).alias("bucket")
+    rows = bars.filter(F.col(value).isNotNull()).select(key, order, value, cut)
+    newest = [F.max(order).alias("last"), F.max_by(value, order).alias("last_value")]
+    return rows.groupBy(key, "bucket").agg(*_moments(value), *newest)
+
+
+def _newest(states: DataFrame, key: str) -> DataFrame:
+    newest = states.groupBy(key).agg(F.max_by(F.struct("bucket", "last", "last_value"), "bucket").alias("_newest"))
+    return newest.select(key, "_newest.*")
+
+
+def latest_vs_history(
+    bars: DataFrame, key: str = "ticker", order: str = "date", value: str = "close", bucket: str = "month"
+) -> DataFrame:
+    """Per key: latest date and value; count, mean and population deviation of the rest.
+
+    Bars are reduced to a state per (key, bucket) where they are read and never sorted. The newest bucket of a key is
+    taken once more without its latest row, so that row is left out exactly; of the bars only those from the
+    earliest newest bucket on are looked at again. No task holds more than the states of a key.
+    """
+    states = bucket_states(bars, key, order, value, bucket)
+    newest = _newest(states, key)
+    since = newest.agg(F.min("bucket")).scalar()
+    cut = F.date_trunc(bucket, F.col(order).cast("timestamp"))
+    late = bars.filter(F.col(value).isNotNull() & (cut >= since)).select(key, order, value, cut.alias("bucket"))
+    rest = late.join(newest.select(key, "bucket", "last"), [key, "bucket"]).filter(F.col(order) < F.col("last"))
+    columns = [key, "n", "mean", "m2", "lo", "hi"]
+    older = states.join(newest.select(key, F.col("bucket").alias("_last")), key).filter(F.col("bucket") < F.col("_last"))
+    history = _merged(older.select(columns).unionByName(rest.groupBy(key).agg(*_moments(value)).select(columns)), key)
+    latest = newest.select(key, F.col("last").alias(order), F.col("last_value").alias(value))
+    return _with_history(latest, history, key, order, value)
+
+
+def store_states(bars: DataFrame, path: str, key: str = "ticker", order: str = "date", value: str = "close") -> None:
+    """Keeps the state of every (key, day); ``bars`` are all rows of the days they lie in, which are replaced.
+
+    A new day costs its own rows: nothing of other days is read or written.
+    """
+    states = bucket_states(bars, key, order, value, "day").withColumn("day", F.to_date("bucket"))
+    even_files(states, ["day"]).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day").parquet(path)
+
+
+def latest_from_states(
+    states: DataFrame, key: str = "ticker", order: str = "date", value: str = "close"
+) -> DataFrame:
+    """The same result as ``latest_vs_history`` from stored states of daily bars, one row per key and day."""
+    newest = _newest(states, key)
+    older = states.join(newest.select(key, F.col("bucket").alias("_last")), key).filter(F.col("bucket") < F.col("_last"))
+    latest = newest.select(key, F.col("last").alias(order), F.col("last_value").alias(value))
+    return _with_history(latest, _merged(older, key), key, order, value)
+
+
 def enough_history(stats: DataFrame, minimum: int = C.ANOMALY_MIN_HISTORY) -> DataFrame:
     """Symbols with enough earlier rows and some spread."""
     return stats.filter((F.col("n_history") >= minimum) & (F.col("std_close") != 0))
@@ -113,8 +143,8 @@ def _by_confidence() -> list[Column]:
     return [F.col("confidence").desc(), F.col("article_id").asc()]
 
 
-def symbol_headlines(news: DataFrame, minimum: float = 0.5, n: int = 3) -> DataFrame:
-    """The ``n`` most confident headlines that mention each symbol.
+def symbol_headlines(news: DataFrame, minimum: float = 0.5, n: int = 3, symbols: DataFrame | None = None) -> DataFrame:
+    """The ``n`` most confident headlines that mention each symbol, or each of ``symbols`` (a column ticker).
 
     ``news`` has article_id, title, sentiment, confidence, tickers_mentioned (array).
     """
@@ -125,6 +155,8 @@ def symbol_headlines(news: DataFrame, minimum: float = 0.5, n: int = 3) -> DataF
             F.explode(F.array_distinct("tickers_mentioned")).alias("ticker"),
         )
     )
+    if symbols is not None:
+        mentions = mentions.join(symbols.select("ticker").distinct(), "ticker", "left_semi")
     return top_per_key(mentions, ["ticker"], _by_confidence(), n)
 
 
@@ -147,7 +179,7 @@ def _joined_lines(item: Column, order: list[str]) -> Column:
 def headline_context(anomalies: DataFrame, news: DataFrame) -> DataFrame:
     """Add ``news_context``: own headlines, else market-wide ones, else empty text."""
     line = X.headline_bullet(F.col("sentiment"), F.col("confidence"), F.col("title"))
-    own = symbol_headlines(news).groupBy("ticker").agg(_joined_lines(line, ["rank"]).alias("_own"))
+    own = symbol_headlines(news, symbols=anomalies).groupBy("ticker").agg(_joined_lines(line, ["rank"]).alias("_own"))
     # At most three rows reach this aggregate; its one value is inlined as a scalar subquery.
     market = (
         market_headlines(news)

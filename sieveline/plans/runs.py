@@ -10,6 +10,7 @@ from uuid import uuid4
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from sieveline.functions import rules as R
 from sieveline.operators import gate as G
@@ -114,12 +115,16 @@ class Model:
     build: Callable[[Callable[[str], DataFrame]], DataFrame]
 
 
+def _same_shape(a: StructType, b: StructType) -> bool:
+    return [(f.name, f.dataType) for f in a] == [(f.name, f.dataType) for f in b]
+
+
 def materialize(spark: SparkSession, models: Mapping[str, Model], root: str) -> DataFrame:
     """Build models in the given order and register them; returns the inventory.
 
     Views stay queries. Tables are written to a new folder under ``root`` and then registered as external
     tables of their schema: a build that fails leaves the table of the last one in place, and
-    readers switch in one step of the catalog. A table of that name that was not built here (a managed
+    readers switch in one step, the change of its location (where the columns changed, the table is made anew). A table of that name that was not built here (a managed
     one) is never dropped. Later models read what was written instead of computing it
     again, and a lost executor costs no more than its part of one model.
     """
@@ -136,8 +141,13 @@ def materialize(spark: SparkSession, models: Mapping[str, Model], root: str) ->
             raise ValueError(f"{full} exists and was not built here")
         path = f"{root}/{model.schema}/{name}-{uuid4().hex}"
         df.write.parquet(path)
-        spark.sql(f"DROP TABLE IF EXISTS {full}")  # external: the files of the last build stay for readers at work
-        spark.sql(f"CREATE TABLE {full} USING parquet LOCATION '{path}'")
+        # The table is external: the files of the last build stay for readers at work.
+        if spark.catalog.tableExists(full) and _same_shape(spark.table(full).schema, df.schema):
+            spark.sql(f"ALTER TABLE {full} SET LOCATION '{path}'")
+            spark.catalog.refreshTable(full)
+        else:
+            spark.sql(f"DROP TABLE IF EXISTS {full}")
+            spark.sql(f"CREATE TABLE {full} USING parquet LOCATION '{path}'")
         built[name] = spark.table(full)
     return table_inventory(spark, sorted({model.schema for model in models.values() if model.kind == "table"}))
 

@@ -164,6 +164,17 @@ def test_a_failed_build_leaves_the_last_table(spark, rows):
     assert spark.table("scratch_models.t").count() == 1
 
 
+def test_a_rebuilt_table_switches_its_location(spark, rows):
+    root = scratch_dir(spark, "models")
+    build = lambda df: runs.materialize(spark, {"u": runs.Model("scratch_models", "table", lambda ref: df)}, root)
+    said, places = [], []
+    for df in (rows([(1,)], "a int"), rows([(1,), (2,)], "a int"), rows([("x", 1)], "b string, a int")):
+        build(df)
+        said.append((spark.table("scratch_models.u").columns, spark.table("scratch_models.u").count()))
+        places.append(spark.table("scratch_models.u").inputFiles()[0].rsplit("/", 2)[-2])
+    assert said == [(["a"], 1), (["a"], 2), (["b", "a"], 1)] and len(set(places)) == 3
+
+
 def test_large_numbers_show_in_their_own_form(rows):
     from sieveline.functions import text as X
 

@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from conftest import plan_of
 from sieveline import config as C
 from sieveline.functions import calendar, normalize as N, text as X
 from sieveline.operators import anomaly as A, checks, dedupe as D, rolling
@@ -275,3 +276,26 @@ def test_weights_are_the_declared_ones():
     assert C.SEVERITY == {
         "SCHEMA_MISSING_FIELD": 2.0, "SCHEMA_WRONG_TYPE": 2.0, "RANGE_VIOLATION": 1.5, "STALE": 1.0, "DUPLICATE": 0.5
     }
+
+
+def test_history_is_not_sorted_by_bars_and_merges_from_states(spark, rows):
+    """No window over bars; states of days stored one after the other give the same as all bars at once."""
+    from sieveline.session import scratch_dir
+
+    bars = series(rows, [9.0, 11.0, 9.5, 11.0, 9.0, 3.0, 8.0])
+    whole = A.latest_vs_history(bars, bucket="week")
+    plan = plan_of(whole)
+    assert "row_number" not in plan and "RowNumber" not in plan
+    path = scratch_dir(spark, "states")
+    days = [r[0] for r in bars.select("date").distinct().orderBy("date").collect()]
+    for day in [*days, days[2]]:
+        A.store_states(bars.where(F.col("date") == F.lit(day)), path)
+    key = lambda r: tuple(round(x, 9) if isinstance(x, float) else x for x in r)
+    got = A.latest_from_states(spark.read.parquet(path))
+    assert sorted(map(key, got.collect())) == sorted(map(key, whole.collect()))
+
+
+def test_headlines_of_the_asked_symbols_only(rows):
+    news = rows([("1", "a", "bullish", 0.9, ["X", "Y"]), ("2", "b", "bearish", 0.8, ["Z"])], "article_id string, title string, sentiment string, confidence double, tickers_mentioned array<string>")
+    asked = A.symbol_headlines(news, symbols=rows([("X",), ("X",)], "ticker string"))
+    assert [(r.ticker, r.article_id) for r in asked.collect()] == [("X", "1")]

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from sieveline.functions import text as X
 from sieveline.operators import anomaly, enrich
+from sieveline.session import scratch_dir
 from workload.fixtures import Inputs
 from workload.model_queries import _whole, _fixed, _signed, staged_news_of
 from workload.registry import query, r8, rounded
@@ -115,6 +116,16 @@ def latest_vs_history(fx: Inputs) -> DataFrame:
     return rounded(_stats(fx)).filter("n_history > 0")
 
 
+@query("history_from_states", _HISTORY.replace("round(std_close, 8)", "coalesce(round(std_close, 8), 0)") + " where n_history > 0", ("fx_history",))
+def history_from_states(fx: Inputs) -> DataFrame:
+    """From states of days that were stored run by run, a day twice; the bars themselves are not read again."""
+    path, cut = scratch_dir(fx.spark, "states"), F.to_date(F.lit("2024-01-15"))
+    for part in (F.col("date") <= cut, F.col("date") > cut, F.col("date") == cut):
+        anomaly.store_states(fx.bars.where(part), path)
+    stats = anomaly.latest_from_states(fx.spark.read.parquet(path)).filter("n_history > 0")
+    return rounded(stats)
+
+
 @query("anomaly_guards", _HISTORY + " where n_history >= 5 and std_close <> 0", ("fx_history",))
 def anomaly_guards(fx: Inputs) -> DataFrame:
     return rounded(anomaly.enough_history(_stats(fx)))
