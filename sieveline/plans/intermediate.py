@@ -12,9 +12,9 @@ from sieveline.operators.rolling import trailing_averages
 from sieveline.plans.staging import loaded
 
 
-def moving_averages(staged: DataFrame, bucket: str = "year") -> DataFrame:
+def moving_averages(staged: DataFrame, bucket: str = "year", most_rows: int = 1_000_000) -> DataFrame:
     """Average close over the last 7 and 30 rows of each symbol."""
-    return trailing_averages(staged, {"avg_close_7d": 7, "avg_close_30d": 30}, bucket=bucket)
+    return trailing_averages(staged, {"avg_close_7d": 7, "avg_close_30d": 30}, bucket=bucket, most_rows=most_rows)
 
 
 def daily_bars(staged: DataFrame, anomalies: DataFrame, bucket: str = "year") -> DataFrame:

@@ -26,12 +26,12 @@ def bars_of(spark, seed=1, symbols=6, days=120):
     return data, spark.createDataFrame(data, "ticker string, date date, close double")
 
 
-@pytest.mark.parametrize("bucket", ["week", "month", "year"])
-def test_trailing_averages_equal_the_single_window(spark, bucket):
+@pytest.mark.parametrize("bucket, most", [("week", 0), ("month", 0), ("year", 0), ("size", 1), ("size", 25), ("size", 100), ("size", 10_000)])
+def test_trailing_averages_equal_the_single_window(spark, bucket, most):
     data, df = bars_of(spark)
     got = {
         (r.ticker, r.date): (r.a7, r.a30)
-        for r in rolling.trailing_averages(df, {"a7": 7, "a30": 30}, bucket=bucket).collect()
+        for r in rolling.trailing_averages(df, {"a7": 7, "a30": 30}, bucket=bucket, most_rows=most).collect()
     }
     assert len(got) == len(data)
     by = {}
@@ -299,3 +299,18 @@ def test_headlines_of_the_asked_symbols_only(rows):
     news = rows([("1", "a", "bullish", 0.9, ["X", "Y"]), ("2", "b", "bearish", 0.8, ["Z"])], "article_id string, title string, sentiment string, confidence double, tickers_mentioned array<string>")
     asked = A.symbol_headlines(news, symbols=rows([("X",), ("X",)], "ticker string"))
     assert [(r.ticker, r.article_id) for r in asked.collect()] == [("X", "1")]
+
+
+def test_only_heavy_symbols_are_cut_and_their_parts_are_even(spark):
+    """Daily bars and ticks alike: no task holds much more than it may, whatever the time unit."""
+    ticks = spark.range(20_000).select(F.lit("busy").alias("ticker"), F.timestamp_micros(F.col("id") * 1000 + F.pow(F.col("id") % 997, F.lit(4)).cast("long")).alias("at"), F.rand(3).alias("close"))
+    daily = spark.range(400).select(F.lit("plain").alias("ticker"), F.timestamp_seconds(F.col("id") * 86400).alias("at"), F.rand(4).alias("close"))
+    df = ticks.unionByName(daily)
+    at = F.unix_micros("at")
+    cuts = rolling._cut_points(df, "ticker", at, 1000)
+    assert [r.ticker for r in cuts.collect()] == ["busy"]
+    parts = df.join(cuts, "ticker").groupBy(rolling._part(F.col("_cuts"), at).alias("part")).count().collect()
+    assert len(parts) == 40 and max(r["count"] for r in parts) <= 600
+    assert rolling._cut_points(daily, "ticker", at, 1000) is None
+    plan = plan_of(rolling.trailing_averages(daily, {"a": 5}, order=("at",), bucket="size", most_rows=1000))
+    assert plan.count("Exchange") == 1

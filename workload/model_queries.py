@@ -68,6 +68,17 @@ def moving_averages(fx: Inputs) -> DataFrame:
     return rows.select("ticker", "date", "close", r8("avg_close_7d"), r8("avg_close_30d"))
 
 
+@query(
+    "moving_averages_by_size",
+    "select ticker, date, close, avg_close_7d, avg_close_30d from fx_daily_bars",
+    ("fx_daily_bars",),
+)
+def moving_averages_by_size(fx: Inputs) -> DataFrame:
+    """Symbols of more than 20 bars are cut at quantiles of their own dates, the others stay whole."""
+    rows = intermediate.moving_averages(stage_bars(fx), bucket="size", most_rows=20)
+    return rows.select("ticker", "date", "close", r8("avg_close_7d"), r8("avg_close_30d"))
+
+
 @query(
     "daily_bars",
     """
