@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timezone
+from functools import reduce
 from threading import Thread
 
+from pyspark import inheritable_thread_target
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
@@ -132,3 +135,31 @@ def logged_run(
     except Exception as error:  # logged, so that the other sources still run
         return _run_row(spark, run_id, source, 0, "failed", f"{type(error).__name__}: {error}")
     return _run_row(spark, run_id, source, records, "success", empty_note if records == 0 else None)
+
+
+def store_channels(
+    spark: SparkSession, channels: Mapping[str, Callable[[], DataFrame]], path: str, run_id: str, at_once: int = 4
+) -> DataFrame:
+    """Stores each channel under ``path/run=<run_id>/channel=<name>`` by a job of its own; returns their rows of the run log.
+
+    Up to ``at_once`` jobs run side by side. A channel that can't be read, or breaks while it runs, is logged with its error
+    and leaves nothing; the others are stored. ``stored_channels`` reads a run.
+    """
+
+    def run(entry: tuple[str, Callable[[], DataFrame]]) -> DataFrame:
+        name, load = entry
+        target = f"{path}/run={run_id}/channel={name}"
+        row = logged_run(spark, f"{name}-{run_id}", name, load, lambda df: df.write.mode("overwrite").parquet(target), "no records")
+        if row.first().status == "failed":
+            remove(spark, target)
+        return row
+
+    with ThreadPoolExecutor(max(1, min(at_once, len(channels)))) as pool:
+        return reduce(DataFrame.unionByName, pool.map(inheritable_thread_target(spark)(run), channels.items()))
+
+
+def stored_channels(spark: SparkSession, path: str, run_id: str, column: str = "channel") -> DataFrame:
+    """All channels of a run in one table; fields that a channel lacks are null."""
+    base = f"{path}/run={run_id}"
+    found = spark.read.option("mergeSchema", "true").option("basePath", base).parquet(base)
+    return found if column == "channel" else found.withColumnRenamed("channel", column)

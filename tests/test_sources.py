@@ -116,3 +116,17 @@ def test_layers(spark, rows):
     # A second build replaces the tables in their new place.
     runs.materialize(spark, models, scratch_dir(spark, "layers"))
     assert spark.table("silver.int_t").count() == 2
+
+
+def test_channels_fail_alone(spark, rows):
+    from pyspark.sql import functions as F
+
+    from sieveline.sources import tables
+
+    path = scratch_dir(spark, "channels")
+    good, other = rows([(1, "x")], "a int, b string"), rows([(2,), (3,)], "a int")
+    channels = {"good": lambda: good, "other": lambda: other, "late": lambda: other.withColumn("a", F.raise_error(F.lit("gone")).cast("int")), "none": lambda: spark.read.parquet("/nowhere")}
+    log = {r.source: (r.status, r.records) for r in tables.store_channels(spark, channels, path, "7", at_once=2).collect()}
+    assert log == {"good": ("success", 1), "other": ("success", 2), "late": ("failed", 0), "none": ("failed", 0)}
+    got = tables.stored_channels(spark, path, "7")
+    assert sorted((r.channel, r.a, r.b) for r in got.collect()) == [("good", 1, "x"), ("other", 2, None), ("other", 3, None)]

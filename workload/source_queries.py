@@ -163,6 +163,26 @@ def recent_matching_cut(fx: Inputs) -> DataFrame:
     return N.recent_matching(fx.bronze_news, since, _TERMS, text="description", n=7).select("article_id", "published_at")
 
 
+@query(
+    "channels_side_by_side",
+    """
+select 'stored' as kind, role as name, count(*) as n, cast(null as varchar) as status from conversations group by role
+union all select 'log', role, count(*), 'success' from conversations group by role
+union all select 'log', 'broken', 0, 'failed' union all select 'log', 'absent', 0, 'failed'""",
+)
+def channels_side_by_side(fx: Inputs) -> DataFrame:
+    """A job for each role; one channel breaks while it runs, one is not there, the others are stored."""
+    turns, path = fx.table("conversations"), scratch_dir(fx.spark, "channels")
+    roles = [r.role for r in turns.select("role").distinct().collect()]
+    broken = F.when(F.col("turn") < 0, F.col("text")).otherwise(F.raise_error(F.lit("connection lost")))
+    channels = {name: (lambda name=name: turns.where(F.col("role") == name).drop("role")) for name in roles}
+    channels |= {"broken": lambda: turns.withColumn("text", broken), "absent": lambda: fx.table("no_such_table")}
+    log = tables.store_channels(fx.spark, channels, path, "1")
+    stored = tables.stored_channels(fx.spark, path, "1", "name").groupBy("name").agg(F.count("*").alias("n"))
+    stored = stored.select(F.lit("stored").alias("kind"), "name", "n", F.lit(None).cast("string").alias("status"))
+    return stored.union(log.select(F.lit("log"), "source", "records", "status"))
+
+
 @query(
     "run_log",
     """
