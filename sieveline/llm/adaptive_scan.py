@@ -31,6 +31,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from sieveline.llm.common import stored
 
 ERROR = 2.1  # width of the test, in units of 1 / sqrt(dimensions seen)
+SMALL_SIDE = 500_000  # blocks whose counts may be broadcast
 STEP = 16  # columns looked at between tests
 
 
@@ -127,6 +128,18 @@ def scan(queries: np.ndarray, query_ids: np.ndarray, rows: np.ndarray, ids: np.n
     return q, r
 
 
+def _dealt(asked: DataFrame, rows: DataFrame, block_rows: int) -> tuple[DataFrame, DataFrame]:
+    """Queries and rows by (list, block, part): a block that many queries visit has parts, each with some of the queries and
+    all its rows; the rows of other blocks are not copied, those that no query visits go."""
+    parts = asked.groupBy("list", "block").agg(F.ceil(F.count("*") / block_rows).cast("int").alias("parts"))
+    parts = stored(parts, "ann-parts")
+    parts = F.broadcast(parts) if parts.limit(SMALL_SIDE + 1).count() <= SMALL_SIDE else parts
+    of_query = F.pmod(F.xxhash64("id", F.lit(7)), F.col("parts")).cast("int").alias("part")
+    every = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")
+    columns = ["id", "v", "list", "block"]
+    return asked.join(parts, ["list", "block"]).select(*columns, of_query), rows.join(parts, ["list", "block"]).select(*columns, every)
+
+
 def nearest(
     df: DataFrame,
     is_query: Column,
@@ -200,11 +213,7 @@ def nearest(
     # Many queries may visit a list: they are split too, and the list's rows given to each part.
     asked = placed.where("q").select("id", "v").mapInArrow(visit, "id long, v array<double>, list int, block int")
     asked = stored(asked, "ann-visits")
-    visits = {(r.list, r.block): r["count"] for r in asked.groupBy("list", "block").count().collect()}
-    parts = {key: -(-n // block_rows) for key, n in visits.items()}
-    most = max(parts.values(), default=1)
-    asked = asked.withColumn("part", F.pmod(F.xxhash64("id", F.lit(7)), F.lit(most)).cast("int"))
-    rows = rows.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(most - 1)))) if most > 1 else rows.withColumn("part", F.lit(0))
+    asked, rows = _dealt(asked, rows, block_rows)
 
     def search(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         rotation, _ = shared.value

@@ -70,3 +70,19 @@ def test_odd_rows(spark, rows):
     assert scan.nearest(rows([], "vec_id long, embedding array<double>"), F.col("vec_id") % 50 == 0).count() == 0
     alone = rows([(0, [1.0])], "vec_id long, embedding array<double>")
     assert scan.nearest(alone, F.col("vec_id") % 50 == 0).count() == 0
+
+
+def test_a_hot_block_copies_its_own_rows_only(spark, rows):
+    """Forty queries on one block of ten: that block's rows in four parts, every other row once, unvisited ones not at all."""
+    from collections import Counter
+
+    from sieveline.llm import adaptive_scan
+
+    schema = "id long, v array<double>, list int, block int"
+    asked = rows([(i, [1.0], 0, 0) for i in range(40)] + [(100, [1.0], 1, 0)], schema)
+    held = rows([(i, [1.0], 0, 0) for i in range(10)] + [(50 + i, [1.0], 1, 0) for i in range(10)] + [(70, [1.0], 2, 0)], schema)
+    left, right = adaptive_scan._dealt(asked, held, 10)
+    found = Counter((r.list, r.id) for r in right.collect())
+    assert found == Counter({(0, i): 4 for i in range(10)} | {(1, 50 + i): 1 for i in range(10)})
+    parts = Counter((r.list, r.part) for r in left.collect())
+    assert sum(parts.values()) == 41 and {p for k, p in parts if k == 0} <= {0, 1, 2, 3} and parts[1, 0] == 1
