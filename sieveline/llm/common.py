@@ -8,7 +8,7 @@ import gc
 import hashlib
 import tempfile
 import zipfile
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from pathlib import Path
 
 import numpy as np
@@ -61,6 +61,13 @@ def unused(df: DataFrame, name: str) -> str:
     return name
 
 
+def refuse(keep: Iterable[str], taken: Iterable[str]) -> None:
+    """Raises where a column to be kept has the name of one that the operator makes."""
+    own = {t.lower() for t in taken}
+    if clash := sorted(k for k in keep if k.lower() in own):
+        raise ValueError(f"columns {clash} have names that the operator uses; rename them")
+
+
 def byte_offsets(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """All texts of an Arrow array as one UTF-8 buffer, and where each starts and ends.
 

@@ -16,7 +16,8 @@ what is broadcast is counted first.
 
 Row rules: null text counts as empty and has no spans; every row gives one row, repeated
 rows and null ids included; columns that
-``keep`` does not name are not returned.
+``keep`` does not name are not returned; one that is named like a column made here (row, the kinds,
+tokens, spans, more, _text, _base, _heads) raises.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from sieveline.llm.common import stored
+from sieveline.llm.common import refuse, stored
 
 # The base kinds, in the order in which spans are listed. The patterns are possessive
 # where nothing could be given back, so no text makes them recurse or try a run again from inside.
@@ -154,6 +155,7 @@ def spans(df: DataFrame, keep: tuple[str, ...] = ("doc_id",), text_col: str = "t
 
     Columns: row (a number unique to each row), those of ``keep``, one array per kind, tokens.
     """
+    refuse(keep, ("row", *KINDS, "tokens", "spans", "more", "_text", "_base", "_heads"))
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     found = base_spans(F.col("_text"))
     cut = df.select(F.monotonically_increasing_id().alias("row"), *keep, text.alias("_text"))

@@ -24,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from sieveline.llm.common import byte_offsets, in_chunks, stored
+from sieveline.llm.common import byte_offsets, in_chunks, refuse, stored
 from sieveline.llm.shingles import distinct_by_text, word_hashes
 
 FEATURES = 13
@@ -163,8 +163,12 @@ def predict(
     weight: float = 0.5,
     threshold: float = 0.5,
 ) -> DataFrame:
-    """Per row: the ``keep`` columns, evidence, site_rate, section_rate, score (0 to 1), predicted (1: good)."""
+    """Per row: the ``keep`` columns, evidence, site_rate, section_rate, score (0 to 1), predicted (1: good).
+
+    A column to be kept that is named like one of these, or n, prior, _site or _section, raises.
+    """
     named = tuple(dict.fromkeys((*keep, site, section)))
+    refuse(named, ("evidence", "_site", "_section", "n", "prior", "site_rate", "section_rate", "score", "predicted"))
     scored = stored(evidence(df, model, text, named), "quality-evidence")
     rates = posteriors(scored, site, section)
     if rates.limit(500_001).count() <= 500_000:

@@ -234,3 +234,11 @@ def test_many_matches_in_one_text_take_time_in_proportion(spark, rows):
         out += [mixed[at : s.s], f"<{s.kind}>"]
         at = s.e
     assert got[2].masked == "".join(out) + mixed[at:]
+
+
+def test_clashing_columns_are_refused(rows):
+    df = rows([(1, "a@b.org", "x", "y")], "doc_id long, text string, tokens string, Email string")
+    assert pd_.extract(df).columns == ["row", "doc_id", "spans"]  # what is not kept can't clash
+    for name in ("tokens", "Email"):
+        with pytest.raises(ValueError, match=name):
+            pd_.extract(df, keep=("doc_id", name))

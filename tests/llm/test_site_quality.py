@@ -76,3 +76,12 @@ def test_odd_rows(spark, rows):
         got = sq.predict(rows(docs, schema), model).collect()
         assert len(got) == len(docs) and all(0 <= r.score <= 1 for r in got)
     assert sq.predict(rows([], schema), model).count() == 0
+
+
+def test_clashing_columns_are_refused(spark, rows):
+    docs = rows([(1, "fine words here", "a", "x", 1, "p")], "doc_id long, text string, source string, lang string, evidence int, Prior string")
+    model = sq.fit(docs, rows([(1, 1)], "doc_id long, quality int"))
+    assert sq.predict(docs, model).count() == 1
+    for name in ("evidence", "Prior"):
+        with pytest.raises(ValueError, match=name):
+            sq.predict(docs, model, keep=("doc_id", name))
