@@ -24,10 +24,11 @@ the order of bucket sizes, two sets that share r + 1 entries share one that neit
 
 Sets that meet are candidates. Entries carry the set's fingerprint, so copies count as one. They are moved
 packed, partitioned by entry, and a partition keeps those that two sets share. In each
-bucket candidates are paired with the bucket's first set only and verified on the whole
-sets; links give components. Buckets whose members are then still in different components
-get all their cross-component pairs verified, so no link that could join two components
-is missed, while a bucket of mutually similar sets costs one pair per member.
+bucket candidates are paired with one centre; a set is verified with two centres of its buckets in a round, on the whole
+sets; links give components. Members of a bucket that are then still in different components meet other centres,
+and after some rounds all their cross-component pairs are verified, so no link that could join two components
+is missed, while a group of mutually similar sets costs a few pairs per member. Pairs whose sizes or sketches (parities
+of the shingles dealt to 512 places) show more differences than the similarity bears are never made.
 """
 
 from __future__ import annotations
@@ -46,11 +47,15 @@ from sieveline.llm.shingles import U, distinct_by_text, mix, shingle_hashes
 
 SHUNNED = 0.2  # share of further segments, so of entries with large buckets that a set may leave out
 LARGE_BUCKET = 6  # buckets up to this size are never left out
-ROUNDS = 3  # of further centres, before open pairs are verified one by one
+ROUNDS = 4  # of further centres at most, before open pairs are verified one by one
+CROWDED = 10  # pairs for each member of a bucket, over all open buckets; below, open pairs are verified at once
+SKETCH = 8  # longs of a set's sketch
 SMALL_SIDE = 1_000_000  # ids that may be broadcast; beyond, a shuffled join
 CHANCE = 0.01  # cost model: chance that a shingle of one set lies in an unrelated set
 WORD_BYTES = 6  # cost model: bytes of a word and its blank
 PAIR_COST = 50.0  # cost model: verifying a pair against writing an index row
+SKETCHES = [f"q{k}" for k in range(SKETCH)]
+TEXTS = ["id", "n", "f1", "f2", *SKETCHES]
 
 
 # ---- schemes --------------------------------------------------------------------------------
@@ -185,7 +190,7 @@ def _unblob(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def _packed(docs: DataFrame, width: int, bands: Bands, ones: np.ndarray, parts: int) -> DataFrame:
-    """Index entries with fingerprints, packed by partition; with part -1 (id, n, f1, f2) of each text."""
+    """Index entries with fingerprints, packed by partition; with part -1 the TEXTS columns of each text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
@@ -227,8 +232,8 @@ def _packed(docs: DataFrame, width: int, bands: Bands, ones: np.ndarray, parts:
                 named = ~np.asarray(some.column(0).is_null())
                 of = np.repeat(np.arange(some.num_rows), np.diff(at))
                 held.append((entries[named[of]], prints[0][of][named[of]], may[named[of]]))
-                columns = [some.column(0), pa.array(np.diff(starts)), pa.array(prints[0].view(np.int64)), pa.array(prints[1].view(np.int64))]
-                texts.append(pa.RecordBatch.from_arrays(columns, names=["id", "n", "f1", "f2"]))
+                columns = [some.column(0), pa.array(np.diff(starts)), *(pa.array(p.view(np.int64)) for p in prints), *_sketch(hashes, starts)]
+                texts.append(pa.RecordBatch.from_arrays(columns, names=TEXTS))
                 count += len(entries)
                 if count >= 500_000:
                     yield flush()
@@ -240,8 +245,9 @@ def _packed(docs: DataFrame, width: int, bands: Bands, ones: np.ndarray, parts:
 
 
 def _buckets(packed: DataFrame, parts: int) -> DataFrame:
-    """Per partition: (id, n, f1, f2) of texts, and (entry, size, f1, may) of the entries that several sets share."""
-    schema = "id long, n long, f1 long, f2 long, entry long, size long, may int"
+    """Per partition: the TEXTS columns of texts, and (entry, size, f1, may) of the entries that several sets share."""
+    schema = ", ".join(f"{c} long" for c in TEXTS) + ", entry long, size long, may int"
+    names = [*TEXTS, "entry", "size", "may"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         blobs: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
@@ -250,7 +256,7 @@ def _buckets(packed: DataFrame, parts: int) -> DataFrame:
                 if texts:
                     for t in pa.ipc.open_stream(data.as_buffer()):
                         none = pa.nulls(t.num_rows, pa.int64())
-                        yield pa.RecordBatch.from_arrays([*t.columns, none, none, none.cast(pa.int32())], names=["id", "n", "f1", "f2", "entry", "size", "may"])
+                        yield pa.RecordBatch.from_arrays([*t.columns, none, none, none.cast(pa.int32())], names=names)
                     continue
                 blobs.append(_unblob(data.as_py()))
         if not blobs:
@@ -276,11 +282,28 @@ def _buckets(packed: DataFrame, parts: int) -> DataFrame:
         for a in range(0, len(entry), 200_000):
             some = slice(a, a + 200_000)
             none = pa.nulls(len(entry[some]), pa.int64())
-            yield pa.RecordBatch.from_arrays([none, none, pa.array(of[some]), none, pa.array(entry[some]), pa.array(size[some]), pa.array(may[some])], names=["id", "n", "f1", "f2", "entry", "size", "may"])
+            columns = [pa.array(of[some]) if c == "f1" else none for c in TEXTS]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(entry[some]), pa.array(size[some]), pa.array(may[some])], names=names)
 
     return packed.repartitionById(parts, F.col("part")).mapInArrow(run, schema)
 
 
+def _sketch(hashes: np.ndarray, starts: np.ndarray) -> list[pa.Array]:
+    """Parities of each set's shingles dealt to 64 * SKETCH places: sets differ in no fewer shingles than parities."""
+    out = np.zeros((len(starts) - 1) * SKETCH, U)
+    owner = np.repeat(np.arange(len(starts) - 1), np.diff(starts))
+    place = mix(hashes ^ U(0x3C6EF372FE94F82B)) % U(64 * SKETCH)
+    np.bitwise_xor.at(out, owner * SKETCH + (place >> U(6)).astype(np.int64), U(1) << (place & U(63)))
+    return [pa.array(out[k::SKETCH].view(np.int64)) for k in range(SKETCH)]
+
+
+def _near(similarity: Fraction) -> str:
+    """Condition on x and y: their sizes and sketches allow the similarity. Similar pairs always meet it."""
+    p, q = similarity.numerator, similarity.denominator
+    differ = " + ".join(f"bit_count(x.{c} ^ y.{c})" for c in SKETCHES)
+    return f"least(x.n, y.n) * {q} >= greatest(x.n, y.n) * {p} and ({differ}) * {q + p} <= (x.n + y.n) * {q - p}"
+
+
 def _print(hashes: np.ndarray, starts: np.ndarray, half: int) -> np.ndarray:
     """One half (0 or 1) of the fingerprint of each set."""
     out = np.zeros(len(starts) - 1, U)
@@ -361,47 +384,57 @@ def join(
     buckets = stored(shared.where(F.col("size") <= LARGE_BUCKET).union(large).select("entry", "f1"), "jaccard-entries")
     named = index.where("id is not null and n > 0")
     key = ["f1", "f2", "n"]
-    set_ids = stored(named.groupBy(*key).agg(F.min("id").alias("set_id")), "jaccard-sets")
+    sketch = [F.min(c).alias(c) for c in SKETCHES]  # the same in all rows of a set
+    set_ids = stored(named.groupBy(*key).agg(F.min("id").alias("set_id"), *sketch), "jaccard-sets")
 
-    # Stars: every member of a bucket with its centre. One fingerprint half may name several sets; all are verified.
-    of_print = set_ids.select("f1", "set_id", "n")
-    centres = buckets.groupBy("entry").agg(F.min("f1").alias("centre"), F.max("f1").alias("last")).where("centre < last").drop("last")
-    stars = buckets.join(centres, "entry").where("f1 != centre").select("centre", "f1").distinct()
-    left = of_print.select(F.col("f1").alias("centre"), F.col("set_id").alias("x"), F.col("n").alias("nx"))
-    stars = stars.join(left, "centre").join(of_print, "f1").withColumn("fx", F.col("centre"))
-    twins = of_print.select("f1", F.col("set_id").alias("x"), F.col("n").alias("nx")).join(of_print, "f1").withColumn("fx", F.col("f1"))  # equal halves
-    close = f"least(n, nx) * {ratio.denominator} >= greatest(n, nx) * {ratio.numerator} and x != set_id"
-    columns = ["x", "fx", "set_id", "f1", "n", "nx"]
-    both = stars.select(*columns).union(twins.where("x < set_id").select(*columns)).where(close)
-    # Ids may have several texts: a pair names the fingerprints too.
+    # Stars: members of a bucket are compared with its centre. One fingerprint half may name several sets; all are
+    # verified. Ids may have several texts: a pair names the fingerprints too.
+    of_print = set_ids.select("f1", "set_id", "n", *SKETCHES)
     ends = ["a", "fa", "b", "fb"]
+    near = _near(ratio)
+    lower = F.col("x.set_id") < F.col("y.set_id")
+    side = {s: F.struct(F.col(f"{s}.set_id").alias("i"), F.col(f"{s}.f1").alias("f")) for s in "xy"}
+
+    def ordered(met: DataFrame, *more) -> DataFrame:
+        both = met.select(F.when(lower, side["x"]).otherwise(side["y"]).alias("l"), F.when(lower, side["y"]).otherwise(side["x"]).alias("g"), *more)
+        return both.select(F.col("l.i").alias("a"), F.col("l.f").alias("fa"), F.col("g.i").alias("b"), F.col("g.f").alias("fb"), *both.columns[2:])
+
+    def picked(met: DataFrame, rank, pairs: DataFrame | None = None) -> DataFrame:
+        """Of each x the pairs with its first and its last y by ``rank``, without ``pairs``."""
+        met = ordered(met, side["x"].alias("member"), rank.alias("rank"))
+        if pairs is not None:
+            met = met.join(pairs, ends, "left_anti")
+        chosen = met.groupBy("member").agg(F.min_by(F.struct(*ends), "rank").alias("first"), F.max_by(F.struct(*ends), "rank").alias("last"))
+        return chosen.select(F.explode(F.array("first", "last")).alias("p")).select("p.*").distinct()
 
-    def ordered(x: str, fx: str, y: str, fy: str) -> list:
-        lower = F.col(x) < F.col(y)
-        return [F.least(x, y).alias("a"), F.when(lower, F.col(fx)).otherwise(F.col(fy)).alias("fa"), F.greatest(x, y).alias("b"), F.when(lower, F.col(fy)).otherwise(F.col(fx)).alias("fb")]
-
-    pairs = stored(both.select(*ordered("x", "fx", "set_id", "f1")).distinct(), "jaccard-pairs")
+    centres = buckets.groupBy("entry").agg(F.min("f1").alias("centre"), F.max("f1").alias("last")).where("centre < last").drop("last")
+    stars = buckets.join(centres, "entry").where("f1 != centre").select("centre", "f1").distinct().alias("s")
+    x, y = of_print.alias("x"), of_print.alias("y")
+    stars = stars.join(x, F.expr("s.f1 = x.f1")).join(y, F.expr(f"s.centre = y.f1 and x.set_id != y.set_id and {near}"))
+    twins = ordered(x.join(y, F.expr(f"x.f1 = y.f1 and x.set_id < y.set_id and {near}")))  # equal halves
+    pairs = stored(picked(stars, F.col("y.f1")).union(twins).distinct(), "jaccard-pairs")
     links = stored(_verified(pairs, docs, width, ratio), "jaccard-links")
     labels = stored(components(links), "jaccard-components")
 
-    # What the stars leave open: members of a bucket in different components, within the size ratio.
-    # Further rounds pair them with other centres; sets of one class, linked to different ones, so
-    # come together. Then every pair that is still open is verified, so that no link is missed.
+    # What the stars leave open: members of a bucket in different components whose sizes and sketches allow the
+    # similarity. In a round a set is compared with two centres of its buckets, so pairs are no more than twice the sets,
+    # however large a group of like texts is; as all sets rank centres alike, the group meets at few of them
+    # and comes together. Then every pair that is still open is verified, so that no link is missed.
     def left_open(labels: DataFrame) -> DataFrame:
         sets = of_print.join(labels, of_print.set_id == labels.node, "left")
-        sets = sets.select("f1", "set_id", "n", F.coalesce("component", "set_id").alias("component"))
+        sets = sets.select("f1", "set_id", "n", F.coalesce("component", "set_id").alias("component"), *SKETCHES)
         members = buckets.join(sets, "f1")
         several = members.groupBy("entry").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("entry")
         return stored(members.join(several, "entry", "left_semi"), "jaccard-open")
 
-    near = f"least(x.n, y.n) * {ratio.denominator} >= greatest(x.n, y.n) * {ratio.numerator}"
-    two = ordered("x.set_id", "x.f1", "y.set_id", "y.f1")
     left = left_open(labels)
     for turn in range(ROUNDS):
-        centre = left.groupBy("entry").agg(F.min_by(F.struct("set_id", "f1", "n", "component"), F.xxhash64("set_id", F.lit(turn))).alias("c")).select("entry", "c.*")
-        x, y = left.alias("x"), centre.alias("y")
-        new = x.join(y, "entry").where(f"x.component != y.component and {near}").select(*two).distinct()
-        new = stored(new.join(pairs, ends, "left_anti"), "jaccard-pairs")
+        crowd = left.groupBy("entry").agg(F.count("*").alias("m")).agg(F.sum("m"), F.sum(F.expr("m * (m - 1) / 2"))).first()
+        if (crowd[1] or 0) <= CROWDED * (crowd[0] or 0):
+            break
+        centre = left.groupBy("entry").agg(F.min_by(F.struct("set_id", "f1", "n", "component", *SKETCHES), F.xxhash64("set_id", F.lit(turn))).alias("c")).select("entry", "c.*")
+        met = left.alias("x").join(centre.alias("y"), F.expr(f"x.entry = y.entry and x.component != y.component and {near}"))
+        new = stored(picked(met, F.xxhash64("y.set_id", F.lit(turn)), pairs), "jaccard-pairs")
         if new.limit(1).count() == 0:
             break
         more = stored(_verified(new, docs, width, ratio), "jaccard-links")
@@ -411,7 +444,7 @@ def join(
         links = links.union(more)
         left = left_open(stored(components(links), "jaccard-components"))
     x, y = left.alias("x"), left.alias("y")
-    rest = x.join(y, F.expr(f"x.entry = y.entry and x.set_id < y.set_id and x.component != y.component and {near}")).select(*two).distinct()
+    rest = ordered(x.join(y, F.expr(f"x.entry = y.entry and x.set_id < y.set_id and x.component != y.component and {near}"))).distinct()
     rest = stored(rest.join(pairs, ends, "left_anti"), "jaccard-rest")
     if rest.limit(1).count():
         links = links.union(_verified(rest, docs, width, ratio))

@@ -129,3 +129,43 @@ def test_components_of_paths_and_stars(spark, rows):
     links = [(a, b) for a, b in zip(order, order[1:])] + [(1000, 1000 + k) for k in range(1, 50)] + [(5000, 5000)]
     got = {r.node: r.component for r in components(rows(links, "a long, b long")).collect()}
     assert got == {i: 0 for i in range(200)} | {1000 + k: 1000 for k in range(50)}
+
+
+def counted_pairs(monkeypatch):
+    """Counts the pairs that are verified."""
+    seen, verified = [], jj._verified
+    monkeypatch.setattr(jj, "_verified", lambda pairs, *rest: seen.append(pairs.count()) or verified(pairs, *rest))
+    return seen
+
+
+def changed(seed, n, length, changes):
+    """Copies of one text, each with words of its own in some places."""
+    pick = random.Random(seed)
+    base = [f"w{k}" for k in range(length)]
+    return [(i, " ".join(f"x{i}y{k}" if k in at else w for k, w in enumerate(base))) for i, at in ((i, set(pick.sample(range(length), changes))) for i in range(n))]
+
+
+def test_pairs_of_a_large_group_of_near_copies_grow_with_its_size(spark, rows, monkeypatch):
+    data = changed(1, 150, 150, 2)
+    seen = counted_pairs(monkeypatch)
+    members, _ = jj.join(rows(data, "doc_id long, text string"), 0.9, 3)
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in members.collect()} == brute(data, 3, Fraction("0.9"))
+    assert sum(seen) <= 6 * len(data)  # all pairs of such a group meet: 75 a text
+
+
+def test_texts_that_only_share_parts_are_not_all_paired(spark, rows, monkeypatch):
+    data = changed(2, 120, 300, 12)
+    seen = counted_pairs(monkeypatch)
+    members, _ = jj.join(rows(data, "doc_id long, text string"), 0.9, 3)
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in members.collect()} == brute(data, 3, Fraction("0.9"))
+    assert sum(seen) <= 2 * len(data)
+
+
+def test_sketches_of_similar_sets_differ_in_no_more_places_than_the_sets():
+    data = near_copies(5, 120)
+    hashes, starts = distinct_by_text(*shingle_hashes(pa.array([t for _, t in data]), 3))
+    sketches = np.stack([np.asarray(c).view(np.uint64) for c in jj._sketch(hashes, starts)], axis=1)
+    sets = [set(hashes[a:b].tolist()) for a, b in zip(starts[:-1], starts[1:], strict=True)]
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets[:i]):
+            assert np.bitwise_count(sketches[i] ^ sketches[j]).sum() <= len(a ^ b)
