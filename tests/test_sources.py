@@ -130,3 +130,14 @@ def test_channels_fail_alone(spark, rows):
     assert log == {"good": ("success", 1), "other": ("success", 2), "late": ("failed", 0), "none": ("failed", 0)}
     got = tables.stored_channels(spark, path, "7")
     assert sorted((r.channel, r.a, r.b) for r in got.collect()) == [("good", 1, "x"), ("other", 2, None), ("other", 3, None)]
+
+
+def test_json_arrays_of_a_day_are_bounded(spark, rows, tmp_path):
+    data = [("A", float(k), date(2024, 1, 1)) for k in range(100)] + [("B", None, date(2024, 1, 2)), (None, 1.0, None)]
+    where = str(tmp_path / "arrays")
+    N.write_json_arrays(rows(data, "ticker string, close double, date date"), where, "date", most=10)
+    held = [json.loads(p.read_text()) for p in (tmp_path / "arrays").glob("*/*.txt")]
+    assert len(held) >= 10 and max(map(len, held)) <= 30
+    assert len(list((tmp_path / "arrays").glob("d=2024-01-01/*.txt"))) > 1
+    got = N.read_json_array(spark, f"{where}/*", schemas._schema("ticker string, close double, date date"))
+    assert sorted(map(str, got.collect())) == sorted(map(str, rows(data, "ticker string, close double, date date").collect()))

@@ -70,11 +70,9 @@ def write_snapshot(fx: Inputs) -> DataFrame:
 
 @query("read_json_array", _SNAPSHOT.replace("'bars' as feed, date as day", "'NSE' as exchange"), ("fx_bars",))
 def read_json_array(fx: Inputs) -> DataFrame:
-    """Each day's records as one JSON array in a file of its own."""
+    """Each day's records as JSON arrays, each in a file of its own."""
     zone = scratch_dir(fx.spark, "arrays")
-    bars = N.normalize_bars(fx.bars)
-    days = bars.groupBy("date").agg(F.collect_list(F.struct(*bars.columns)).alias("records"))
-    days.select(F.to_json("records").alias("value"), F.col("date").cast("string").alias("d")).write.partitionBy("d").text(zone)
+    snapshots.write_json_arrays(N.normalize_bars(fx.bars), zone, "date")
     rows = snapshots.read_json_array(fx.spark, f"{zone}/*", schemas.RAW["stocks"])
     prices = [F.col(p).cast("double").alias(p) for p in N.PRICES]
     return rows.select("ticker", "date", *prices, F.col("volume").cast("bigint").alias("volume"), "source", "exchange")
