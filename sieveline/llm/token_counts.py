@@ -38,7 +38,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from sieveline.llm.common import in_chunks, per_worker, stored
+from sieveline.llm.common import give_back, in_chunks, per_worker, stored
 from sieveline.sources.snapshots import exists
 
 LONG = 1 << 20  # characters
@@ -216,6 +216,7 @@ def _encoded(contents: DataFrame, tokenizer_file: str) -> DataFrame:
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = _counter(tokenizer_file)
         for batch in batches:
+            give_back()
             for part in in_chunks(batch, "text", 1 << 20):
                 found, held, size = np.zeros(part.num_rows, np.int64), [], 0
                 owners: list[int] = []
