@@ -33,15 +33,16 @@ of the shingles dealt to 512 places) show more differences than the similarity b
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from fractions import Fraction
-from functools import cache
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from sieveline.llm.common import in_chunks, release, stored
+from sieveline.llm.common import discard, in_chunks, release, stored
 from sieveline.llm.components import components
 from sieveline.llm.shingles import U, distinct_by_text, mix, shingle_hashes
 
@@ -171,22 +172,13 @@ def _ratio(similarity: float) -> Fraction:
 
 
 def _blob(entry: np.ndarray, of: np.ndarray, may: np.ndarray) -> bytes:
-    """Entries, and for each the place of its set in a list of (fingerprint, may)."""
-    order = np.lexsort((may, of))
-    fresh = np.ones(len(order), bool)
-    fresh[1:] = (of[order][1:] != of[order][:-1]) | (may[order][1:] != may[order][:-1])
-    place = np.empty(len(order), np.uint32)
-    place[order] = np.cumsum(fresh) - 1
-    listed = order[fresh]
-    return np.uint32(len(listed)).tobytes() + of[listed].tobytes() + may[listed].tobytes() + entry.tobytes() + place.tobytes()
+    """Fingerprints, and entries as their low 48 bits over ``may``: 16 bytes an entry, however many parts there are."""
+    return of.tobytes() + ((entry << U(16)) | may.astype(U)).tobytes()
 
 
 def _unblob(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    n = int(np.frombuffer(raw, np.uint32, 1)[0])
-    of, may = np.frombuffer(raw, U, n, 4), np.frombuffer(raw, np.uint16, n, 4 + 8 * n)
-    k = (len(raw) - 4 - 10 * n) // 12
-    entry, place = np.frombuffer(raw, U, k, 4 + 10 * n), np.frombuffer(raw, np.uint32, k, 4 + 10 * n + 8 * k)
-    return entry, of[place], may[place]
+    of, both = np.frombuffer(raw, U).reshape(2, -1)
+    return both >> U(16), of, (both & U(0xFFFF)).astype(np.uint16)
 
 
 def _packed(docs: DataFrame, width: int, bands: Bands, ones: np.ndarray, parts: int) -> DataFrame:
@@ -252,13 +244,14 @@ def _buckets(packed: DataFrame, parts: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         blobs: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         for batch in batches:
-            for texts, data in zip(batch.column(1).to_pylist(), batch.column(2), strict=True):
+            for part, texts, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
                 if texts:
                     for t in pa.ipc.open_stream(data.as_buffer()):
                         none = pa.nulls(t.num_rows, pa.int64())
                         yield pa.RecordBatch.from_arrays([*t.columns, none, none, none.cast(pa.int32())], names=names)
                     continue
-                blobs.append(_unblob(data.as_py()))
+                entry, of, may = _unblob(data.as_py())
+                blobs.append((entry + (U(part) << U(48)), of, may))  # those of other parts are others
         if not blobs:
             return
         entry, of, may = (np.concatenate(c) for c in zip(*blobs, strict=True))
@@ -312,21 +305,40 @@ def _print(hashes: np.ndarray, starts: np.ndarray, half: int) -> np.ndarray:
     return out
 
 
-def _sets(docs: DataFrame, width: int) -> DataFrame:
+def _texts(docs: DataFrame, width: int) -> DataFrame:
+    """(id, f1, packed): one half of the fingerprint and the text, compressed; sets would take several times the room."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in in_chunks(batch, "text", 1 << 18):
                 hashes, starts = distinct_by_text(*shingle_hashes(part.column(1), width))
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        part.column(0),
-                        pa.array(_print(hashes, starts, 0).view(np.int64)),
-                        pa.ListArray.from_arrays(pa.array(starts.astype(np.int32)), pa.array(hashes.view(np.int64))),
-                    ],
-                    names=["id", "f1", "shingles"],
-                )
+                packed = [zlib.compress((t or "").encode(), 1) for t in part.column(1).to_pylist()]
+                columns = [part.column(0), pa.array(_print(hashes, starts, 0).view(np.int64)), pa.array(packed, pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, names=["id", "f1", "packed"])
+
+    return docs.mapInArrow(run, "id long, f1 long, packed binary")
+
 
-    return docs.mapInArrow(run, "id long, f1 long, shingles array<long>")
+def _common(pairs: DataFrame, width: int) -> DataFrame:
+    """``pairs`` with the sizes of the intersection and the union of their sets, instead of their texts (of_a, of_b)."""
+    others = [c for c in pairs.columns if c not in ("of_a", "of_b")]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in in_chunks(batch, "of_a", 1 << 18):
+                ends = [list(zip(*(part.column(c).to_pylist() for c in names), strict=True)) for names in (("a", "fa"), ("b", "fb"))]
+                texts = {}
+                for names, column in zip(ends, ("of_a", "of_b"), strict=True):
+                    for name, packed in zip(names, part.column(column), strict=True):
+                        if name not in texts:
+                            texts[name] = zlib.decompress(packed.as_buffer())
+                hashes, starts = distinct_by_text(*shingle_hashes(pa.array(texts.values(), pa.large_binary()), width))
+                sets = {name: hashes[x:y] for name, x, y in zip(texts, starts[:-1], starts[1:], strict=True)}
+                common = np.array([len(np.intersect1d(sets[x], sets[y], assume_unique=True)) for x, y in zip(*ends, strict=True)], np.int64)
+                both = np.array([len(sets[x]) + len(sets[y]) for x, y in zip(*ends, strict=True)], np.int64)
+                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in others), pa.array(common), pa.array(both - common)], names=[*others, "common", "all"])
+
+    return pairs.mapInArrow(run, ", ".join(f"{c} long" for c in [*others, "common", "all"]))
 
 
 def _few(df: DataFrame) -> DataFrame:
@@ -335,18 +347,22 @@ def _few(df: DataFrame) -> DataFrame:
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, width: int, similarity: Fraction) -> DataFrame:
-    """Those pairs (a, b), sets by id and fingerprint, whose whole sets are similar enough, with intersection and union sizes."""
+    """Those pairs (a, b), sets by id and fingerprint, whose whole sets are similar enough, with intersection and union sizes.
+
+    Texts are moved, compressed, and their sets made again where a pair meets. Further columns of ``pairs`` stay.
+    """
     wanted = pairs.select(F.explode(F.array(F.struct(F.col("a").alias("id"), F.col("fa").alias("f1")), F.struct(F.col("b").alias("id"), F.col("fb").alias("f1")))).alias("w"))
     wanted = stored(wanted.select("w.*").distinct(), "candidates")
-    of_ids = _sets(docs.join(_few(wanted.select("id").distinct()), "id", "left_semi"), width)
+    of_ids = _texts(docs.join(_few(wanted.select("id").distinct()), "id", "left_semi"), width)
     # An id may have other texts than the one that is meant.
-    sets = stored(of_ids.join(_few(wanted), ["id", "f1"], "left_semi").dropDuplicates(["id", "f1"]), "sets")
-    left = sets.select(F.col("id").alias("a"), F.col("f1").alias("fa"), F.col("shingles").alias("of_a"))
-    right = sets.select(F.col("id").alias("b"), F.col("f1").alias("fb"), F.col("shingles").alias("of_b"))
-    both = pairs.join(left, ["a", "fa"]).join(right, ["b", "fb"])
-    common = F.size(F.array_intersect("of_a", "of_b"))
-    sized = both.select("a", "b", common.alias("common"), (F.size("of_a") + F.size("of_b") - common).alias("all"))
-    return sized.where(F.col("common") * similarity.denominator >= F.col("all") * similarity.numerator)
+    texts = stored(of_ids.join(_few(wanted), ["id", "f1"], "left_semi").dropDuplicates(["id", "f1"]), "sets")
+    left = texts.select(F.col("id").alias("a"), F.col("f1").alias("fa"), F.col("packed").alias("of_a"))
+    right = texts.select(F.col("id").alias("b"), F.col("f1").alias("fb"), F.col("packed").alias("of_b"))
+    sized = _common(pairs.join(left, ["a", "fa"]).join(right, ["b", "fb"]), width)
+    similar = sized.where(F.col("common") * similarity.denominator >= F.col("all") * similarity.numerator)
+    similar = stored(similar.drop("fa", "fb"), "jaccard-links")
+    discard(wanted, texts)
+    return similar
 
 
 def join(
@@ -413,21 +429,36 @@ def join(
     stars = stars.join(x, F.expr("s.f1 = x.f1")).join(y, F.expr(f"s.centre = y.f1 and x.set_id != y.set_id and {near}"))
     twins = ordered(x.join(y, F.expr(f"x.f1 = y.f1 and x.set_id < y.set_id and {near}")))  # equal halves
     pairs = stored(picked(stars, F.col("y.f1")).union(twins).distinct(), "jaccard-pairs")
-    links = stored(_verified(pairs, docs, width, ratio), "jaccard-links")
+    links = _verified(pairs, docs, width, ratio)
     labels = stored(components(links), "jaccard-components")
 
     # What the stars leave open: members of a bucket in different components whose sizes and sketches allow the
     # similarity. In a round a set is compared with two centres of its buckets, so pairs are no more than twice the sets,
     # however large a group of like texts is; as all sets rank centres alike, the group meets at few of them
-    # and comes together. Then every pair that is still open is verified, so that no link is missed.
-    def left_open(labels: DataFrame) -> DataFrame:
-        sets = of_print.join(labels, of_print.set_id == labels.node, "left")
-        sets = sets.select("f1", "set_id", "n", F.coalesce("component", "set_id").alias("component"), *SKETCHES)
-        members = buckets.join(sets, "f1")
+    # and comes together. Then every pair that is still open is verified, so that no link is missed. A round starts
+    # from what the one before left open, and joins components, not sets.
+    def left_open(members: DataFrame) -> DataFrame:
         several = members.groupBy("entry").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("entry")
         return stored(members.join(several, "entry", "left_semi"), "jaccard-open")
 
-    left = left_open(labels)
+    def between(pairs: DataFrame, of_set: DataFrame) -> DataFrame:
+        """The components that ``pairs`` join."""
+        ca, cb = (of_set.select(F.col("set_id").alias(e), F.col("component").alias(f"c{e}")) for e in "ab")
+        return pairs.select("a", "b").join(ca, "a").join(cb, "b").where("ca != cb").select("ca", "cb").distinct()
+
+    def merged(by_set: DataFrame, moves: DataFrame) -> DataFrame:
+        """``by_set`` with the components that ``moves`` make of those in it."""
+        to = components(moves, "ca", "cb").select(F.col("node").alias("component"), F.col("component").alias("to"))
+        found = by_set.join(_few(to), "component", "left").withColumn("component", F.coalesce("to", "component"))
+        return found.select(by_set.columns)
+
+    placed = of_print.join(labels, of_print.set_id == labels.node, "left")
+    placed = stored(placed.select("f1", "set_id", "n", F.coalesce("component", "set_id").alias("component"), *SKETCHES), "jaccard-placed")
+    of_set = placed.select("set_id", "component").distinct()
+    left = left_open(buckets.join(placed, "f1"))
+    discard(buckets)
+    links = links.select("a", "b", "common", "all")
+    moves = []
     for turn in range(ROUNDS):
         crowd = left.groupBy("entry").agg(F.count("*").alias("m")).agg(F.sum("m"), F.sum(F.expr("m * (m - 1) / 2"))).first()
         if (crowd[1] or 0) <= CROWDED * (crowd[0] or 0):
@@ -437,28 +468,36 @@ def join(
         new = stored(picked(met, F.xxhash64("y.set_id", F.lit(turn)), pairs), "jaccard-pairs")
         if new.limit(1).count() == 0:
             break
-        more = stored(_verified(new, docs, width, ratio), "jaccard-links")
+        more = _verified(new, docs, width, ratio)
         pairs = pairs.union(new)
         if more.limit(1).count() == 0:
             break
         links = links.union(more)
-        left = left_open(stored(components(links), "jaccard-components"))
+        moved = stored(between(more, left.select("set_id", "component").distinct()), "jaccard-moves")
+        moves.append(moved)
+        earlier, left = left, left_open(merged(left, moved))
+        discard(earlier)
     x, y = left.alias("x"), left.alias("y")
     rest = ordered(x.join(y, F.expr(f"x.entry = y.entry and x.set_id < y.set_id and x.component != y.component and {near}"))).distinct()
     rest = stored(rest.join(pairs, ends, "left_anti"), "jaccard-rest")
     if rest.limit(1).count():
-        links = links.union(_verified(rest, docs, width, ratio))
+        more = _verified(rest, docs, width, ratio)
+        links = links.union(more)
+        moves.append(stored(between(more, of_set), "jaccard-moves"))
+    discard(left)
 
     of_id = named.select("id", *key).distinct().join(set_ids, key).select("id", "set_id")
     # Rows that share an id tie their sets together.
     twice = of_id.groupBy("id").agg(F.min("set_id").alias("lo"), F.max("set_id").alias("hi")).where("lo < hi").select("id", "lo")
-    ties = of_id.join(twice, "id").select(F.col("lo").alias("a"), F.col("set_id").alias("b"))
-    links = stored(links, "jaccard-all-links")
-    labels = components(links.select("a", "b").union(ties))
+    ties = stored(of_id.join(twice, "id").select(F.col("lo").alias("a"), F.col("set_id").alias("b")), "jaccard-ties")
+    if ties.limit(1).count():
+        moves.append(stored(between(ties, of_set), "jaccard-moves"))
+    if moves:
+        of_set = merged(of_set, reduce(DataFrame.union, moves))
     members = (
         index.select(F.col("id"), F.col("n"), *key[:2])
         .join(set_ids, key, "left")
-        .join(labels, F.col("set_id") == labels.node, "left")
+        .join(of_set, "set_id", "left")
         .select(
             F.col("id").alias(id_col),
             F.col("n").alias("n_shingles"),
