@@ -50,6 +50,7 @@ SHUNNED = 0.2  # share of further segments, so of entries with large buckets tha
 LARGE_BUCKET = 6  # buckets up to this size are never left out
 ROUNDS = 4  # of further centres at most, before open pairs are verified one by one
 CROWDED = 10  # pairs for each member of a bucket, over all open buckets; below, open pairs are verified at once
+FEW_MET = 100  # a round that finds no more than one pair for so many sets is the last
 SKETCH = 8  # longs of a set's sketch
 SMALL_SIDE = 1_000_000  # ids that may be broadcast; beyond, a shuffled join
 CHANCE = 0.01  # cost model: chance that a shingle of one set lies in an unrelated set
@@ -349,7 +350,7 @@ def _few(df: DataFrame) -> DataFrame:
 def _verified(pairs: DataFrame, docs: DataFrame, width: int, similarity: Fraction) -> DataFrame:
     """Those pairs (a, b), sets by id and fingerprint, whose whole sets are similar enough, with intersection and union sizes.
 
-    Texts are moved, compressed, and their sets made again where a pair meets. Further columns of ``pairs`` stay.
+    Texts are moved, compressed, and their sets made again where a pair meets.
     """
     wanted = pairs.select(F.explode(F.array(F.struct(F.col("a").alias("id"), F.col("fa").alias("f1")), F.struct(F.col("b").alias("id"), F.col("fb").alias("f1")))).alias("w"))
     wanted = stored(wanted.select("w.*").distinct(), "candidates")
@@ -360,7 +361,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, width: int, similarity: Fractio
     right = texts.select(F.col("id").alias("b"), F.col("f1").alias("fb"), F.col("packed").alias("of_b"))
     sized = _common(pairs.join(left, ["a", "fa"]).join(right, ["b", "fb"]), width)
     similar = sized.where(F.col("common") * similarity.denominator >= F.col("all") * similarity.numerator)
-    similar = stored(similar.drop("fa", "fb"), "jaccard-links")
+    similar = stored(similar.select("a", "b", "common", "all"), "jaccard-links")
     discard(wanted, texts)
     return similar
 
@@ -457,8 +458,8 @@ def join(
     of_set = placed.select("set_id", "component").distinct()
     left = left_open(buckets.join(placed, "f1"))
     discard(buckets)
-    links = links.select("a", "b", "common", "all")
-    moves = []
+    n_sets = placed.count()
+    moves, late = [], []
     for turn in range(ROUNDS):
         crowd = left.groupBy("entry").agg(F.count("*").alias("m")).agg(F.sum("m"), F.sum(F.expr("m * (m - 1) / 2"))).first()
         if (crowd[1] or 0) <= CROWDED * (crowd[0] or 0):
@@ -466,13 +467,17 @@ def join(
         centre = left.groupBy("entry").agg(F.min_by(F.struct("set_id", "f1", "n", "component", *SKETCHES), F.xxhash64("set_id", F.lit(turn))).alias("c")).select("entry", "c.*")
         met = left.alias("x").join(centre.alias("y"), F.expr(f"x.entry = y.entry and x.component != y.component and {near}"))
         new = stored(picked(met, F.xxhash64("y.set_id", F.lit(turn)), pairs), "jaccard-pairs")
-        if new.limit(1).count() == 0:
+        found = new.count()
+        if found == 0:
             break
         more = _verified(new, docs, width, ratio)
         pairs = pairs.union(new)
         if more.limit(1).count() == 0:
             break
         links = links.union(more)
+        if found * FEW_MET <= n_sets:  # crowds of unlike sets: what is near there is left to the last step
+            late.append(more)
+            break
         moved = stored(between(more, left.select("set_id", "component").distinct()), "jaccard-moves")
         moves.append(moved)
         earlier, left = left, left_open(merged(left, moved))
@@ -483,7 +488,9 @@ def join(
     if rest.limit(1).count():
         more = _verified(rest, docs, width, ratio)
         links = links.union(more)
-        moves.append(stored(between(more, of_set), "jaccard-moves"))
+        late.append(more)
+    if late:
+        moves.append(stored(between(reduce(DataFrame.union, late), of_set), "jaccard-moves"))
     discard(left)
 
     of_id = named.select("id", *key).distinct().join(set_ids, key).select("id", "set_id")

@@ -6,7 +6,7 @@ import pyarrow as pa
 import pytest
 from fractions import Fraction
 
-from sieveline.llm import jaccard_join as jj
+from sieveline.llm import common, components as components_module, jaccard_join as jj
 from sieveline.llm.components import components
 from sieveline.llm.shingles import distinct_by_text, shingle_hashes
 
@@ -169,3 +169,34 @@ def test_sketches_of_similar_sets_differ_in_no_more_places_than_the_sets():
     for i, a in enumerate(sets):
         for j, b in enumerate(sets[:i]):
             assert np.bitwise_count(sketches[i] ^ sketches[j]).sum() <= len(a ^ b)
+
+
+def test_stars_need_no_round(spark, rows, monkeypatch):
+    kept = []
+    monkeypatch.setattr(components_module, "stored", lambda df, purpose: kept.append(purpose) or common.stored(df, purpose))
+    got = {r.node: r.component for r in components(rows([(7, 7 + k) for k in range(1, 30)], "a long, b long")).collect()}
+    assert got == {7 + k: 7 for k in range(30)}
+    assert len(kept) == 1
+
+
+def test_an_entry_takes_sixteen_bytes():
+    pick = np.random.default_rng(3)
+    entry = pick.integers(0, 1 << 63, 1000, dtype=np.uint64)
+    of = pick.integers(0, 1 << 63, 1000, dtype=np.uint64)  # each set with one entry in the part
+    may = pick.integers(0, 60_000, 1000).astype(np.uint16)
+    raw = jj._blob(entry, of, may)
+    assert len(raw) == 16_000
+    low, of_back, may_back = jj._unblob(raw)
+    assert (low == entry & np.uint64((1 << 48) - 1)).all() and (of_back == of).all() and (may_back == may).all()
+
+
+def test_texts_are_verified_from_fewer_bytes_than_their_sets(spark, rows):
+    pick = random.Random(4)
+    words = ["".join(pick.choice("abcdefghij") for _ in range(6)) for _ in range(300)]
+    data = [(i, " ".join(pick.choice(words) for _ in range(400))) for i in range(5)]
+    data.append((9, data[0][1] + " more"))
+    docs = rows(data, "id long, text string")
+    texts = {r.id: r for r in jj._texts(docs, 3).collect()}
+    assert all(len(r.packed) * 2 < 8 * 398 for r in texts.values())
+    pairs = rows([(0, texts[0].f1, 9, texts[9].f1), (0, texts[0].f1, 1, texts[1].f1)], "a long, fa long, b long, fb long")
+    assert [tuple(r) for r in jj._verified(pairs, docs, 3, Fraction("0.9")).collect()] == [(0, 9, *(len(f(shingles(data[0][1], 3), shingles(data[5][1], 3))) for f in (frozenset.__and__, frozenset.__or__)))]

@@ -1,5 +1,8 @@
 """What a Python worker holds at a time."""
 
+import os
+import time
+
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
@@ -35,3 +38,31 @@ def test_a_new_model_frees_what_earlier_stages_kept():
     kept = common.kept_for("one", dict)
     assert common.kept_for("one", dict) is kept
     common.release()
+
+
+def shuffle_files(spark) -> int:
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return files.mkString("\n").count("shuffle_")
+
+
+def test_a_stored_step_leaves_no_shuffle_files(spark):
+    before = shuffle_files(spark)
+    setting = spark.conf.get(common.CLEANUP, None)
+    df = spark.range(5000).groupBy((F.col("id") % 700).alias("k")).count()
+    kept = common.stored(df, "test-cleanup")
+    for _ in range(50):  # files go shortly after the write
+        if shuffle_files(spark) <= before:
+            break
+        time.sleep(0.2)
+    assert shuffle_files(spark) <= before
+    assert spark.conf.get(common.CLEANUP, None) == setting
+    assert kept.count() == 700
+
+
+def test_discarded_steps_are_gone_from_the_shared_folder(spark):
+    kept = common.stored(spark.range(10), "test-discard")
+    path = kept.inputFiles()[0].removeprefix("file:").rsplit("/", 1)[0]
+    assert os.path.exists(path)
+    common.discard(kept)
+    assert not os.path.exists(path)
+    common.discard(kept, spark.range(3))  # nothing to do
