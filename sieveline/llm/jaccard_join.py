@@ -27,8 +27,9 @@ packed, partitioned by entry, and a partition keeps those that two sets share. I
 bucket candidates are paired with one centre; a set is verified with two centres of its buckets in a round, on the whole
 sets; links give components. Members of a bucket that are then still in different components meet other centres,
 and after some rounds all their cross-component pairs are verified, so no link that could join two components
-is missed, while a group of mutually similar sets costs a few pairs per member. Pairs whose sizes or sketches (parities
-of the shingles dealt to 512 places) show more differences than the similarity bears are never made.
+is missed, while a group of mutually similar sets costs a few pairs per member. Pairs whose sizes or sketches (numbers
+of the shingles dealt to 128 places, modulo 16) show more differences than the similarity bears are never made; for unlike
+sets that holds up to some 2,000 shingles.
 """
 
 from __future__ import annotations
@@ -40,7 +41,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from sieveline.llm.common import discard, in_chunks, release, stored
 from sieveline.llm.components import components
@@ -51,7 +52,7 @@ LARGE_BUCKET = 6  # buckets up to this size are never left out
 ROUNDS = 4  # of further centres at most, before open pairs are verified one by one
 CROWDED = 10  # pairs for each member of a bucket, over all open buckets; below, open pairs are verified at once
 FEW_MET = 100  # a round that finds no more than one pair for so many sets is the last
-SKETCH = 8  # longs of a set's sketch
+SKETCH = 8  # longs of a set's sketch: four, one for each bit of a number, for each 64 places
 SMALL_SIDE = 1_000_000  # ids that may be broadcast; beyond, a shuffled join
 CHANCE = 0.01  # cost model: chance that a shingle of one set lies in an unrelated set
 WORD_BYTES = 6  # cost model: bytes of a word and its blank
@@ -283,19 +284,55 @@ def _buckets(packed: DataFrame, parts: int) -> DataFrame:
 
 
 def _sketch(hashes: np.ndarray, starts: np.ndarray) -> list[pa.Array]:
-    """Parities of each set's shingles dealt to 64 * SKETCH places: sets differ in no fewer shingles than parities."""
-    out = np.zeros((len(starts) - 1) * SKETCH, U)
-    owner = np.repeat(np.arange(len(starts) - 1), np.diff(starts))
-    place = mix(hashes ^ U(0x3C6EF372FE94F82B)) % U(64 * SKETCH)
-    np.bitwise_xor.at(out, owner * SKETCH + (place >> U(6)).astype(np.int64), U(1) << (place & U(63)))
-    return [pa.array(out[k::SKETCH].view(np.int64)) for k in range(SKETCH)]
+    """Numbers (modulo 16) of each set's shingles dealt to 16 * SKETCH places, in Gray code, bit by bit.
 
+    Sets differ in no fewer shingles than the numbers do, summed over all places. Parities of as many bits could show 256
+    differences at most, so they told no unlike sets of more than 1,000 shingles apart.
+    """
+    n, places = len(starts) - 1, 16 * SKETCH
+    owner = np.repeat(np.arange(n), np.diff(starts))
+    place = (mix(hashes ^ U(0x3C6EF372FE94F82B)) % U(places)).astype(np.int64)
+    numbers = np.bincount(owner * places + place, minlength=n * places).reshape(n, SKETCH // 4, 64)
+    numbers = (numbers & 15) ^ ((numbers & 15) >> 1)
+    planes = (numbers[:, :, None, :] >> np.arange(4)[:, None]) & 1
+    longs = np.packbits(planes.astype(np.uint8), axis=-1, bitorder="little").reshape(n, SKETCH, 8).view("<i8")[:, :, 0]
+    return [pa.array(np.ascontiguousarray(longs[:, k]), pa.int64()) for k in range(SKETCH)]
+
+
+def _differences() -> Column:
+    """The least number of shingles in which x and y differ, by their sketches: distances on a circle of 16, summed.
+
+    The difference x - y is taken bit by bit with its borrow; from 8 on it is the other way round the circle.
+    """
 
-def _near(similarity: Fraction) -> str:
-    """Condition on x and y: their sizes and sketches allow the similarity. Similar pairs always meet it."""
+    def plain(side: str, codes: list[str]) -> list[Column]:
+        bits = [F.col(f"{side}.{codes[-1]}")]
+        for c in codes[-2::-1]:
+            bits.append(bits[-1].bitwiseXOR(F.col(f"{side}.{c}")))
+        return bits[::-1]
+
+    total = F.lit(0)
+    for k in range(0, SKETCH, 4):
+        borrow, bits = None, []
+        for x, y in zip(*(plain(side, SKETCHES[k : k + 4]) for side in "xy"), strict=True):
+            unlike, less = x.bitwiseXOR(y), F.bitwise_not(x).bitwiseAND(y)
+            bits.append(unlike if borrow is None else unlike.bitwiseXOR(borrow))
+            borrow = less if borrow is None else less.bitwiseOR(F.bitwise_not(unlike).bitwiseAND(borrow))
+        far = bits.pop()
+        total = total + F.bit_count(far)
+        for weight, bit in zip((1, 2, 4), bits, strict=True):
+            total = total + F.bit_count(bit.bitwiseXOR(far)) * weight
+    return total
+
+
+def _near(met: DataFrame, similarity: Fraction) -> DataFrame:
+    """The rows of ``met`` where sizes and sketches of the sets x and y allow the similarity. Similar pairs always stay."""
     p, q = similarity.numerator, similarity.denominator
-    differ = " + ".join(f"bit_count(x.{c} ^ y.{c})" for c in SKETCHES)
-    return f"least(x.n, y.n) * {q} >= greatest(x.n, y.n) * {p} and ({differ}) * {q + p} <= (x.n + y.n) * {q - p}"
+    sized = met.where(f"least(x.n, y.n) * {q} >= greatest(x.n, y.n) * {p}")
+    # Through a one-element array, so that the filter tests a column: in a join's condition every part that is
+    # used twice would be worked out twice.
+    shown = sized.select("*", _differences().alias("_differ")).select("*", F.explode(F.array("_differ")).alias("_least"))
+    return shown.where(F.expr(f"_least * {q + p} <= (x.n + y.n) * {q - p}"))
 
 
 def _print(hashes: np.ndarray, starts: np.ndarray, half: int) -> np.ndarray:
@@ -408,7 +445,6 @@ def join(
     # verified. Ids may have several texts: a pair names the fingerprints too.
     of_print = set_ids.select("f1", "set_id", "n", *SKETCHES)
     ends = ["a", "fa", "b", "fb"]
-    near = _near(ratio)
     lower = F.col("x.set_id") < F.col("y.set_id")
     side = {s: F.struct(F.col(f"{s}.set_id").alias("i"), F.col(f"{s}.f1").alias("f")) for s in "xy"}
 
@@ -427,8 +463,8 @@ def join(
     centres = buckets.groupBy("entry").agg(F.min("f1").alias("centre"), F.max("f1").alias("last")).where("centre < last").drop("last")
     stars = buckets.join(centres, "entry").where("f1 != centre").select("centre", "f1").distinct().alias("s")
     x, y = of_print.alias("x"), of_print.alias("y")
-    stars = stars.join(x, F.expr("s.f1 = x.f1")).join(y, F.expr(f"s.centre = y.f1 and x.set_id != y.set_id and {near}"))
-    twins = ordered(x.join(y, F.expr(f"x.f1 = y.f1 and x.set_id < y.set_id and {near}")))  # equal halves
+    stars = _near(stars.join(x, F.expr("s.f1 = x.f1")).join(y, F.expr("s.centre = y.f1 and x.set_id != y.set_id")), ratio)
+    twins = ordered(_near(x.join(y, F.expr("x.f1 = y.f1 and x.set_id < y.set_id")), ratio))  # equal halves
     pairs = stored(picked(stars, F.col("y.f1")).union(twins).distinct(), "jaccard-pairs")
     links = _verified(pairs, docs, width, ratio)
     labels = stored(components(links), "jaccard-components")
@@ -465,7 +501,7 @@ def join(
         if (crowd[1] or 0) <= CROWDED * (crowd[0] or 0):
             break
         centre = left.groupBy("entry").agg(F.min_by(F.struct("set_id", "f1", "n", "component", *SKETCHES), F.xxhash64("set_id", F.lit(turn))).alias("c")).select("entry", "c.*")
-        met = left.alias("x").join(centre.alias("y"), F.expr(f"x.entry = y.entry and x.component != y.component and {near}"))
+        met = _near(left.alias("x").join(centre.alias("y"), F.expr("x.entry = y.entry and x.component != y.component")), ratio)
         new = stored(picked(met, F.xxhash64("y.set_id", F.lit(turn)), pairs), "jaccard-pairs")
         found = new.count()
         if found == 0:
@@ -483,7 +519,7 @@ def join(
         earlier, left = left, left_open(merged(left, moved))
         discard(earlier)
     x, y = left.alias("x"), left.alias("y")
-    rest = ordered(x.join(y, F.expr(f"x.entry = y.entry and x.set_id < y.set_id and x.component != y.component and {near}"))).distinct()
+    rest = ordered(_near(x.join(y, F.expr("x.entry = y.entry and x.set_id < y.set_id and x.component != y.component")), ratio)).distinct()
     rest = stored(rest.join(pairs, ends, "left_anti"), "jaccard-rest")
     if rest.limit(1).count():
         more = _verified(rest, docs, width, ratio)

@@ -6,6 +6,8 @@ import pyarrow as pa
 import pytest
 from fractions import Fraction
 
+from pyspark.sql import functions as F
+
 from sieveline.llm import common, components as components_module, jaccard_join as jj
 from sieveline.llm.components import components
 from sieveline.llm.shingles import distinct_by_text, shingle_hashes
@@ -200,3 +202,30 @@ def test_texts_are_verified_from_fewer_bytes_than_their_sets(spark, rows):
     assert all(len(r.packed) * 2 < 8 * 398 for r in texts.values())
     pairs = rows([(0, texts[0].f1, 9, texts[9].f1), (0, texts[0].f1, 1, texts[1].f1)], "a long, fa long, b long, fb long")
     assert [tuple(r) for r in jj._verified(pairs, docs, 3, Fraction("0.9")).collect()] == [(0, 9, *(len(f(shingles(data[0][1], 3), shingles(data[5][1], 3))) for f in (frozenset.__and__, frozenset.__or__)))]
+
+
+def test_unlike_sets_of_more_than_a_thousand_shingles_are_told_apart(spark):
+    """Parities of as many bits could not: every such pair that met in a bucket was verified."""
+    rng = np.random.default_rng(5)
+    base = rng.integers(1, 1 << 63, 1_300, dtype=np.uint64)
+    unlike = rng.integers(1, 1 << 63, 1_300, dtype=np.uint64)
+    like = np.concatenate([base[:1_170], rng.integers(1, 1 << 63, 130, dtype=np.uint64)])  # 1170 of 1430 in common
+    hashes = np.concatenate([base, unlike, like])
+    columns = [c.to_pylist() for c in jj._sketch(hashes, np.array([0, 1_300, 2_600, 3_900]))]
+    sets = spark.createDataFrame([(k, 1_300, *(c[k] for c in columns)) for k in range(3)], ", ".join(["set_id long, n long", *(f"{c} long" for c in jj.SKETCHES)]))
+    met = sets.alias("x").join(sets.alias("y"), F.expr("x.set_id < y.set_id"))
+    assert {tuple(r) for r in jj._near(met, Fraction(4, 5)).select("x.set_id", "y.set_id").collect()} == {(0, 2)}
+
+
+def test_sketch_distances_never_pass_the_number_of_differences(spark):
+    rng = np.random.default_rng(6)
+    sets = []
+    for n in (1, 6, 40, 300, 1_500, 4_000):
+        a = rng.integers(1, 1 << 63, n, dtype=np.uint64)
+        for kept in (n, n * 9 // 10, n // 2, 0):
+            sets += [a, np.concatenate([a[:kept], rng.integers(1, 1 << 63, n // 8 + 1, dtype=np.uint64)])]
+    columns = [c.to_pylist() for c in jj._sketch(np.concatenate(sets), np.cumsum([0, *map(len, sets)]))]
+    frames = [spark.createDataFrame([(k // 2, *(c[k] for c in columns)) for k in range(side, len(sets), 2)], ["pair", *jj.SKETCHES]) for side in (0, 1)]
+    both = frames[0].alias("x").join(frames[1].alias("y"), F.expr("x.pair = y.pair"))
+    for r in both.select("x.pair", jj._differences().alias("differ")).collect():
+        assert r.differ <= len(np.setxor1d(*sets[2 * r.pair : 2 * r.pair + 2]))
