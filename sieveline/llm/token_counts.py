@@ -68,6 +68,7 @@ class JsonCounter:
         # The byte-level pattern ends a token between a letter and a space and starts the next one with that space.
         self.cuts = plain and self.normalizer is None and type(before).__name__ == "ByteLevel" and before.use_regex and not before.add_prefix_space
         self.words = WordCounts(self.whole) if self.cuts else None
+        self.run = ""
 
     def content(self, text: str) -> bytes:
         """What decides the count: the normalised text, or the text itself where it spells out an added token."""
@@ -85,6 +86,13 @@ class JsonCounter:
             return self.whole(texts)
         return self.words.counts(texts)
 
+    def begin(self, run: str) -> None:
+        """Words of an earlier run go: a worker that is used again would hold them beside those of its next texts."""
+        if self.words is not None and self.run != run:
+            self.words.clear()
+            give_back()
+        self.run = run
+
     def whole(self, texts: list[str]) -> list[int]:
         return [len(e) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
@@ -159,6 +167,9 @@ class PieceCounter:
     def pieces(self, text: str) -> list[str]:
         return list(_pieces(text, 1)) if self.cuts else [text]
 
+    def begin(self, run: str) -> None:
+        """Nothing is kept between runs."""
+
     def lengths(self, texts: list[str]) -> list[int]:
         return [len(ids) for ids in self.processor.encode(texts, num_threads=1)]
 
@@ -212,9 +223,11 @@ def _digested(df: DataFrame, text: str, tokenizer_file: str, others: list[Column
 
 def _encoded(contents: DataFrame, tokenizer_file: str) -> DataFrame:
     """(digest, n_tokens) of (digest, text)."""
+    of_run = uuid.uuid4().hex
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = _counter(tokenizer_file)
+        counter.begin(of_run)
         for batch in batches:
             give_back()
             for part in in_chunks(batch, "text", 1 << 20):

@@ -121,3 +121,23 @@ def test_other_columns_and_empty_tables(spark, rows, tmp_path):
     assert token_counts.count(rows([("a b",)], "text string"), BYTES, store).collect()[0].n_tokens == 2
     assert token_counts.count(rows([], "doc_id long, text string"), BYTES, store).count() == 0
     assert token_counts.count(rows([], "doc_id long, text string"), BYTES, str(tmp_path / "none")).count() == 0
+
+
+def test_words_of_an_earlier_run_are_let_go():
+    counter = token_counts._make(BYTES)
+    counter.begin("one")
+    text = "some words of the first run"
+    first = counter.lengths([text])
+    counter.begin("one")  # its next task
+    assert len(counter.words) > 0
+    counter.begin("two")
+    assert len(counter.words) == 0
+    assert counter.lengths([text]) == first == [library(BYTES, text)]
+
+
+def test_a_worker_starts_each_run_without_words(spark, rows, tmp_path):
+    begun = []
+    for k in range(2):
+        encoded = token_counts._encoded(rows([(bytearray(b"d"), f"word {k}")], "digest binary, text string"), BYTES)
+        begun.append([r.n_tokens for r in encoded.collect()])
+    assert begun == [[library(BYTES, f"word {k}")] for k in range(2)]
