@@ -3,11 +3,14 @@
 import os
 import time
 
+import public_tokenizers
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from sieveline.llm import common
+from sieveline.llm import common, token_counts
+
+BYTES = public_tokenizers.path("byte_bpe_50k.json")
 
 
 @pytest.fixture
@@ -40,6 +43,21 @@ def test_a_new_model_frees_what_earlier_stages_kept():
     common.release()
 
 
+def test_a_worker_keeps_its_model_between_tasks(spark):
+    from pyspark import cloudpickle
+
+    token_counts._counter(BYTES)  # the driver has one too; it does not go with the task
+
+    def task(batches):
+        for _ in batches:  # a worker that leaves rows unread is not used again
+            pass
+        yield pa.RecordBatch.from_arrays([pa.array([id(token_counts._counter(BYTES))]), pa.array([os.getpid()])], names=["model", "worker"])
+
+    assert len(cloudpickle.dumps(token_counts._counter)) < 1_000
+    rows = [r for _ in range(3) for r in spark.range(0, 8, 1, 8).mapInArrow(task, "model long, worker long").collect()]
+    assert len({(r.model, r.worker) for r in rows}) == len({r.worker for r in rows}) < len(rows)
+
+
 def shuffle_files(spark) -> int:
     files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
     return files.mkString("\n").count("shuffle_")
