@@ -18,15 +18,16 @@ A segment in which a set has nothing would meet every other such set. A scheme t
 more than the bound asks for: a set whose empty segments are no more than that need not index them, since
 similar sets then still agree in others; only sets with more of them index them.
 
-Some segments more than that let similar sets agree in SHUNNED + 1 entries at least. So each set may leave out the
-entries with the largest buckets (passages that many documents share), as many as the scheme has to spare: in
+Some segments more than that let similar sets agree in SHUNNED + 1 entries at least; a set that is smaller than its band's
+largest agrees in more, all its entries but as many as it may differ in. So each set may leave out the
+entries with the largest buckets (passages that many documents share), as many as it has to spare: in
 the order of bucket sizes, two sets that share r + 1 entries share one that neither has among its last r.
 
 Sets that meet are candidates. Entries carry the set's fingerprint, so copies count as one. They are moved
 packed, partitioned by entry, and a partition keeps those that two sets share. In each
-bucket candidates are paired with one centre; a set is verified with two centres of its buckets in a round, on the whole
-sets; links give components. Members of a bucket that are then still in different components meet other centres,
-and after some rounds all their cross-component pairs are verified, so no link that could join two components
+bucket candidates are paired with one centre; a set is verified with three centres of its buckets in a round, on the whole
+sets; links give components. Members of a large bucket that are then still in different components meet other centres,
+and after some rounds all cross-component pairs of all buckets are verified, so no link that could join two components
 is missed, while a group of mutually similar sets costs a few pairs per member. Pairs whose sizes or sketches (numbers
 of the shingles dealt to 128 places, modulo 16) show more differences than the similarity bears are never made; for unlike
 sets that holds up to some 2,000 shingles.
@@ -50,11 +51,12 @@ from sieveline.llm.shingles import U, distinct_by_text, mix, shingle_hashes
 SHUNNED = 0.2  # share of further segments, so of entries with large buckets that a set may leave out
 LARGE_BUCKET = 6  # buckets up to this size are never left out
 ROUNDS = 4  # of further centres at most, before open pairs are verified one by one
-CROWDED = 10  # pairs for each member of a bucket, over all open buckets; below, open pairs are verified at once
-FEW_MET = 100  # a round that finds no more than one pair for so many sets is the last
+CENTRES = 3  # of a large bucket in a round
+CROWDED = 20  # members of a bucket; in smaller ones open pairs are verified at once
+FEW_LINKED = 4  # a round that links no more than one of so many pairs is the last
 SKETCH = 8  # longs of a set's sketch: four, one for each bit of a number, for each 64 places
 SMALL_SIDE = 1_000_000  # ids that may be broadcast; beyond, a shuffled join
-CHANCE = 0.01  # cost model: chance that a shingle of one set lies in an unrelated set
+CHANCE = 1e-5  # cost model: chance that a shingle of one set lies in an unrelated set
 WORD_BYTES = 6  # cost model: bytes of a word and its blank
 PAIR_COST = 50.0  # cost model: verifying a pair against writing an index row
 SKETCHES = [f"q{k}" for k in range(SKETCH)]
@@ -100,12 +102,18 @@ class Bands:
     def of(self, sizes: np.ndarray) -> np.ndarray:
         return np.searchsorted(self.ups, sizes, side="left")
 
+    def most_differences(self, sizes: np.ndarray, scheme: np.ndarray) -> np.ndarray:
+        """How many shingles sets of these sizes and their partners in a scheme differ in at most."""
+        p, q = self.similarity.numerator, self.similarity.denominator
+        return (sizes + np.minimum(sizes * q // p, self.ups[scheme])) * (q - p) // (q + p)
+
 
 def allocate(bands: Bands, sets: np.ndarray) -> np.ndarray:
     """For each band the number of segments that bear one difference, by cost.
 
     ``sets``: number of sets in each band. Cost: index rows of all sets, plus the pairs that
-    would meet by chance, each at PAIR_COST.
+    would meet by chance, each at PAIR_COST. Segments hold Poisson-distributed numbers of shingles: two sets with no
+    more than one in a segment that bears a difference always meet there, in the subset of none.
     """
     chosen = np.zeros(len(bands.ups), dtype=np.int64)
     for k, h in enumerate(bands.differences):
@@ -116,7 +124,9 @@ def allocate(bands: Bands, sets: np.ndarray) -> np.ndarray:
             b = bands.segments[k] - 2 * a
             s = size / (a + b)
             rows = members * (a + b + s * a)
-            meet = b * CHANCE**s + a * (1 + s) * CHANCE ** max(s - 1, 0)
+            plain = np.exp(-s) * np.expm1(s * CHANCE)
+            bears = (np.exp(-s) * (1 + s)) ** 2 + (1 + s) * np.exp(-s) * (np.expm1(s * CHANCE) / CHANCE - s)
+            meet = b * plain + a * bears
             cost = rows + PAIR_COST * members * members / 2 * meet
             if best is None or cost < best[0]:
                 best = (cost, a)
@@ -152,8 +162,11 @@ def signatures(hashes: np.ndarray, starts: np.ndarray, bands: Bands, ones: np.nd
         keep = ~plain_empty | many[of]
         entries.append(mix(sums ^ salt)[keep])
         owners.append(of[keep])
-        # With segments that bear a difference agreement is counted otherwise: nothing is left out there.
-        may = np.where(a > 0, 0, np.minimum(bands.shunned[scheme], 32_000)) * 2 + (scheme is not own)
+        # Similar sets agree in all but the segments that their differences fall into. With segments that bear a difference
+        # agreement is counted otherwise: nothing is left out there.
+        indexed = np.where(many, m - bands.spare[scheme], np.bincount(of[keep], minlength=len(sizes)))
+        more = np.maximum(indexed - 1 - bands.most_differences(sizes, scheme), 0)
+        may = np.where(a > 0, 0, np.minimum(more, 32_000)) * 2 + (scheme is not own)
         shunned.append(may[of[keep]])
         bears = segment < a[owner]
         if bears.any():
@@ -453,12 +466,13 @@ def join(
         return both.select(F.col("l.i").alias("a"), F.col("l.f").alias("fa"), F.col("g.i").alias("b"), F.col("g.f").alias("fb"), *both.columns[2:])
 
     def picked(met: DataFrame, rank, pairs: DataFrame | None = None) -> DataFrame:
-        """Of each x the pairs with its first and its last y by ``rank``, without ``pairs``."""
-        met = ordered(met, side["x"].alias("member"), rank.alias("rank"))
+        """Of each x the pairs with its first and its last y by ``rank``, and with the y that seems nearest; without ``pairs``."""
+        met = ordered(met, side["x"].alias("member"), rank.alias("rank"), F.struct("_least", rank).alias("near"))
         if pairs is not None:
             met = met.join(pairs, ends, "left_anti")
-        chosen = met.groupBy("member").agg(F.min_by(F.struct(*ends), "rank").alias("first"), F.max_by(F.struct(*ends), "rank").alias("last"))
-        return chosen.select(F.explode(F.array("first", "last")).alias("p")).select("p.*").distinct()
+        end = F.struct(*ends)
+        chosen = met.groupBy("member").agg(F.min_by(end, "rank").alias("first"), F.max_by(end, "rank").alias("last"), F.min_by(end, "near").alias("nearest"))
+        return chosen.select(F.explode(F.array("first", "last", "nearest")).alias("p")).select("p.*").distinct()
 
     centres = buckets.groupBy("entry").agg(F.min("f1").alias("centre"), F.max("f1").alias("last")).where("centre < last").drop("last")
     stars = buckets.join(centres, "entry").where("f1 != centre").select("centre", "f1").distinct().alias("s")
@@ -470,10 +484,10 @@ def join(
     labels = stored(components(links), "jaccard-components")
 
     # What the stars leave open: members of a bucket in different components whose sizes and sketches allow the
-    # similarity. In a round a set is compared with two centres of its buckets, so pairs are no more than twice the sets,
-    # however large a group of like texts is; as all sets rank centres alike, the group meets at few of them
-    # and comes together. Then every pair that is still open is verified, so that no link is missed. A round starts
-    # from what the one before left open, and joins components, not sets.
+    # similarity. In a round a set of a large bucket is compared with three centres of its large buckets, the nearest by sketch
+    # among them, so pairs are no more than three times the sets, however large a group of like texts is, and the group
+    # comes together. Then every pair that is still open is verified, so that no link is missed. Rounds read
+    # large buckets only and join components set by set; all buckets get them once, behind the last round.
     def left_open(members: DataFrame) -> DataFrame:
         several = members.groupBy("entry").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("entry")
         return stored(members.join(several, "entry", "left_semi"), "jaccard-open")
@@ -491,42 +505,44 @@ def join(
 
     placed = of_print.join(labels, of_print.set_id == labels.node, "left")
     placed = stored(placed.select("f1", "set_id", "n", F.coalesce("component", "set_id").alias("component"), *SKETCHES), "jaccard-placed")
-    of_set = placed.select("set_id", "component").distinct()
-    left = left_open(buckets.join(placed, "f1"))
-    discard(buckets)
-    n_sets = placed.count()
-    moves, late = [], []
+    large = buckets.groupBy("entry").agg(F.count("*").alias("m")).where(F.col("m") > CROWDED).select("entry")
+    crowd = stored(buckets.join(_few(large), "entry", "left_semi"), "jaccard-crowds")
     for turn in range(ROUNDS):
-        crowd = left.groupBy("entry").agg(F.count("*").alias("m")).agg(F.sum("m"), F.sum(F.expr("m * (m - 1) / 2"))).first()
-        if (crowd[1] or 0) <= CROWDED * (crowd[0] or 0):
-            break
-        centre = left.groupBy("entry").agg(F.min_by(F.struct("set_id", "f1", "n", "component", *SKETCHES), F.xxhash64("set_id", F.lit(turn))).alias("c")).select("entry", "c.*")
+        left = left_open(crowd.join(placed, "f1"))
+        # Some centres a bucket: with one, a group that shares many entries would meet at the same few sets in all.
+        member = F.struct("set_id", "f1", "n", "component", *SKETCHES)
+        some = [F.min_by(member, F.xxhash64("set_id", F.lit(turn * CENTRES + c))) for c in range(CENTRES)]
+        centre = left.groupBy("entry").agg(F.array(*some).alias("c")).select("entry", F.explode("c").alias("c")).select("entry", "c.*")
         met = _near(left.alias("x").join(centre.alias("y"), F.expr("x.entry = y.entry and x.component != y.component")), ratio)
         new = stored(picked(met, F.xxhash64("y.set_id", F.lit(turn)), pairs), "jaccard-pairs")
+        discard(left)
         found = new.count()
         if found == 0:
             break
         more = _verified(new, docs, width, ratio)
-        pairs = pairs.union(new)
-        if more.limit(1).count() == 0:
+        pairs, links = pairs.union(new), links.union(more)
+        linked = more.count()
+        if linked:
+            moves = stored(between(more, placed.select("set_id", "component").distinct()), "jaccard-moves")
+            placed = stored(merged(placed, moves), "jaccard-placed")
+        if linked * FEW_LINKED <= found:  # crowds of unlike sets: what is near there is left to the last step
             break
-        links = links.union(more)
-        if found * FEW_MET <= n_sets:  # crowds of unlike sets: what is near there is left to the last step
-            late.append(more)
-            break
-        moved = stored(between(more, left.select("set_id", "component").distinct()), "jaccard-moves")
-        moves.append(moved)
-        earlier, left = left, left_open(merged(left, moved))
-        discard(earlier)
-    x, y = left.alias("x"), left.alias("y")
-    rest = ordered(_near(x.join(y, F.expr("x.entry = y.entry and x.set_id < y.set_id and x.component != y.component")), ratio)).distinct()
+    discard(crowd)
+    of_set = placed.select("set_id", "component").distinct()
+    left = left_open(buckets.join(placed, "f1"))
+    discard(buckets)
+    moves = []
+    # One end of each pair lies outside the component that has most members of the bucket.
+    sizes = left.groupBy("entry", "component").agg(F.count("*").alias("m"))
+    main = sizes.groupBy("entry").agg(F.max_by("component", F.struct("m", "component")).alias("main"))
+    x, y = left.join(main, "entry").where("component != main").alias("x"), left.alias("y")
+    once = "(x.set_id < y.set_id or y.component = x.main)"
+    rest = ordered(_near(x.join(y, F.expr(f"x.entry = y.entry and x.component != y.component and {once}")), ratio)).distinct()
     rest = stored(rest.join(pairs, ends, "left_anti"), "jaccard-rest")
     if rest.limit(1).count():
         more = _verified(rest, docs, width, ratio)
         links = links.union(more)
-        late.append(more)
-    if late:
-        moves.append(stored(between(reduce(DataFrame.union, late), of_set), "jaccard-moves"))
+        moves.append(stored(between(more, of_set), "jaccard-moves"))
     discard(left)
 
     of_id = named.select("id", *key).distinct().join(set_ids, key).select("id", "set_id")

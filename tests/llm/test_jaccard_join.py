@@ -229,3 +229,28 @@ def test_sketch_distances_never_pass_the_number_of_differences(spark):
     both = frames[0].alias("x").join(frames[1].alias("y"), F.expr("x.pair = y.pair"))
     for r in both.select("x.pair", jj._differences().alias("differ")).collect():
         assert r.differ <= len(np.setxor1d(*sets[2 * r.pair : 2 * r.pair + 2]))
+
+
+def test_no_segment_bears_a_difference_where_many_sets_hold_one_shingle_of_it():
+    """Without that shingle all of them are the empty subset: they met in buckets that grew with the input."""
+    bands = jj.Bands(Fraction(4, 5), 20_000)
+    for sets in (1e4, 3e4, 1e6):
+        assert not jj.allocate(bands, np.full(len(bands.ups), sets)).any()
+
+
+def test_sets_leave_out_all_entries_that_their_own_differences_can_spare():
+    bands = jj.Bands(Fraction(4, 5), 5_000)
+    ones = np.zeros(len(bands.ups), np.int64)
+    pick = np.random.default_rng(7)
+    for size in (12, 150, 800, 1_000):
+        x = np.unique(pick.integers(1, 1 << 62, size, dtype=np.uint64))
+        for y in (x[: size - size // 5], np.concatenate([x[size // 9 :], pick.integers(1, 1 << 62, size // 9, dtype=np.uint64)])):
+            hashes, starts = np.concatenate([x, y]), np.array([0, len(x), len(x) + len(y)])
+            entries, may, at = jj.signatures(hashes, starts, bands, ones)
+            of = [dict(zip(entries[a:b].tolist(), may[a:b].tolist(), strict=True)) for a, b in zip(at[:-1], at[1:], strict=True)]
+            shared = {}
+            for e in of[0].keys() & of[1].keys():
+                shared.setdefault((of[0][e], of[1][e]), []).append(e)
+            assert any(len(some) > max(m // 2 for m in spare) for spare, some in shared.items())
+    _, may, _ = jj.signatures(x, np.array([0, len(x)]), bands, ones)
+    assert (may // 2).min() > 2 * bands.shunned[bands.of(np.array([len(x)]))[0]]
